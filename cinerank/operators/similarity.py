@@ -4,11 +4,11 @@ Item-item similarity uses entity=item, context=user; user-user swaps them.
 Everything is computed only for the pairs a caller asks for (the candidate
 pairs of a prediction job), never for all pairs inside a user or an item:
 
-* ``pair_stats`` joins each requested pair ``(a, b)`` to the rows of the
-  member with **fewer** rows, then probes the other member's value by an
-  equi-join on ``(other, context)``, which is unique. A hot item therefore
-  only multiplies work when both members of a pair are hot, and no group
-  is ever collected into one task or row.
+* ``pair_stats`` splits contexts by degree: light contexts (bounded size)
+  emit their co-rated pairs; heavy contexts are never paired up, instead
+  each requested pair ``(a, b)`` is routed to the member with **fewer** rows
+  and probes the other member's value by the unique key ``(other, context)``.
+  No unbounded group is ever collected into one task or row.
 * per-entity norms and counts are a plain map-side-combined aggregate.
 
 All functions carry optional partition keys ``part`` (e.g. ``["fold"]``) so
@@ -43,12 +43,27 @@ def canonical_pairs(df: DataFrame, x: str, y: str, part: Sequence[str] = ()) ->
             .distinct())
 
 
+# Contexts (e.g. users for item-item) with at most this many rows are "light":
+# their co-rated pairs are emitted directly (at most D^2/2 per context, so at
+# most D * rows overall). Heavier contexts never pair up their rows; their
+# share of each requested pair's dot product comes from probing.
+DEFAULT_HEAVY_DEGREE = 500
+
+
 def pair_stats(values: DataFrame, pairs: DataFrame, entity: str, context: str,
-               value: str = "v", part: Sequence[str] = ()) -> DataFrame:
+               value: str = "v", part: Sequence[str] = (),
+               heavy_degree: int = DEFAULT_HEAVY_DEGREE) -> DataFrame:
     """For each pair (part, a, b): dot, co (common contexts), n_a, n_b, sq_a, sq_b.
 
     ``values``: (part, entity, context, value), unique per (part, entity, context).
-    ``pairs``: (part, a, b) distinct.
+    ``pairs``: (part, a, b) distinct with a < b.
+
+    dot = light part + heavy part, both exact:
+    * light: self join of light contexts on (part, context), a < b, summed
+      with map-side combine, then kept for the requested pairs only;
+    * heavy: each requested pair is routed to the member with fewer rows,
+      joined to that member's rows in heavy contexts, and probes the other
+      member's value by the unique key (part, other, context).
     """
     part = list(part)
     st = entity_stats(values, entity, value, part)
@@ -58,18 +73,32 @@ def pair_stats(values: DataFrame, pairs: DataFrame, entity: str, context: str,
     p = p.select(*part, "a", "b",
                  F.coalesce("n_a", F.lit(0)).alias("n_a"), F.coalesce("n_b", F.lit(0)).alias("n_b"),
                  F.coalesce("sq_a", F.lit(0.0)).alias("sq_a"), F.coalesce("sq_b", F.lit(0.0)).alias("sq_b"))
+
+    v = values.select(*part, F.col(entity).alias("_e"), F.col(context).alias("_c"),
+                      F.col(value).alias("_v"))
+    deg = v.groupBy(*part, "_c").agg(F.count(F.lit(1)).alias("_deg"))
+    vd = v.join(deg, part + ["_c"])
+    light = vd.where(F.col("_deg") <= heavy_degree).drop("_deg")
+    heavy = vd.where(F.col("_deg") > heavy_degree).drop("_deg")
+
+    lx = light.select(*part, "_c", F.col("_e").alias("a"), F.col("_v").alias("_va"))
+    ly = light.select(*part, "_c", F.col("_e").alias("b"), F.col("_v").alias("_vb"))
+    light_dots = (lx.join(ly, part + ["_c"]).where(F.col("a") < F.col("b"))
+                  .groupBy(*part, "a", "b")
+                  .agg(F.sum(F.col("_va") * F.col("_vb")).alias("dot"), F.count(F.lit(1)).alias("co")))
+
     a_small = F.col("n_a") <= F.col("n_b")
     route = p.select(*part, "a", "b",
                      F.when(a_small, F.col("a")).otherwise(F.col("b")).alias("_x"),
                      F.when(a_small, F.col("b")).otherwise(F.col("a")).alias("_y"))
-    vx = values.select(*part, F.col(entity).alias("_x"), F.col(context).alias("_c"),
-                       F.col(value).alias("_vx"))
-    vy = values.select(*part, F.col(entity).alias("_y"), F.col(context).alias("_c"),
-                       F.col(value).alias("_vy"))
-    dots = (route.join(vx, part + ["_x"])
-            .join(vy, part + ["_y", "_c"])
-            .groupBy(*part, "a", "b")
-            .agg(F.sum(F.col("_vx") * F.col("_vy")).alias("dot"), F.count(F.lit(1)).alias("co")))
+    hx = heavy.select(*part, F.col("_e").alias("_x"), "_c", F.col("_v").alias("_vx"))
+    hy = heavy.select(*part, F.col("_e").alias("_y"), "_c", F.col("_v").alias("_vy"))
+    heavy_dots = (route.join(hx, part + ["_x"]).join(hy, part + ["_y", "_c"])
+                  .groupBy(*part, "a", "b")
+                  .agg(F.sum(F.col("_vx") * F.col("_vy")).alias("dot"), F.count(F.lit(1)).alias("co")))
+
+    dots = (light_dots.unionByName(heavy_dots).groupBy(*part, "a", "b")
+            .agg(F.sum("dot").alias("dot"), F.sum("co").alias("co")))
     return (p.join(dots, part + ["a", "b"], "left")
             .select(*part, "a", "b", F.coalesce("dot", F.lit(0.0)).alias("dot"),
                     F.coalesce("co", F.lit(0)).alias("co"), "n_a", "n_b", "sq_a", "sq_b"))

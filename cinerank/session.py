@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # only takes effect when this call starts the JVM (local runs, tests)
+    "spark.driver.memory": "16g",
 }
 
 
@@ -61,3 +63,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_STAGED: dict[tuple[str, str], str] = {}
+
+
+def staged(spark: SparkSession, key: str, build, partition_by=None):
+    """Write ``build()`` once per session as parquet below the checkpoint folder
+    and return a DataFrame reading it back.
+
+    This cuts lineage (a lost executor re-reads files instead of recomputing
+    joins), gives later stages file statistics for AQE, and keeps predicate
+    pushdown / column pruning on the staged table."""
+    memo = (spark.sparkContext.applicationId, key)
+    path = _STAGED.get(memo)
+    if path is None:
+        path = scratch_path(spark, key.replace("/", "_").replace(":", "_"))
+        w = build().write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+        _STAGED[memo] = path
+    return spark.read.parquet(path)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cinerank.session import staged
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -47,8 +49,8 @@ def last_write_wins(raw: DataFrame, keys=("user_id", "item_id"),
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JOB-1 ingest: deduplicated ratings (user_id, item_id, score, ts)."""
-    return last_write_wins(ratings_raw(spark, sf_dir))
+    """JOB-1 ingest: deduplicated ratings (user_id, item_id, score, ts), staged once."""
+    return staged(spark, f"ratings:{sf_dir}", lambda: last_write_wins(ratings_raw(spark, sf_dir)))
 
 
 def fold_of(user: Column, item: Column, n_folds: int = N_FOLDS) -> Column:
@@ -57,8 +59,12 @@ def fold_of(user: Column, item: Column, n_folds: int = N_FOLDS) -> Column:
 
 
 def folds(spark: SparkSession, sf_dir: str, n_folds: int = N_FOLDS) -> DataFrame:
-    r = ratings(spark, sf_dir)
-    return r.withColumn("fold", fold_of(F.col("user_id"), F.col("item_id"), n_folds))
+    """Ratings with a modulo fold 1..n, staged partitioned by fold (fold = f
+    and fold <> f prune directories)."""
+    def build():
+        r = ratings(spark, sf_dir)
+        return r.withColumn("fold", fold_of(F.col("user_id"), F.col("item_id"), n_folds))
+    return staged(spark, f"folds{n_folds}:{sf_dir}", build, partition_by=["fold"])
 
 
 def ratings_binary(spark: SparkSession, sf_dir: str, threshold: float = 3.0) -> DataFrame:
