@@ -75,6 +75,10 @@ def ratings_binary(spark: SparkSession, sf_dir: str, threshold: float = 3.0) ->
 
 def tags(spark: SparkSession, sf_dir: str, big: bool = False) -> DataFrame:
     """Tag applications (user_id, item_id, tag); ``big`` selects the larger source."""
+    return staged(spark, f"tags{int(big)}:{sf_dir}", lambda: _tags(spark, sf_dir, big))
+
+
+def _tags(spark: SparkSession, sf_dir: str, big: bool) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == ("A" if big else "R"))
     o = table(spark, sf_dir, "orders")
     p = table(spark, sf_dir, "part")
@@ -99,6 +103,10 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Directors / actors per item: item_id, person, kind."""
+    return staged(spark, f"people:{sf_dir}", lambda: _people(spark, sf_dir))
+
+
+def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     s = table(spark, sf_dir, "supplier")
     return (li.join(s, s.s_suppkey == li.l_suppkey)
