@@ -64,12 +64,15 @@ def with_baseline(df: DataFrame, mu: DataFrame, um: DataFrame, im: DataFrame,
     return out.withColumn(name, b).drop("mu", "u_mean", "i_mean")
 
 
-def blend(sims: DataFrame, content: DataFrame | None, p: float, kind: str) -> DataFrame:
+def blend(sims: DataFrame, content, p: float, kind: str) -> DataFrame:
     """SIM-11: p * content + (1 - p) * cf. Cosine sentinels (-1 from a zero norm)
-    are not blended; Jaccard always is. ``content`` is (a, b, csim), missing = 0."""
+    are not blended; Jaccard always is. ``content`` is a function
+    pairs(a, b) -> (a, b, csim) evaluated for the requested pairs only;
+    a pair it does not return counts as 0.0."""
     if content is None:
         return sims
-    c = content.select("a", "b", F.col("csim").cast("double").alias("csim"))
+    c = content(sims.select("a", "b").distinct())
+    c = c.select("a", "b", F.col("csim").cast("double").alias("csim"))
     j = sims.join(c, ["a", "b"], "left")
     mixed = F.lit(p) * F.coalesce("csim", F.lit(0.0)) + F.lit(1.0 - p) * F.col("sim").cast("double")
     sim = F.when(F.col("zero_norm"), F.col("sim")).otherwise(dec(mixed))
@@ -78,7 +81,7 @@ def blend(sims: DataFrame, content: DataFrame | None, p: float, kind: str) -> Da
 
 def predict(train: DataFrame, test: DataFrame, mode: str = "item", kind: str = "pears",
             ks: Sequence[int] = DEFAULT_KS, part: Sequence[str] = ("fold",),
-            content: DataFrame | None = None, p: float = DEFAULT_P) -> DataFrame:
+            content=None, p: float = DEFAULT_P) -> DataFrame:
     """Neighbourhood predictions for every test cell and every k.
 
     train/test: (part, user_id, item_id, score). Returns

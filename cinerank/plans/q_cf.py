@@ -27,7 +27,7 @@ def cf_metrics(spark, sf_dir, mode, kind, only=None, ks=nb.DEFAULT_KS, content=N
 
 def cf_sql(mode: str, kind: str, only: int | None = None, ks=nb.DEFAULT_KS,
            content_cte: list[tuple[str, str]] | None = None, content_views=(),
-           p: float = nb.DEFAULT_P, mean_over_folds: bool = False) -> str:
+           p: float = nb.DEFAULT_P, mean_over_folds: bool = False, pre_ctes=()) -> str:
     """Brute-force oracle: the full co-rating self join (every pair), then the
     same ranking and prediction rules."""
     T, C = ("item_id", "user_id") if mode == "item" else ("user_id", "item_id")
@@ -70,6 +70,7 @@ def cf_sql(mode: str, kind: str, only: int | None = None, ks=nb.DEFAULT_KS,
                      f"+ {1.0 - p} * cast(s.sim0 as double) as decimal(18,9)) end")
     ks_list = ", ".join(str(k) for k in sorted(ks))
     ctes = [
+        *pre_ctes,
         ("train", train), ("test", test),
         ("mu", "select fold, avg(score) as mu from train group by fold"),
         ("um", "select fold, user_id, avg(score) as u_mean from train group by fold, user_id"),

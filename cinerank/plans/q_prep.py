@@ -30,9 +30,15 @@ _FOLK_CTES = [
 ]
 
 
+def folk_ctes(item_threshold=4):
+    return [(n, s.replace("{t}", str(item_threshold))) for n, s in _FOLK_CTES]
+
+
+FOLK_VIEWS = ("tags", "tags_big", "movies", "ratings")
+
+
 def _folk_sql(item_threshold=4):
-    ctes = [(n, s.replace("{t}", str(item_threshold))) for n, s in _FOLK_CTES]
-    return with_views("tags", "tags_big", "movies", "ratings", extra=ctes)
+    return with_views(*FOLK_VIEWS, extra=folk_ctes(item_threshold))
 
 
 @query("set1_tag_union", with_views("tags", "tags_big")
