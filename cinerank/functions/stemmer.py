@@ -1,0 +1,132 @@
+"""Porter (1980) suffix-stripping stemmer, used as a small per-term helper.
+
+Stemming runs once per *distinct* term of a corpus (an Arrow-batched pandas
+UDF over the term vocabulary), and the stems are joined back, so the Python
+work grows with the vocabulary, not with the token stream.
+"""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_VOWELS = set("aeiou")
+
+
+def _is_cons(w: str, i: int) -> bool:
+    c = w[i]
+    if c in _VOWELS:
+        return False
+    if c == "y":
+        return i == 0 or not _is_cons(w, i - 1)
+    return True
+
+
+def _measure(stem: str) -> int:
+    """Number of VC sequences in [C](VC)^m[V]."""
+    m, i, n = 0, 0, len(stem)
+    while i < n and _is_cons(stem, i):
+        i += 1
+    while i < n:
+        while i < n and not _is_cons(stem, i):
+            i += 1
+        if i >= n:
+            break
+        while i < n and _is_cons(stem, i):
+            i += 1
+        m += 1
+    return m
+
+
+def _has_vowel(stem: str) -> bool:
+    return any(not _is_cons(stem, i) for i in range(len(stem)))
+
+
+def _double_cons(w: str) -> bool:
+    return len(w) >= 2 and w[-1] == w[-2] and _is_cons(w, len(w) - 1)
+
+
+def _cvc(w: str) -> bool:
+    n = len(w)
+    return (n >= 3 and _is_cons(w, n - 3) and not _is_cons(w, n - 2) and _is_cons(w, n - 1)
+            and w[-1] not in "wxy")
+
+
+def _replace(w: str, rules, cond) -> str:
+    for suf, rep in rules:
+        if w.endswith(suf):
+            stem = w[: len(w) - len(suf)]
+            return stem + rep if cond(stem) else w
+    return w
+
+
+# Fixed suffix tables of the published algorithm (steps 2, 3, 4).
+_STEP2 = [("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
+          ("abli", "able"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
+          ("ization", "ize"), ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"),
+          ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble")]
+_STEP3 = [("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"),
+          ("ful", ""), ("ness", "")]
+_STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion",
+          "ou", "ism", "ate", "iti", "ous", "ive", "ize"]
+
+
+def stem(word: str) -> str:
+    w = word
+    if len(w) <= 2:
+        return w
+    # step 1a
+    if w.endswith("sses"):
+        w = w[:-2]
+    elif w.endswith("ies"):
+        w = w[:-2]
+    elif w.endswith("ss"):
+        pass
+    elif w.endswith("s"):
+        w = w[:-1]
+    # step 1b
+    extra = False
+    if w.endswith("eed"):
+        if _measure(w[:-3]) > 0:
+            w = w[:-1]
+    elif w.endswith("ed") and _has_vowel(w[:-2]):
+        w, extra = w[:-2], True
+    elif w.endswith("ing") and _has_vowel(w[:-3]):
+        w, extra = w[:-3], True
+    if extra:
+        if w.endswith(("at", "bl", "iz")):
+            w += "e"
+        elif _double_cons(w) and w[-1] not in "lsz":
+            w = w[:-1]
+        elif _measure(w) == 1 and _cvc(w):
+            w += "e"
+    # step 1c
+    if w.endswith("y") and _has_vowel(w[:-1]):
+        w = w[:-1] + "i"
+    # steps 2 and 3
+    w = _replace(w, sorted(_STEP2, key=lambda r: -len(r[0])), lambda s: _measure(s) > 0)
+    w = _replace(w, sorted(_STEP3, key=lambda r: -len(r[0])), lambda s: _measure(s) > 0)
+    # step 4
+    for suf in sorted(_STEP4, key=len, reverse=True):
+        if w.endswith(suf):
+            s = w[: len(w) - len(suf)]
+            if _measure(s) > 1 and (suf != "ion" or (s and s[-1] in "st")):
+                w = s
+            break
+    # step 5a
+    if w.endswith("e"):
+        s = w[:-1]
+        m = _measure(s)
+        if m > 1 or (m == 1 and not _cvc(s)):
+            w = s
+    # step 5b
+    if _measure(w) > 1 and _double_cons(w) and w.endswith("l"):
+        w = w[:-1]
+    return w
+
+
+@F.pandas_udf(T.StringType())
+def stem_udf(terms: pd.Series) -> pd.Series:
+    """Arrow-batched stemming of a column of terms."""
+    return terms.map(lambda t: None if t is None else stem(t))
