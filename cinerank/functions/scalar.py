@@ -79,5 +79,5 @@ def dec(x, scale: int = 9) -> Column:
 
 
 def r6(x) -> Column:
-    """Round a reported double to 6 places."""
-    return F.round(col(x).cast("double"), 6)
+    """Round a reported double to 6 places (adding 0.0 turns -0.0 into 0.0)."""
+    return F.round(col(x).cast("double"), 6) + F.lit(0.0)
