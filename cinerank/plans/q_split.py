@@ -1 +1,88 @@
-"""Queries: placeholder until filled."""
+"""Split and sample queries (JOB-21..25, WIN-4, WIN-5, SRT-2, AGG-24)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cinerank.operators import split as sp
+from cinerank.plans.oracle_views import with_views
+from cinerank.plans.registry import query
+from cinerank.sources import views
+
+
+@query("job21_modulo_fold_sizes", with_views("folds") + "select fold, count(*) as n from folds group by fold")
+def job21_modulo_fold_sizes(spark, sf_dir):
+    """JOB-21 (oracle form): sizes of the deterministic modulo folds."""
+    return views.folds(spark, sf_dir).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("job21_hash_folds")
+def job21_hash_folds(spark, sf_dir):
+    """JOB-21: shuffled k-fold by seeded hash (rows check; invariants in tests)."""
+    return sp.hash_folds(views.ratings(spark, sf_dir)).select("user_id", "item_id", "fold")
+
+
+@query("job21_balanced_fold_sizes")
+def job21_balanced_fold_sizes(spark, sf_dir):
+    """JOB-21: hash-ordered folds whose sizes differ by at most one."""
+    f = sp.balanced_folds(views.ratings(spark, sf_dir))
+    return f.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("job22_holdout")
+def job22_holdout(spark, sf_dir):
+    """JOB-22: 75/25 hold-out by seeded hash."""
+    return sp.holdout(views.ratings(spark, sf_dir)).select("user_id", "item_id", "split")
+
+
+@query("job23_bernoulli_sample")
+def job23_bernoulli_sample(spark, sf_dir):
+    """JOB-23: row-level sample, fraction 0.1 (sampling is the feature)."""
+    return sp.bernoulli_sample(views.ratings(spark, sf_dir), 0.1).select("user_id", "item_id", "score")
+
+
+@query("agg24_user_sample_counts")
+def agg24_user_sample_counts(spark, sf_dir):
+    """JOB-24 / AGG-24: distinct users and rows before and after a 30% user sample."""
+    r = views.ratings(spark, sf_dir)
+    s = sp.user_sample(r, 0.3)
+    before = r.agg(F.countDistinct("user_id").alias("users_before"), F.count(F.lit(1)).alias("rows_before"))
+    after = s.agg(F.countDistinct("user_id").alias("users_after"), F.count(F.lit(1)).alias("rows_after"))
+    return before.crossJoin(after)  # two one-row aggregates
+
+
+_POS = ("pos", "select *, row_number() over (partition by user_id order by ts, item_id) as pos from ratings")
+
+
+@query("win4_user_positions", with_views("ratings", extra=[_POS]) + "select user_id, item_id, pos from pos")
+def win4_user_positions(spark, sf_dir):
+    """WIN-4: position of each rating within its user in input (time) order."""
+    return sp.positions(views.ratings(spark, sf_dir)).select("user_id", "item_id", "pos")
+
+
+@query("job25_per_user_holdout", with_views("ratings", extra=[
+    _POS, ("cand", "select user_id, item_id, row_number() over (order by ts, user_id, item_id) as t "
+                   "from pos where pos between 1 and 10")])
+       + "select p.user_id, p.item_id, case when c.t is not null and c.t <= 5000 then 'test' else 'base' end "
+         "as split from pos p left join cand c on c.user_id = p.user_id and c.item_id = p.item_id")
+def job25_per_user_holdout(spark, sf_dir):
+    """JOB-25: first 10 ratings of each user are test (ua style), at most 5000 test rows."""
+    h = sp.per_user_holdout(views.ratings(spark, sf_dir), 1, 10, 5000)
+    return h.select("user_id", "item_id", "split")
+
+
+@query("win5_block_folds", with_views("ratings", extra=[
+    ("g", "select *, row_number() over (order by ts, user_id, item_id) - 1 as r, "
+          "ceil(count(*) over () / 5.0) as n from ratings")])
+       + "select user_id, item_id, cast(floor(r / n) + 1 as integer) as fold from g")
+def win5_block_folds(spark, sf_dir):
+    """WIN-5: contiguous blocks of ceil(N/5) rows in input order."""
+    return sp.block_folds(views.ratings(spark, sf_dir)).select("user_id", "item_id", "fold")
+
+
+@query("srt2_sorted_test_split", with_views("folds")
+       + "select user_id, item_id, score from folds where fold = 1 order by user_id, item_id")
+def srt2_sorted_test_split(spark, sf_dir):
+    """SRT-2: the fold-1 test split sorted numerically by (user, item)."""
+    f = views.folds(spark, sf_dir).where(F.col("fold") == 1)
+    return f.select("user_id", "item_id", "score").orderBy("user_id", "item_id")
