@@ -1 +1,76 @@
-"""Queries: placeholder until filled."""
+"""Factorisation queries (JOB-14..JOB-20). ALS and SVD are iterative with
+random starts, so these are rows checks; invariants live in the tests."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cinerank.operators import factor as fa
+from cinerank.operators import neighbours as nb
+from cinerank.operators.evaluate import error_metrics, rounded
+from cinerank.plans.registry import query
+from cinerank.sources import views
+
+METRICS = ["rmse", "mae", "sqrt_mae"]
+
+
+def _fold1(spark, sf_dir):
+    train, test = nb.fold_sides(views.folds(spark, sf_dir), only=1)
+    return train.drop("fold"), test.drop("fold")
+
+
+def _als_scores(spark, sf_dir, max_iter=10, bound=True):
+    train, test = _fold1(spark, sf_dir)
+    model = fa.als_model(train, max_iter=max_iter)
+    uf, itf = fa.als_factors(model)
+    mu = train.agg(F.avg("score").alias("mu"))
+    return train, test, uf, itf, mu, fa.score_cells(test, uf, itf, mu, bound=bound)
+
+
+@query("job14_als_fold1")
+def job14_als_fold1(spark, sf_dir):
+    """JOB-14 / JOB-17: ALS (rank 20, lambda 0.1) on fold-1 train, clamped test metrics."""
+    *_, scored = _als_scores(spark, sf_dir)
+    return rounded(error_metrics(scored.withColumn("g", F.lit(1)), ("g",)).drop("g"), METRICS)
+
+
+@query("job16_als_light_errors")
+def job16_als_light_errors(spark, sf_dir):
+    """JOB-16: the same factors scored without clamping (observed cells only)."""
+    *_, scored = _als_scores(spark, sf_dir, bound=False)
+    return rounded(error_metrics(scored.withColumn("g", F.lit(1)), ("g",)).drop("g"), METRICS)
+
+
+@query("job15_als_learning_curve")
+def job15_als_learning_curve(spark, sf_dir):
+    """JOB-15: train and test rmse / mae / sqrt_mae after 1, 2, 5 and 10 sweeps."""
+    train, test = _fold1(spark, sf_dir)
+    mu = train.agg(F.avg("score").alias("mu"))
+    out = None
+    for epoch in (1, 2, 5, 10):  # a handful of model fits, each a distributed job
+        uf, itf = fa.als_factors(fa.als_model(train, max_iter=epoch))
+        for name, cells in (("train", train), ("test", test)):
+            s = fa.score_cells(cells, uf, itf, mu).withColumn("epoch", F.lit(epoch)) \
+                .withColumn("split", F.lit(name))
+            m = error_metrics(s, ("epoch", "split"))
+            out = m if out is None else out.unionByName(m)
+    return rounded(out, METRICS)
+
+
+@query("job20_point_lookup")
+def job20_point_lookup(spark, sf_dir):
+    """JOB-20: stored vs predicted value for every fold-1 test cell."""
+    *_, scored = _als_scores(spark, sf_dir)
+    return scored.select("user_id", "item_id", F.col("score").alias("stored"), F.round("pred", 6).alias("pred"))
+
+
+@query("job18_svd_fold1")
+def job18_svd_fold1(spark, sf_dir):
+    """JOB-18 / JOB-19: rank-5 truncated SVD of item-mean-centred fold-1 train,
+    reconstructed at the test cells, item means added back, bounded to [1, 5]."""
+    train, test = _fold1(spark, sf_dir)
+    off = train.groupBy("item_id").agg(F.avg("score").alias("off"))
+    centred = train.join(off, "item_id").withColumn("score", F.col("score") - F.col("off")).drop("off")
+    us, v, _ = fa.truncated_svd(centred, k=5, iters=3)
+    scored = fa.svd_predict(test, us, v, offset=off)
+    return rounded(error_metrics(scored.withColumn("g", F.lit(1)), ("g",)).drop("g"), METRICS)
