@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cinerank.functions.scalar import r6
 from cinerank.operators import neighbours as nb
 from cinerank.operators.evaluate import error_metrics, fold_mean, rounded
 from cinerank.plans.oracle_views import with_views
@@ -27,7 +28,8 @@ def cf_metrics(spark, sf_dir, mode, kind, only=None, ks=nb.DEFAULT_KS, content=N
 
 def cf_sql(mode: str, kind: str, only: int | None = None, ks=nb.DEFAULT_KS,
            content_cte: list[tuple[str, str]] | None = None, content_views=(),
-           p: float = nb.DEFAULT_P, mean_over_folds: bool = False, pre_ctes=()) -> str:
+           p: float = nb.DEFAULT_P, mean_over_folds: bool = False, pre_ctes=(),
+           cells_k: int | None = None) -> str:
     """Brute-force oracle: the full co-rating self join (every pair), then the
     same ranking and prediction rules."""
     T, C = ("item_id", "user_id") if mode == "item" else ("user_id", "item_id")
@@ -101,7 +103,7 @@ def cf_sql(mode: str, kind: str, only: int | None = None, ks=nb.DEFAULT_KS,
                  "+ coalesce(im.i_mean, 0.0)) - coalesce(mu.mu, 0.0) as b from test te cross join ks "
                  "left join mu on mu.fold = te.fold left join um on um.fold = te.fold and um.user_id = te.user_id "
                  "left join im on im.fold = te.fold and im.item_id = te.item_id"),
-        ("pred", "select base.fold, base.k, base.score, least(greatest(case when agg.den is not null and "
+        ("pred", "select base.fold, base.user_id, base.item_id, base.k, base.score, least(greatest(case when agg.den is not null and "
                  "agg.den <> 0 then base.b + agg.num / cast(agg.den as double) else base.b end, 1.0), 5.0) "
                  "as pred from base left join agg on agg.fold = base.fold and agg.user_id = base.user_id "
                  "and agg.item_id = base.item_id and agg.k = base.k"),
@@ -109,6 +111,9 @@ def cf_sql(mode: str, kind: str, only: int | None = None, ks=nb.DEFAULT_KS,
               "count(*) as n from pred group by fold, k"),
     ]
     head = with_views("folds", *content_views, extra=ctes)
+    if cells_k is not None:
+        return head + (f"select user_id, item_id, round(pred, 6) + 0.0 as pred from pred "
+                       f"where k = {int(cells_k)}")
     if mean_over_folds:
         return head + ("select k, round(avg(rmse), 6) as rmse, round(avg(mae), 6) as mae, "
                        "round(avg(sqrt(mae)), 6) as sqrt_mae from m group by k")
@@ -172,4 +177,4 @@ def fold1_predictions(spark, sf_dir, mode="item", kind="pears"):
     train, test = nb.fold_sides(folds, only=1)
     preds = nb.predict(train, test, mode=mode, kind=kind)
     kmax = max(nb.DEFAULT_KS)
-    return preds.where(F.col("k") == kmax).select("user_id", "item_id", F.round("pred", 6).alias("pred"))
+    return preds.where(F.col("k") == kmax).select("user_id", "item_id", r6("pred").alias("pred"))
