@@ -27,4 +27,4 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every plan module so its queries register."""
     from cinerank.plans import (  # noqa: F401
-        q_cf, q_stats, q_prep, q_content, q_text, q_binary, q_split, q_factor, q_io)
+        q_cf, q_stats, q_prep, q_content, q_text, q_binary, q_split, q_factor, q_io, q_parts)

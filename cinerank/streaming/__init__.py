@@ -1,0 +1 @@
+"""Structured Streaming variants of the batch statistics."""
