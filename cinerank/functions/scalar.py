@@ -81,3 +81,8 @@ def dec(x, scale: int = 9) -> Column:
 def r6(x) -> Column:
     """Round a reported double to 6 places (adding 0.0 turns -0.0 into 0.0)."""
     return F.round(col(x).cast("double"), 6) + F.lit(0.0)
+
+
+def r6_dec(x) -> Column:
+    """Round a DECIMAL to 6 places exactly (decimal arithmetic), then report a double."""
+    return F.round(col(x), 6).cast("double") + F.lit(0.0)

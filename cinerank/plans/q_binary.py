@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cinerank.functions.scalar import BINARY_THRESHOLDS, binarise, r6
+from cinerank.functions.scalar import BINARY_THRESHOLDS, binarise, r6, r6_dec
 from cinerank.operators import knn
 from cinerank.operators import neighbours as nb
 from cinerank.operators.evaluate import confusion, fold_mean, precision_recall_f1, rounded
@@ -66,7 +66,7 @@ _LD_CTES = [
 
 @query("agg25_signed_overlap", with_views("folds", extra=_LD_CTES)
        + "select distinct a, b, cast((co + dot) / 2 as bigint) as agree, cast((co - dot) / 2 as bigint) as disagree, "
-         "un as n_union, round(cast(sim as double), 6) + 0.0 as sim from s2")
+         "un as n_union, cast(round(sim, 6) as double) + 0.0 as sim from s2")
 def agg25_signed_overlap(spark, sf_dir):
     """AGG-25 / SIM-7: per requested user pair, agreements (LL+DD), disagreements
     (LD+DL), union of rated items and the signed similarity (fold 1 train)."""
@@ -82,7 +82,7 @@ def agg25_signed_overlap(spark, sf_dir):
     return (st.join(sims, ["a", "b"])
             .select("a", "b", ((F.col("co") + F.col("dot")) / 2).cast("bigint").alias("agree"),
                     ((F.col("co") - F.col("dot")) / 2).cast("bigint").alias("disagree"),
-                    un.alias("n_union"), r6("sim").alias("sim")))
+                    un.alias("n_union"), r6_dec("sim").alias("sim")))
 
 
 @query("job8_like_dislike_fold1", with_views("folds", extra=_LD_CTES + [
