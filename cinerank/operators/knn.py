@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from cinerank.functions.scalar import dec
-from cinerank.operators.similarity import pair_stats
+from cinerank.operators.similarity import candidate_stats, pair_stats
+from cinerank.session import materialize
 
 U, I = "user_id", "item_id"
 DEFAULT_K = 10
@@ -35,15 +36,13 @@ def like_dislike_scores(train: DataFrame, test: DataFrame, part: Sequence[str] =
 
     train/test: (part, user_id, item_id, label). Returns (part, u, i, label, pred)."""
     part = list(part)
-    te = test.select(*part, U, I)
-    tr = train.select(*part, F.col(U).alias("nbr"), I, F.col("label").alias("lv"))
-    cand = (te.join(tr, part + [I]).where(F.col("nbr") != F.col(U))
-            .withColumn("a", F.least(U, "nbr")).withColumn("b", F.greatest(U, "nbr")))
-    values = train.select(*part, U, I, F.col("label").cast("double").alias("v"))
-    st = pair_stats(values, cand.select(*part, "a", "b").distinct(), U, I, "v", part)
-    sims = signed_similarity(st, part)
-    scored = cand.join(sims, part + ["a", "b"])
-    agg = scored.groupBy(*part, U, I).agg(F.avg(F.col("lv") * F.col("sim")).alias("pred"))
+    tr = materialize(train.select(*part, U, I, F.col("label").cast("double").alias("v"),
+                                  F.col("label").alias("lv")), "ld_train")
+    j = candidate_stats(test.select(*part, U, I), tr, U, I, "v", part, keep=["lv"])
+    union = F.col("n_t") + F.col("n_n") - F.col("co")
+    sim = dec(F.when(union == 0, F.lit(0.0)).otherwise(F.col("dot") / union))
+    agg = (j.withColumn("sim", sim).groupBy(*part, U, I)
+           .agg(F.avg(F.col("lv") * F.col("sim")).alias("pred")))
     return (test.select(*part, U, I, "label").join(agg, part + [U, I], "left")
             .withColumn("pred", F.coalesce(F.col("pred").cast("double"), F.lit(0.0))))
 
@@ -59,20 +58,16 @@ def knn_classify(train: DataFrame, test: DataFrame, k: int = DEFAULT_K, distance
     such neighbours instead); 'euc' = Euclidean distance of the columns.
     Returns (part, user_id, item_id, label, pred)."""
     part = list(part)
-    te = test.select(*part, U, I)
-    tr = train.select(*part, U, F.col(I).alias("nbr"), F.col("label").alias("lv"))
-    cand = (te.join(tr, part + [U]).where(F.col("nbr") != F.col(I))
-            .withColumn("a", F.least(I, "nbr")).withColumn("b", F.greatest(I, "nbr")))
-    values = train.select(*part, U, I, F.col("label").cast("double").alias("v"))
-    st = pair_stats(values, cand.select(*part, "a", "b").distinct(), I, U, "v", part)
-    zero = (F.col("sq_a") == 0) | (F.col("sq_b") == 0)
+    tr = materialize(train.select(*part, U, I, F.col("label").cast("double").alias("v"),
+                                  F.col("label").alias("lv")), "knn_train")
+    j = candidate_stats(test.select(*part, U, I), tr, I, U, "v", part, keep=["lv"])
+    zero = (F.col("sq_t") == 0) | (F.col("sq_n") == 0)
     if distance == "euc":
-        d = dec(F.sqrt(F.greatest(F.col("sq_a") + F.col("sq_b") - 2 * F.col("dot"), F.lit(0.0))))
-        dist = st.select(*part, "a", "b", d.alias("dist"), F.lit(False).alias("zero"))
+        d = dec(F.sqrt(F.greatest(F.col("sq_t") + F.col("sq_n") - 2 * F.col("dot"), F.lit(0.0))))
+        zero = F.lit(False)
     else:
-        d = F.when(zero, F.lit(-1.0)).otherwise(1 - F.col("dot") / F.sqrt(F.col("sq_a") * F.col("sq_b")))
-        dist = st.select(*part, "a", "b", dec(d).alias("dist"), zero.alias("zero"))
-    scored = cand.join(dist, part + ["a", "b"])
+        d = dec(F.when(zero, F.lit(-1.0)).otherwise(1 - F.col("dot") / F.sqrt(F.col("sq_t") * F.col("sq_n"))))
+    scored = j.select(*part, U, I, "nbr", "lv", d.alias("dist"), zero.alias("zero"))
     if zero_norm == "drop":
         scored = scored.where(~F.col("zero"))
     w = Window.partitionBy(*part, U, I).orderBy(F.col("dist").asc(), F.col("nbr").asc())

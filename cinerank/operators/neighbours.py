@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from cinerank.functions.scalar import clamp, dec
-from cinerank.operators.similarity import similarity
+from cinerank.operators.similarity import DEFAULT_HEAVY_DEGREE, ZERO_NORM_SIM, candidate_stats, similarity
+from cinerank.session import materialize
 
 U, I = "user_id", "item_id"
 DEFAULT_KS = (2, 5, 10, 20)
@@ -71,7 +72,7 @@ def blend(sims: DataFrame, content, p: float, kind: str) -> DataFrame:
     a pair it does not return counts as 0.0."""
     if content is None:
         return sims
-    c = content(sims.select("a", "b").distinct())
+    c = content(sims.select("a", "b").distinct())  # requested pairs only
     c = c.select("a", "b", F.col("csim").cast("double").alias("csim"))
     j = sims.join(c, ["a", "b"], "left")
     mixed = F.lit(p) * F.coalesce("csim", F.lit(0.0)) + F.lit(1.0 - p) * F.col("sim").cast("double")
@@ -81,30 +82,50 @@ def blend(sims: DataFrame, content, p: float, kind: str) -> DataFrame:
 
 def predict(train: DataFrame, test: DataFrame, mode: str = "item", kind: str = "pears",
             ks: Sequence[int] = DEFAULT_KS, part: Sequence[str] = ("fold",),
-            content=None, p: float = DEFAULT_P) -> DataFrame:
+            content=None, p: float = DEFAULT_P, heavy_degree: int = DEFAULT_HEAVY_DEGREE) -> DataFrame:
     """Neighbourhood predictions for every test cell and every k.
 
     train/test: (part, user_id, item_id, score). Returns
-    (part, user_id, item_id, score, k, pred)."""
+    (part, user_id, item_id, score, k, pred).
+
+    The train rows with their means, deviation and similarity value are
+    written once (several branches read them). Each entity's norm and count
+    is attached to train and test rows *before* the candidate join, and the
+    co-rating dots are left-joined straight onto the candidates, so the
+    candidate rows are built once; distinct candidate pairs are only formed
+    when heavy contexts or a content blend need them."""
     part = list(part)
     ks = sorted(set(int(k) for k in ks))
     target, ctx = (I, U) if mode == "item" else (U, I)
+    if kind not in ("cos", "pears", "jac"):
+        return _predict_registered(train, test, mode, kind, ks, part, content, p)
     mu, um, im = baseline_means(train, part)
-
-    # deviation of each train cell from its baseline: depends on the train row only
-    tr = with_baseline(train.select(*part, U, I, "score"), mu, um, im, part, "b_n")
-    tr = tr.select(*part, F.col(ctx), F.col(target).alias("nbr"),
-                   (F.col("score") - F.col("b_n")).alias("dev"))
-    te = test.select(*part, U, I)
-    cand = (te.join(tr, part + [ctx]).where(F.col("nbr") != F.col(target))
-            .withColumn("a", F.least(target, "nbr")).withColumn("b", F.greatest(target, "nbr")))
-
-    values = train.select(*part, U, I, F.col("score").alias("v"))
-    pairs = cand.select(*part, "a", "b").distinct()
-    sims = similarity(values, pairs, kind, target, ctx, part)
-    sims = blend(sims, content, p, kind).select(*part, "a", "b", "sim")
-    scored = cand.join(sims, part + ["a", "b"]).select(*part, U, I, "nbr", "dev", "sim")
-
+    means = (train.select(*part, U, I, "score").join(F.broadcast(mu), part, "left")
+             .join(um, part + [U], "left").join(im, part + [I], "left"))
+    b = (F.coalesce("u_mean", F.lit(0.0)) + F.coalesce("i_mean", F.lit(0.0))) - F.coalesce("mu", F.lit(0.0))
+    centre = {"item": "i_mean", "user": "u_mean"}[mode]
+    v = F.col("score") - F.col(centre) if kind == "pears" else F.col("score")
+    tr_all = materialize(means.select(*part, U, I, (F.col("score") - b).alias("dev"), v.alias("v")), "cf_train")
+
+    j = candidate_stats(test.select(*part, U, I), tr_all, target, ctx, "v", part, keep=["dev"],
+                        heavy_degree=heavy_degree)
+    dot, co = F.coalesce("dot", F.lit(0.0)), F.coalesce("co", F.lit(0))
+    if kind == "jac":
+        union = F.col("n_t") + F.col("n_n") - co
+        sim = dec(F.when(union == 0, F.lit(0.0)).otherwise(co / union))
+        zero = F.lit(False)
+    else:
+        zero = (F.col("sq_t") == 0) | (F.col("sq_n") == 0)
+        sim = F.when(zero, F.lit(ZERO_NORM_SIM).cast("decimal(18,9)")).otherwise(
+            dec(dot / F.sqrt(F.col("sq_t") * F.col("sq_n"))))
+    scored = j.select(*part, U, I, "nbr", "dev", "a", "b", sim.alias("sim"), zero.alias("zero_norm"))
+    if content is not None:
+        scored = blend(scored, content, p, kind)
+    return _rank_and_predict(scored.select(*part, U, I, "nbr", "dev", "sim"), test, mu, um, im,
+                             mode, ks, part)
+
+
+def _rank_and_predict(scored, test, mu, um, im, mode, ks, part):
     w = Window.partitionBy(*part, U, I).orderBy(F.col("sim").desc(), F.col("nbr").asc())
     top = scored.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= ks[-1])
     ks_arr = F.array(*[F.lit(k) for k in ks])
@@ -112,10 +133,24 @@ def predict(train: DataFrame, test: DataFrame, mode: str = "item", kind: str = "
     den = F.sum(F.col("sim")) if mode == "item" else F.sum(F.abs(F.col("sim")))
     agg = (per_k.groupBy(*part, U, I, "k")
            .agg(F.sum(F.col("sim").cast("double") * F.col("dev")).alias("num"), den.alias("den")))
-
     base = with_baseline(test.select(*part, U, I, "score"), mu, um, im, part, "b")
     grid = base.withColumn("k", F.explode(ks_arr))
     out = grid.join(agg, part + [U, I, "k"], "left")
     raw = F.when(F.col("den").isNotNull() & (F.col("den") != 0),
                  F.col("b") + F.col("num") / F.col("den").cast("double")).otherwise(F.col("b"))
     return out.select(*part, U, I, "score", "k", clamp(raw).alias("pred"))
+
+
+def _predict_registered(train, test, mode, kind, ks, part, content, p):
+    """Path for similarities added with ``register_similarity`` (UDF-2)."""
+    target, ctx = (I, U) if mode == "item" else (U, I)
+    mu, um, im = baseline_means(train, part)
+    tr = with_baseline(train.select(*part, U, I, "score"), mu, um, im, part, "b_n")
+    tr = tr.select(*part, F.col(ctx), F.col(target).alias("nbr"), (F.col("score") - F.col("b_n")).alias("dev"))
+    cand = (test.select(*part, U, I).join(tr, part + [ctx]).where(F.col("nbr") != F.col(target))
+            .withColumn("a", F.least(target, "nbr")).withColumn("b", F.greatest(target, "nbr")))
+    values = train.select(*part, U, I, F.col("score").alias("v"))
+    sims = similarity(values, cand.select(*part, "a", "b").distinct(), kind, target, ctx, part)
+    sims = blend(sims, content, p, kind).select(*part, "a", "b", "sim")
+    scored = cand.join(sims, part + ["a", "b"]).select(*part, U, I, "nbr", "dev", "sim")
+    return _rank_and_predict(scored, test, mu, um, im, mode, ks, part)

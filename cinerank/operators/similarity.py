@@ -50,58 +50,102 @@ def canonical_pairs(df: DataFrame, x: str, y: str, part: Sequence[str] = ()) ->
 DEFAULT_HEAVY_DEGREE = 500
 
 
-def pair_stats(values: DataFrame, pairs: DataFrame, entity: str, context: str,
-               value: str = "v", part: Sequence[str] = (),
-               heavy_degree: int = DEFAULT_HEAVY_DEGREE) -> DataFrame:
-    """For each pair (part, a, b): dot, co (common contexts), n_a, n_b, sq_a, sq_b.
-
-    ``values``: (part, entity, context, value), unique per (part, entity, context).
-    ``pairs``: (part, a, b) distinct with a < b.
-
-    dot = light part + heavy part, both exact:
-    * light: self join of light contexts on (part, context), a < b, summed
-      with map-side combine, then kept for the requested pairs only;
-    * heavy: each requested pair is routed to the member with fewer rows,
-      joined to that member's rows in heavy contexts, and probes the other
-      member's value by the unique key (part, other, context).
-    """
+def co_dots(values: DataFrame, entity: str, context: str, value: str = "v",
+            part: Sequence[str] = (), heavy_degree: int = DEFAULT_HEAVY_DEGREE,
+            requests=None) -> DataFrame:
+    """(part, a, b, dot, co) over common contexts, a < b.
+
+    * every pair sharing a light context gets that context's contribution
+      from a self join of the light contexts (bounded per context);
+    * heavy contexts are never paired up: if any exist (checked with one
+      tiny ``limit(1)`` probe of the degree table), ``requests()`` must give
+      the distinct (part, a, b) pairs that need them; each is routed to its
+      member with fewer rows and probes the other by (part, other, context).
+    Pairs with no common context are absent (dot 0, co 0)."""
     part = list(part)
-    st = entity_stats(values, entity, value, part)
-    sa = st.select(*part, F.col(entity).alias("a"), F.col("n").alias("n_a"), F.col("sq").alias("sq_a"))
-    sb = st.select(*part, F.col(entity).alias("b"), F.col("n").alias("n_b"), F.col("sq").alias("sq_b"))
-    p = pairs.join(sa, part + ["a"], "left").join(sb, part + ["b"], "left")
-    p = p.select(*part, "a", "b",
-                 F.coalesce("n_a", F.lit(0)).alias("n_a"), F.coalesce("n_b", F.lit(0)).alias("n_b"),
-                 F.coalesce("sq_a", F.lit(0.0)).alias("sq_a"), F.coalesce("sq_b", F.lit(0.0)).alias("sq_b"))
-
     v = values.select(*part, F.col(entity).alias("_e"), F.col(context).alias("_c"),
                       F.col(value).alias("_v"))
     deg = v.groupBy(*part, "_c").agg(F.count(F.lit(1)).alias("_deg"))
-    vd = v.join(deg, part + ["_c"])
-    light = vd.where(F.col("_deg") <= heavy_degree).drop("_deg")
-    heavy = vd.where(F.col("_deg") > heavy_degree).drop("_deg")
+    has_heavy = len(deg.where(F.col("_deg") > heavy_degree).limit(1).take(1)) > 0
+    if has_heavy:
+        vd = v.join(deg, part + ["_c"])
+        light = vd.where(F.col("_deg") <= heavy_degree).drop("_deg")
+        heavy = vd.where(F.col("_deg") > heavy_degree).drop("_deg")
+    else:
+        light, heavy = v, None
 
     lx = light.select(*part, "_c", F.col("_e").alias("a"), F.col("_v").alias("_va"))
     ly = light.select(*part, "_c", F.col("_e").alias("b"), F.col("_v").alias("_vb"))
-    light_dots = (lx.join(ly, part + ["_c"]).where(F.col("a") < F.col("b"))
-                  .groupBy(*part, "a", "b")
-                  .agg(F.sum(F.col("_va") * F.col("_vb")).alias("dot"), F.count(F.lit(1)).alias("co")))
-
-    a_small = F.col("n_a") <= F.col("n_b")
-    route = p.select(*part, "a", "b",
-                     F.when(a_small, F.col("a")).otherwise(F.col("b")).alias("_x"),
-                     F.when(a_small, F.col("b")).otherwise(F.col("a")).alias("_y"))
+    dots = (lx.join(ly, part + ["_c"]).where(F.col("a") < F.col("b"))
+            .groupBy(*part, "a", "b")
+            .agg(F.sum(F.col("_va") * F.col("_vb")).alias("dot"), F.count(F.lit(1)).alias("co")))
+    if heavy is None:
+        return dots
+    if requests is None:
+        raise ValueError("heavy contexts present: requested pairs are needed")
+    st = v.groupBy(*part, "_e").agg(F.count(F.lit(1)).alias("_n"))
+    pr = (requests().select(*part, "a", "b")
+          .join(st.select(*part, F.col("_e").alias("a"), F.col("_n").alias("_na")), part + ["a"], "left")
+          .join(st.select(*part, F.col("_e").alias("b"), F.col("_n").alias("_nb")), part + ["b"], "left"))
+    a_small = F.coalesce("_na", F.lit(0)) <= F.coalesce("_nb", F.lit(0))
+    route = pr.select(*part, "a", "b",
+                      F.when(a_small, F.col("a")).otherwise(F.col("b")).alias("_x"),
+                      F.when(a_small, F.col("b")).otherwise(F.col("a")).alias("_y"))
     hx = heavy.select(*part, F.col("_e").alias("_x"), "_c", F.col("_v").alias("_vx"))
     hy = heavy.select(*part, F.col("_e").alias("_y"), "_c", F.col("_v").alias("_vy"))
     heavy_dots = (route.join(hx, part + ["_x"]).join(hy, part + ["_y", "_c"])
                   .groupBy(*part, "a", "b")
                   .agg(F.sum(F.col("_vx") * F.col("_vy")).alias("dot"), F.count(F.lit(1)).alias("co")))
-
-    dots = (light_dots.unionByName(heavy_dots).groupBy(*part, "a", "b")
+    return (dots.unionByName(heavy_dots).groupBy(*part, "a", "b")
             .agg(F.sum("dot").alias("dot"), F.sum("co").alias("co")))
-    return (p.join(dots, part + ["a", "b"], "left")
-            .select(*part, "a", "b", F.coalesce("dot", F.lit(0.0)).alias("dot"),
-                    F.coalesce("co", F.lit(0)).alias("co"), "n_a", "n_b", "sq_a", "sq_b"))
+
+
+def pair_stats(values: DataFrame, pairs: DataFrame, entity: str, context: str,
+               value: str = "v", part: Sequence[str] = (),
+               heavy_degree: int = DEFAULT_HEAVY_DEGREE) -> DataFrame:
+    """For each requested pair (part, a, b), a < b: dot, co (common contexts),
+    n_a, n_b, sq_a, sq_b. ``values`` is unique per (part, entity, context)."""
+    part = list(part)
+    st = entity_stats(values, entity, value, part)
+    sa = st.select(*part, F.col(entity).alias("a"), F.col("n").alias("n_a"), F.col("sq").alias("sq_a"))
+    sb = st.select(*part, F.col(entity).alias("b"), F.col("n").alias("n_b"), F.col("sq").alias("sq_b"))
+    dots = co_dots(values, entity, context, value, part, heavy_degree, requests=lambda: pairs)
+    p = (pairs.join(dots, part + ["a", "b"], "left")
+         .join(sa, part + ["a"], "left").join(sb, part + ["b"], "left"))
+    return p.select(*part, "a", "b", F.coalesce("dot", F.lit(0.0)).alias("dot"),
+                    F.coalesce("co", F.lit(0)).alias("co"),
+                    F.coalesce("n_a", F.lit(0)).alias("n_a"), F.coalesce("n_b", F.lit(0)).alias("n_b"),
+                    F.coalesce("sq_a", F.lit(0.0)).alias("sq_a"), F.coalesce("sq_b", F.lit(0.0)).alias("sq_b"))
+
+
+def candidate_stats(test: DataFrame, train: DataFrame, target: str, ctx: str, value: str = "v",
+                    part: Sequence[str] = (), keep=(), heavy_degree: int = DEFAULT_HEAVY_DEGREE) -> DataFrame:
+    """Candidate rows of a neighbourhood job with the pair statistics attached.
+
+    For each test row (part, ctx, target) and each train row of the same
+    (part, ctx) with another ``target`` value ``nbr``: the co-rating dot and
+    count of (target, nbr) and both members' counts and squared norms
+    (n_t, sq_t, n_n, sq_n). ``train`` is (part, user_id, item_id, value, keep...)
+    and should be materialised by the caller (several branches read it).
+
+    Norms/counts are attached to the train and test rows before the
+    candidate join; dots come from ``co_dots`` left-joined on (part, a, b), so
+    the candidate rows are built once (distinct pairs only if heavy contexts
+    exist)."""
+    part = list(part)
+    st = entity_stats(train, target, value, part).select(*part, F.col(target).alias("_k"), "n", "sq")
+    tr = (train.join(st.withColumnRenamed("_k", target), part + [target])
+          .select(*part, ctx, F.col(target).alias("nbr"), *keep, F.col("n").alias("n_n"),
+                  F.col("sq").alias("sq_n")))
+    te = (test.join(st.withColumnRenamed("_k", target), part + [target], "left")
+          .select(*[c for c in test.columns], F.coalesce("n", F.lit(0)).alias("n_t"),
+                  F.coalesce("sq", F.lit(0.0)).alias("sq_t")))
+    cand = (te.join(tr, part + [ctx]).where(F.col("nbr") != F.col(target))
+            .withColumn("a", F.least(target, "nbr")).withColumn("b", F.greatest(target, "nbr")))
+    dots = co_dots(train, target, ctx, value, part, heavy_degree,
+                   requests=lambda: cand.select(*part, "a", "b").distinct())
+    return (cand.join(dots, part + ["a", "b"], "left")
+            .withColumn("dot", F.coalesce("dot", F.lit(0.0))).withColumn("co", F.coalesce("co", F.lit(0))))
 
 
 def cosine_from_stats(stats: DataFrame, part: Sequence[str] = ()) -> DataFrame:

@@ -85,3 +85,13 @@ def staged(spark: SparkSession, key: str, build, partition_by=None):
         w.parquet(path)
         _STAGED[memo] = path
     return spark.read.parquet(path)
+
+
+def materialize(df, name: str = "tmp"):
+    """Write an intermediate that several branches of one plan read (so it is
+    computed once) to a fresh path below the checkpoint folder; returns the
+    DataFrame reading it back (lineage cut, file statistics for AQE)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
