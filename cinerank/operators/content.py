@@ -73,6 +73,37 @@ def user_profiles(ratings: DataFrame, profiles: DataFrame, variant: str = "B",
     return s.join(n, part + [U]).select(*part, U, "idx", (F.col("_s") / F.col("_n")).alias("weight"))
 
 
+def user_profiles_by_fold(folds: DataFrame, profiles: DataFrame, n_folds: int = 5,
+                          variant: str = "B") -> DataFrame:
+    """JOB-10 for every fold's train side at once: (fold, user_id, idx, weight).
+
+    The train side of fold f is "all ratings minus fold f", and profile
+    weights are sums / counts, so each (user, feature) is aggregated once over
+    all ratings with per-fold partial sums, and fold f's weight is
+    (total - part f) / (count - part f). This expands every rating through
+    its item's features once instead of once per fold (sums of half-star
+    scores are exact, so the result equals the direct per-fold average)."""
+    j = folds.select("fold", U, I, "score").join(profiles.select(I, "idx"), I)
+    aggs = [F.sum("score").alias("s"), F.count(F.lit(1)).alias("c")]
+    for f in range(1, n_folds + 1):
+        aggs += [F.sum(F.when(F.col("fold") == f, F.col("score")).otherwise(0.0)).alias(f"s{f}"),
+                 F.sum(F.when(F.col("fold") == f, 1).otherwise(0)).alias(f"c{f}")]
+    t = j.groupBy(U, "idx").agg(*aggs)
+    per_fold = F.explode(F.array(*[F.struct(F.lit(f).alias("fold"), F.col(f"s{f}").alias("sf"),
+                                            F.col(f"c{f}").alias("cf")) for f in range(1, n_folds + 1)]))
+    e = t.select(U, "idx", "s", "c", per_fold.alias("x")).select(
+        F.col("x.fold").alias("fold"), U, "idx", (F.col("s") - F.col("x.sf")).alias("_s"),
+        (F.col("c") - F.col("x.cf")).alias("_c")).where(F.col("_c") > 0)
+    if variant == "B":
+        return e.select("fold", U, "idx", (F.col("_s") / F.col("_c")).alias("weight"))
+    n = folds.groupBy(U).agg(*[(F.count(F.lit(1)) - F.sum(F.when(F.col("fold") == f, 1).otherwise(0)))
+                               .alias(f"n{f}") for f in range(1, n_folds + 1)])
+    nf = n.select(U, F.explode(F.array(*[F.struct(F.lit(f).alias("fold"), F.col(f"n{f}").alias("n"))
+                                          for f in range(1, n_folds + 1)])).alias("x")) \
+        .select(U, F.col("x.fold").alias("fold"), F.col("x.n").alias("_n"))
+    return e.join(nf, ["fold", U]).select("fold", U, "idx", (F.col("_s") / F.col("_n")).alias("weight"))
+
+
 def content_scores(test: DataFrame, uprof: DataFrame, iprof: DataFrame,
                    part: Sequence[str] = ()) -> DataFrame:
     """JOB-11 / JOI-13 / PRJ-3: cosine(user profile, item profile) and 4*cos+1.

@@ -119,8 +119,13 @@ def job10_user_profiles_b(spark, sf_dir):
 
 def _cb_scores(spark, sf_dir, only=None):
     _, iprof, _ = content_tables(spark, sf_dir)
-    train, test = nb.fold_sides(views.folds(spark, sf_dir), only=only)
-    up = cb.user_profiles(train, iprof, "B", part=["fold"])
+    folds = views.folds(spark, sf_dir)
+    if only is not None:
+        train, test = nb.fold_sides(folds, only=only)
+        up = cb.user_profiles(train, iprof, "B", part=["fold"])
+    else:
+        test = folds.select("fold", "user_id", "item_id", "score")
+        up = cb.user_profiles_by_fold(folds, iprof, 5, "B")
     return cb.content_scores(test, up, iprof, part=["fold"])
 
 
