@@ -141,3 +141,76 @@ def svd_predict(cells: DataFrame, us: DataFrame, v: DataFrame, offset: DataFrame
         out = out.join(offset, I, "left").withColumn("_r", F.col("_r") + F.coalesce("off", F.lit(0.0)))
         out = out.drop("off")
     return out.withColumn("pred", clamp("_r") if bound else F.col("_r")).drop("_r")
+
+
+# --- stratified block SGD (Gemulla et al., KDD 2011) --------------------------
+
+def _init_factors(ids: DataFrame, key: str, k: int, seed: int, salt: int) -> DataFrame:
+    """Deterministic 3 * U(0, 1) start vectors (the reference's initial scale)."""
+    vec = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda j: F.pmod(
+        F.xxhash64(F.lit(seed), F.lit(salt), F.col(key), j), F.lit(1_000_000)) / F.lit(1_000_000.0) * F.lit(3.0))
+    return ids.select(F.col(key).alias("id"), vec.alias("vec"))
+
+
+def _sgd_block(ratings, factors, gamma, lam):
+    """Sequential SGD over one block (one task): e = r - p.q;
+    p += g (e q - l p); q += g (e p_new - l q). Only this block's rows and the
+    factor rows of its user and item block are in memory."""
+    import pandas as pd
+
+    p = {int(r.id): np.array(r.vec, dtype=float) for r in factors.itertuples() if r.kind == "p"}
+    q = {int(r.id): np.array(r.vec, dtype=float) for r in factors.itertuples() if r.kind == "q"}
+    for u, i, s in zip(ratings["user_id"].to_numpy(), ratings["item_id"].to_numpy(), ratings["score"].to_numpy()):
+        pu, qi = p[int(u)], q[int(i)]
+        e = s - pu.dot(qi)
+        pu += gamma * (e * qi - lam * pu)
+        qi += gamma * (e * pu - lam * qi)
+    rows = [("p", k_, v.tolist()) for k_, v in p.items()] + [("q", k_, v.tolist()) for k_, v in q.items()]
+    key = int(factors["key"].iloc[0]) if len(factors) else (int(ratings["key"].iloc[0]) if len(ratings) else 0)
+    return pd.DataFrame({"key": [key] * len(rows), "kind": [r[0] for r in rows], "id": [r[1] for r in rows],
+                         "vec": [r[2] for r in rows]})
+
+
+def sgd_factors(train: DataFrame, rank: int = SGD_RANK, lam: float = SGD_LAMBDA, gamma: float = SGD_GAMMA,
+                epochs: int = SGD_EPOCHS, blocks: int = 8, seed: int = 42, on_epoch=None):
+    """JOB-14 SGD mode: distributed stratified SGD.
+
+    Users and items are hashed into ``blocks`` blocks each. A sub-epoch
+    processes the ``blocks`` blocks (b, (b + s) mod blocks) in parallel - they
+    share no user and no item, so their updates are independent - with
+    ``cogroup().applyInPandas``; an epoch is ``blocks`` sub-epochs. Factors are
+    checkpointed after each epoch (lineage stays flat). ``on_epoch(epoch, P, Q)``
+    may compute the learning curve. Returns (P, Q) as (user_id, p) / (item_id, q)."""
+    spark = train.sparkSession
+    bk = F.lit(blocks)
+    r = train.select(U, I, "score",
+                     F.pmod(F.xxhash64(F.lit(seed), F.col(U)), bk).cast("int").alias("ub"),
+                     F.pmod(F.xxhash64(F.lit(seed + 1), F.col(I)), bk).cast("int").alias("ib"))
+    # a fixed update order inside each block (reproducible)
+    r = r.withColumn("_o", F.xxhash64(F.lit(seed + 2), U, I)).checkpoint(eager=True)
+    p = _init_factors(r.select(U).distinct(), U, rank, seed, 1).withColumn(
+        "b", F.pmod(F.xxhash64(F.lit(seed), F.col("id")), bk).cast("int"))
+    q = _init_factors(r.select(I).distinct(), I, rank, seed, 2).withColumn(
+        "b", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("id")), bk).cast("int"))
+    schema = "key int, kind string, id bigint, vec array<double>"
+    for epoch in range(1, epochs + 1):
+        for s in range(blocks):
+            rs = (r.where(F.col("ib") == F.pmod(F.col("ub") + s, bk))
+                  .select(F.col("ub").alias("key"), U, I, "score", "_o"))
+            fs = (p.select(F.col("b").alias("key"), F.lit("p").alias("kind"), "id", "vec")
+                  .unionByName(q.select(F.pmod(F.col("b") - s, bk).cast("int").alias("key"),
+                                        F.lit("q").alias("kind"), "id", "vec")))
+
+            def run(rp, fp):
+                return _sgd_block(rp.sort_values("_o"), fp, gamma, lam)
+            out = rs.groupBy("key").cogroup(fs.groupBy("key")).applyInPandas(run, schema)
+            p = out.where(F.col("kind") == "p").select("id", "vec").withColumn(
+                "b", F.pmod(F.xxhash64(F.lit(seed), F.col("id")), bk).cast("int"))
+            q = out.where(F.col("kind") == "q").select("id", "vec").withColumn(
+                "b", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("id")), bk).cast("int"))
+            p, q = p.checkpoint(eager=True), q.checkpoint(eager=True)
+        if on_epoch is not None:
+            on_epoch(epoch, p.select(F.col("id").alias(U), F.col("vec").alias("p")),
+                     q.select(F.col("id").alias(I), F.col("vec").alias("q")))
+    return (p.select(F.col("id").alias(U), F.col("vec").alias("p")),
+            q.select(F.col("id").alias(I), F.col("vec").alias("q")))

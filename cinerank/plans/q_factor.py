@@ -74,3 +74,35 @@ def job18_svd_fold1(spark, sf_dir):
     us, v, _ = fa.truncated_svd(centred, k=5, iters=3)
     scored = fa.svd_predict(test, us, v, offset=off)
     return rounded(error_metrics(scored.withColumn("g", F.lit(1)), ("g",)).drop("g"), METRICS)
+
+
+# SGD mode runs a Spark job per sub-epoch; the registered queries use a few
+# epochs so the check stays short (the library default is the reference's 100).
+SGD_QUERY_EPOCHS, SGD_QUERY_BLOCKS = 5, 4
+
+
+@query("job15_sgd_learning_curve")
+def job15_sgd_learning_curve(spark, sf_dir):
+    """JOB-14 SGD mode / JOB-15: stratified block SGD (k=20, lambda=0.1, gamma=0.01);
+    train and test rmse / mae / sqrt_mae after every epoch (unclamped, JOB-16)."""
+    train, test = _fold1(spark, sf_dir)
+    rows = []
+
+    def curve(epoch, p, q):
+        for name, cells in (("train", train), ("test", test)):
+            s = fa.score_cells(cells, p, q, bound=False).withColumn("g", F.lit(1))
+            m = error_metrics(s, ("g",)).first()
+            rows.append((epoch, name, m.rmse, m.mae, m.sqrt_mae, m.n))
+    fa.sgd_factors(train, epochs=SGD_QUERY_EPOCHS, blocks=SGD_QUERY_BLOCKS, on_epoch=curve)
+    df = spark.createDataFrame(rows, "epoch int, split string, rmse double, mae double, sqrt_mae double, n bigint")
+    return rounded(df, METRICS)
+
+
+@query("job17_sgd_fold1")
+def job17_sgd_fold1(spark, sf_dir):
+    """JOB-14 SGD mode / JOB-17: block-SGD factors, clamped test metrics on fold 1."""
+    train, test = _fold1(spark, sf_dir)
+    p, q = fa.sgd_factors(train, epochs=SGD_QUERY_EPOCHS, blocks=SGD_QUERY_BLOCKS)
+    mu = train.agg(F.avg("score").alias("mu"))
+    s = fa.score_cells(test, p, q, mu).withColumn("g", F.lit(1))
+    return rounded(error_metrics(s, ("g",)).drop("g"), METRICS)

@@ -26,3 +26,17 @@ def test_als_train_error_falls_and_beats_mean(spark):
         s = fa.score_cells(r, uf, itf, bound=False).withColumn("g", F.lit(1))
         rm.append(error_metrics(s, ("g",)).first().rmse)
     assert rm[1] < rm[0] and rm[1] < base
+
+
+def test_block_sgd_train_error_falls(spark):
+    from cinerank.sources import views
+    r = views.ratings(spark, "/root/testdata/sf0.001").select("user_id", "item_id", "score")
+    curve = []
+
+    def on_epoch(e, p, q):
+        s = fa.score_cells(r, p, q, bound=False).withColumn("g", F.lit(1))
+        curve.append(error_metrics(s, ("g",)).first().rmse)
+    p, q = fa.sgd_factors(r, epochs=3, blocks=3, on_epoch=on_epoch)
+    assert curve[2] < curve[0]
+    assert p.count() == r.select("user_id").distinct().count()
+    assert q.count() == r.select("item_id").distinct().count()
