@@ -125,13 +125,15 @@ def cf_sql(mode: str, kind: str, only: int | None = None, ks=nb.DEFAULT_KS,
 
 @query("job2_item_item_pears_fold1", cf_sql("item", "pears", only=1))
 def job2_item_item_pears_fold1(spark, sf_dir):
-    """JOB-2 fold 1: item-item, item-centred cosine, k in {2,5,10,20}."""
+    """JOB-2 fold 1: item-item, item-centred cosine, k in {2,5,10,20} (JOI-11 neighbour rows,
+    WIN-2 one ranking for every k, AGG-15 / SCL-2 rmse, mae, sqrt(mae))."""
     return cf_metrics(spark, sf_dir, "item", "pears", only=1)
 
 
 @query("job2_item_item_cos", cf_sql("item", "cos"))
 def job2_item_item_cos(spark, sf_dir):
-    """SIM-1 / JOB-2: raw cosine, all five folds in one job."""
+    """SIM-1 / JOB-2 / UDF-2: raw cosine picked by name from the similarity registry,
+    all five folds in one job (AGG-15, WIN-2)."""
     return cf_metrics(spark, sf_dir, "item", "cos")
 
 

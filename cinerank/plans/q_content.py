@@ -225,7 +225,8 @@ def _hybrid_sql(mode, kind, content_ctes_):
 
 @query("job5_item_item_hybrid_cos", _hybrid_sql("item", "cos", [_ICOS]))
 def job5_item_item_hybrid_cos(spark, sf_dir):
-    """JOB-5 / SIM-8 / SIM-11: item-item cosine blended with item-profile cosine (p = 0.5)."""
+    """JOB-5 / SIM-8 / SIM-11 / JOI-10: item-item cosine blended with item-profile cosine
+    (profile Gram entries for the candidate pairs only, p = 0.5)."""
     return cf_metrics(spark, sf_dir, "item", "cos", content=_item_profile_sim("cos"))
 
 
@@ -237,5 +238,5 @@ def job5_item_item_hybrid_jac(spark, sf_dir):
 
 @query("job7_user_user_hybrid", _hybrid_sql("user", "pears", _UPROF_A + [_UCOS]))
 def job7_user_user_hybrid(spark, sf_dir):
-    """JOB-7: user-user centred cosine blended with user-profile cosine (variant A, D4: the Gram)."""
+    """JOB-7 / JOI-10: user-user centred cosine blended with user-profile cosine (variant A, D4: the Gram)."""
     return cf_metrics(spark, sf_dir, "user", "pears", content=_user_profile_sim)

@@ -34,7 +34,7 @@ def _ratings_text(spark, sf_dir, sep):
 
 @query("src1_ratings_tsv", with_views("ratings") + f"select user_id, item_id, score, {_EPOCH} as ts from ratings")
 def src1_ratings_tsv(spark, sf_dir):
-    """SRC-1 / SNK-9: tab-separated headerless ratings, explicit schema."""
+    """SRC-1 / SNK-9 / SCL-1: tab-separated headerless ratings, split and cast by an explicit schema."""
     return io.read_ratings(spark, _ratings_text(spark, sf_dir, "\t"), "\t")
 
 
@@ -89,7 +89,8 @@ def src5_metadata_tsv(spark, sf_dir):
 @query("src6_folksonomy_ragged", q_prep._folk_sql() + "select item_id, tag from surviving "
        "where item_id in (select item_id from kept)")
 def src6_folksonomy_ragged(spark, sf_dir):
-    """SRC-6 / SNK-6: ragged 'item<TAB>tag...' rows written in bounded chunks, read to long form."""
+    """SRC-6 / SNK-6 / SCL-9: ragged 'item<TAB>tag...' rows (concat_ws / array_join) written in
+    bounded chunks, read back to long form."""
     f = q_prep.build_folksonomy(spark, sf_dir)
     path = scratch_path(spark, "folksonomy")
     io.write_ragged(f.item_tags.select("item_id", "user_id", "tag"), path, chunk=8)
@@ -236,3 +237,13 @@ def snk12_factor_model(spark, sf_dir):
     path = scratch_path(spark, "als_model")
     model.write().overwrite().save(path)
     return ALSModel.load(path).itemFactors.select(F.col("id").alias("item_id"), "features")
+
+
+@query("flt1_reader_skips_bad_lines", with_views("ratings")
+       + f"select user_id, item_id, score, {_EPOCH} as ts from ratings")
+def flt1_reader_skips_bad_lines(spark, sf_dir):
+    """FLT-1 / SCL-1: the ratings folder also holds every English document's text as
+    lines; the PERMISSIVE reader turns them into null keys, which are dropped."""
+    path = _ratings_text(spark, sf_dir, "\t")
+    views.documents_en(spark, sf_dir).select("text").write.mode("append").text(path)
+    return io.read_ratings(spark, path, "\t")
