@@ -52,12 +52,11 @@ def score_cells(cells: DataFrame, user_factors: DataFrame, item_factors: DataFra
     j = cells.join(user_factors, U, "left").join(item_factors, I, "left")
     raw = F.when(F.col("p").isNotNull() & F.col("q").isNotNull(), dot("p", "q"))
     if isinstance(fallback, DataFrame):
-        j = j.crossJoin(F.broadcast(fallback.select(F.col("mu").alias("_fb"))))  # one row
-        raw = F.coalesce(raw, F.col("_fb"))
-    elif fallback is not None:
+        fallback = fallback.first()["mu"]  # one number to the driver
+    if fallback is not None:
         raw = F.coalesce(raw, F.lit(float(fallback)))
     pred = clamp(raw) if bound else raw
-    return j.withColumn("pred", pred).drop("p", "q", "_fb")
+    return j.withColumn("pred", pred).drop("p", "q")
 
 
 # --- truncated SVD by subspace iteration --------------------------------------

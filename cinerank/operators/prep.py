@@ -34,6 +34,14 @@ class Folksonomy:
     report: DataFrame         # (total, kept, filtered)
 
 
+def _report(total: DataFrame, kept: DataFrame) -> DataFrame:
+    """AGG-24: (total, kept, filtered) as one aggregate over a flagged union."""
+    flags = (total.select(F.lit(1).alias("_t"), F.lit(0).alias("_k"))
+             .unionByName(kept.select(F.lit(0).alias("_t"), F.lit(1).alias("_k"))))
+    return (flags.agg(F.sum("_t").cast("bigint").alias("total"), F.sum("_k").cast("bigint").alias("kept"))
+            .select("total", "kept", (F.col("total") - F.col("kept")).alias("filtered")))
+
+
 def tag_union(small: DataFrame, big: DataFrame) -> DataFrame:
     """SET-1: union of two tag sources with set semantics."""
     return small.select(U, I, "tag").unionByName(big.select(U, I, "tag")).distinct()
@@ -58,10 +66,7 @@ def folksonomy(small: DataFrame, big: DataFrame, catalogue: DataFrame, dataset_u
     kept_items = (surviving.groupBy(I).agg(F.count(F.lit(1)).alias("n_pairs"))
                   .where(F.col("n_pairs") >= item_threshold))
     item_tags = surviving.join(kept_items.select(I), I, "left_semi").select(I, U, "tag")
-    cat_n = catalogue.select(I).distinct().agg(F.count(F.lit(1)).alias("total"))
-    kept_n = kept_items.agg(F.count(F.lit(1)).alias("kept"))
-    report = (cat_n.crossJoin(kept_n)  # two single-row aggregates
-              .select("total", "kept", (F.col("total") - F.col("kept")).alias("filtered")))
+    report = _report(catalogue.select(I).distinct(), kept_items)
     return Folksonomy(item_tags, active, tag_counts, report)
 
 
@@ -72,10 +77,7 @@ def dataset_filter(ratings: DataFrame, active_users: DataFrame, tagged_items: Da
     statistics put it under the broadcast threshold."""
     kept = (ratings.join(active_users.select(U).distinct(), U, "left_semi")
             .join(tagged_items.select(I).distinct(), I, "left_semi"))
-    report = (ratings.agg(F.count(F.lit(1)).alias("total"))
-              .crossJoin(kept.agg(F.count(F.lit(1)).alias("kept")))  # single-row aggregates
-              .select("total", "kept", (F.col("total") - F.col("kept")).alias("filtered")))
-    return kept, report
+    return kept, _report(ratings, kept)
 
 
 def min_support(ratings: DataFrame, min_user: int = 1, min_item: int = 1) -> DataFrame:

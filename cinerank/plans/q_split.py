@@ -46,9 +46,11 @@ def agg24_user_sample_counts(spark, sf_dir):
     """JOB-24 / AGG-24: distinct users and rows before and after a 30% user sample."""
     r = views.ratings(spark, sf_dir)
     s = sp.user_sample(r, 0.3)
-    before = r.agg(F.countDistinct("user_id").alias("users_before"), F.count(F.lit(1)).alias("rows_before"))
-    after = s.agg(F.countDistinct("user_id").alias("users_after"), F.count(F.lit(1)).alias("rows_after"))
-    return before.crossJoin(after)  # two one-row aggregates
+    both = (r.select("user_id", F.lit(True).alias("_b")).unionByName(s.select("user_id", F.lit(False).alias("_b"))))
+    return both.agg(F.countDistinct(F.when(F.col("_b"), F.col("user_id"))).alias("users_before"),
+                    F.sum(F.when(F.col("_b"), 1).otherwise(0)).cast("bigint").alias("rows_before"),
+                    F.countDistinct(F.when(~F.col("_b"), F.col("user_id"))).alias("users_after"),
+                    F.sum(F.when(F.col("_b"), 0).otherwise(1)).cast("bigint").alias("rows_after"))
 
 
 _POS = ("pos", "select *, row_number() over (partition by user_id order by ts, item_id) as pos from ratings")
