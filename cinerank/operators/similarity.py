@@ -52,7 +52,7 @@ DEFAULT_HEAVY_DEGREE = 500
 
 def co_dots(values: DataFrame, entity: str, context: str, value: str = "v",
             part: Sequence[str] = (), heavy_degree: int = DEFAULT_HEAVY_DEGREE,
-            requests=None) -> DataFrame:
+            requests=None, adaptive: bool = False) -> DataFrame:
     """(part, a, b, dot, co) over common contexts, a < b.
 
     * every pair sharing a light context gets that context's contribution
@@ -61,11 +61,26 @@ def co_dots(values: DataFrame, entity: str, context: str, value: str = "v",
       tiny ``limit(1)`` probe of the degree table), ``requests()`` must give
       the distinct (part, a, b) pairs that need them; each is routed to its
       member with fewer rows and probes the other by (part, other, context).
-    Pairs with no common context are absent (dot 0, co 0)."""
+    Pairs with no common context are absent (dot 0, co 0).
+
+    ``adaptive`` (for an explicit, typically small, set of requested pairs):
+    compare the light self-join size sum(deg * (deg - 1) / 2) with the probe
+    cost sum(min(n_a, n_b)) over the requested pairs (two small aggregates)
+    and probe every context when that is cheaper."""
     part = list(part)
     v = values.select(*part, F.col(entity).alias("_e"), F.col(context).alias("_c"),
                       F.col(value).alias("_v"))
     deg = v.groupBy(*part, "_c").agg(F.count(F.lit(1)).alias("_deg"))
+    if adaptive and requests is not None:
+        light_rows = deg.where(F.col("_deg") <= heavy_degree).agg(
+            F.sum(F.col("_deg") * (F.col("_deg") - 1) / 2)).first()[0] or 0
+        n = v.groupBy(*part, "_e").agg(F.count(F.lit(1)).alias("_n"))
+        probe_rows = (requests().select(*part, "a", "b")
+                      .join(n.select(*part, F.col("_e").alias("a"), F.col("_n").alias("_na")), part + ["a"])
+                      .join(n.select(*part, F.col("_e").alias("b"), F.col("_n").alias("_nb")), part + ["b"])
+                      .agg(F.sum(F.least("_na", "_nb"))).first()[0] or 0)
+        if probe_rows < light_rows:
+            heavy_degree = 0
     has_heavy = len(deg.where(F.col("_deg") > heavy_degree).limit(1).take(1)) > 0
     if has_heavy:
         vd = v.join(deg, part + ["_c"])
@@ -109,7 +124,7 @@ def pair_stats(values: DataFrame, pairs: DataFrame, entity: str, context: str,
     st = entity_stats(values, entity, value, part)
     sa = st.select(*part, F.col(entity).alias("a"), F.col("n").alias("n_a"), F.col("sq").alias("sq_a"))
     sb = st.select(*part, F.col(entity).alias("b"), F.col("n").alias("n_b"), F.col("sq").alias("sq_b"))
-    dots = co_dots(values, entity, context, value, part, heavy_degree, requests=lambda: pairs)
+    dots = co_dots(values, entity, context, value, part, heavy_degree, requests=lambda: pairs, adaptive=True)
     p = (pairs.join(dots, part + ["a", "b"], "left")
          .join(sa, part + ["a"], "left").join(sb, part + ["b"], "left"))
     return p.select(*part, "a", "b", F.coalesce("dot", F.lit(0.0)).alias("dot"),
