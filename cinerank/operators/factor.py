@@ -170,17 +170,28 @@ def _sgd_block(ratings, factors, gamma, lam):
                          "vec": [r[2] for r in rows]})
 
 
+# Target ratings per SGD block (one task holds one block at a time).
+SGD_ROWS_PER_BLOCK = 2_000_000
+
+
+def sgd_blocks(n_ratings: int, rows_per_block: int = SGD_ROWS_PER_BLOCK) -> int:
+    """Grid size B so that a block holds about N / B^2 <= rows_per_block ratings."""
+    return max(2, int(np.ceil(np.sqrt(n_ratings / rows_per_block))))
+
+
 def sgd_factors(train: DataFrame, rank: int = SGD_RANK, lam: float = SGD_LAMBDA, gamma: float = SGD_GAMMA,
-                epochs: int = SGD_EPOCHS, blocks: int = 8, seed: int = 42, on_epoch=None):
+                epochs: int = SGD_EPOCHS, blocks: int | None = None, seed: int = 42, on_epoch=None):
     """JOB-14 SGD mode: distributed stratified SGD.
 
-    Users and items are hashed into ``blocks`` blocks each. A sub-epoch
+    Users and items are hashed into ``blocks`` blocks each (default: sized so
+    a block holds about ``SGD_ROWS_PER_BLOCK`` ratings). A sub-epoch
     processes the ``blocks`` blocks (b, (b + s) mod blocks) in parallel - they
     share no user and no item, so their updates are independent - with
     ``cogroup().applyInPandas``; an epoch is ``blocks`` sub-epochs. Factors are
     checkpointed after each epoch (lineage stays flat). ``on_epoch(epoch, P, Q)``
     may compute the learning curve. Returns (P, Q) as (user_id, p) / (item_id, q)."""
-    spark = train.sparkSession
+    if blocks is None:
+        blocks = sgd_blocks(train.count())
     bk = F.lit(blocks)
     r = train.select(U, I, "score",
                      F.pmod(F.xxhash64(F.lit(seed), F.col(U)), bk).cast("int").alias("ub"),
