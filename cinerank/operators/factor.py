@@ -24,23 +24,46 @@ U, I = "user_id", "item_id"
 SGD_RANK, SGD_LAMBDA, SGD_GAMMA, SGD_EPOCHS = 20, 0.1, 0.01, 100
 
 
+_INT_MAX = 2 ** 31 - 1
+
+
+def _dense_ids(train: DataFrame, col: str) -> DataFrame:
+    """(col, dense int id) from the distributed global rank of the distinct ids."""
+    from cinerank.operators.ranking import global_rank
+    return global_rank(train.select(col).distinct(), [col], "_id", start=0).select(
+        col, F.col("_id").cast("int").alias("_id"))
+
+
 def als_model(train: DataFrame, rank: int = SGD_RANK, reg: float = SGD_LAMBDA, max_iter: int = 10,
               seed: int = 42):
-    """JOB-14 default: fit ALS on (user_id, item_id, score). Ids must fit an int."""
+    """JOB-14 default: fit ALS on (user_id, item_id, score).
+
+    ALS needs int ids: when an id exceeds the int range, users and items are
+    renumbered densely (global rank) and ``als_factors`` maps them back."""
     from pyspark.ml.recommendation import ALS
     als = ALS(rank=rank, regParam=reg, maxIter=max_iter, seed=seed, userCol="u", itemCol="i",
               ratingCol="score", coldStartStrategy="nan", nonnegative=False, checkpointInterval=5)
+    hi = train.agg(F.max(U), F.max(I), F.min(U), F.min(I)).first()
+    if max(hi[0], hi[1]) > _INT_MAX or min(hi[2], hi[3]) < 0:
+        um, im = _dense_ids(train, U), _dense_ids(train, I)
+        data = (train.join(um, U).withColumnRenamed("_id", "u").join(im, I).withColumnRenamed("_id", "i")
+                .select("u", "i", "score"))
+        model = als.fit(data)
+        model._cinerank_maps = (um, im)
+        return model
     data = train.select(F.col(U).cast("int").alias("u"), F.col(I).cast("int").alias("i"), "score")
     return als.fit(data)
 
 
 def als_factors(model):
     """SNK-12 content: factor tables (id, features array<double>)."""
-    uf = model.userFactors.select(F.col("id").cast("bigint").alias(U),
-                                  F.col("features").cast("array<double>").alias("p"))
-    itf = model.itemFactors.select(F.col("id").cast("bigint").alias(I),
-                                   F.col("features").cast("array<double>").alias("q"))
-    return uf, itf
+    uf = model.userFactors.select(F.col("id").alias("_id"), F.col("features").cast("array<double>").alias("p"))
+    itf = model.itemFactors.select(F.col("id").alias("_id"), F.col("features").cast("array<double>").alias("q"))
+    maps = getattr(model, "_cinerank_maps", None)
+    if maps is not None:
+        return uf.join(maps[0], "_id").select(U, "p"), itf.join(maps[1], "_id").select(I, "q")
+    return (uf.select(F.col("_id").cast("bigint").alias(U), "p"),
+            itf.select(F.col("_id").cast("bigint").alias(I), "q"))
 
 
 def score_cells(cells: DataFrame, user_factors: DataFrame, item_factors: DataFrame,

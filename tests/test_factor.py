@@ -40,3 +40,12 @@ def test_block_sgd_train_error_falls(spark):
     assert curve[2] < curve[0]
     assert p.count() == r.select("user_id").distinct().count()
     assert q.count() == r.select("item_id").distinct().count()
+
+
+def test_als_renumbers_ids_beyond_int_range(spark):
+    from cinerank.sources import views
+    r = views.ratings(spark, "/root/testdata/sf0.001").select("user_id", "item_id", "score")
+    big = r.select((F.col("user_id") + F.lit(10 ** 12)).alias("user_id"), "item_id", "score")
+    uf, itf = fa.als_factors(fa.als_model(big, max_iter=2))
+    assert uf.agg(F.min("user_id")).first()[0] >= 10 ** 12
+    assert uf.count() == r.select("user_id").distinct().count()
