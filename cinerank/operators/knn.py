@@ -30,17 +30,25 @@ def signed_similarity(stats: DataFrame, part: Sequence[str] = ()) -> DataFrame:
     return stats.select(*part, "a", "b", dec(sim).alias("sim"))
 
 
-def like_dislike_scores(train: DataFrame, test: DataFrame, part: Sequence[str] = ("fold",)) -> DataFrame:
+def like_dislike_scores(train: DataFrame, test: DataFrame, part: Sequence[str] = ("fold",),
+                        as_written: bool = False) -> DataFrame:
     """JOB-8: score of test cell (u, i) = mean over raters v != u of i of
     label(v, i) * sim(u, v); 0.0 when nobody else rated i.
 
+    ``as_written`` (SURVEY D14): the reference's bracket, LL + DD - LD + DL, i.e.
+    dot + 2 DL with DL = |D_u and L_v| = (co - S_u + S_v - dot) / 4 from the label
+    sums over common items. For the reference's leaky matrix (D13) pass the
+    full ratings as ``train``.
     train/test: (part, user_id, item_id, label). Returns (part, u, i, label, pred)."""
     part = list(part)
     tr = materialize(train.select(*part, U, I, F.col("label").cast("double").alias("v"),
                                   F.col("label").alias("lv")), "ld_train")
     j = candidate_stats(test.select(*part, U, I), tr, U, I, "v", part, keep=["lv"])
     union = F.col("n_t") + F.col("n_n") - F.col("co")
-    sim = dec(F.when(union == 0, F.lit(0.0)).otherwise(F.col("dot") / union))
+    num = F.col("dot")
+    if as_written:
+        num = num + 2 * (F.col("co") - F.col("s_t") + F.col("s_n") - F.col("dot")) / 4
+    sim = dec(F.when(union == 0, F.lit(0.0)).otherwise(num / union))
     agg = (j.withColumn("sim", sim).groupBy(*part, U, I)
            .agg(F.avg(F.col("lv") * F.col("sim")).alias("pred")))
     return (test.select(*part, U, I, "label").join(agg, part + [U, I], "left")

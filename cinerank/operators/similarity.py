@@ -93,7 +93,8 @@ def co_dots(values: DataFrame, entity: str, context: str, value: str = "v",
     ly = light.select(*part, "_c", F.col("_e").alias("b"), F.col("_v").alias("_vb"))
     dots = (lx.join(ly, part + ["_c"]).where(F.col("a") < F.col("b"))
             .groupBy(*part, "a", "b")
-            .agg(F.sum(F.col("_va") * F.col("_vb")).alias("dot"), F.count(F.lit(1)).alias("co")))
+            .agg(F.sum(F.col("_va") * F.col("_vb")).alias("dot"), F.count(F.lit(1)).alias("co"),
+                 F.sum("_va").alias("sum_a"), F.sum("_vb").alias("sum_b")))
     if heavy is None:
         return dots
     if requests is None:
@@ -108,11 +109,15 @@ def co_dots(values: DataFrame, entity: str, context: str, value: str = "v",
                       F.when(a_small, F.col("b")).otherwise(F.col("a")).alias("_y"))
     hx = heavy.select(*part, F.col("_e").alias("_x"), "_c", F.col("_v").alias("_vx"))
     hy = heavy.select(*part, F.col("_e").alias("_y"), "_c", F.col("_v").alias("_vy"))
+    a_is_x = F.col("_x") == F.col("a")
     heavy_dots = (route.join(hx, part + ["_x"]).join(hy, part + ["_y", "_c"])
                   .groupBy(*part, "a", "b")
-                  .agg(F.sum(F.col("_vx") * F.col("_vy")).alias("dot"), F.count(F.lit(1)).alias("co")))
+                  .agg(F.sum(F.col("_vx") * F.col("_vy")).alias("dot"), F.count(F.lit(1)).alias("co"),
+                       F.sum(F.when(a_is_x, F.col("_vx")).otherwise(F.col("_vy"))).alias("sum_a"),
+                       F.sum(F.when(a_is_x, F.col("_vy")).otherwise(F.col("_vx"))).alias("sum_b")))
     return (dots.unionByName(heavy_dots).groupBy(*part, "a", "b")
-            .agg(F.sum("dot").alias("dot"), F.sum("co").alias("co")))
+            .agg(F.sum("dot").alias("dot"), F.sum("co").alias("co"),
+                 F.sum("sum_a").alias("sum_a"), F.sum("sum_b").alias("sum_b")))
 
 
 def pair_stats(values: DataFrame, pairs: DataFrame, entity: str, context: str,
@@ -140,7 +145,8 @@ def candidate_stats(test: DataFrame, train: DataFrame, target: str, ctx: str, va
     For each test row (part, ctx, target) and each train row of the same
     (part, ctx) with another ``target`` value ``nbr``: the co-rating dot and
     count of (target, nbr) and both members' counts and squared norms
-    (n_t, sq_t, n_n, sq_n). ``train`` is (part, user_id, item_id, value, keep...)
+    (n_t, sq_t, n_n, sq_n), and the value sums over the common contexts of the
+    target (s_t) and of the neighbour (s_n). ``train`` is (part, user_id, item_id, value, keep...)
     and should be materialised by the caller (several branches read it).
 
     Norms/counts are attached to the train and test rows before the
@@ -159,8 +165,12 @@ def candidate_stats(test: DataFrame, train: DataFrame, target: str, ctx: str, va
             .withColumn("a", F.least(target, "nbr")).withColumn("b", F.greatest(target, "nbr")))
     dots = co_dots(train, target, ctx, value, part, heavy_degree,
                    requests=lambda: cand.select(*part, "a", "b").distinct())
+    t_is_a = F.col(target) == F.col("a")
     return (cand.join(dots, part + ["a", "b"], "left")
-            .withColumn("dot", F.coalesce("dot", F.lit(0.0))).withColumn("co", F.coalesce("co", F.lit(0))))
+            .withColumn("dot", F.coalesce("dot", F.lit(0.0))).withColumn("co", F.coalesce("co", F.lit(0)))
+            .withColumn("s_t", F.coalesce(F.when(t_is_a, F.col("sum_a")).otherwise(F.col("sum_b")), F.lit(0.0)))
+            .withColumn("s_n", F.coalesce(F.when(t_is_a, F.col("sum_b")).otherwise(F.col("sum_a")), F.lit(0.0)))
+            .drop("sum_a", "sum_b"))
 
 
 def cosine_from_stats(stats: DataFrame, part: Sequence[str] = ()) -> DataFrame:

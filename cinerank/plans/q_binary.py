@@ -165,3 +165,44 @@ def job13_knn_euclidean(spark, sf_dir):
     prf = precision_recall_f1(confusion(_knn_preds(spark, sf_dir, "euc"), ("fold",)))
     m = fold_mean(prf, (), ("precision", "recall", "f1"))
     return rounded(m, ["precision", "recall", "f1"])
+
+
+def _ld_variant_sql(leaky: bool, as_written: bool) -> str:
+    ctes = list(_LD_CTES)
+    if leaky:
+        ctes[1] = ("train", "select user_id, item_id, label from binfolds")
+    if as_written:
+        ctes[4] = ("dots", "select x.user_id as a, y.user_id as b, sum(cast(x.label as double) * y.label) as dot, "
+                           "count(*) as co, sum(case when x.label = -1 and y.label = 1 then 1 else 0 end) as dl_ab, "
+                           "sum(case when y.label = -1 and x.label = 1 then 1 else 0 end) as dl_ba from train x "
+                           "join train y on x.item_id = y.item_id and x.user_id < y.user_id group by 1, 2")
+        ctes[6] = ("s", "select cand.*, coalesce(d.dot, 0.0) + 2 * coalesce(case when cand.user_id = cand.a "
+                        "then d.dl_ab else d.dl_ba end, 0) as dot, coalesce(d.co, 0) as co, "
+                        "coalesce(sa.n, 0) + coalesce(sb.n, 0) - coalesce(d.co, 0) as un from cand "
+                        "left join st sa on sa.e = cand.a left join st sb on sb.e = cand.b "
+                        "left join dots d on d.a = cand.a and d.b = cand.b")
+    return with_views("folds", extra=ctes + [
+        ("agg", "select user_id, item_id, avg(lv * sim) as pred from s2 group by 1, 2")]) + (
+        "select te.user_id, te.item_id, te.label, round(coalesce(cast(agg.pred as double), 0.0), 6) + 0.0 as pred "
+        "from test te left join agg on agg.user_id = te.user_id and agg.item_id = te.item_id")
+
+
+def _ld_variant(spark, sf_dir, leaky, as_written):
+    train, test = _ld_sides(spark, sf_dir)
+    if leaky:
+        train = binary_folds(spark, sf_dir).select(F.lit(1).alias("fold"), "user_id", "item_id", "label")
+    s = knn.like_dislike_scores(train, test, as_written=as_written)
+    return s.select("user_id", "item_id", "label", r6("pred").alias("pred"))
+
+
+@query("job8_like_dislike_as_written", _ld_variant_sql(False, True))
+def job8_like_dislike_as_written(spark, sf_dir):
+    """JOB-8 / SIM-7 with the reference's bracket as written."""
+    return _ld_variant(spark, sf_dir, False, True)
+
+
+@query("job8_like_dislike_leaky", _ld_variant_sql(True, True))
+def job8_like_dislike_leaky(spark, sf_dir):
+    """JOB-8 in full reference parity: matrix from all ratings incl. the test rows
+    (SURVEY D13) and the bracket as written (D14)."""
+    return _ld_variant(spark, sf_dir, True, True)

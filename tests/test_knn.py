@@ -31,3 +31,15 @@ def test_like_dislike_score_without_raters_is_zero(spark):
     test = [(1, 1, 99, 1)]
     out = like_dislike_scores(spark.createDataFrame(train, COLS), spark.createDataFrame(test, COLS)).collect()
     assert out[0].pred == 0.0
+
+
+def test_like_dislike_bracket_as_written(spark):
+    # u=1, v=2: one item each of LL, DD, LD, DL; item 5 only u; v also liked the test item 99
+    labels = [(1, 1, 1), (2, 1, 1), (1, 2, -1), (2, 2, -1), (1, 3, 1), (2, 3, -1), (1, 4, -1), (2, 4, 1),
+              (1, 5, 1), (2, 99, 1)]
+    train = spark.createDataFrame([(1, u, i, lab) for u, i, lab in labels], COLS)
+    test = spark.createDataFrame([(1, 1, 99, 1)], COLS)
+    intended = like_dislike_scores(train, test).collect()[0].pred
+    written = like_dislike_scores(train, test, as_written=True).collect()[0].pred
+    assert intended == 0.0                      # (1 + 1 - 1 - 1) / 6
+    assert abs(written - 2 / 6) < 1e-9          # (1 + 1 - 1 + 1) / 6
