@@ -21,7 +21,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from cinerank.functions.scalar import dec
 
@@ -36,13 +35,6 @@ def entity_stats(values: DataFrame, entity: str, value: str = "v",
             .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(value) * F.col(value)).alias("sq")))
 
 
-def canonical_pairs(df: DataFrame, x: str, y: str, part: Sequence[str] = ()) -> DataFrame:
-    """Distinct unordered pairs ``a < b`` from columns x, y (self pairs dropped)."""
-    return (df.where(F.col(x) != F.col(y))
-            .select(*part, F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-            .distinct())
-
-
 # Contexts (e.g. users for item-item) with at most this many rows are "light":
 # their co-rated pairs are emitted directly (at most D^2/2 per context, so at
 # most D * rows overall). Heavier contexts never pair up their rows; their
@@ -187,16 +179,11 @@ def jaccard_from_stats(stats: DataFrame, part: Sequence[str] = ()) -> DataFrame:
     return stats.select(*part, "a", "b", dec(sim).alias("sim"), F.lit(False).alias("zero_norm"))
 
 
-def centre(values: DataFrame, by: str, value: str = "v", part: Sequence[str] = ()) -> DataFrame:
-    """WIN-8: subtract the mean of ``value`` over ``by`` (per part)."""
-    w = Window.partitionBy(*part, by)
-    return values.withColumn(value, F.col(value) - F.avg(value).over(w))
-
-
 def centre_by_join(values: DataFrame, by: str, value: str = "v",
                    part: Sequence[str] = ()) -> DataFrame:
-    """WIN-8 as aggregate + join: mean per group is map-side combined, so a hot
-    group never sorts in one window task."""
+    """WIN-8: subtract the mean of ``value`` over ``by`` (per part). Aggregate +
+    join rather than a window: the mean is combined map-side, so a hot group
+    never sorts in one task."""
     m = values.groupBy(*part, by).agg(F.avg(value).alias("_m"))
     return values.join(m, list(part) + [by]).withColumn(value, F.col(value) - F.col("_m")).drop("_m")
 
