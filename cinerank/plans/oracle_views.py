@@ -70,5 +70,7 @@ def _order(names) -> list[str]:
 def with_views(*names: str, extra: list[tuple[str, str]] | None = None) -> str:
     """``WITH`` prefix for the named views, then ``extra`` (name, sql) CTEs."""
     parts = [f"{n} as ({VIEWS[n][1]})" for n in _order(names)]
-    parts += [f"{n} as ({sql})" for n, sql in (extra or [])]
+    # "tp" (test cells x item features) is materialised so DuckDB joins the
+    # user profiles on all three keys instead of fanning out per user first
+    parts += [f"{n} as {'materialized ' if n == 'tp' else ''}({sql})" for n, sql in (extra or [])]
     return "with " + ",\n".join(parts) + "\n" if parts else ""

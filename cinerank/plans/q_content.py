@@ -135,9 +135,10 @@ _CB_CTES = [
     ("test", "select fold, user_id, item_id, score from folds"),
     ("up", "select t.fold, t.user_id, p.idx, avg(t.score) as weight from train t "
            "join iprof p on p.item_id = t.item_id group by 1, 2, 3"),
-    ("dots", "select te.fold, te.user_id, te.item_id, sum(up.weight * p.weight) as num from test te "
-             "join iprof p on p.item_id = te.item_id join up on up.fold = te.fold and up.user_id = te.user_id "
-             "and up.idx = p.idx group by 1, 2, 3"),
+    ("tp", "select te.fold, te.user_id, te.item_id, p.idx, p.weight from test te "
+           "join iprof p on p.item_id = te.item_id"),
+    ("dots", "select tp.fold, tp.user_id, tp.item_id, sum(up.weight * tp.weight) as num from tp "
+             "join up on up.fold = tp.fold and up.user_id = tp.user_id and up.idx = tp.idx group by 1, 2, 3"),
     ("un", "select fold, user_id, sqrt(sum(weight * weight)) as u_norm from up group by 1, 2"),
     ("inn", "select item_id, sqrt(sum(weight * weight)) as i_norm from iprof group by 1"),
     ("sc", "select te.fold, te.user_id, te.item_id, te.score, case when coalesce(un.u_norm, 0.0) * "
