@@ -72,7 +72,8 @@ def blend(sims: DataFrame, content, p: float, kind: str) -> DataFrame:
     a pair it does not return counts as 0.0."""
     if content is None:
         return sims
-    c = content(sims.select("a", "b").distinct())  # requested pairs only
+    # requested pairs only, written once (the content similarity reads them twice)
+    c = content(materialize(sims.select("a", "b").distinct(), "blend_pairs"))
     c = c.select("a", "b", F.col("csim").cast("double").alias("csim"))
     j = sims.join(c, ["a", "b"], "left")
     mixed = F.lit(p) * F.coalesce("csim", F.lit(0.0)) + F.lit(1.0 - p) * F.col("sim").cast("double")
