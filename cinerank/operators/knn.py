@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from cinerank.functions.scalar import dec
-from cinerank.operators.similarity import candidate_stats, pair_stats
+from cinerank.operators.similarity import candidate_stats
 from cinerank.session import materialize
 
 U, I = "user_id", "item_id"

@@ -8,7 +8,6 @@ from cinerank.functions.scalar import r6
 from cinerank.operators import content as cb
 from cinerank.operators import neighbours as nb
 from cinerank.operators.evaluate import fold_mean, rounded
-from cinerank.operators.ranking import global_rank
 from cinerank.plans.oracle_views import with_views
 from cinerank.plans.q_cf import cf_metrics, cf_sql
 from cinerank.plans.q_prep import FOLK_VIEWS, build_folksonomy, folk_ctes
