@@ -28,7 +28,9 @@ def _norm(df):
 
 @pytest.mark.parametrize("name", ["agg4_mean_by_genre", "agg10_active_users", "job2_item_item_pears_fold1",
                                   "job11_content_rmse", "agg17_knn_confusion", "sim10_tfidf_next_doc",
-                                  "job25_per_user_holdout", "job8_like_dislike_fold1"])
+                                  "job25_per_user_holdout", "job8_like_dislike_fold1",
+                                  "job6_item_item_tfidf_hybrid", "job13_knn_fold_mean",
+                                  "src6_folksonomy_ragged", "job8_like_dislike_as_written"])
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
     for t in TABLES:
