@@ -247,3 +247,18 @@ def flt1_reader_skips_bad_lines(spark, sf_dir):
     path = _ratings_text(spark, sf_dir, "\t")
     views.documents_en(spark, sf_dir).select("text").write.mode("append").text(path)
     return io.read_ratings(spark, path, "\t")
+
+
+@query("stream_item_running_means", with_views("ratings")
+       + "select item_id, round(avg(score), 6) + 0.0 as mean, count(*) as n from ratings group by item_id")
+def stream_item_running_means(spark, sf_dir):
+    """AGG-3 maintained by Structured Streaming over SRC-1 rating files (the
+    whole ratings table written as text, consumed with an availableNow trigger)."""
+    import uuid
+
+    from cinerank.streaming.ratings import start_running_means
+    path = _ratings_text(spark, sf_dir, "\t")
+    table = f"running_means_{uuid.uuid4().hex[:8]}"
+    q, out = start_running_means(spark, path, key="item_id", table=table)
+    q.awaitTermination()
+    return spark.read.parquet(out).select("item_id", r6("mean").alias("mean"), "n")

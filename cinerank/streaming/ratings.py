@@ -29,9 +29,15 @@ def running_means(stream: DataFrame, key: str = "item_id") -> DataFrame:
 
 def start_running_means(spark: SparkSession, path: str, key: str = "item_id", table: str = "running_means",
                         sep: str = "\t", available_now: bool = True):
-    """Start the query into an in-memory table ``table`` (complete mode)."""
+    """Start the query; each micro-batch overwrites a parquet table below the
+    checkpoint folder with the complete current result (nothing is kept in the
+    driver). Returns (query, output path)."""
+    out = scratch_path(spark, f"stream-out-{table}")
+
+    def write(batch: DataFrame, _epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+
     q = (running_means(rating_stream(spark, path, sep), key).writeStream.outputMode("complete")
-         .format("memory").queryName(table)
-         .option("checkpointLocation", scratch_path(spark, f"stream-{table}")))
+         .foreachBatch(write).option("checkpointLocation", scratch_path(spark, f"stream-{table}")))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="10 seconds")
-    return q.start()
+    return q.start(), out

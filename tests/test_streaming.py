@@ -12,8 +12,8 @@ def test_stream_means_match_batch(spark):
         "user_id", "item_id", "score", F.lit(0).cast("long").alias("ts"))
     path = scratch_path(spark, "stream-in")
     io.write_delimited(r, path)
-    q = start_running_means(spark, path, table="t_item_means")
+    q, out = start_running_means(spark, path, table="t_item_means")
     q.awaitTermination(120)
-    got = {x.item_id: (round(x.mean, 9), x.n) for x in spark.table("t_item_means").collect()}
+    got = {x.item_id: (round(x.mean, 9), x.n) for x in spark.read.parquet(out).collect()}
     want = {x.item_id: (round(x.mean, 9), x.n) for x in item_means(r).collect()}
     assert got == want and len(got) > 0
