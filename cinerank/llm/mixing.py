@@ -71,7 +71,8 @@ def posteriors(docs: DataFrame, model: DomainModel, evidence: int = 20) -> DataF
     k = range(len(model.domains))
     k1, k2 = hash128(F.coalesce("text", F.lit("")))
     d = docs.select(k1.alias("k1"), k2.alias("k2"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"),
-                    F.posexplode(letters_of(F.col("text"))).alias("pos", "word"))
+                    letters_of(F.col("text")).alias("words"))
+    d = d.select("k1", "k2", "n_words", F.posexplode("words").alias("pos", "word"))  # beside the generator only columns: all else would run per word
     d = d.join(F.broadcast(model.words), "word", "left")
     mean = [F.avg(F.when(F.col("word") != "", F.coalesce(F.get("ll", F.lit(i)), F.lit(model.unknown[i])))).alias(f"s{i}") for i in k]
     d = d.groupBy("k1", "k2").agg(F.max("n_words").alias("n_words"), F.sum((F.col("pos") == 0).cast("long")).alias("copies"), *mean)
