@@ -32,7 +32,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col:
     h1, h2 = hash128(line_key(F.col("_line")))
     rid = F.xxhash64(F.lit(3), text)
     lines = (docs.where(F.col(id_col).isNotNull())
-             .select(F.col(id_col).alias("_doc"), rid.alias("_rid"), F.posexplode(F.split(text, "\n", -1)).alias("_pos", "_line"))
+             .select(F.col(id_col).alias("_doc"), rid.alias("_rid"), F.split(text, "\n", -1).alias("_all"))
+             .select("_doc", "_rid", F.posexplode("_all").alias("_pos", "_line"))
              .where(F.length("_line") >= min_chars)
              .where(F.length(F.btrim("_line", F.lit(WHITE))) >= min_chars)
              .select("_doc", "_rid", "_pos", h1.alias("_h1"), h2.alias("_h2")))
