@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import io
 import re
 import struct
 from collections.abc import Iterator
@@ -19,6 +20,7 @@ from cinerank.llm.common import materialize, scratch_path
 #: Magic number of the skippable frame that holds the dictionary of a .warc.zst file.
 DICT_FRAME = 0x184D2A5D
 FIELD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)")
+LENGTH = re.compile(rb"\r\nContent-Length:[ \t]*(\d+)", re.I)
 
 
 def digest(payload: bytes) -> str:
@@ -38,28 +40,34 @@ def record(kind: str, page: str, url: str, payload: bytes, sha: str, size: int,
 
 
 def classify(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
-    """``pages`` (page_id, url, html) plus payload, payload_bytes, sha (hex), record_type and refers_to.
+    """``pages`` (page_id, url, html) as rows (page_id, url, payload, payload_bytes, sha in hex, record_type, refers_to).
 
     Of the records with equal payloads of at least ``min_revisit_bytes`` bytes the smallest page_id is the response,
     the others revisit it; records with a null page_id revisit too, and if a payload has only those, all of them are
-    responses. Rows that repeat the smallest page_id are responses each."""
+    responses. Rows that repeat the smallest page_id are responses each. The smallest ids are found on narrow rows,
+    combined map-side; the payloads are shuffled once, to meet them, and only responses keep theirs."""
     p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     p = p.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("sha", F.sha1("payload"))
     first = p.groupBy("sha", "payload_bytes").agg(F.min("page_id").alias("_first"))
-    p = p.join(first, ["sha", "payload_bytes"])
     again = F.coalesce((F.col("payload_bytes") >= min_revisit_bytes) & F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first")), F.lit(False))
-    return p.withColumn("record_type", F.when(again, "revisit").otherwise("response")).withColumn("refers_to", F.when(again, F.col("_first"))).drop("_first")
+    p = p.join(first, ["sha", "payload_bytes"]).withColumn("_again", again)
+    return p.select("page_id", "url", F.when(~F.col("_again"), F.col("payload")).alias("payload"), "payload_bytes", "sha",
+                    F.when(F.col("_again"), "revisit").otherwise("response").alias("record_type"), F.when(F.col("_again"), F.col("_first")).alias("refers_to"))
 
 
-def build_dictionary(records: DataFrame, size: int = 65536, sample_rows: int = 1000, sample_bytes: int = 16384) -> bytes:
-    """A dictionary trained on at most ``sample_rows`` response records, each up to ``sample_bytes``: a sample of bounded
-    size is all that reaches the driver. Empty (no dictionary) if there is too little to train on."""
+def build_dictionary(pages: DataFrame, size: int = 65536, sample_rows: int = 1000, sample_bytes: int = 8192, seed: int = 3) -> bytes:
+    """A dictionary trained on the records of at most ``sample_rows`` pages, each up to ``sample_bytes`` of its payload.
+
+    The pages are chosen by hash order of their ids, on narrow rows; only the chosen ones' beginnings, 8 MB at
+    most, reach the driver. Empty (no dictionary) if there is too little to train on."""
     import zstandard
 
-    some = (records.where("record_type = 'response' and payload_bytes > 0")
-            .select("page_id", "url", "sha", "payload_bytes", F.substring("payload", 1, sample_bytes).alias("part"))
-            .orderBy(F.xxhash64("page_id", "sha")).limit(sample_rows).collect())
-    samples = [record("response", str(r.page_id), r.url or "", bytes(r.part), digest(b""), r.payload_bytes, None, "1970-01-01T00:00:00Z") for r in some]
+    pick = pages.where("page_id is not null and html <> ''").select("page_id").distinct().orderBy(F.xxhash64(F.lit(seed), "page_id"), "page_id").limit(sample_rows)
+    pick = materialize(pick, "warc_sample")
+    part = F.substring(F.col("html").cast("binary"), 1, sample_bytes).alias("part")
+    some = pages.join(F.broadcast(pick), "page_id").select("page_id", "url", part).limit(sample_rows).collect()
+    samples = [record("response", str(r.page_id), r.url or "", bytes(r.part), digest(bytes(r.part)), len(r.part), None, "1970-01-01T00:00:00Z")
+               for r in sorted(some, key=lambda r: (r.page_id, bytes(r.part)))]
     if len(samples) < 8:
         return b""
     try:
@@ -72,15 +80,18 @@ def dictionary_frame(data: bytes) -> bytes:
     return struct.pack("<II", DICT_FRAME, len(data)) + data if data else b""
 
 
+def open_folder(folder: str):
+    """The file system of a folder's URI, and the folder's path in it. A bare path is local, for tests."""
+    uri = re.sub(r"^file:/+", "file:///", folder) if folder.startswith("file:") else folder
+    return pafs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
+
+
 def write_archives(records: DataFrame, folder: str, dictionary: bytes, archive_bytes: int = 64 << 20, level: int = 6,
                    date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """Writes ``records`` (of ``classify``) to ``folder``/*.warc.zst and returns rows (path, n_records).
 
-    The number of archives follows the payload bytes, about ``archive_bytes`` each. Records are dealt out by hash. A file
-    is written under a name of its own attempt and renamed when complete, so a retried task replaces it whole."""
-    total = records.agg(F.sum("payload_bytes")).first()[0] or 0
-    n = max(1, -(-total // archive_bytes), min(records.sparkSession.sparkContext.defaultParallelism, -(-total // (1 << 20))))
-    dealt = records.withColumn("_a", F.pmod(F.xxhash64("page_id", "sha"), F.lit(n))).repartition(int(n), "_a").sortWithinPartitions("_a", "page_id")
+    Every task writes the records of its partition, a new archive whenever one exceeds ``archive_bytes`` compressed.
+    A file is written under a name of its own attempt and renamed when complete, so a retried task replaces it whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -88,38 +99,43 @@ def write_archives(records: DataFrame, folder: str, dictionary: bytes, archive_b
         if zdict:
             zdict.precompute_compress(level=level)
         packer = zstandard.ZstdCompressor(level=level, dict_data=zdict) if zdict else zstandard.ZstdCompressor(level=level)
-        fs, root = pafs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}") if "//" in folder or folder.startswith("/") \
-            else pafs.FileSystem.from_uri(folder.replace("file:/", "file:///", 1))
+        fs, root = open_folder(folder)
         fs.create_dir(root, recursive=True)
-        attempt = TaskContext.get().taskAttemptId()
-        now, out, count, done = None, None, 0, []
+        me = TaskContext.get()
+        out, size, count, done = None, 0, 0, []
 
         def finish():
-            if out is not None:
-                out.close()
-                fs.move(f"{root}/.{now}-{attempt}", f"{root}/{now:06d}.warc.zst")
-                done.append((f"{folder}/{now:06d}.warc.zst", count))
+            out.close()
+            name = f"{me.partitionId():06d}-{len(done):04d}.warc.zst"
+            fs.move(f"{root}/.{me.taskAttemptId()}", f"{root}/{name}")
+            done.append((f"{folder}/{name}", count))
 
         for b in batches:
             c = b.to_pydict()
-            for a, page, url, payload, sha, size, kind, refers in zip(*(c[x] for x in ("_a", "page_id", "url", "payload", "sha", "payload_bytes", "record_type", "refers_to")), strict=True):
-                if a != now:
-                    finish()
-                    now, count = a, 0
-                    out = fs.open_output_stream(f"{root}/.{now}-{attempt}")
+            for page, url, payload, n, sha, kind, refers in zip(*c.values(), strict=True):
+                if out is None:
+                    out = fs.open_output_stream(f"{root}/.{me.taskAttemptId()}")
                     out.write(dictionary_frame(dictionary))
+                    size = count = 0
                 b32 = base64.b32encode(bytes.fromhex(sha)).decode()
-                out.write(packer.compress(record(kind, str(page), url or "", payload, b32, size, None if refers is None else str(refers), date)))
-                count += 1
-        finish()
+                frame = packer.compress(record(kind, str(page), url or "", payload or b"", b32, n, None if refers is None else str(refers), date))
+                out.write(frame)
+                size, count = size + len(frame), count + 1
+                if size >= archive_bytes:
+                    finish()
+                    out = None
+        if out is not None:
+            finish()
         yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in done], pa.string()), pa.array([k for _, k in done], pa.int64())], ["path", "n_records"])
 
-    cols = ["_a", "page_id", "url", "payload", "sha", "payload_bytes", "record_type", "refers_to"]
-    return materialize(dealt.select(*cols).mapInArrow(run, "path string, n_records long"), "warc_index")
+    fs, root = open_folder(folder)
+    fs.create_dir(root, recursive=True)  # so that a table without pages has an empty folder to read
+    cols = ["page_id", "url", "payload", "payload_bytes", "sha", "record_type", "refers_to"]
+    return materialize(records.select(*cols).mapInArrow(run, "path string, n_records long"), "warc_index")
 
 
-def frames(data: bytes) -> Iterator[bytes]:
-    """The decompressed records of one archive, whose leading skippable frame holds the dictionary."""
+def raw_records(data: bytes) -> Iterator[tuple[bytes, bytes]]:
+    """(headers, block) of the records of one archive, whose leading skippable frame holds the dictionary."""
     import zstandard
 
     at, zdict = 0, None
@@ -128,18 +144,21 @@ def frames(data: bytes) -> Iterator[bytes]:
         zdict = zstandard.ZstdCompressionDict(data[8:8 + size])
         at = 8 + size
     z = zstandard.ZstdDecompressor(dict_data=zdict) if zdict else zstandard.ZstdDecompressor()
-    view = memoryview(data)
-    while at < len(data):
-        d = z.decompressobj()
-        out = d.decompress(view[at:])
-        at = len(data) - len(d.unused_data)
-        yield out
-
-
-def parse_record(raw: bytes) -> dict:
-    head, _, rest = raw.partition(b"\r\n\r\n")
+    source = io.BytesIO(data)
+    source.seek(at)
+    stream = io.BufferedReader(z.stream_reader(source, read_across_frames=True), 1 << 20)
+    while line := stream.readline():
+        head = [line]
+        while (line := stream.readline()) not in (b"\r\n", b""):
+            head.append(line)
+        whole = b"".join(head)
+        block = stream.read(int(LENGTH.search(whole)[1]))
+        stream.read(4)
+        yield whole, block
+
+
+def parse_record(head: bytes, block: bytes) -> dict:
     f = {k.decode().lower(): v.decode() for k, v in FIELD.findall(head.split(b"\r\n", 1)[1])}
-    block = rest[:int(f["content-length"])]
     payload = block.partition(b"\r\n\r\n")[2]
     number = lambda s: None if s is None or s == "<urn:page:None>" else int(s[10:-1])
     return {"page_id": number(f["warc-record-id"]), "url": f["warc-target-uri"], "record_type": f["warc-type"], "payload": payload if f["warc-type"] == "response" else None,
@@ -156,8 +175,8 @@ def read_archives(spark, folder: str, with_payload: bool = True) -> DataFrame:
         for b in batches:
             for data in b.column(0):
                 rows: list[dict] = []
-                for raw in frames(data.as_py()):
-                    r = parse_record(raw)
+                for raw in raw_records(data.as_py()):
+                    r = parse_record(*raw)
                     if r["record_type"] == "response":
                         own = (len(r["payload"]), digest(r["payload"]))
                         if own != (r["payload_bytes"], r["payload_digest"]):
@@ -182,7 +201,7 @@ def warc_digest(pages: DataFrame) -> DataFrame:
     """Writes every page to archives below the shared folder, reads them back and returns what they hold."""
     spark = pages.sparkSession
     folder = scratch_path(spark, "warc")
-    records = classify(pages.withColumn("page_id", F.col("page_id").cast("long")))
-    write_archives(records, folder, build_dictionary(records))
+    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+    write_archives(classify(pages), folder, build_dictionary(pages))
     return read_archives(spark, folder, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
