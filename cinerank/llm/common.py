@@ -24,6 +24,11 @@ def lower_ascii(c):
     return F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))
 
 
+def packed(df: DataFrame, *more) -> DataFrame:
+    """All columns as one struct ``row``, plus ``more``: working columns can't clash with the caller's."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *more)
+
+
 def hash128(*cols):
     """Two independent 64-bit hashes of the same columns: a 128-bit key without a digest's cost."""
     return F.xxhash64(*cols), F.xxhash64(F.lit(1), *cols)

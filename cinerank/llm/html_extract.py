@@ -203,12 +203,14 @@ def page_hashes(pages: DataFrame) -> DataFrame:
 
 
 def extract_pages(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2) -> DataFrame:
-    """``pages`` plus text, for every row. Null html gives "". Extra columns pass through.
+    """``pages`` plus text, for every row. Null html gives "". Extra columns pass through; a
+    column named text is replaced.
 
     A subtree is a template of its host if at least ``min_pages`` different pages and ``min_share`` of the host's
     different pages hold it. Copies of a page count once. Counts are combined map-side, so a host with a third of
     all pages is spread over all tasks; a page gets the list of its own templates, at most its subtrees. Null or
     odd urls share the host ""."""
+    pages = pages.drop("text")
     k1, k2 = hash128(F.col("_html"))
     keyed = pages.withColumn("_html", F.coalesce("html", F.lit(""))).withColumn("_host", host(F.col("url"))).withColumn("_k1", k1).withColumn("_k2", k2)
     own = keyed.select(F.col("_host").alias("host"), F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.col("_html").alias("html"))

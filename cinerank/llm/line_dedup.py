@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import WHITE, hash128, lower_ascii, materialize
+from cinerank.llm.common import WHITE, hash128, lower_ascii, materialize, packed
 
 
 def line_key(line):
@@ -22,7 +22,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col:
 
     Null or empty text is one empty line and comes back as "". Rows with a null id are returned unchanged in
     their lines and are not counted as documents. Rows that repeat an id count as one document; each row
-    is cut by its own lines. Columns named ``_...`` here are internal; other extra columns pass through.
+    is cut by its own lines. Extra columns pass through; ``_n_lines`` and ``_n_dropped`` are replaced if there already.
 
     Lines are compared by a 128-bit hash of the key. Per key only the number of documents and the smallest id are
     kept, both combined map-side, so a line in a third of all documents costs one row per task; the join that
@@ -47,16 +47,17 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col:
                   .where(F.col("_n") >= min_docs).drop("_n"))
     drops = (lines.join(shared, ["_h1", "_h2"]).where(F.col("_doc") > F.col("_first"))
              .groupBy("_doc", "_rid").agg(F.sort_array(F.collect_set("_pos")).alias("_drop")))
-    d = docs.withColumn("_rid", rid).withColumn("_doc", F.col(id_col)).join(drops, ["_doc", "_rid"], "left")
-    d = d.withColumn("_lines", F.split(text, "\n", -1)).withColumn("_n_lines", F.size("_lines").cast("long"))
-    d = d.withColumn("_n_dropped", F.when(F.col("_drop").isNull(), F.lit(0)).otherwise(F.size("_drop")).cast("long"))
+    d = packed(docs, F.col(id_col).alias("_doc"), rid.alias("_rid"), text.alias("_text")).join(drops, ["_doc", "_rid"], "left")
+    d = d.withColumn("_lines", F.split("_text", "\n", -1))
     ends = F.array_append(F.col("_drop"), F.size("_lines"))  # the kept runs lie between the dropped positions
-    runs = F.transform(ends, lambda p, i: F.slice(
-        F.col("_lines"),
-        F.when(i == 0, F.lit(0)).otherwise(F.element_at("_drop", i) + 1) + 1,
-        p - F.when(i == 0, F.lit(0)).otherwise(F.element_at("_drop", i) + 1)))
-    kept = F.when(F.col("_drop").isNull(), text).otherwise(F.array_join(F.flatten(runs), "\n"))
-    return d.withColumn(text_col, kept).drop("_rid", "_doc", "_drop", "_lines")
+    after = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.element_at("_drop", i) + 1)
+    runs = F.transform(ends, lambda p, i: F.slice(F.col("_lines"), after(i) + 1, p - after(i)))
+    kept = F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(F.array_join(F.flatten(runs), "\n"))
+    dropped = F.when(F.col("_drop").isNull(), F.lit(0)).otherwise(F.size("_drop")).cast("long")
+    out = d.select("row", kept.alias("_kept"), F.size("_lines").cast("long").alias("_n"), dropped.alias("_m"))
+    names = [c for c in docs.columns if c not in ("_n_lines", "_n_dropped")]
+    cut = [F.col("_kept").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in names]
+    return out.select(*cut, F.col("_n").alias("_n_lines"), F.col("_m").alias("_n_dropped"))
 
 
 def line_dedup_digest(docs: DataFrame) -> DataFrame:

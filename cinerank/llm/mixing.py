@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import WHITE, hash128, materialize
+from cinerank.llm.common import WHITE, hash128, materialize, packed
 
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -149,12 +149,13 @@ def mix_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], d
 
 
 def _with_rates(docs: DataFrame, rates: DataFrame, seed: int) -> DataFrame:
+    """Rows (row, times, mix): the packed document, how often it comes out, and its text's rate and posteriors."""
     k1, k2 = hash128(F.coalesce("text", F.lit("")))
-    r = rates.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.struct([c for c in rates.columns if c not in ("k1", "k2")]).alias("_mix"))
-    d = docs.withColumn("_k1", k1).withColumn("_k2", k2).join(r, ["_k1", "_k2"], "left")
-    u = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "_k1"), F.lit(1 << 30)) / float(1 << 30)
-    rate = F.col("_mix.rate")
-    return d.withColumn("_times", (F.floor(rate) + (u < rate - F.floor(rate)).cast("int")).cast("int"))
+    r = rates.select("k1", "k2", F.struct([c for c in rates.columns if c not in ("k1", "k2")]).alias("mix"))
+    d = packed(docs, k1.alias("k1"), k2.alias("k2"), F.col("doc_id").alias("id")).join(r, ["k1", "k2"], "left")
+    u = F.pmod(F.xxhash64(F.lit(seed), "id", "k1"), F.lit(1 << 30)) / float(1 << 30)
+    rate = F.col("mix.rate")
+    return d.select("row", (F.floor(rate) + (u < rate - F.floor(rate)).cast("int")).cast("int").alias("times"), "mix")
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], seed: int = 41, **kw) -> DataFrame:
@@ -163,8 +164,8 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], seed: i
     The chance is a hash of id and text: the same rows come out in every run. Rows that repeat an id and text share their
     fate. Null text counts as empty (no tokens, prior posteriors). Columns are those of ``docs``."""
     rates, _ = mix_rates(docs, labelled, targets, **kw)
-    d = _with_rates(docs, rates, seed).where("_times > 0")
-    return d.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    d = _with_rates(docs, rates, seed).where("times > 0")
+    return d.select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("i")).select("row.*")
 
 
 TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
@@ -179,4 +180,4 @@ def mixing_digest(docs: DataFrame, labelled: DataFrame, targets: dict[str, float
     name = F.coalesce(*[F.when(F.col(f"p{i}") == best, F.lit(names[i])) for i in k])
     rates = rates.select("k1", "k2", "n_words", name.alias("domain"), best.alias("posterior"), "rate")
     return _with_rates(docs.select("doc_id", "text"), rates, seed).select(
-        "doc_id", "_mix.n_words", "_mix.domain", "_mix.posterior", "_mix.rate", F.col("_times").alias("n_copies"))
+        "row.doc_id", "mix.n_words", "mix.domain", "mix.posterior", "mix.rate", F.col("times").alias("n_copies"))

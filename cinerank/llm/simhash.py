@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import UPPER, components, deal, groups, materialize, spanning, split_buckets
+from cinerank.llm.common import UPPER, components, deal, groups, materialize, packed, spanning, split_buckets
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {ord(c): ord(c.lower()) for c in UPPER}
@@ -130,9 +130,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
     """One row of ``docs`` per component: a row whose id is the component's smallest (one of them, if the id
     repeats). Rows with a null id are kept. Columns are those of ``docs``."""
     comp = near_duplicates(docs, id_col, **kw).where(F.col(id_col) == F.col("component_id"))
-    ids = comp.select(F.col(id_col).alias("_keep")).distinct()
-    kept = docs.join(ids, F.col(id_col) == F.col("_keep")).drop("_keep").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    ids = comp.select(F.col(id_col).alias("keep")).distinct()
+    whole = packed(docs, F.col(id_col).alias("id"))
+    kept = whole.join(ids, F.col("id") == F.col("keep")).groupBy("id").agg(F.first("row").alias("row")).select("row")
+    return kept.unionByName(whole.where("id is null").select("row")).select("row.*")
 
 
 def simhash_digest(docs: DataFrame) -> DataFrame:

@@ -296,13 +296,14 @@ def _find(length: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[bytes, int, int]] = []
         for g in groups(batches, ["core"]):
-            by: dict[tuple[bytes, bytes], set] = {}
+            by: dict[tuple[bytes, bytes], dict] = {}
             for t, x, left, right in zip(*(g.column(c).to_pylist() for c in ("t", "pos", "left", "right")), strict=True):
-                by.setdefault((left, right), set()).add((t, x))
+                places = by.setdefault((left, right), {})
+                far, near = places.get((t, x >> 20), (0, 1023))  # an anchor may come from two buffers, with half its starts each
+                places[t, x >> 20] = max(far, (x >> 10) & 1023), min(near, x & 1023)
             found = repeated_starts(list(by), core, length) if len(by) > 1 else [[]]
             for places, ranges in zip(by.values(), found, strict=True):
-                for t, x in places:
-                    p, far, near = x >> 20, (x >> 10) & 1023, x & 1023
+                for (t, p), (far, near) in places.items():
                     if len(places) > 1:  # the whole window occurs again
                         out.append((t, p - far, p - near))
                     else:
@@ -347,7 +348,7 @@ def repeated_ranges(texts: DataFrame, length: int = 400, width: int = 200, block
     if not (2 <= width <= min(1000, length)):
         raise ValueError("width must lie between 2 and length, and be 1000 at most")
     found = materialize(texts.select("t", "data").mapInArrow(_anchor_rows(length, width), "h long, t binary, pos long"), "anchors")
-    place = F.xxhash64("t", "pos")
+    place = F.xxhash64("t", F.shiftright("pos", 20))
     again = found.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo < hi").select("h")
     hits = found.join(again, "h").groupBy("t").agg(F.collect_list("pos").alias("pos"))
     windows = texts.join(hits, "t").select("t", "data", "pos").mapInArrow(
@@ -394,7 +395,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, width: int = 200, block:
     Every byte covered by a ``length``-byte string that also starts anywhere else is removed, judged on the input. Null
     text is empty. Texts shorter than ``length`` lose nothing. Repeated rows are copies of each other and lose all their
     bytes from ``length`` on, whatever their ids; null ids don't matter."""
-    keep = [f for f in docs.schema.fields if f.name != text_col]
+    keep = [f for f in docs.schema.fields if f.name not in (text_col, "data", "spans", "kept")]
     d = docs.withColumn("_data", F.coalesce(F.col(text_col), F.lit("")).cast("binary")).withColumn("_t", F.unhex(F.md5("_data")))
     texts = d.where(F.octet_length("_data") >= length).select(F.col("_t").alias("t"), F.col("_data").alias("data"))
     marks = repeated_ranges(texts, length, width, block).groupBy("t").agg(F.collect_list(F.struct("a", "b")).alias("_marks"))

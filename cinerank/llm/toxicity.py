@@ -14,8 +14,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from cinerank.llm.common import materialize
+from cinerank.llm.common import materialize, packed
 
 #: Common insults, as a start for small label tables; the rest of the lexicon is learned from the labels.
 SEED_LEXICON = ("idiot idiots moron morons stupid dumb loser losers trash scum clown pathetic worthless disgusting "
@@ -31,7 +32,7 @@ MARK = re.compile(r"[!?]")
 PUNCT = re.compile(r"[.,;:\-\"'()]")
 SYMBOL = re.compile(r"[#*$%&|<>@]")
 LONG_RUN = re.compile(r"(\w)\1{2,}")
-FEATURES = 15
+FEATURES = 15  # length of what features() returns
 
 
 def token_keys(text: str) -> set[str]:
@@ -75,18 +76,18 @@ _SEED = frozenset(SEED_LEXICON)
 
 
 def with_features(docs: DataFrame, weights: dict[str, float], text_col: str = "text") -> DataFrame:
-    """``docs`` without its text, plus features array<double>. No shuffle; null text has the features of "". """
-    keep = [f for f in docs.schema.fields if f.name != text_col]
+    """Rows (row, features array<double>): the packed row and its text's features. No shuffle; null text counts as "". """
+    p = packed(docs)
+    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [features(t.as_py() or "", weights) for t in b.column(0)]
+            rows = [features(t.as_py() or "", weights) for t in b.column(0).field(at)]
             flat = pa.array(np.array(rows, float).reshape(-1))
             ends = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * FEATURES)
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.ListArray.from_arrays(ends, flat)], [*[f.name for f in keep], "features"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(ends, flat)], ["row", "features"])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + ["features array<double>"])
-    return docs.select(text_col, *[f"`{f.name}`" for f in keep]).mapInArrow(run, schema)
+    return p.mapInArrow(run, StructType([p.schema["row"], StructField("features", ArrayType(DoubleType()))]))
 
 
 def learn_lexicon(train: DataFrame, size: int = 400, min_docs: int = 3) -> dict[str, float]:
@@ -119,14 +120,13 @@ class Model:
     prior: float
 
     def score(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
-        """``docs`` without its text, plus score in 0..1 (never null) and predicted (1 from 0.5 on)."""
+        """Rows (row, score, predicted): the packed row, its score in 0..1 (never null), 1 from 0.5 on."""
         d = with_features(docs, self.weights, text_col)
         if self.trees is None:  # too few labels: the density of the seed lexicon alone
-            s = F.least(F.lit(1.0), F.element_at("features", 1) / 4 + F.lit(0.0))
-            d = d.withColumn("score", s).drop("features")
+            d = d.select("row", F.least(F.lit(1.0), F.element_at("features", 1) / 4).alias("score"))
         else:
-            d = _margin(self.trees, d)
-            d = self.calibration.transform(d).withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score")))).drop("margin")
+            d = self.calibration.transform(_margin(self.trees, d))
+            d = d.select("row", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score"))).alias("score"))
         return d.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
@@ -154,8 +154,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, min_rows: in
     if n < min_rows or not 3 <= pos <= n - 3:
         return Model(dict.fromkeys(SEED_LEXICON, 3.0), None, None, pos / n if n else 0.0)
     weights = learn_lexicon(train.where("part < 4"))
-    rest = materialize(with_features(train.where("part >= 4"), weights).coalesce(4), "tox_features").cache()
-    rest = rest.withColumn("label", F.col("label").cast("double"))
+    rest = with_features(train.where("part >= 4"), weights).select("features", F.col("row.label").cast("double").alias("label"), "row.part")
+    rest = materialize(rest.coalesce(4), "tox_features").cache()
     fit_on, hold = rest.where("part < 10"), rest.where("part >= 10")
     if min(x.agg(F.sum("label")).first()[0] or 0 for x in (fit_on, hold)) < 1:
         fit_on = hold = rest
@@ -178,11 +178,11 @@ def train_labels(labels: DataFrame) -> DataFrame:
 
 def toxicity_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(docs, train_labels(labels))
-    return model.score(docs.select("doc_id", "text")).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+    d = model.score(docs.select("doc_id", "text")).select("row.doc_id", "score", "predicted")
+    return d.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the model doesn't reject, with the columns of ``docs``. Rows with null text stay."""
     model = fit(docs, train_labels(labels))
-    scored = model.score(docs.withColumn("_text", F.col("text")), "_text")
-    return scored.where("predicted = 0").select(*docs.columns)
+    return model.score(docs).where("predicted = 0").select("row.*")
