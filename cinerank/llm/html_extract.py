@@ -203,8 +203,8 @@ def page_hashes(pages: DataFrame) -> DataFrame:
 
 
 def extract_pages(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2) -> DataFrame:
-    """``pages`` plus text, for every row. Null html gives "". Extra columns pass through; a
-    column named text is replaced.
+    """``pages`` without its html, plus text, for every row. Null html gives "". Extra columns pass through; a column
+    named text is replaced.
 
     A subtree is a template of its host if at least ``min_pages`` different pages and ``min_share`` of the host's
     different pages hold it. Copies of a page count once. Counts are combined map-side, so a host with a third of
@@ -223,7 +223,7 @@ def extract_pages(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2)
     lists = rows.join(common, ["host", "h"]).groupBy("host", "k1", "k2").agg(F.collect_set("h").alias("_templates"))
     lists = lists.select(F.col("host").alias("_host"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "_templates")
     joined = keyed.join(lists, ["_host", "_k1", "_k2"], "left")
-    keep = pages.schema.fields
+    keep = [f for f in pages.schema.fields if f.name != "html"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
