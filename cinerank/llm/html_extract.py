@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import hash128, materialize
+from cinerank.llm.common import materialize
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTR = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -192,14 +192,14 @@ def host(url):
 
 
 def page_hashes(pages: DataFrame) -> DataFrame:
-    """Rows (host, k1, k2, hashes): the distinct subtree hashes of each distinct page of a host."""
+    """Rows (page, site, hashes) from (page, site, html): the distinct subtree hashes of each page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [sorted(set(subtree_hashes(parse(t.as_py())).values())) for t in b.column(3)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(found, pa.list_(pa.int64()))], ["host", "k1", "k2", "hashes"])
+            found = [sorted(set(subtree_hashes(parse(t.as_py())).values())) for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(found, pa.list_(pa.int64()))], ["page", "site", "hashes"])
 
-    return pages.select("host", "k1", "k2", "html").mapInArrow(run, "host string, k1 long, k2 long, hashes array<long>")
+    return pages.select("page", "site", "html").mapInArrow(run, "page long, site long, hashes array<long>")
 
 
 def extract_pages(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2) -> DataFrame:
@@ -208,21 +208,20 @@ def extract_pages(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2)
 
     A subtree is a template of its host if at least ``min_pages`` different pages and ``min_share`` of the host's
     different pages hold it. Copies of a page count once. Counts are combined map-side, so a host with a third of
-    all pages is spread over all tasks; a page gets the list of its own templates, at most its subtrees. Null or
-    odd urls share the host ""."""
+    all pages is spread over all tasks; a page gets the list of its own templates, at most its subtrees. Hosts, pages and
+    subtrees travel as 64-bit hashes. Null or odd urls share the host ""."""
     pages = pages.drop("text")
-    k1, k2 = hash128(F.col("_html"))
-    keyed = pages.withColumn("_html", F.coalesce("html", F.lit(""))).withColumn("_host", host(F.col("url"))).withColumn("_k1", k1).withColumn("_k2", k2)
-    own = keyed.select(F.col("_host").alias("host"), F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.col("_html").alias("html"))
+    site = F.xxhash64(host(F.col("url")))
+    keyed = pages.withColumn("_html", F.coalesce("html", F.lit(""))).withColumn("_page", F.xxhash64(site, "_html"))
+    own = keyed.select(F.col("_page").alias("page"), site.alias("site"), F.col("_html").alias("html"))
     found = materialize(page_hashes(own), "subtrees")
-    one = found.groupBy("host", "k1", "k2").agg(F.first("hashes").alias("hashes"))
-    rows = one.select("host", "k1", "k2", F.explode("hashes").alias("h"))
-    pages_of = one.groupBy("host").agg(F.count("*").alias("n_pages"))
-    common = rows.groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    common = common.join(pages_of, "host").where(F.col("n") >= min_share * F.col("n_pages")).select("host", "h")
-    lists = rows.join(common, ["host", "h"]).groupBy("host", "k1", "k2").agg(F.collect_set("h").alias("_templates"))
-    lists = lists.select(F.col("host").alias("_host"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "_templates")
-    joined = keyed.join(lists, ["_host", "_k1", "_k2"], "left")
+    one = found.groupBy("page").agg(F.first("site").alias("site"), F.first("hashes").alias("hashes"))
+    rows = one.select("page", "site", F.explode("hashes").alias("h")).select("page", "site", F.xxhash64("site", "h").alias("tree"), "h")
+    pages_of = one.groupBy("site").agg(F.count("*").alias("n_pages"))
+    common = rows.groupBy("tree").agg(F.count("*").alias("n"), F.min("site").alias("site")).where(F.col("n") >= min_pages)
+    common = common.join(pages_of, "site").where(F.col("n") >= min_share * F.col("n_pages")).select("tree")
+    lists = rows.select("page", "tree", "h").join(common, "tree").groupBy("page").agg(F.collect_set("h").alias("_templates"))
+    joined = keyed.join(lists.withColumnRenamed("page", "_page"), "_page", "left")
     keep = [f for f in pages.schema.fields if f.name != "html"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
