@@ -257,94 +257,93 @@ def _anchor_rows(length: int, width: int):
 
 
 def _cut(length: int, width: int):
-    """Rows (t, text, list of packed anchors) to windows (core digest, t, pos, left, right)."""
+    """Rows (t, text, list of packed anchors) to windows: core digest, window digest, place, far, near, left, right."""
     core = length + 1 - width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None
         for b in batches:
-            cores, keys, poss, lefts, rights = [], [], [], [], []
+            rows: list[tuple] = []
             for t, text, pos in zip(b.column(0), b.column(1), b.column(2), strict=True):
                 t = t.as_py()
                 if t == before:  # a copy of the text before it
                     continue
                 before, data = t, text.as_py()
-                for x in sorted(set(pos.as_py())):
-                    p = x >> 20
-                    cores.append(hashlib.blake2b(data[p:p + core], digest_size=16).digest())
-                    keys.append(t)
-                    poss.append(x)
-                    lefts.append(data[max(0, p - width + 1):p])
-                    rights.append(data[p + core:p + length])
-                    if len(keys) >= 8192:
-                        yield _windows(cores, keys, poss, lefts, rights)
-                        cores, keys, poss, lefts, rights = [], [], [], [], []
-            yield _windows(cores, keys, poss, lefts, rights)
+                for p, ends in _places(pos.as_py()).items():
+                    left, right = data[max(0, p - width + 1):p], data[p + core:p + length]
+                    middle = hashlib.blake2b(data[p:p + core], digest_size=16).digest()
+                    whole = hashlib.blake2b(b"%d " % len(left) + left + middle + right, digest_size=16).digest()
+                    rows.append((middle, whole, t, p, *ends, left, right))
+                    if len(rows) >= 8192:
+                        yield _batch(rows, WINDOW)
+                        rows = []
+            yield _batch(rows, WINDOW)
 
     return run
 
 
-def _windows(cores, keys, poss, lefts, rights) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(cores, pa.binary()), pa.array(keys, pa.binary()), pa.array(poss, pa.int64()),
-                                       pa.array(lefts, pa.binary()), pa.array(rights, pa.binary())], ["core", "t", "pos", "left", "right"])
+WINDOW = pa.schema([("core", pa.binary()), ("win", pa.binary()), ("t", pa.binary()), ("p", pa.int64()), ("far", pa.int32()), ("near", pa.int32()),
+                    ("left", pa.binary()), ("right", pa.binary())])
+RANGE = pa.schema([("win", pa.binary()), ("lo", pa.int32()), ("hi", pa.int32())])
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    cols = zip(*rows, strict=True) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+
+def _places(packed: list[int]) -> dict[int, tuple[int, int]]:
+    """Position -> (far, near): how far before it its first and last start lie. An anchor may come from two buffers, with
+    a part of its starts each, and from each copy of the text."""
+    out: dict[int, tuple[int, int]] = {}
+    for x in packed:
+        far, near = out.get(x >> 20, (0, 1023))
+        out[x >> 20] = max(far, (x >> 10) & 1023), min(near, x & 1023)
+    return out
 
 
 def _find(length: int, width: int):
-    """Sorted windows to rows (t, a, b): starts from a to b (inclusive) of text t begin a repeated string."""
+    """Distinct windows, sorted by core, to rows (win, lo, hi): starts lo to hi bytes before the core also occur in another window."""
     core = length + 1 - width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[bytes, int, int]] = []
         for g in groups(batches, ["core"]):
-            by: dict[tuple[bytes, bytes], dict] = {}
-            for t, x, left, right in zip(*(g.column(c).to_pylist() for c in ("t", "pos", "left", "right")), strict=True):
-                places = by.setdefault((left, right), {})
-                far, near = places.get((t, x >> 20), (0, 1023))  # an anchor may come from two buffers, with half its starts each
-                places[t, x >> 20] = max(far, (x >> 10) & 1023), min(near, x & 1023)
-            found = repeated_starts(list(by), core, length) if len(by) > 1 else [[]]
-            for places, ranges in zip(by.values(), found, strict=True):
-                for (t, p), (far, near) in places.items():
-                    if len(places) > 1:  # the whole window occurs again
-                        out.append((t, p - far, p - near))
-                    else:
-                        out.extend((t, p - min(d, far), p - max(c, near)) for c, d in ranges if c <= far and d >= near)
+            win, left, right = (g.column(c).to_pylist() for c in ("win", "left", "right"))
+            for w, found in zip(win, repeated_starts(list(zip(left, right, strict=True)), core, length), strict=True):
+                out.extend((w, lo, hi) for lo, hi in found)
             if len(out) >= 8192:
-                yield _ranges(out)
+                yield _batch(out, RANGE)
                 out = []
-        yield _ranges(out)
+        yield _batch(out, RANGE)
 
     return run
 
 
-def _ranges(rows: list) -> pa.RecordBatch:
-    t, a, b = zip(*rows, strict=True) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(t, pa.binary()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["t", "a", "b"])
-
-
 def _each_start(length: int, width: int):
-    """Windows of a very frequent core to one row (digest of the string, t, start) for each of their starts."""
+    """Distinct windows of a very frequent core to one row (digest of the string, win, d) for each start d bytes before it."""
     core = length + 1 - width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for c, t, x, left, right in zip(*(b.column(n).to_pylist() for n in ("core", "t", "pos", "left", "right")), strict=True):
-                p, far, near = x >> 20, (x >> 10) & 1023, x & 1023
-                d = range(near, far + 1)
+            for c, w, left, right in zip(*(b.column(n).to_pylist() for n in ("core", "win", "left", "right")), strict=True):
+                d = range(max(0, length - core - len(right)), len(left) + 1)
                 key = [hashlib.blake2b(left[len(left) - k:] + b"\0" + c + right[:length - core - k], digest_size=16).digest() for k in d]
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array([t] * len(key), pa.binary()), pa.array([p - k for k in d], pa.int64())], ["key", "t", "a"])
+                yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array([w] * len(key), pa.binary()), pa.array(d, pa.int32())], ["key", "win", "d"])
 
     return run
 
 
-def repeated_ranges(texts: DataFrame, length: int = 400, width: int = 200, block: int = 4096) -> DataFrame:
+def repeated_ranges(texts: DataFrame, length: int = 400, width: int = 200, block: int = 32768) -> DataFrame:
     """Rows (t, a, b) of ``texts`` (t: 16-byte key of the content, data binary): every start of a ``length``-byte string
     that also starts elsewhere in another text or at another place of the same one, as inclusive ranges.
 
     1. Each text's anchors (about two per ``width`` bytes) are found where it is read; only their hashes are counted.
-    2. Texts meet the anchors whose hash occurs again and cut a window around each.
-    3. Windows around one core meet in one group, a suffix array of which tells the repeated starts. Groups are
-       independent and small; a core with more than ``block`` windows is answered by counting a digest of each of its
-       starts instead, which needs no group at all. Both are exact."""
+    2. Texts meet the anchors whose hash occurs again and cut a window around each. Equal windows become one,
+       combined map-side; all starts of a window that occurs at two places are repeated.
+    3. Different windows around one core meet in one group, a suffix array of which tells the starts that they share.
+       Groups are independent and small; a core with more than ``block`` different windows is answered by
+       counting a digest of each of their starts instead, which needs no group at all. Both are exact."""
     if not (2 <= width <= min(1000, length)):
         raise ValueError("width must lie between 2 and length, and be 1000 at most")
     found = materialize(texts.select("t", "data").mapInArrow(_anchor_rows(length, width), "h long, t binary, pos long"), "anchors")
@@ -352,17 +351,22 @@ def repeated_ranges(texts: DataFrame, length: int = 400, width: int = 200, block
     again = found.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo < hi").select("h")
     hits = found.join(again, "h").groupBy("t").agg(F.collect_list("pos").alias("pos"))
     windows = texts.join(hits, "t").select("t", "data", "pos").mapInArrow(
-        _cut(length, width), "core binary, t binary, pos long, left binary, right binary")
+        _cut(length, width), "core binary, win binary, t binary, p long, far int, near int, left binary, right binary")
     windows = materialize(windows, "windows")
-    many = windows.groupBy("core").agg(F.count("*").alias("n")).where(F.col("n") > block).select("core")
-    many = materialize(many, "hot_cores")
-    few = windows.join(many, "core", "left_anti")
-    ranges = deal(few, "core").mapInArrow(_find(length, width), "t binary, a long, b long")
-    starts = windows.join(many, "core").select("core", "t", "pos", "left", "right").mapInArrow(_each_start(length, width), "key binary, t binary, a long")
-    spot = F.xxhash64("t", "a")
-    twice = starts.groupBy("key").agg(F.min(spot).alias("lo"), F.max(spot).alias("hi")).where("lo < hi").select("key")
-    single = starts.join(twice, "key").select("t", "a", F.col("a").alias("b"))
-    return ranges.unionByName(single)
+    spot = F.xxhash64("t", "p")
+    kinds = windows.groupBy("core", "win").agg(F.min(spot).alias("s0"), F.max(spot).alias("s1"), F.first("left").alias("left"), F.first("right").alias("right"))
+    kinds = materialize(kinds, "window_kinds")
+    size = kinds.groupBy("core").agg(F.count("*").alias("n")).where("n > 1")
+    several = kinds.select("core", "win", "left", "right").join(size, "core")
+    few = deal(several.where(F.col("n") <= block).drop("n"), "core").mapInArrow(_find(length, width), "win binary, lo int, hi int")
+    starts = several.where(F.col("n") > block).drop("n").mapInArrow(_each_start(length, width), "key binary, win binary, d int")
+    twice = starts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    many = starts.join(twice, "key").select("win", F.col("d").alias("lo"), F.col("d").alias("hi"))
+    whole = kinds.where("s0 < s1").select("win", F.lit(0).alias("lo"), F.lit(width).alias("hi"))
+    spans = whole.unionByName(few).unionByName(many).groupBy("win").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    hit = windows.select("win", "t", "p", "far", "near").join(spans, "win").select("t", "p", "far", "near", F.explode("spans").alias("s"))
+    lo, hi = F.greatest("s.lo", "near"), F.least("s.hi", "far")
+    return hit.where(lo <= hi).select("t", (F.col("p") - hi).alias("a"), (F.col("p") - lo).alias("b"))
 
 
 def _remove(length: int, keep: list):
@@ -389,7 +393,7 @@ def _remove(length: int, keep: list):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, width: int = 200, block: int = 4096, text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, width: int = 200, block: int = 32768, text_col: str = "text") -> DataFrame:
     """``docs`` without its text, plus data (the input bytes), spans (array of from/to of the removed runs) and kept (bytes).
 
     Every byte covered by a ``length``-byte string that also starts anywhere else is removed, judged on the input. Null
