@@ -6,10 +6,12 @@ import html
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cinerank.llm.common import materialize
 
@@ -176,14 +178,20 @@ def block_text(top: list[Node], inside: bool, drop: set[int]) -> str:
     return "\n\n".join(blocks)
 
 
-def extract(source: str, templates: set[int]) -> str:
+def on_site(site: int, h: int) -> int:
+    """A subtree's hash on its site: the same subtree on another site differs."""
+    x = (h ^ (site * 0x9E3779B97F4A7C15)) & 0xFFFFFFFFFFFFFFFF
+    return x - (1 << 64) if x >> 63 else x
+
+
+def extract(source: str, templates: frozenset[int] | set[int], site: int = 0) -> str:
     """Main text of one page. What the page itself marks as its article is never taken for a template, so pages
-    that copy an article keep it; elsewhere, subtrees in ``templates`` go."""
+    that copy an article keep it; elsewhere, subtrees whose ``on_site`` hash is in ``templates`` go."""
     root = parse(source)
     top = main_nodes(root)
     if top:
         return block_text(top, True, set())
-    drop = {k for k, h in subtree_hashes(root).items() if h in templates} if templates else set()
+    drop = {k for k, h in subtree_hashes(root).items() if on_site(site, h) in templates} if templates else set()
     return block_text([root], False, drop)
 
 
@@ -192,45 +200,58 @@ def host(url):
 
 
 def page_hashes(pages: DataFrame) -> DataFrame:
-    """Rows (page, site, hashes) from (page, site, html): the distinct subtree hashes of each page."""
+    """Rows (page, site, trees) from (page, site, html): the distinct subtrees of each page, hashed with their site."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [sorted(set(subtree_hashes(parse(t.as_py())).values())) for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(found, pa.list_(pa.int64()))], ["page", "site", "hashes"])
+            found = [sorted({on_site(s.as_py(), h) for h in subtree_hashes(parse(t.as_py())).values()}) for s, t in zip(b.column(1), b.column(2), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(found, pa.list_(pa.int64()))], ["page", "site", "trees"])
 
-    return pages.select("page", "site", "html").mapInArrow(run, "page long, site long, hashes array<long>")
+    return pages.select("page", "site", "html").mapInArrow(run, "page long, site long, trees array<long>")
 
 
-def extract_pages(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2) -> DataFrame:
+def extract_pages(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2, broadcast_trees: int = 100_000) -> DataFrame:
     """``pages`` without its html, plus text, for every row. Null html gives "". Extra columns pass through; a column
     named text is replaced.
 
     A subtree is a template of its host if at least ``min_pages`` different pages and ``min_share`` of the host's
     different pages hold it. Copies of a page count once. Counts are combined map-side, so a host with a third of
-    all pages is spread over all tasks; a page gets the list of its own templates, at most its subtrees. Hosts, pages and
-    subtrees travel as 64-bit hashes. Null or odd urls share the host ""."""
+    all pages is spread over all tasks. Hosts, pages and subtrees travel as 64-bit hashes. Up to ``broadcast_trees``
+    templates (800 kB) are counted and broadcast, and the html is never shuffled; beyond that each page meets the list of
+    its own templates, at most its subtrees, in a join. Null or odd urls share the host ""."""
     pages = pages.drop("text")
+    keep = [f for f in pages.schema.fields if f.name != "html"]
     site = F.xxhash64(host(F.col("url")))
-    keyed = pages.withColumn("_html", F.coalesce("html", F.lit(""))).withColumn("_page", F.xxhash64(site, "_html"))
-    own = keyed.select(F.col("_page").alias("page"), site.alias("site"), F.col("_html").alias("html"))
-    found = materialize(page_hashes(own), "subtrees")
-    one = found.groupBy("page").agg(F.first("site").alias("site"), F.first("hashes").alias("hashes"))
-    rows = one.select("page", "site", F.explode("hashes").alias("h")).select("page", "site", F.xxhash64("site", "h").alias("tree"), "h")
+    keyed = pages.select(F.coalesce("html", F.lit("")).alias("_html"), site.alias("_site"), *[f"`{f.name}`" for f in keep])
+    keyed = keyed.withColumn("_page", F.xxhash64("_site", "_html"))
+    found = materialize(page_hashes(keyed.select(F.col("_page").alias("page"), F.col("_site").alias("site"), F.col("_html").alias("html"))), "subtrees")
+    one = found.groupBy("page").agg(F.first("site").alias("site"), F.first("trees").alias("trees"))
+    rows = one.select("page", "site", F.explode("trees").alias("tree"))
     pages_of = one.groupBy("site").agg(F.count("*").alias("n_pages"))
     common = rows.groupBy("tree").agg(F.count("*").alias("n"), F.min("site").alias("site")).where(F.col("n") >= min_pages)
-    common = common.join(pages_of, "site").where(F.col("n") >= min_share * F.col("n_pages")).select("tree")
-    lists = rows.select("page", "tree", "h").join(common, "tree").groupBy("page").agg(F.collect_set("h").alias("_templates"))
-    joined = keyed.join(lists.withColumnRenamed("page", "_page"), "_page", "left")
-    keep = [f for f in pages.schema.fields if f.name != "html"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    common = materialize(common.join(pages_of, "site").where(F.col("n") >= min_share * F.col("n_pages")).select("tree"), "templates")
+    few = [r.tree for r in common.limit(broadcast_trees + 1).collect()]
+    names = [f.name for f in keep]
+    out = StructType([*keep, StructField("text", StringType())])
+    if len(few) <= broadcast_trees:
+        known = pages.sparkSession.sparkContext.broadcast(np.array(few, np.int64))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            trees = frozenset(known.value.tolist())
+            for b in batches:
+                text = [extract(h.as_py(), trees, s.as_py()) for h, s in zip(b.column(0), b.column(1), strict=True)]
+                yield pa.RecordBatch.from_arrays([*b.columns[2:], pa.array(text, pa.string())], [*names, "text"])
+
+        return keyed.drop("_page").mapInArrow(run, out)
+
+    def run_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = [extract(h.as_py(), set(t.as_py() or ())) for h, t in zip(b.column(0), b.column(1), strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns[2:], pa.array(text, pa.string())], [*[f.name for f in keep], "text"])
+            text = [extract(h.as_py(), set(t.as_py() or ()), s.as_py()) for h, s, t in zip(b.column(0), b.column(1), b.column(2), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns[3:], pa.array(text, pa.string())], [*names, "text"])
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + ["text string"])
-    return joined.select("_html", "_templates", *[f"`{f.name}`" for f in keep]).mapInArrow(run, schema)
+    lists = rows.select("page", "tree").join(common, "tree").groupBy("page").agg(F.collect_set("tree").alias("_templates"))
+    joined = keyed.join(lists.withColumnRenamed("page", "_page"), "_page", "left")
+    return joined.select("_html", "_site", "_templates", *[f"`{n}`" for n in names]).mapInArrow(run_lists, out)
 
 
 def html_digest(pages: DataFrame) -> DataFrame:

@@ -327,6 +327,8 @@ def test_html(spark):
     htmls = [page(f"<div><h1>Title {i}</h1><p>One  &amp;\n two {i}<p>three<br>four <b>bold {i}</div>") for i in range(8)]
     htmls += [page("<article><header><h1>Head</h1></header><p>About this site</p><form>f</form><script>var t='</p>';</script>End</article>"), None, "", "plain &lt; text", "<p>cut <b>off", "<div " + "<div>" * 3000 + "deep"]
     got = {r.page_id: r for r in html_extract.html_digest(pages_of(spark, htmls)).collect()}
+    joined = html_extract.extract_pages(pages_of(spark, htmls), broadcast_trees=0)  # templates met in a join
+    assert joined.columns == ["page_id", "url", "sha", "text"] and {r.page_id: r.text for r in joined.collect()} == {i: r.text for i, r in got.items()}
     for i in range(8):  # the section recurs on all pages of the host: a template
         assert got[i].text == f"Title {i}\n\nOne & two {i}\n\nthree four bold {i}"
     assert [got[i].text for i in range(8, 13)] == ["Head\n\nAbout this site\n\nEnd", "", "", "plain < text", "cut off"]
