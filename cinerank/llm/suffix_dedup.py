@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import deal, groups, materialize
+from cinerank.llm.common import deal, groups, hash128, materialize
 
 BUFFER_BITS = 20  # bytes of text that are hashed at once: 1 MB
 RANDOM = np.random.default_rng(23)
@@ -119,30 +119,26 @@ def repeated_starts(windows: list[tuple[bytes, bytes]], core: int, length: int)
     inclusive, for which the ``length`` bytes from d bytes before the core on also occur in another window, as far
     from its core.
 
-    The windows are written in symbols: the core is one, and each side is cut at the depths where some windows
-    part, so a symbol is a stretch that two windows share wholly or not at all. The suffix array of all windows then
+    The windows are written in symbols: the core is one, and each side is its path in the tree of that side's
+    strings, so a symbol is a stretch that two windows share wholly or not at all. The suffix array of all windows then
     gives the most bytes that each stretch has in common with any other window."""
-    lefts, rights = [w[0][::-1] for w in windows], [w[1] for w in windows]
-    left_reach, left_cuts = _reach(lefts)
-    right_reach, right_cuts = _reach(rights)
-    names: dict = {}
+    lefts, right_paths = _paths([w[0][::-1] for w in windows]), _paths([w[1] for w in windows])
+    m = len(windows)
     text: list[int] = []
     size: list[int] = []
     where: list[tuple[int, int]] = []  # of each symbol: window, bytes from its start to the core's start
-    m = len(windows)
     for r in range(m):
-        parts = []
-        for a, b in reversed(list(pairwise(left_cuts))):
-            if b <= left_reach[r]:
-                parts.append(((b, lefts[r][a:b]), b - a, b))
-        parts.append(((0, b""), core, 0))
-        for a, b in pairwise(right_cuts):
-            if b <= right_reach[r]:
-                parts.append(((-b, rights[r][a:b]), b - a, -core - a))
-        for name, k, d in parts:
-            text.append(names.setdefault(name, len(names)) + m)
-            size.append(k)
-            where.append((r, d))
+        for node, a, b in reversed(lefts[r]):
+            text.append(m + 1 + 2 * node)
+            size.append(b - a)
+            where.append((r, b))
+        text.append(m)
+        size.append(core)
+        where.append((r, 0))
+        for node, a, b in right_paths[r]:
+            text.append(m + 2 + 2 * node)
+            size.append(b - a)
+            where.append((r, -core - a))
         text.append(m - 1 - r)
         size.append(0)
         where.append((r, -length))
@@ -157,24 +153,41 @@ def repeated_starts(windows: list[tuple[bytes, bytes]], core: int, length: int)
         w, d = where[i]
         if k and d >= 0:
             most = ends[i + k] - ends[i]
-            inner = 1 if d else 0  # a core symbol has the one start d = 0; a left one those down to its end
-            low = d - size[i] + 1 if inner else 0
-            need = length - (most - d)  # starts further in have as many bytes less
-            low = max(low, need)
+            low = d - size[i] + 1 if d else 0  # a core symbol has the one start d = 0; a left one those down to its end
+            low = max(low, length - (most - d))  # starts further in have as many bytes less
             if low <= d:
                 out[w].append((low, d))
     return [sorted(x) for x in out]
 
 
-def _reach(sides: list[bytes]) -> tuple[list[int], list[int]]:
-    """How far each side agrees with the one it shares most with, and the ascending depths, from 0, at which sides part."""
+def _paths(sides: list[bytes]) -> list[list[tuple[int, int, int]]]:
+    """For each string the edges (node, from, to) that it shares with another one, from the root of their tree on."""
     order = sorted(range(len(sides)), key=sides.__getitem__)
-    reach, cuts = [0] * len(sides), {0}
+    depth, parent, at = [0], [0], [0] * len(sides)  # of nodes; at: the deepest node on a string's path
+    stack = [0]
     for a, b in pairwise(order):
-        k = len(commonprefix([sides[a], sides[b]]))
-        cuts.add(k)
-        reach[a], reach[b] = max(reach[a], k), max(reach[b], k)
-    return reach, sorted(cuts)
+        k, last = len(commonprefix([sides[a], sides[b]])), -1
+        while depth[stack[-1]] > k:
+            last = stack.pop()
+            if depth[stack[-1]] >= k:
+                parent[last] = stack[-1]
+        if depth[stack[-1]] < k:
+            depth.append(k)
+            parent.append(stack[-1])
+            stack.append(len(depth) - 1)
+            if last >= 0:
+                parent[last] = stack[-1]
+        if depth[stack[-1]] > depth[at[a]]:
+            at[a] = stack[-1]
+        at[b] = stack[-1]
+    out: list[list[tuple[int, int, int]]] = []
+    for r in range(len(sides)):
+        path, n = [], at[r]
+        while n:
+            path.append((n, depth[parent[n]], depth[n]))
+            n = parent[n]
+        out.append(path[::-1])
+    return out
 
 
 def _powers() -> tuple[np.ndarray, np.ndarray]:
@@ -303,15 +316,15 @@ def _places(packed: list[int]) -> dict[int, tuple[int, int]]:
 
 
 def _find(length: int, width: int):
-    """Distinct windows, sorted by core, to rows (win, lo, hi): starts lo to hi bytes before the core also occur in another window."""
+    """Distinct windows, sorted by group, to rows (win, lo, hi): starts lo to hi bytes before the core also occur in another window."""
     core = length + 1 - width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[bytes, int, int]] = []
-        for g in groups(batches, ["core"]):
-            win, left, right = (g.column(c).to_pylist() for c in ("win", "left", "right"))
-            for w, found in zip(win, repeated_starts(list(zip(left, right, strict=True)), core, length), strict=True):
-                out.extend((w, lo, hi) for lo, hi in found)
+        for g in groups(batches, ["g0", "g1"]):
+            win, left, right, low, high = (g.column(c).to_pylist() for c in ("win", "left", "right", "low", "high"))
+            for w, a, b, found in zip(win, low, high, repeated_starts(list(zip(left, right, strict=True)), core, length), strict=True):
+                out.extend((w, max(lo, a), min(hi, b)) for lo, hi in found if lo <= b and hi >= a)
             if len(out) >= 8192:
                 yield _batch(out, RANGE)
                 out = []
@@ -326,15 +339,15 @@ def _each_start(length: int, width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for c, w, left, right in zip(*(b.column(n).to_pylist() for n in ("core", "win", "left", "right")), strict=True):
-                d = range(max(0, length - core - len(right)), len(left) + 1)
+            for c, w, left, right, low, high in zip(*(b.column(n).to_pylist() for n in ("core", "win", "left", "right", "low", "high")), strict=True):
+                d = range(max(low, length - core - len(right)), min(high, len(left)) + 1)
                 key = [hashlib.blake2b(left[len(left) - k:] + b"\0" + c + right[:length - core - k], digest_size=16).digest() for k in d]
                 yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array([w] * len(key), pa.binary()), pa.array(d, pa.int32())], ["key", "win", "d"])
 
     return run
 
 
-def repeated_ranges(texts: DataFrame, length: int = 400, width: int = 200, block: int = 32768) -> DataFrame:
+def repeated_ranges(texts: DataFrame, length: int = 400, width: int = 200, block: int = 2048) -> DataFrame:
     """Rows (t, a, b) of ``texts`` (t: 16-byte key of the content, data binary): every start of a ``length``-byte string
     that also starts elsewhere in another text or at another place of the same one, as inclusive ranges.
 
@@ -342,8 +355,10 @@ def repeated_ranges(texts: DataFrame, length: int = 400, width: int = 200, block
     2. Texts meet the anchors whose hash occurs again and cut a window around each. Equal windows become one,
        combined map-side; all starts of a window that occurs at two places are repeated.
     3. Different windows around one core meet in one group, a suffix array of which tells the starts that they share.
-       Groups are independent and small; a core with more than ``block`` different windows is answered by
-       counting a digest of each of their starts instead, which needs no group at all. Both are exact."""
+       Groups are independent and small. The windows of a core that has more than ``block`` are dealt out by the bytes
+       next to the core, once for the starts that hold the bytes before it and once for the others; where even such a
+       group has more than ``block``, a digest of each start is counted instead, which needs no group at all. All
+       three are exact."""
     if not (2 <= width <= min(1000, length)):
         raise ValueError("width must lie between 2 and length, and be 1000 at most")
     found = materialize(texts.select("t", "data").mapInArrow(_anchor_rows(length, width), "h long, t binary, pos long"), "anchors")
@@ -358,8 +373,21 @@ def repeated_ranges(texts: DataFrame, length: int = 400, width: int = 200, block
     kinds = materialize(kinds, "window_kinds")
     size = kinds.groupBy("core").agg(F.count("*").alias("n")).where("n > 1")
     several = kinds.select("core", "win", "left", "right").join(size, "core")
-    few = deal(several.where(F.col("n") <= block).drop("n"), "core").mapInArrow(_find(length, width), "win binary, lo int, hi int")
-    starts = several.where(F.col("n") > block).drop("n").mapInArrow(_each_start(length, width), "key binary, win binary, d int")
+    g0, g1 = hash128("core")
+    plain = several.where(F.col("n") <= block).select("core", "win", "left", "right", g0.alias("g0"), g1.alias("g1"), F.lit(0).alias("low"), F.lit(width).alias("high"))
+    # a string that starts at least ``part`` bytes before the core holds those bytes; any other holds most of the right side
+    part = min(24, width // 2)
+    near = F.expr(f"right(hex(left), {2 * part})")
+    sides = F.array(F.struct(F.lit(part).alias("low"), F.lit(width).alias("high"), near.alias("key"), (F.octet_length("left") >= part).alias("ok")),
+                    F.struct(F.lit(0).alias("low"), F.lit(part - 1).alias("high"), F.hex(F.substring("right", 1, width - part)).alias("key"), (F.octet_length("right") >= width - part).alias("ok")))
+    cut = several.where(F.col("n") > block).select("core", "win", "left", "right", F.explode(sides).alias("s")).where("s.ok")
+    h0, h1 = hash128("core", "s.low", "s.key")
+    cut = materialize(cut.select("core", "win", "left", "right", h0.alias("g0"), h1.alias("g1"), "s.low", "s.high"), "window_sides")
+    again_size = cut.groupBy("g0", "g1").agg(F.count("*").alias("n")).where("n > 1")
+    cut = cut.join(again_size, ["g0", "g1"])
+    small = plain.unionByName(cut.where(F.col("n") <= block).drop("n"))
+    few = deal(small, "g0", "g1").mapInArrow(_find(length, width), "win binary, lo int, hi int")
+    starts = cut.where(F.col("n") > block).select("core", "win", "left", "right", "low", "high").mapInArrow(_each_start(length, width), "key binary, win binary, d int")
     twice = starts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     many = starts.join(twice, "key").select("win", F.col("d").alias("lo"), F.col("d").alias("hi"))
     whole = kinds.where("s0 < s1").select("win", F.lit(0).alias("lo"), F.lit(width).alias("hi"))
@@ -393,7 +421,7 @@ def _remove(length: int, keep: list):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, width: int = 200, block: int = 32768, text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, width: int = 200, block: int = 2048, text_col: str = "text") -> DataFrame:
     """``docs`` without its text, plus data (the input bytes), spans (array of from/to of the removed runs) and kept (bytes).
 
     Every byte covered by a ``length``-byte string that also starts anywhere else is removed, judged on the input. Null
