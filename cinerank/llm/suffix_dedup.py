@@ -347,7 +347,7 @@ def _each_start(length: int, width: int):
     return run
 
 
-def repeated_ranges(texts: DataFrame, length: int = 400, width: int = 200, block: int = 2048) -> DataFrame:
+def repeated_ranges(texts: DataFrame, length: int = 400, width: int = 200, block: int = 8192) -> DataFrame:
     """Rows (t, a, b) of ``texts`` (t: 16-byte key of the content, data binary): every start of a ``length``-byte string
     that also starts elsewhere in another text or at another place of the same one, as inclusive ranges.
 
@@ -421,7 +421,7 @@ def _remove(length: int, keep: list):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, width: int = 200, block: int = 2048, text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, width: int = 200, block: int = 8192, text_col: str = "text") -> DataFrame:
     """``docs`` without its text, plus data (the input bytes), spans (array of from/to of the removed runs) and kept (bytes).
 
     Every byte covered by a ``length``-byte string that also starts anywhere else is removed, judged on the input. Null
