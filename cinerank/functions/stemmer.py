@@ -72,6 +72,11 @@ _STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "men
           "ou", "ism", "ate", "iti", "ous", "ive", "ize"]
 
 
+# longest suffix first; ordered once, not for every word
+_STEP2_LONGEST, _STEP3_LONGEST = (sorted(t, key=lambda r: -len(r[0])) for t in (_STEP2, _STEP3))
+_STEP4_LONGEST = sorted(_STEP4, key=len, reverse=True)
+
+
 def stem(word: str) -> str:
     w = word
     if len(w) <= 2:
@@ -105,10 +110,10 @@ def stem(word: str) -> str:
     if w.endswith("y") and _has_vowel(w[:-1]):
         w = w[:-1] + "i"
     # steps 2 and 3
-    w = _replace(w, sorted(_STEP2, key=lambda r: -len(r[0])), lambda s: _measure(s) > 0)
-    w = _replace(w, sorted(_STEP3, key=lambda r: -len(r[0])), lambda s: _measure(s) > 0)
+    w = _replace(w, _STEP2_LONGEST, lambda s: _measure(s) > 0)
+    w = _replace(w, _STEP3_LONGEST, lambda s: _measure(s) > 0)
     # step 4
-    for suf in sorted(_STEP4, key=len, reverse=True):
+    for suf in _STEP4_LONGEST:
         if w.endswith(suf):
             s = w[: len(w) - len(suf)]
             if _measure(s) > 1 and (suf != "ion" or (s and s[-1] in "st")):

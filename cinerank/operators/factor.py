@@ -134,11 +134,11 @@ def truncated_svd(ratings: DataFrame, k: int = 5, iters: int = 3, seed: int = 42
     r = ratings.select(U, I, "score").persist()
     items = r.select(I).distinct()
     z = _omega(items, k, seed)
-    y = _orthonormalise(_times(r, z, I, U), U, k, spark)
+    y = _orthonormalise(_times(r, z, I, U).checkpoint(eager=True), U, k, spark).checkpoint(eager=True)
     for _ in range(iters):
-        z = _orthonormalise(_times(r, y, U, I), I, k, spark)
-        y = _orthonormalise(_times(r, z, I, U), U, k, spark)
-    y = y.checkpoint(eager=True)
+        # cut each half step: the next Gram matrix must not work out the chain again
+        z = _orthonormalise(_times(r, y, U, I).checkpoint(eager=True), I, k, spark).checkpoint(eager=True)
+        y = _orthonormalise(_times(r, z, I, U).checkpoint(eager=True), U, k, spark).checkpoint(eager=True)
     bt = _times(r, y, U, I).checkpoint(eager=True)          # B^T = A^T Q: (item, j, w)
     bbt = _small(bt, I, k)                                     # B B^T, k x k
     lam, w = np.linalg.eigh(bbt)
@@ -236,12 +236,11 @@ def sgd_factors(train: DataFrame, rank: int = SGD_RANK, lam: float = SGD_LAMBDA,
 
             def run(rp, fp):
                 return _sgd_block(rp.sort_values("_o"), fp, gamma, lam)
-            out = rs.groupBy("key").cogroup(fs.groupBy("key")).applyInPandas(run, schema)
+            out = rs.groupBy("key").cogroup(fs.groupBy("key")).applyInPandas(run, schema).checkpoint(eager=True)
             p = out.where(F.col("kind") == "p").select("id", "vec").withColumn(
                 "b", F.pmod(F.xxhash64(F.lit(seed), F.col("id")), bk).cast("int"))
             q = out.where(F.col("kind") == "q").select("id", "vec").withColumn(
                 "b", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("id")), bk).cast("int"))
-            p, q = p.checkpoint(eager=True), q.checkpoint(eager=True)
         if on_epoch is not None:
             on_epoch(epoch, p.select(F.col("id").alias(U), F.col("vec").alias("p")),
                      q.select(F.col("id").alias(I), F.col("vec").alias("q")))

@@ -55,6 +55,14 @@ def like_dislike_scores(train: DataFrame, test: DataFrame, part: Sequence[str] =
             .withColumn("pred", F.coalesce(F.col("pred").cast("double"), F.lit(0.0))))
 
 
+#: UDF-3: distance name -> (function of the columns dot, squared norm, squared norm; whether zero norms are special).
+#: Add an entry to use a distance of your own; an unknown name raises.
+DISTANCES = {
+    "cos": (lambda dot, a, b: F.when((a == 0) | (b == 0), F.lit(-1.0)).otherwise(1 - dot / F.sqrt(a * b)), True),
+    "euc": (lambda dot, a, b: F.sqrt(F.greatest(a + b - 2 * dot, F.lit(0.0))), False),
+}
+
+
 def knn_classify(train: DataFrame, test: DataFrame, k: int = DEFAULT_K, distance: str = "cos",
                  part: Sequence[str] = ("fold",), zero_norm: str = "keep") -> DataFrame:
     """JOB-13: classify test cell (u, i) by majority vote of u's labels on the k
@@ -70,11 +78,11 @@ def knn_classify(train: DataFrame, test: DataFrame, k: int = DEFAULT_K, distance
                                   F.col("label").alias("lv")), "knn_train")
     j = candidate_stats(test.select(*part, U, I), tr, I, U, "v", part, keep=["lv"])
     zero = (F.col("sq_t") == 0) | (F.col("sq_n") == 0)
-    if distance == "euc":
-        d = dec(F.sqrt(F.greatest(F.col("sq_t") + F.col("sq_n") - 2 * F.col("dot"), F.lit(0.0))))
-        zero = F.lit(False)
-    else:
-        d = dec(F.when(zero, F.lit(-1.0)).otherwise(1 - F.col("dot") / F.sqrt(F.col("sq_t") * F.col("sq_n"))))
+    if distance not in DISTANCES:
+        raise ValueError(f"unknown distance {distance!r}; known: {', '.join(sorted(DISTANCES))}")
+    value, has_zero = DISTANCES[distance]
+    d = dec(value(F.col("dot"), F.col("sq_t"), F.col("sq_n")))
+    zero = zero if has_zero else F.lit(False)
     scored = j.select(*part, U, I, "nbr", "lv", d.alias("dist"), zero.alias("zero"))
     if zero_norm == "drop":
         scored = scored.where(~F.col("zero"))

@@ -56,7 +56,7 @@ def src3_tags_csv(spark, sf_dir):
     """SRC-3: tags csv with header in ISO-8859-1, quoted fields."""
     t = views.tags(spark, sf_dir).select("user_id", "item_id", "tag", F.lit(0).cast("long").alias("ts"))
     path = scratch_path(spark, "tags_csv")
-    t.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    t.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1").option("escape", '"').csv(path)
     return io.read_tags(spark, path).select("user_id", "item_id", "tag")
 
 
@@ -67,7 +67,7 @@ def src4_movies_csv(spark, sf_dir):
     """SRC-4 / PRJ-8: movies csv (title may hold commas), genres split and trimmed."""
     m = views.movies(spark, sf_dir).select("item_id", F.concat("title", F.lit(", The")).alias("title"), "genres")
     path = scratch_path(spark, "movies_csv")
-    m.write.mode("overwrite").option("header", True).csv(path)
+    m.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     r = io.read_movies(spark, path)
     return r.select("item_id", F.explode("genre_list").alias("genre"))
 
@@ -126,7 +126,7 @@ def src9_links_csv(spark, sf_dir):
                      F.lpad(F.col("p_partkey").cast("string"), 7, "0").alias("imdb_id"),
                      (F.col("p_partkey") + 1000).cast("string").alias("tmdb_id"))
     path = scratch_path(spark, "links_csv")
-    links.write.mode("overwrite").option("header", True).csv(path)
+    links.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     from cinerank.operators.prep import skip_empty_key
     return skip_empty_key(io.read_links(spark, path), "imdb_id")
 
@@ -233,7 +233,7 @@ def snk12_factor_model(spark, sf_dir):
     from cinerank.operators import factor as fa
     from cinerank.plans.q_factor import _fold1
     train, _ = _fold1(spark, sf_dir)
-    model = fa.als_model(train, max_iter=5)
+    model = fa.als_model(train, max_iter=10)
     path = scratch_path(spark, "als_model")
     model.write().overwrite().save(path)
     return ALSModel.load(path).itemFactors.select(F.col("id").alias("item_id"), "features")
@@ -242,13 +242,22 @@ def snk12_factor_model(spark, sf_dir):
 @query("flt1_reader_skips_bad_lines", with_views("ratings")
        + f"select user_id, item_id, score, {_EPOCH} as ts from ratings")
 def flt1_reader_skips_bad_lines(spark, sf_dir):
-    """FLT-1 / SCL-1: the ratings folder also holds every English document's text as
+    """FLT-1 / SCL-1: the ratings folder also holds every document's text as
     lines; the PERMISSIVE reader turns them into null keys, which are dropped."""
     path = _ratings_text(spark, sf_dir, "\t")
-    views.documents_en(spark, sf_dir).select("text").write.mode("append").text(path)
+    views.table(spark, sf_dir, "documents").select("text").write.mode("append").text(path)
     return io.read_ratings(spark, path, "\t")
 
 
+@query("flt1_reject_count", "select count(*) as rejects from (select unnest(string_split(text, chr(10))) as line "
+       "from documents) t where trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''")
+def flt1_reject_count(spark, sf_dir):
+    """FLT-1: how many lines the reader rejects when the ratings folder also holds every document's lines."""
+    path = _ratings_text(spark, sf_dir, "\t")
+    views.table(spark, sf_dir, "documents").select("text").write.mode("append").text(path)
+    return io.count_rejects(spark, path, "\t")
+
+
 @query("stream_item_running_means", with_views("ratings")
        + "select item_id, round(avg(score), 6) + 0.0 as mean, count(*) as n from ratings group by item_id")
 def stream_item_running_means(spark, sf_dir):

@@ -65,11 +65,11 @@ def win4_user_positions(spark, sf_dir):
 @query("job25_per_user_holdout", with_views("ratings", extra=[
     _POS, ("cand", "select user_id, item_id, row_number() over (order by ts, user_id, item_id) as t "
                    "from pos where pos between 1 and 10")])
-       + "select p.user_id, p.item_id, case when c.t is not null and c.t <= 5000 then 'test' else 'base' end "
+       + "select p.user_id, p.item_id, case when c.t is not null then 'test' else 'base' end "
          "as split from pos p left join cand c on c.user_id = p.user_id and c.item_id = p.item_id")
 def job25_per_user_holdout(spark, sf_dir):
-    """JOB-25: first 10 ratings of each user are test (ua style), at most 5000 test rows."""
-    h = sp.per_user_holdout(views.ratings(spark, sf_dir), 1, 10, 5000)
+    """JOB-25: first 10 ratings of each user are test (ua style)."""
+    h = sp.per_user_holdout(views.ratings(spark, sf_dir), 1, 10, 0)
     return h.select("user_id", "item_id", "split")
 
 

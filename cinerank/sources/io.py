@@ -45,9 +45,18 @@ def _csv(spark: SparkSession, path: str, schema: T.StructType, sep: str, header:
 
 
 def read_ratings(spark: SparkSession, path: str, sep: str = "\t", binary: bool = False) -> DataFrame:
-    """SRC-1 / SRC-2 / SRC-11 / FLT-1: positional ratings; unparsable lines dropped."""
+    """SRC-1 / SRC-2 / SRC-11 / FLT-1: positional ratings; lines without user, item and value dropped."""
+    return _csv(spark, path, RATINGS_BINARY if binary else RATINGS, sep).where(_complete(binary))
+
+
+def count_rejects(spark: SparkSession, path: str, sep: str = "\t", binary: bool = False) -> DataFrame:
+    """FLT-1: one row (rejects): the lines that ``read_ratings`` drops."""
     df = _csv(spark, path, RATINGS_BINARY if binary else RATINGS, sep)
-    return df.where(F.col(U).isNotNull() & F.col(I).isNotNull())
+    return df.agg(F.count(F.when(~_complete(binary), 1)).alias("rejects"))
+
+
+def _complete(binary: bool):
+    return F.col(U).isNotNull() & F.col(I).isNotNull() & F.col("label" if binary else "score").isNotNull()
 
 
 def read_tags(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
@@ -72,7 +81,7 @@ def read_ragged(spark: SparkSession, path: str, key: str = I, value: str = "tag"
     """SRC-6: lines 'id<TAB>v1<TAB>v2...' to long format (id, value)."""
     parts = spark.read.text(path).select(F.split("value", "\t").alias("p"))
     return (parts.select(F.element_at("p", 1).cast("bigint").alias(key),
-                         F.explode(F.slice("p", 2, 1 << 30)).alias(value))
+                         F.explode(F.slice("p", F.lit(2), F.greatest(F.size("p") - 1, F.lit(0)))).alias(value))
             .where(F.col(key).isNotNull() & (F.length(value) > 0)))
 
 
@@ -107,7 +116,7 @@ def read_profiles(spark: SparkSession, path: str) -> DataFrame:
 
 def write_delimited(df: DataFrame, path: str, sep: str = "\t", header: bool = False) -> None:
     """SNK-1/2/3/5/9/10/11: delimited text (one part file per task)."""
-    df.write.mode("overwrite").option("sep", sep).option("header", header).csv(path)
+    df.write.mode("overwrite").option("sep", sep).option("header", header).option("quote", '"').option("escape", '"').csv(path)
 
 
 def write_folds(df: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -125,9 +125,5 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents_en(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """English documents. Tokenising is CPU-bound, so a scan with fewer input
-    splits than cores is spread round-robin first (a large corpus already has
-    plenty of splits and is left as read)."""
-    d = table(spark, sf_dir, "documents").where(F.col("lang") == "en").select("doc_id", "text")
-    cores = spark.sparkContext.defaultParallelism
-    return d.repartition(cores) if d.rdd.getNumPartitions() < cores else d
+    """English documents."""
+    return table(spark, sf_dir, "documents").where(F.col("lang") == "en").select("doc_id", "text")

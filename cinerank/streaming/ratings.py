@@ -19,7 +19,7 @@ from cinerank.sources.io import RATINGS
 def rating_stream(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     """SRC-1 as a stream: headerless delimited ratings, explicit schema."""
     return (spark.readStream.schema(RATINGS).option("sep", sep).option("mode", "PERMISSIVE").csv(path)
-            .where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull()))
+            .where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & F.col("score").isNotNull()))
 
 
 def running_means(stream: DataFrame, key: str = "item_id") -> DataFrame:

@@ -29,3 +29,30 @@ def test_links_keep_leading_zeros(spark):
     spark.createDataFrame([(1, "0012345", "862")], "item_id bigint, imdb_id string, tmdb_id string") \
         .write.option("header", True).csv(path)
     assert io.read_links(spark, path).first().imdb_id == "0012345"
+
+
+def test_quotes_commas_and_backslashes_survive(spark, tmp_path):
+    from cinerank.sources import io
+
+    rows = [(1, 'Say "Hi", Bob', "A|B"), (2, "back\\slash, \\", "C"), (3, '"', "D")]
+    df = spark.createDataFrame(rows, "item_id bigint, title string, genres string")
+    io.write_delimited(df, f"{tmp_path}/m", sep=",", header=True)
+    got = io.read_movies(spark, f"{tmp_path}/m").select("item_id", "title", "genres").collect()
+    assert sorted(map(tuple, got)) == rows
+
+
+def test_incomplete_ratings_are_rejected_and_counted(spark, tmp_path):
+    from cinerank.sources import io
+
+    spark.createDataFrame([("1\t2\t3.5\t9",), ("1\t2\tabc\t5",), ("7\t8",), ("x",)], "v string").write.text(f"{tmp_path}/r")
+    assert [tuple(r)[:3] for r in io.read_ratings(spark, f"{tmp_path}/r").collect()] == [(1, 2, 3.5)]
+    assert io.count_rejects(spark, f"{tmp_path}/r").first().rejects == 3
+
+
+def test_unknown_distance_raises(spark):
+    import pytest
+
+    from cinerank.operators import knn
+    t = spark.createDataFrame([(1, 1, 1, 1)], "fold int, user_id bigint, item_id bigint, label int")
+    with pytest.raises(ValueError, match="unknown distance"):
+        knn.knn_classify(t, t, distance="cosine")
