@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from itertools import pairwise
 from os.path import commonprefix
 
@@ -21,7 +22,7 @@ BASE = 0x9E3779B97F4A7C15
 _POWERS: dict = {}
 
 
-def suffix_array(s: list[int]) -> list[int]:
+def suffix_array(s: Sequence[int]) -> Sequence[int]:
     """Suffix array of ``s``, whose last symbol is its only smallest one; linear grouping, no recursion.
 
     First phase: suffixes start in groups by symbol. Groups are processed from the highest down. The previous
@@ -35,13 +36,13 @@ def suffix_array(s: list[int]) -> list[int]:
     for c in sorted(set(s)):
         members.append(set())
     number = {c: g for g, c in enumerate(sorted(set(s)))}
-    group = [number[c] for c in s]
+    group = array("q", (number[c] for c in s))  # arrays: a third of a list's memory
     for i, g in enumerate(group):
         members[g].add(i)
     below = list(range(-1, len(members) - 1))
     above = list(range(1, len(members))) + [-1]
-    nearest = list(range(n + 1))  # by position + 1; 0 is no position. Processed positions point to their left
-    previous = [-1] * n
+    nearest = array("q", range(n + 1))  # by position + 1; 0 is no position. Processed positions point to their left
+    previous = array("q", [-1]) * n
     g = len(members) - 1
     while g >= 0:
         now = members[g]
@@ -84,12 +85,12 @@ def suffix_array(s: list[int]) -> list[int]:
         free[h] = at
         at += len(members[h])
         h = above[h]
-    out, placed = [-1] * n, [False] * n
-    out[0], placed[n - 1] = n - 1, True
+    out, placed = array("q", [-1]) * n, bytearray(n)
+    out[0], placed[n - 1] = n - 1, 1
     for r in range(n):
         j = out[r] - 1
         while j >= 0 and not placed[j]:
-            placed[j] = True
+            placed[j] = 1
             h = group[j]
             out[free[h]] = j
             free[h] += 1
@@ -97,9 +98,9 @@ def suffix_array(s: list[int]) -> list[int]:
     return out
 
 
-def common_prefixes(s: list[int], sa: list[int]) -> list[int]:
+def common_prefixes(s: Sequence[int], sa: Sequence[int]) -> Sequence[int]:
     """Symbols that each suffix in ``sa`` shares with the one before it."""
-    n, rank, out, k = len(s), [0] * len(s), [0] * len(s), 0
+    n, rank, out, k = len(s), array("q", [0]) * len(s), array("q", [0]) * len(s), 0
     for r, i in enumerate(sa):
         rank[i] = r
     for i in range(n):
@@ -124,33 +125,36 @@ def repeated_starts(windows: list[tuple[bytes, bytes]], core: int, length: int)
     gives the most bytes that each stretch has in common with any other window."""
     lefts, right_paths = _paths([w[0][::-1] for w in windows]), _paths([w[1] for w in windows])
     m = len(windows)
-    text: list[int] = []
-    size: list[int] = []
-    where: list[tuple[int, int]] = []  # of each symbol: window, bytes from its start to the core's start
+    text, size = array("q"), array("q")
+    window, before = array("q"), array("q")  # of each symbol: its window, and the bytes from its start to the core's start
     for r in range(m):
         for node, a, b in reversed(lefts[r]):
             text.append(m + 1 + 2 * node)
             size.append(b - a)
-            where.append((r, b))
+            window.append(r)
+            before.append(b)
         text.append(m)
         size.append(core)
-        where.append((r, 0))
+        window.append(r)
+        before.append(0)
         for node, a, b in right_paths[r]:
             text.append(m + 2 + 2 * node)
             size.append(b - a)
-            where.append((r, -core - a))
+            window.append(r)
+            before.append(-core - a)
         text.append(m - 1 - r)
         size.append(0)
-        where.append((r, -length))
+        window.append(r)
+        before.append(-length)
     sa = suffix_array(text)
     shared = common_prefixes(text, sa)
-    ends = [0]
+    ends = array("q", [0])
     for k in size:
         ends.append(ends[-1] + k)
     out: list[list[tuple[int, int]]] = [[] for _ in windows]
     for r, i in enumerate(sa):
         k = max(shared[r], shared[r + 1] if r + 1 < len(sa) else 0)
-        w, d = where[i]
+        w, d = window[i], before[i]
         if k and d >= 0:
             most = ends[i + k] - ends[i]
             low = d - size[i] + 1 if d else 0  # a core symbol has the one start d = 0; a left one those down to its end

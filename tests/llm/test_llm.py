@@ -208,7 +208,7 @@ def test_suffix_array():
     for _ in range(1500):
         s = [rng.randint(1, rng.choice([1, 2, 3, 9])) for _ in range(rng.randint(0, 40))] + [0]
         sa = suffix_dedup.suffix_array(s)
-        assert sa == sorted(range(len(s)), key=lambda i: s[i:])
+        assert list(sa) == sorted(range(len(s)), key=lambda i: s[i:])
         lcp = suffix_dedup.common_prefixes(s, sa)
         for r in range(1, len(s)):
             a, b = s[sa[r - 1]:], s[sa[r]:]
