@@ -47,12 +47,13 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col:
                   .where(F.col("_n") >= min_docs).drop("_n"))
     drops = (lines.join(shared, ["_h1", "_h2"]).where(F.col("_doc") > F.col("_first"))
              .groupBy("_doc", "_rid").agg(F.sort_array(F.collect_set("_pos")).alias("_drop")))
-    d = packed(docs, F.col(id_col).alias("_doc"), rid.alias("_rid"), text.alias("_text")).join(drops, ["_doc", "_rid"], "left")
-    d = d.withColumn("_lines", F.split("_text", "\n", -1))
+    d = packed(docs, F.col(id_col).alias("_doc"), rid.alias("_rid")).join(drops, ["_doc", "_rid"], "left")
+    whole = F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))  # taken from the row after the join: the text travels once
+    d = d.withColumn("_lines", F.split(whole, "\n", -1))
     ends = F.array_append(F.col("_drop"), F.size("_lines"))  # the kept runs lie between the dropped positions
     after = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.element_at("_drop", i) + 1)
     runs = F.transform(ends, lambda p, i: F.slice(F.col("_lines"), after(i) + 1, p - after(i)))
-    kept = F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(F.array_join(F.flatten(runs), "\n"))
+    kept = F.when(F.col("_drop").isNull(), whole).otherwise(F.array_join(F.flatten(runs), "\n"))
     dropped = F.when(F.col("_drop").isNull(), F.lit(0)).otherwise(F.size("_drop")).cast("long")
     out = d.select("row", kept.alias("_kept"), F.size("_lines").cast("long").alias("_n"), dropped.alias("_m"))
     names = [c for c in docs.columns if c not in ("_n_lines", "_n_dropped")]
