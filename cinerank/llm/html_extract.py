@@ -24,6 +24,8 @@ HIDDEN = frozenset("head script style title textarea noscript template iframe ob
 CHROME = frozenset("nav footer aside form dialog menu fieldset".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
                   "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
+#: Elements of running text: in a page's marked article they are its content, however often they recur.
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote".split())
 #: An opening tag closes an open element of these kinds.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CHROME_NAME = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|banner|sponsor|sponsored|promo|cookie|cookies|consent|notice|popup|modal|"
@@ -185,14 +187,34 @@ def on_site(site: int, h: int) -> int:
 
 
 def extract(source: str, templates: frozenset[int] | set[int], site: int = 0) -> str:
-    """Main text of one page. What the page itself marks as its article is never taken for a template, so pages
-    that copy an article keep it; elsewhere, subtrees whose ``on_site`` hash is in ``templates`` go."""
+    """Main text of one page: subtrees whose ``on_site`` hash is in ``templates`` go, then chrome, then, if the page
+    marks its article or main part, all else. The running text of a marked part (``PROSE``) is never taken for a template,
+    nor is an element around it, so articles that share passages, and pages that copy an article, keep them."""
     root = parse(source)
     top = main_nodes(root)
-    if top:
-        return block_text(top, True, set())
     drop = {k for k, h in subtree_hashes(root).items() if on_site(site, h) in templates} if templates else set()
-    return block_text([root], False, drop)
+    if drop and top:
+        drop -= running_text(root, top)
+    return block_text(top or [root], bool(top), drop)
+
+
+def running_text(root: Node, top: list[Node]) -> set[int]:
+    """id() of the nodes in ``top``, of the running text inside them, and of all nodes around these."""
+    found, tops = set(), {id(n) for n in top}
+    todo: list[tuple[Node, tuple, bool, bool]] = [(root, (), False, False)]  # node, chain of those around it, in top, in running text
+    while todo:
+        n, chain, inside, prose = todo.pop()
+        chain = (id(n), chain)
+        begins = not inside and id(n) in tops
+        inside |= begins
+        prose |= inside and n.tag in PROSE
+        if begins or prose:
+            up = chain
+            while up and up[0] not in found:
+                found.add(up[0])
+                up = up[1]
+        todo.extend((k, chain, inside, prose) for k in n.kids if isinstance(k, Node))
+    return found
 
 
 def host(url):

@@ -333,6 +333,11 @@ def test_html(spark):
         assert got[i].text == f"Title {i}\n\nOne & two {i}\n\nthree four bold {i}"
     assert [got[i].text for i in range(8, 13)] == ["Head\n\nAbout this site\n\nEnd", "", "", "plain < text", "cut off"]
     assert got[13].text.endswith("deep") and got[8].n_chars == len(got[8].text)
+    # in a marked article, recurring boxes go and recurring running text stays
+    box = "<div><ul><li>Follow us</li></ul></div>"
+    art = [f"<nav>n{i}</nav><article><h1>Same</h1><div><p>Shared passage</p></div>{box}<p>own {i}</p><div>also {i}</div></article><div>x{i}</div>" for i in range(6)]
+    texts = [r.text for r in html_extract.html_digest(pages_of(spark, art)).orderBy("page_id").collect()]
+    assert texts == [f"Same\n\nShared passage\n\nown {i}\n\nalso {i}" for i in range(6)]
     assert html_extract.html_digest(pages_of(spark, [])).count() == 0
 
 
