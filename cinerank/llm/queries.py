@@ -58,4 +58,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_toxicity, op2_simhash_near_dedup, op3_warc, op4_quality_rules, op5_byte_bpe,
         op6_suffix_array_dedup, op7_soft_mixing, op8_html_extraction,
         op9_embedding_near_dedup, op10_line_dedup)}
-ORACLES: dict[str, str] = {"op4_quality_rules": quality.SQL, "op10_line_dedup": line_dedup.SQL}
+ORACLES: dict[str, str] = {"op3_warc": warc.SQL, "op4_quality_rules": quality.SQL, "op10_line_dedup": line_dedup.SQL}

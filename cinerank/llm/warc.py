@@ -205,3 +205,16 @@ def warc_digest(pages: DataFrame) -> DataFrame:
     write_archives(classify(pages), folder, build_dictionary(pages))
     return read_archives(spark, folder, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
+
+SQL = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, cast(octet_length(encode(html)) as bigint) as payload_bytes, sha1(html) as hex from p),
+v as (select *, list_transform(range(8), lambda k: cast('0x' || substr(hex, 5 * k + 1, 5) as bigint)) as parts,
+             min(page_id) over (partition by hex, payload_bytes) as first_id from d)
+select page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           cast((parts[i // 4 + 1] >> cast(15 - 5 * (i % 4) as integer)) & 31 as integer) + 1, 1)), '') as payload_digest,
+       case when page_id = first_id then 'response' else 'revisit' end as record_type,
+       case when page_id <> first_id then first_id end as refers_to
+from v
+"""
