@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from cinerank.functions.scalar import dec
-from cinerank.operators.similarity import candidate_stats
+from cinerank.operators.similarity import candidate_stats, fold_candidates, fold_stats
 from cinerank.session import materialize
 
 U, I = "user_id", "item_id"
@@ -74,13 +74,36 @@ def knn_classify(train: DataFrame, test: DataFrame, k: int = DEFAULT_K, distance
     such neighbours instead); 'euc' = Euclidean distance of the columns.
     Returns (part, user_id, item_id, label, pred)."""
     part = list(part)
+    _distance(distance)
     tr = materialize(train.select(*part, U, I, F.col("label").cast("double").alias("v"),
                                   F.col("label").alias("lv")), "knn_train")
     j = candidate_stats(test.select(*part, U, I), tr, I, U, "v", part, keep=["lv"])
+    return _vote(j, test, k, distance, part, zero_norm)
+
+
+def knn_classify_folds(labels: DataFrame, k: int = DEFAULT_K, distance: str = "cos", folds: Sequence[int] = (1, 2, 3, 4, 5),
+                       zero_norm: str = "keep") -> DataFrame:
+    """``knn_classify`` for every fold of ``folds`` at once, over rows (fold, user_id, item_id, label): every row is
+    written once and pairs are joined once for all folds (``fold_candidates``)."""
+    folds = [int(f) for f in folds]
+    _distance(distance)
+    r = labels.select("fold", U, I, "label", F.col("label").cast("double").alias("v"))
+    r = r.join(fold_stats(r, I, folds, "v", "i"), I)
+    base = materialize(r.select("fold", U, I, "label", "v", F.col("label").alias("lv"), F.col("in").alias("n"), F.col("iq").alias("q"),
+                                F.array(*[F.lit(0.0) for _ in folds]).alias("m")), "knn_rows")
+    j = fold_candidates(base, I, U, folds, ("dot",), keep=["lv"]).withColumnsRenamed({"q_t": "sq_t", "q_n": "sq_n"})
+    return _vote(j, base.where(F.col("fold").isin(*folds)), k, distance, ["fold"], zero_norm)
+
+
+def _distance(name: str):
+    if name not in DISTANCES:
+        raise ValueError(f"unknown distance {name!r}; known: {', '.join(sorted(DISTANCES))}")
+    return DISTANCES[name]
+
+
+def _vote(j: DataFrame, test: DataFrame, k: int, distance: str, part: list, zero_norm: str) -> DataFrame:
     zero = (F.col("sq_t") == 0) | (F.col("sq_n") == 0)
-    if distance not in DISTANCES:
-        raise ValueError(f"unknown distance {distance!r}; known: {', '.join(sorted(DISTANCES))}")
-    value, has_zero = DISTANCES[distance]
+    value, has_zero = _distance(distance)
     d = dec(value(F.col("dot"), F.col("sq_t"), F.col("sq_n")))
     zero = zero if has_zero else F.lit(False)
     scored = j.select(*part, U, I, "nbr", "lv", d.alias("dist"), zero.alias("zero"))

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from cinerank.functions.scalar import clamp, dec
-from cinerank.operators.similarity import DEFAULT_HEAVY_DEGREE, ZERO_NORM_SIM, candidate_stats, similarity
+from cinerank.operators.similarity import (DEFAULT_HEAVY_DEGREE, ZERO_NORM_SIM, candidate_stats, fold_candidates, fold_stats,
+                                           is_builtin, similarity)
 from cinerank.session import materialize
 
 U, I = "user_id", "item_id"
@@ -98,7 +99,7 @@ def predict(train: DataFrame, test: DataFrame, mode: str = "item", kind: str = "
     part = list(part)
     ks = sorted(set(int(k) for k in ks))
     target, ctx = (I, U) if mode == "item" else (U, I)
-    if kind not in ("cos", "pears", "jac"):
+    if not is_builtin(kind):
         return _predict_registered(train, test, mode, kind, ks, part, content, p)
     mu, um, im = baseline_means(train, part)
     means = (train.select(*part, U, I, "score").join(F.broadcast(mu), part, "left")
@@ -126,7 +127,63 @@ def predict(train: DataFrame, test: DataFrame, mode: str = "item", kind: str = "
                              mode, ks, part)
 
 
+def predict_folds(ratings: DataFrame, mode: str = "item", kind: str = "pears", ks: Sequence[int] = DEFAULT_KS,
+                  folds: Sequence[int] = (1, 2, 3, 4, 5), content=None, p: float = DEFAULT_P) -> DataFrame:
+    """``predict`` for every fold of ``folds`` at once: fold f is tested against all rows outside f.
+
+    ratings: (fold, user_id, item_id, score), unique per (user_id, item_id). Every row is written once, with its
+    train means and deviation for each fold as arrays, and pairs are joined once for all folds (``fold_candidates``).
+    The centred cosine is worked out from plain sums: sum(xy) - mx sum(y) - my sum(x) + co mx my."""
+    folds = [int(f) for f in folds]
+    ks = sorted(set(int(k) for k in ks))
+    target, ctx = (I, U) if mode == "item" else (U, I)
+    if not is_builtin(kind):
+        others = F.filter(F.array(*[F.lit(f) for f in folds]), lambda f: f != F.col("fold"))
+        train = ratings.select(F.explode(others).alias("fold"), U, I, "score")
+        return _predict_registered(train, ratings.where(F.col("fold").isin(*folds)), mode, kind, ks, ["fold"], content, p)
+    r = ratings.select("fold", U, I, F.col("score").cast("double").alias("score"))
+    mu = [float(x or 0.0) for x in r.agg(*[F.avg(F.when(F.col("fold") != f, F.col("score"))) for f in folds]).first()]
+    r = r.join(fold_stats(r, U, folds, "score", "u"), U).join(fold_stats(r, I, folds, "score", "i"), I)
+
+    def mean(prefix, k):
+        n = F.get(f"{prefix}n", F.lit(k))
+        return F.coalesce(F.when(n > 0, F.get(f"{prefix}s", F.lit(k)) / n), F.lit(0.0))
+    base_of = [mean("u", k) + mean("i", k) - F.lit(m) for k, m in enumerate(mu)]
+    e = "i" if mode == "item" else "u"
+    means = [mean(e, k) if kind == "pears" else F.lit(0.0) for k in range(len(folds))]
+
+    def norm(k):
+        q, s, n = F.get(f"{e}q", F.lit(k)), F.get(f"{e}s", F.lit(k)), F.get(f"{e}n", F.lit(k))
+        if kind != "pears":
+            return q
+        # equal values only: no spread, but for rounding
+        return F.when(q * n - s * s <= 1e-12 * q * n, F.lit(0.0)).otherwise(q - s * s / n)
+    own = F.coalesce(*[F.when(F.col("fold") == f, b) for f, b in zip(folds, base_of, strict=True)])
+    base = materialize(r.select("fold", U, I, "score", F.col("score").alias("v"), own.alias("b0"), F.array(*[F.col("score") - b for b in base_of]).alias("dev"),
+                                F.col(f"{e}n").alias("n"), F.array(*[norm(k) for k in range(len(folds))]).alias("q"), F.array(*means).alias("m")), "cf_rows")
+    measures = {"cos": ("dot",), "jac": ("co",), "pears": ("dot", "co", "s_a", "s_b")}[kind]
+    j = fold_candidates(base, target, ctx, folds, measures, by_fold=["dev"])
+    if kind == "jac":
+        union = F.col("n_t") + F.col("n_n") - F.col("co")
+        sim, zero = dec(F.when(union == 0, F.lit(0.0)).otherwise(F.col("co") / union)), F.lit(False)
+    else:
+        d = F.col("dot")
+        if kind == "pears":
+            d = d - F.col("m_t") * F.col("s_n") - F.col("m_n") * F.col("s_t") + F.col("co") * F.col("m_t") * F.col("m_n")
+        zero = (F.col("q_t") == 0) | (F.col("q_n") == 0)
+        sim = F.when(zero, F.lit(ZERO_NORM_SIM).cast("decimal(18,9)")).otherwise(dec(d / F.sqrt(F.col("q_t") * F.col("q_n"))))
+    scored = j.select("fold", U, I, "nbr", "dev", "a", "b", sim.alias("sim"), zero.alias("zero_norm"))
+    if content is not None:
+        scored = blend(scored, content, p, kind)
+    test = base.where(F.col("fold").isin(*folds)).select("fold", U, I, "score", F.col("b0").alias("b"))
+    return _top_k(scored.select("fold", U, I, "nbr", "dev", "sim"), test, mode, ks, ["fold"])
+
+
 def _rank_and_predict(scored, test, mu, um, im, mode, ks, part):
+    return _top_k(scored, with_baseline(test.select(*part, U, I, "score"), mu, um, im, part, "b"), mode, ks, part)
+
+
+def _top_k(scored, base, mode, ks, part):
     w = Window.partitionBy(*part, U, I).orderBy(F.col("sim").desc(), F.col("nbr").asc())
     top = scored.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= ks[-1])
     ks_arr = F.array(*[F.lit(k) for k in ks])
@@ -134,7 +191,6 @@ def _rank_and_predict(scored, test, mu, um, im, mode, ks, part):
     den = F.sum(F.col("sim")) if mode == "item" else F.sum(F.abs(F.col("sim")))
     agg = (per_k.groupBy(*part, U, I, "k")
            .agg(F.sum(F.col("sim").cast("double") * F.col("dev")).alias("num"), den.alias("den")))
-    base = with_baseline(test.select(*part, U, I, "score"), mu, um, im, part, "b")
     grid = base.withColumn("k", F.explode(ks_arr))
     out = grid.join(agg, part + [U, I, "k"], "left")
     raw = F.when(F.col("den").isNotNull() & (F.col("den") != 0),

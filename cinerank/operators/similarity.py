@@ -165,6 +165,63 @@ def candidate_stats(test: DataFrame, train: DataFrame, target: str, ctx: str, va
             .drop("sum_a", "sum_b"))
 
 
+def fold_stats(rows: DataFrame, key: str, folds: Sequence[int], value: str, prefix: str) -> DataFrame:
+    """Per ``key`` the count, sum and squared sum of the train side of every fold, as arrays in the order of ``folds``.
+
+    One aggregate over the rows: the train side of fold f is every row outside f, so no row is repeated per fold."""
+    v = F.col(value).cast("double")
+
+    def sums(x, zero):
+        return F.array(*[F.sum(F.when(F.col("fold") != f, x).otherwise(zero)) for f in folds])
+    return rows.groupBy(key).agg(sums(F.lit(1), F.lit(0)).alias(f"{prefix}n"), sums(v, F.lit(0.0)).alias(f"{prefix}s"),
+                                 sums(v * v, F.lit(0.0)).alias(f"{prefix}q"))
+
+
+def fold_dots(rows: DataFrame, target: str, ctx: str, folds: Sequence[int], measures: Sequence[str]) -> DataFrame:
+    """(a, b, one array per measure): co-rating sums of every pair of ``target`` values, for the train side of every fold.
+
+    One self join of the rows on the context, whatever the number of folds: a co-rated pair counts for fold f if neither
+    of its rows is in f. Measures: dot, co (count), s_a and s_b (value sums of either side)."""
+    if len(folds) == 1:
+        rows = rows.where(F.col("fold") != folds[0])
+    x = rows.select(ctx, F.col(target).alias("a"), F.col("v").alias("va"), F.col("fold").alias("fa"))
+    y = rows.select(ctx, F.col(target).alias("b"), F.col("v").alias("vb"), F.col("fold").alias("fb"))
+    term = {"dot": F.col("va") * F.col("vb"), "co": F.lit(1.0), "s_a": F.col("va"), "s_b": F.col("vb")}
+
+    def per_fold(m):
+        return F.array(*[F.sum(F.when((F.col("fa") != f) & (F.col("fb") != f), term[m]).otherwise(F.lit(0.0))) for f in folds])
+    pairs = x.join(y, ctx).where(F.col("a") < F.col("b"))
+    return pairs.groupBy("a", "b").agg(*[per_fold(m).alias(m) for m in measures])
+
+
+def fold_candidates(base: DataFrame, target: str, ctx: str, folds: Sequence[int], measures: Sequence[str] = ("dot",),
+                    by_fold: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
+    """Candidate rows of a neighbourhood job over several folds, with the pair statistics attached.
+
+    ``base``: every row once, with fold, user_id, item_id, v, the arrays n, q and m of its ``target`` (train count,
+    squared norm and mean per fold) and the columns named in ``by_fold`` (arrays per fold) and ``keep``. A row of
+    fold f in ``folds`` meets the rows of its context that are not in f; each candidate picks fold f's entries.
+    The co-rating rows of a context (at most half the square of its size) are no more than the order of its candidate
+    rows, which an exact top-k needs anyway, so there is one plan for contexts of every size; AQE splits a hot one.
+    Returns fold, user_id, item_id, nbr, a, b, n_t, q_t, m_t, n_n, q_n, m_n, measures (s_t and s_n for s_a, s_b), by_fold, keep."""
+    at = F.array_position(F.array(*[F.lit(int(f)) for f in folds]), F.col("fold").cast("int")).cast("int")
+    te = base.where(F.col("fold").isin(*folds)).withColumn("_at", at)
+    te = te.select("fold", "user_id", "item_id", "_at", *[F.element_at(c, F.col("_at")).alias(f"{c}_t") for c in ("n", "q", "m")])
+    tr = base.select(ctx, F.col(target).alias("nbr"), F.col("fold").alias("_nf"), "n", "q", "m", *by_fold, *keep)
+    cand = te.join(tr, ctx).where((F.col("_nf") != F.col("fold")) & (F.col("nbr") != F.col(target)))
+    cand = cand.select("fold", "user_id", "item_id", "nbr", "_at", F.least(target, "nbr").alias("a"), F.greatest(target, "nbr").alias("b"),
+                       "n_t", "q_t", "m_t", *[F.element_at(c, F.col("_at")).alias(f"{c}_n") for c in ("n", "q", "m")],
+                       *[F.element_at(c, F.col("_at")).alias(c) for c in by_fold], *keep)
+    out = cand.join(fold_dots(base, target, ctx, folds, measures), ["a", "b"], "left")
+    for m in measures:
+        out = out.withColumn(m, F.coalesce(F.element_at(m, F.col("_at")), F.lit(0.0)))
+    if "s_a" in measures:
+        t_is_a = F.col(target) == F.col("a")
+        out = out.withColumn("s_t", F.when(t_is_a, F.col("s_a")).otherwise(F.col("s_b")))
+        out = out.withColumn("s_n", F.when(t_is_a, F.col("s_b")).otherwise(F.col("s_a"))).drop("s_a", "s_b")
+    return out.drop("_at")
+
+
 def cosine_from_stats(stats: DataFrame, part: Sequence[str] = ()) -> DataFrame:
     """Cosine with the zero-norm sentinel; rounded to DECIMAL(18,9)."""
     zero = (F.col("sq_a") == 0) | (F.col("sq_b") == 0)
@@ -204,6 +261,16 @@ def _jac(values, pairs, entity, context, part=()):
 SIMILARITIES: dict[str, Callable] = {"cos": _cos, "pears": _pears, "jac": _jac}
 
 
+BUILTINS = dict(SIMILARITIES)
+
+
+def is_builtin(kind: str) -> bool:
+    """Whether ``kind`` is a built-in similarity that nobody replaced; an unknown name raises."""
+    if kind not in SIMILARITIES:
+        raise ValueError(f"unknown similarity {kind!r}; known: {', '.join(sorted(SIMILARITIES))}")
+    return SIMILARITIES[kind] is BUILTINS.get(kind)
+
+
 def register_similarity(name: str, fn: Callable) -> None:
     """Add a user similarity: fn(values, pairs, entity, context, part) -> (part, a, b, sim, zero_norm)."""
     SIMILARITIES[name] = fn

@@ -98,8 +98,7 @@ def job8_like_dislike_fold1(spark, sf_dir):
 
 
 def _knn_preds(spark, sf_dir, distance="cos"):
-    train, test = nb.fold_sides(binary_folds(spark, sf_dir), cols=("user_id", "item_id", "label"))
-    return knn.knn_classify(train, test, k=10, distance=distance)
+    return knn.knn_classify_folds(binary_folds(spark, sf_dir), k=10, distance=distance)
 
 
 def _knn_sql(distance="cos"):

@@ -17,9 +17,8 @@ METRICS = ["rmse", "mae", "sqrt_mae"]
 def cf_metrics(spark, sf_dir, mode, kind, only=None, ks=nb.DEFAULT_KS, content=None,
                p=nb.DEFAULT_P, mean_over_folds=False):
     folds = views.folds(spark, sf_dir)
-    train, test = nb.fold_sides(folds, only=only)
     c = content(spark, sf_dir) if content is not None else None
-    preds = nb.predict(train, test, mode=mode, kind=kind, ks=ks, content=c, p=p)
+    preds = nb.predict_folds(folds, mode=mode, kind=kind, ks=ks, folds=range(1, 6) if only is None else (only,), content=c, p=p)
     m = error_metrics(preds, ("fold", "k"))
     if mean_over_folds:
         return rounded(fold_mean(m, ("k",)), METRICS)

@@ -190,10 +190,14 @@ def _item_profile_sim(kind):
     return content
 
 
-def _user_profile_sim(spark, sf_dir):
+def _user_profile_jac(spark, sf_dir):
+    return _user_profile_sim(spark, sf_dir, "jac")
+
+
+def _user_profile_sim(spark, sf_dir, kind="cos"):
     _, iprof, _ = content_tables(spark, sf_dir)
     up = staged(spark, f"uprofA:{sf_dir}", lambda: cb.user_profiles(views.ratings(spark, sf_dir), iprof, "A"))
-    return cb.profile_similarity(up, "user_id", "cos")
+    return cb.profile_similarity(up, "user_id", kind)
 
 
 _ICOS = ("content", "select x.item_id as a, y.item_id as b, sum(x.weight * y.weight) / sqrt(max(nx.sq) * "
@@ -216,6 +220,11 @@ _UCOS = ("content", "select x.user_id as a, y.user_id as b, sum(x.weight * y.wei
                     "join (select user_id, sum(weight * weight) as sq from upa group by 1) nx on nx.user_id = "
                     "x.user_id join (select user_id, sum(weight * weight) as sq from upa group by 1) ny on "
                     "ny.user_id = y.user_id group by 1, 2")
+_UJAC = ("content", "select x.user_id as a, y.user_id as b, count(*) / (max(nx.n) + max(ny.n) - count(*)) as csim "
+                    "from upa x join upa y on x.idx = y.idx and x.user_id < y.user_id "
+                    "join (select user_id, count(*) as n from upa group by 1) nx on nx.user_id = x.user_id "
+                    "join (select user_id, count(*) as n from upa group by 1) ny on ny.user_id = y.user_id "
+                    "group by 1, 2")
 
 
 def _hybrid_sql(mode, kind, content_ctes_):
@@ -240,3 +249,9 @@ def job5_item_item_hybrid_jac(spark, sf_dir):
 def job7_user_user_hybrid(spark, sf_dir):
     """JOB-7 / JOI-10: user-user centred cosine blended with user-profile cosine (variant A, D4: the Gram)."""
     return cf_metrics(spark, sf_dir, "user", "pears", content=_user_profile_sim)
+
+
+@query("job7_user_user_hybrid_jac", _hybrid_sql("user", "jac", _UPROF_A + [_UJAC]))
+def job7_user_user_hybrid_jac(spark, sf_dir):
+    """JOB-7 / SIM-9: user-user Jaccard blended with the Jaccard of the user profiles."""
+    return cf_metrics(spark, sf_dir, "user", "jac", content=_user_profile_jac)

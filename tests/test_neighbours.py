@@ -1,4 +1,7 @@
 """Neighbourhood prediction fixtures (FIXTURES.md part C)."""
+import pytest
+
+from cinerank.operators import neighbours as nb
 from cinerank.operators.neighbours import predict
 
 from conftest import ratings_df
@@ -67,3 +70,26 @@ def test_user_user_uses_absolute_denominator(spark):
     test = [(1, 1, 10, 4.0)]
     p = _preds(spark, train, test, mode="user", kind="cos", ks=(5,))
     assert 1.0 <= p[(1, 10, 5)] <= 5.0
+
+
+@pytest.mark.parametrize("kind", ["cos", "pears", "jac"])
+@pytest.mark.parametrize("mode", ["item", "user"])
+def test_predict_folds_equals_fold_sides(spark, mode, kind):
+    """One join for all folds gives what a train side per fold gives; user 0 is a hot context."""
+    from pyspark.sql import functions as F
+    cells = {(u, i) for u in range(8) for i in range(12) if u == 0 or (u * 7 + i * 5) % 3 == 0}
+    rows = [((u * 3 + i) % 3 + 1, u, i, float((u * i + u + 2 * i) % 5 + 1)) for u, i in sorted(cells)]
+    folds = spark.createDataFrame(rows, "fold int, user_id bigint, item_id bigint, score double")
+    train, test = nb.fold_sides(folds, n_folds=3)
+    cols = ["fold", "user_id", "item_id", "k", F.round("pred", 6).alias("pred")]
+    old = nb.predict(train, test, mode=mode, kind=kind, ks=(2, 5), heavy_degree=4).select(*cols).collect()
+    new = nb.predict_folds(folds, mode=mode, kind=kind, ks=(2, 5), folds=(1, 2, 3)).select(*cols).collect()
+    assert sorted(old) == sorted(new)
+    one = nb.predict_folds(folds, mode=mode, kind=kind, ks=(2, 5), folds=(2,)).select(*cols).collect()
+    assert sorted(one) == sorted(r for r in old if r.fold == 2)
+
+
+def test_unknown_similarity_raises(spark):
+    t = spark.createDataFrame([(1, 1, 1, 3.0)], "fold int, user_id bigint, item_id bigint, score double")
+    with pytest.raises(ValueError):
+        nb.predict_folds(t, kind="nope")
