@@ -1,8 +1,8 @@
 """Folds, hold-outs and samples (JOB-21..JOB-25, WIN-4, WIN-5, SRT-2).
 
-Randomness is a seeded hash of the row key (``xxhash64``), so a split is
-reproducible, needs no shuffle and survives recomputation after an
-executor loss (``rand()`` would not). Positions in an order use the
+Randomness is a seeded hash of the row key (60 bits of its MD5, which any SQL
+engine can repeat), so a split is reproducible, needs no shuffle and survives
+recomputation after an executor loss (``rand()`` would not). Positions in an order use the
 distributed global rank, never a single-task window.
 """
 
@@ -14,40 +14,46 @@ from pyspark.sql import functions as F
 from cinerank.operators.ranking import global_rank
 
 U, I = "user_id", "item_id"
-_BUCKETS = 1_000_000
+_HASH_BITS = 60
 
 
-def _unit(seed: int, *cols) -> F.Column:
-    """Deterministic pseudo-uniform value in [0, 1) from a seeded row hash."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(_BUCKETS)) / F.lit(float(_BUCKETS))
+def key_hash(seed: int, *cols) -> F.Column:
+    """Pseudo-uniform whole number below 2^60: the first 15 hex digits of the MD5 of 'seed|col|col...'."""
+    key = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint")
+
+
+def _below(fraction: float, seed: int, *cols) -> F.Column:
+    """True for about ``fraction`` of the keys; the whole hash is compared, so small fractions hold too."""
+    return key_hash(seed, *cols) < F.lit(int(fraction * (1 << _HASH_BITS)))
 
 
 def hash_folds(ratings: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
     """JOB-21: shuffled k-fold by hashing (user, item); near-equal sizes."""
-    return ratings.withColumn("fold", (F.pmod(F.xxhash64(F.lit(seed), U, I), F.lit(k)) + 1).cast("int"))
+    return ratings.withColumn("fold", (F.pmod(key_hash(seed, U, I), F.lit(k)) + 1).cast("int"))
 
 
 def balanced_folds(ratings: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
     """JOB-21, sizes equal within 1: rank rows by their seeded hash (global
     rank, no single-task window) and deal ranks round-robin into k folds."""
-    h = ratings.withColumn("_h", F.xxhash64(F.lit(seed), U, I))
+    h = ratings.withColumn("_h", key_hash(seed, U, I))
     r = global_rank(h, ["_h", U, I], "_r", start=0)
     return r.withColumn("fold", (F.pmod(F.col("_r"), F.lit(k)) + 1).cast("int")).drop("_h", "_r")
 
 
 def holdout(ratings: DataFrame, test_fraction: float = 0.25, seed: int = 42) -> DataFrame:
     """JOB-22: random hold-out; adds ``split`` = 'train' / 'test'."""
-    return ratings.withColumn("split", F.when(_unit(seed, U, I) < test_fraction, "test").otherwise("train"))
+    return ratings.withColumn("split", F.when(_below(test_fraction, seed, U, I), "test").otherwise("train"))
 
 
 def bernoulli_sample(ratings: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     """JOB-23: keep each row with probability ``fraction`` (reproducible)."""
-    return ratings.where(_unit(seed, U, I) < fraction)
+    return ratings.where(_below(fraction, seed, U, I))
 
 
 def user_sample(ratings: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     """JOB-24: cluster sample - every rating of each chosen user, none of the others."""
-    return ratings.where(_unit(seed, U) < fraction)
+    return ratings.where(_below(fraction, seed, U))
 
 
 def positions(ratings: DataFrame, order=("ts", I)) -> DataFrame:

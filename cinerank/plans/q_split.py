@@ -16,32 +16,55 @@ def job21_modulo_fold_sizes(spark, sf_dir):
     return views.folds(spark, sf_dir).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("job21_hash_folds")
+def _h(*cols: str, seed: int = 42) -> str:
+    """The splits' hash in SQL: 60 bits of the MD5 of 'seed|col|col...'."""
+    key = ", ".join(["'" + str(seed) + "'", *[f"cast({c} as varchar)" for c in cols]])
+    return f"cast('0x' || substr(md5(concat_ws('|', {key})), 1, 15) as bigint)"
+
+
+_BALANCED = ("balanced", f"select user_id, item_id, cast((row_number() over (order by {_h('user_id', 'item_id')}, user_id, item_id) - 1) "
+                         "% 5 + 1 as integer) as fold from ratings")
+
+
+@query("job21_hash_folds", with_views("ratings")
+       + f"select user_id, item_id, cast({_h('user_id', 'item_id')} % 5 + 1 as integer) as fold from ratings")
 def job21_hash_folds(spark, sf_dir):
-    """JOB-21: shuffled k-fold by seeded hash (rows check; invariants in tests)."""
+    """JOB-21: shuffled k-fold by seeded hash."""
     return sp.hash_folds(views.ratings(spark, sf_dir)).select("user_id", "item_id", "fold")
 
 
-@query("job21_balanced_fold_sizes")
+@query("job21_balanced_folds", with_views("ratings", extra=[_BALANCED]) + "select user_id, item_id, fold from balanced")
+def job21_balanced_folds(spark, sf_dir):
+    """JOB-21: rows dealt to the folds in hash order."""
+    return sp.balanced_folds(views.ratings(spark, sf_dir)).select("user_id", "item_id", "fold")
+
+
+@query("job21_balanced_fold_sizes", with_views("ratings", extra=[_BALANCED]) + "select fold, count(*) as n from balanced group by fold")
 def job21_balanced_fold_sizes(spark, sf_dir):
     """JOB-21: hash-ordered folds whose sizes differ by at most one."""
     f = sp.balanced_folds(views.ratings(spark, sf_dir))
     return f.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("job22_holdout")
+@query("job22_holdout", with_views("ratings") + f"select user_id, item_id, case when {_h('user_id', 'item_id')} < {int(0.25 * (1 << 60))} "
+       "then 'test' else 'train' end as split from ratings")
 def job22_holdout(spark, sf_dir):
     """JOB-22: 75/25 hold-out by seeded hash."""
     return sp.holdout(views.ratings(spark, sf_dir)).select("user_id", "item_id", "split")
 
 
-@query("job23_bernoulli_sample")
+@query("job23_bernoulli_sample", with_views("ratings")
+       + f"select user_id, item_id, score from ratings where {_h('user_id', 'item_id')} < {int(0.1 * (1 << 60))}")
 def job23_bernoulli_sample(spark, sf_dir):
     """JOB-23: row-level sample, fraction 0.1 (sampling is the feature)."""
     return sp.bernoulli_sample(views.ratings(spark, sf_dir), 0.1).select("user_id", "item_id", "score")
 
 
-@query("agg24_user_sample_counts")
+@query("agg24_user_sample_counts", with_views("ratings", extra=[
+    ("s", f"select user_id from ratings where {_h('user_id')} < {int(0.3 * (1 << 60))}")])
+       + "select b.u as users_before, b.n as rows_before, a.u as users_after, a.n as rows_after "
+         "from (select count(distinct user_id) as u, count(*) as n from ratings) b, "
+         "(select count(distinct user_id) as u, count(*) as n from s) a")
 def agg24_user_sample_counts(spark, sf_dir):
     """JOB-24 / AGG-24: distinct users and rows before and after a 30% user sample."""
     r = views.ratings(spark, sf_dir)
