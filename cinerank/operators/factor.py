@@ -3,20 +3,24 @@
 * ALS (Spark ML) is the default factoriser: its ``regParam`` is scaled by the
   number of ratings of each user/item (ALS-WR), the same per-rating weight
   decay the SGD update applies once per observed rating.
-* Truncated SVD is a randomized subspace iteration written with DataFrame
-  joins and aggregations over long-format factors (entity, j, value). The
-  only driver-side work is on k x k matrices (Gram, Cholesky, eigen), so no
-  user or item row is ever collected into one vector or one task.
+* Truncated SVD is a subspace iteration over tables of one row per user or item
+  that hold a vector for every fold: each half step is one join, one aggregate
+  and one written table. Only k x k matrices reach the driver.
+* Stratified block SGD runs the sequential update in parallel blocks.
 * Scoring joins factor rows to the test cells and sums products (SCL-10).
 """
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinerank.functions.scalar import clamp, dot
+from cinerank.operators.ranking import global_rank
+from cinerank.session import materialize, scratch_path
 
 U, I = "user_id", "item_id"
 
@@ -24,55 +28,54 @@ U, I = "user_id", "item_id"
 SGD_RANK, SGD_LAMBDA, SGD_GAMMA, SGD_EPOCHS = 20, 0.1, 0.01, 100
 
 
-_INT_MAX = 2 ** 31 - 1
-
-
 def _dense_ids(train: DataFrame, col: str) -> DataFrame:
     """(col, dense int id) from the distributed global rank of the distinct ids."""
-    from cinerank.operators.ranking import global_rank
-    return global_rank(train.select(col).distinct(), [col], "_id", start=0).select(
-        col, F.col("_id").cast("int").alias("_id"))
+    return global_rank(train.select(col).distinct(), [col], "_id", start=0).select(col, F.col("_id").cast("int").alias("_id"))
 
 
-def als_model(train: DataFrame, rank: int = SGD_RANK, reg: float = SGD_LAMBDA, max_iter: int = 10,
-              seed: int = 42):
+def als_model(train: DataFrame, rank: int = SGD_RANK, reg: float = SGD_LAMBDA, max_iter: int = 10, seed: int = 42,
+              blocks: int | None = None):
     """JOB-14 default: fit ALS on (user_id, item_id, score).
 
-    ALS needs int ids: when an id exceeds the int range, users and items are
-    renumbered densely (global rank) and ``als_factors`` maps them back."""
+    ALS needs int ids, so users and items are always renumbered densely (global rank) and ``als_factors`` maps them
+    back. ``blocks`` is the number of user and of item blocks, hence of tasks; by default the cluster's parallelism."""
     from pyspark.ml.recommendation import ALS
-    als = ALS(rank=rank, regParam=reg, maxIter=max_iter, seed=seed, userCol="u", itemCol="i",
-              ratingCol="score", coldStartStrategy="nan", nonnegative=False, checkpointInterval=5)
-    hi = train.agg(F.max(U), F.max(I), F.min(U), F.min(I)).first()
-    if max(hi[0], hi[1]) > _INT_MAX or min(hi[2], hi[3]) < 0:
-        um, im = _dense_ids(train, U), _dense_ids(train, I)
-        data = (train.join(um, U).withColumnRenamed("_id", "u").join(im, I).withColumnRenamed("_id", "i")
-                .select("u", "i", "score"))
-        model = als.fit(data)
-        model._cinerank_maps = (um, im)
-        return model
-    data = train.select(F.col(U).cast("int").alias("u"), F.col(I).cast("int").alias("i"), "score")
-    return als.fit(data)
+    blocks = blocks or train.sparkSession.sparkContext.defaultParallelism
+    als = ALS(rank=rank, regParam=reg, maxIter=max_iter, seed=seed, userCol="u", itemCol="i", ratingCol="score",
+              coldStartStrategy="nan", nonnegative=False, checkpointInterval=5, numUserBlocks=blocks, numItemBlocks=blocks)
+    um, im = _dense_ids(train, U), _dense_ids(train, I)
+    model = als.fit(train.join(um, U).join(im.withColumnRenamed("_id", "i"), I).select(F.col("_id").alias("u"), "i", "score"))
+    model._id_maps = (um, im)
+    return model
 
 
 def als_factors(model):
-    """SNK-12 content: factor tables (id, features array<double>)."""
+    """SNK-12 content: factor tables (id, features array<double>) under the ids of the training rows."""
+    um, im = model._id_maps
     uf = model.userFactors.select(F.col("id").alias("_id"), F.col("features").cast("array<double>").alias("p"))
     itf = model.itemFactors.select(F.col("id").alias("_id"), F.col("features").cast("array<double>").alias("q"))
-    maps = getattr(model, "_cinerank_maps", None)
-    if maps is not None:
-        return uf.join(maps[0], "_id").select(U, "p"), itf.join(maps[1], "_id").select(I, "q")
-    return (uf.select(F.col("_id").cast("bigint").alias(U), "p"),
-            itf.select(F.col("_id").cast("bigint").alias(I), "q"))
+    return uf.join(um, "_id").select(U, "p"), itf.join(im, "_id").select(I, "q")
+
+
+def save_factors(user_factors: DataFrame, item_factors: DataFrame, path: str) -> None:
+    """SNK-12: the two factor tables as Parquet below ``path``."""
+    user_factors.select(U, "p").write.mode("overwrite").parquet(f"{path}/users")
+    item_factors.select(I, "q").write.mode("overwrite").parquet(f"{path}/items")
+
+
+def load_factors(spark: SparkSession, path: str):
+    """The tables that ``save_factors`` wrote: (user_id, p) and (item_id, q)."""
+    return spark.read.parquet(f"{path}/users"), spark.read.parquet(f"{path}/items")
 
 
 def score_cells(cells: DataFrame, user_factors: DataFrame, item_factors: DataFrame,
-                fallback: DataFrame | float | None = None, bound: bool = True) -> DataFrame:
+                fallback: DataFrame | float | None = None, bound: bool = True, by: tuple[str, ...] = ()) -> DataFrame:
     """JOB-16 / JOB-17 / JOB-20: predicted value of each cell = p_u . q_i.
 
     Cells whose user or item has no factors get ``fallback`` (e.g. the train
-    mean); ``bound`` clamps to [1, 5] (compute_errors) or not (the light form)."""
-    j = cells.join(user_factors, U, "left").join(item_factors, I, "left")
+    mean); ``bound`` clamps to [1, 5] (compute_errors) or not (the light form).
+    ``by`` names further key columns of cells and factors, such as an epoch."""
+    j = cells.join(user_factors, [*by, U], "left").join(item_factors, [*by, I], "left")
     raw = F.when(F.col("p").isNotNull() & F.col("q").isNotNull(), dot("p", "q"))
     if isinstance(fallback, DataFrame):
         fallback = fallback.first()["mu"]  # one number to the driver
@@ -83,86 +86,123 @@ def score_cells(cells: DataFrame, user_factors: DataFrame, item_factors: DataFra
 
 
 # --- truncated SVD by subspace iteration --------------------------------------
-
-def _omega(items: DataFrame, k: int, seed: int) -> DataFrame:
-    """Deterministic random test matrix (item, j, w) with w ~ U(-1, 1)."""
-    js = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("j")
-    h = F.pmod(F.xxhash64(F.lit(seed), F.col(I), F.col("j")), F.lit(2_000_001)) - F.lit(1_000_000)
-    return items.select(I, js).withColumn("w", h / F.lit(1_000_000.0))
-
-
-def _times(ratings: DataFrame, mat: DataFrame, by: str, out: str) -> DataFrame:
-    """(ratings as A) x mat: mat is (by, j, w); result (out, j, w)."""
-    return (ratings.select(U, I, "score").join(mat, by)
-            .groupBy(out, "j").agg(F.sum(F.col("score") * F.col("w")).alias("w")))
-
-
-def _small(df: DataFrame, key: str, k: int) -> np.ndarray:
-    """Collect a k x k Gram-style aggregate (bounded by k^2, not by the data)."""
-    g = (df.alias("x").join(df.alias("y"), key)
-         .groupBy(F.col("x.j").alias("j1"), F.col("y.j").alias("j2"))
-         .agg(F.sum(F.col("x.w") * F.col("y.w")).alias("g")))
-    m = np.zeros((k, k))
-    for r in g.collect():
-        m[r["j1"], r["j2"]] = r["g"]
-    return m
-
-
-def _apply_small(df: DataFrame, key: str, mat: np.ndarray, spark: SparkSession) -> DataFrame:
-    """df (key, j, w) times a small k x k matrix -> (key, j, w)."""
-    k = mat.shape[0]
-    rows = [(int(a), int(b), float(mat[a, b])) for a in range(k) for b in range(k)]
-    sm = spark.createDataFrame(rows, "l int, j int, m double")
-    return (df.withColumnRenamed("j", "l").join(F.broadcast(sm), "l")  # k^2 rows
-            .groupBy(key, "j").agg(F.sum(F.col("w") * F.col("m")).alias("w")))
-
-
-def _orthonormalise(df: DataFrame, key: str, k: int, spark: SparkSession) -> DataFrame:
-    g = _small(df, key, k)
-    g = g + np.eye(k) * 1e-10 * max(np.trace(g), 1.0)
-    lower = np.linalg.cholesky(g)
-    return _apply_small(df, key, np.linalg.inv(lower.T), spark)
-
-
-def truncated_svd(ratings: DataFrame, k: int = 5, iters: int = 3, seed: int = 42):
-    """JOB-18: rank-k SVD of the (sparse, long-format) rating matrix.
-
-    Returns (US, V) as long tables: us (user_id, j, w) = U * Sigma and
-    v (item_id, j, w), so that the reconstruction at (u, i) = sum_j us * v,
-    plus the singular values as a Python list."""
-    spark = ratings.sparkSession
-    r = ratings.select(U, I, "score").persist()
-    items = r.select(I).distinct()
-    z = _omega(items, k, seed)
-    y = _orthonormalise(_times(r, z, I, U).checkpoint(eager=True), U, k, spark).checkpoint(eager=True)
+# A matrix table has a row for each entity: (entity, m), m = an array with a vector of k numbers for every group.
+
+_MATS = "array<array<array<double>>>"
+
+
+def centred_by_fold(folds: DataFrame, n_folds: int = 5) -> tuple[DataFrame, DataFrame]:
+    """JOB-19: item-mean-centred training values for every fold at once.
+
+    Returns rows (user_id, item_id, x), x[f - 1] = score less the item's mean over the other folds, null in the rating's
+    own fold f (where it is a test cell), and the offsets (item_id, off array<double>). Means come from one aggregate
+    by subtraction: whole sum less the fold's own."""
+    ids = range(1, n_folds + 1)
+    part = folds.groupBy(I).agg(F.sum("score").alias("s"), F.count("score").alias("c"),
+                                *[F.sum(F.when(F.col("fold") == f, F.col("score"))).alias(f"s{f}") for f in ids],
+                                *[F.count(F.when(F.col("fold") == f, F.col("score"))).alias(f"c{f}") for f in ids])
+    off = part.select(I, F.array(*[F.when(F.col("c") > F.col(f"c{f}"), (F.col("s") - F.coalesce(f"s{f}", F.lit(0.0)))
+                                          / (F.col("c") - F.col(f"c{f}"))) for f in ids]).alias("off"))
+    off = materialize(off, "svd_offsets")
+    x = F.transform("off", lambda o, k: F.when(F.col("fold") != k + 1, F.col("score") - o))
+    return folds.join(off, I).select(U, I, x.alias("x")), off
+
+
+def _random_start(items: DataFrame, groups: int, k: int, seed: int) -> DataFrame:
+    """A reproducible test matrix with entries in [-1, 1): a hash of the item, the same for every group."""
+    u = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda j: F.pmod(
+        F.xxhash64(F.lit(seed), F.col(I), j), F.lit(2_000_001)) / F.lit(1_000_000.0) - F.lit(1.0))
+    return items.select(I, F.array_repeat(u, groups).alias("m"))
+
+
+def _times(values: DataFrame, mat: DataFrame, by: str, out: str, k: int) -> DataFrame:
+    """For every group g: the sum over ``by`` of x[g] * m[g], as a matrix table of ``out``. One join of as many rows as
+    there are ratings; the groups part only behind it, and their sums are combined before the shuffle. A value that is
+    null in a group takes no part in it. (k sums an aggregate: k * groups of them make code too long to compile.)"""
+    rows = values.join(mat, by).select(out, F.posexplode(F.arrays_zip("x", "m")).alias("g", "c"))
+    s = rows.groupBy(out, "g").agg(*[F.sum(F.col("c.x") * F.col("c.m")[j]).alias(f"s{j}") for j in range(k)])
+    v = F.array(*[F.coalesce(f"s{j}", F.lit(0.0)) for j in range(k)])
+    # one row for each group, so the list is as short as the number of groups
+    lists = s.select(out, F.struct("g", v.alias("v")).alias("c")).groupBy(out).agg(F.sort_array(F.collect_list("c")).alias("l"))
+    return lists.select(out, F.col("l.v").alias("m"))
+
+
+def _gram(mat: DataFrame, groups: int, k: int) -> np.ndarray:
+    """groups x k x k inner products of the columns: as many sums as that, whatever the number of rows."""
+    rows = mat.select(F.posexplode("m").alias("g", "v")).select("g", "v", F.posexplode("v").alias("a", "x"))
+    out = np.zeros((groups, k, k))
+    for r in rows.groupBy("g", "a").agg(*[F.sum(F.col("x") * F.col("v")[b]).alias(f"s{b}") for b in range(k)]).collect():
+        out[r["g"], r["a"]] = [r[f"s{b}"] for b in range(k)]  # groups * k rows
+    return (out + out.transpose(0, 2, 1)) / 2
+
+
+def _apply(mat: DataFrame, small: np.ndarray) -> DataFrame:
+    """Every vector times its group's small matrix: a projection, no shuffle."""
+    by_column = F.from_json(F.lit(json.dumps(small.transpose(0, 2, 1).tolist())), _MATS)
+    each = F.zip_with("m", by_column, lambda v, cols: F.transform(cols, lambda c: dot(v, c)))
+    return mat.withColumn("m", each)
+
+
+def _orthonormal(mat: DataFrame, groups: int, k: int) -> DataFrame:
+    """The columns made orthonormal in every group; directions that the matrix lacks become zero."""
+    small = np.zeros((groups, k, k))
+    for g, gram in enumerate(_gram(mat, groups, k)):
+        lam, w = np.linalg.eigh(gram)
+        small[g] = w * np.where(lam > 1e-12 * max(lam.max(), 1e-300), 1 / np.sqrt(np.maximum(lam, 1e-300)), 0.0)
+    return _apply(mat, small)
+
+
+def truncated_svd(values: DataFrame, k: int = 20, iters: int = 3, seed: int = 42, min_values: int = 1):
+    """JOB-18: rank-k SVD of one sparse rating matrix per group, all groups in the same jobs.
+
+    values: (user_id, item_id, score), or (user_id, item_id, x array<double>) with a value or null for each group
+    (``centred_by_fold``). Rows of users and items with fewer than ``min_values`` ratings are left out. Returns matrix
+    tables us = U * Sigma (user_id, m) and v (item_id, m), so that the cell (u, i) of group g is us[g] . v[g], and the
+    singular values of each group. A half step is a join, an aggregate and a written table; the time of each is the
+    same however many went before."""
+    r = values if "x" in values.columns else values.withColumn("x", F.array("score"))
+    r = materialize(r.select(U, I, "x"), "svd_values")
+    if min_values > 1:
+        for key in (U, I):
+            r = r.join(r.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") >= min_values).select(key), key)
+        r = materialize(r.select(U, I, "x"), "svd_values")
+    one = r.select(F.size("x")).first()
+    groups = one[0] if one else 1
+    z = _random_start(r.select(I).distinct(), groups, k, seed)
+    y = _orthonormal(materialize(_times(r, z, I, U, k), "svd_y"), groups, k)
     for _ in range(iters):
-        # cut each half step: the next Gram matrix must not work out the chain again
-        z = _orthonormalise(_times(r, y, U, I).checkpoint(eager=True), I, k, spark).checkpoint(eager=True)
-        y = _orthonormalise(_times(r, z, I, U).checkpoint(eager=True), U, k, spark).checkpoint(eager=True)
-    bt = _times(r, y, U, I).checkpoint(eager=True)          # B^T = A^T Q: (item, j, w)
-    bbt = _small(bt, I, k)                                     # B B^T, k x k
-    lam, w = np.linalg.eigh(bbt)
-    order = np.argsort(lam)[::-1]
-    lam, w = np.clip(lam[order], 0, None), w[:, order]
-    sigma = np.sqrt(lam)
-    inv_sigma = np.array([1.0 / s if s > 1e-12 else 0.0 for s in sigma])
-    us = _apply_small(y, U, w @ np.diag(sigma), spark)            # Q W Sigma
-    v = _apply_small(bt, I, w @ np.diag(inv_sigma), spark)        # B^T W Sigma^-1
-    return us, v, sigma.tolist()
-
-
-def svd_predict(cells: DataFrame, us: DataFrame, v: DataFrame, offset: DataFrame | None = None,
+        z = _orthonormal(materialize(_times(r, y, U, I, k), "svd_z"), groups, k)
+        y = _orthonormal(materialize(_times(r, z, I, U, k), "svd_y"), groups, k)
+    b = materialize(_times(r, y, U, I, k), "svd_b")
+    left, right, sigma = np.zeros((groups, k, k)), np.zeros((groups, k, k)), []
+    for g, gram in enumerate(_gram(b, groups, k)):
+        lam, w = np.linalg.eigh(gram)
+        lam, w = np.clip(lam[::-1], 0, None), w[:, ::-1]
+        s = np.sqrt(lam)
+        left[g] = w * s
+        right[g] = w * np.array([1 / x if x > 1e-12 else 0.0 for x in s])
+        sigma.append(s.tolist())
+    return _apply(y, left), _apply(b, right), sigma
+
+
+def unit_rows(mat: DataFrame) -> DataFrame:
+    """The post-normalised rows of U * Sigma (or V): vectors of length 1, whose dot products are similarities."""
+    length = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, c: a + c * c))
+    return mat.withColumn("m", F.transform("m", lambda v: F.transform(v, lambda c: F.when(length(v) > 0, c / length(v)).otherwise(0.0))))
+
+
+def svd_predict(cells: DataFrame, us: DataFrame, v: DataFrame, offset: DataFrame | None = None, group=None,
                 bound: bool = True) -> DataFrame:
-    """Reconstruct U Sigma V^T at the given cells only (plus an optional
-    per-item ``offset`` (item_id, off) added back after centring, JOB-19)."""
-    parts = (cells.select(U, I).join(us.withColumnRenamed("w", "_a"), U)
-             .join(v.withColumnRenamed("w", "_b"), [I, "j"])
-             .groupBy(U, I).agg(F.sum(F.col("_a") * F.col("_b")).alias("_r")))
-    out = cells.join(parts, [U, I], "left").withColumn("_r", F.coalesce("_r", F.lit(0.0)))
+    """Reconstruct U Sigma V^T at the given cells only. ``group`` is the column with a cell's group (0 on; default 0),
+    ``offset`` (item_id, off array<double>) is added back after centring (JOB-19). Users and items that the matrix
+    lacks count as zero."""
+    g = F.lit(0) if group is None else group
+    out = cells.join(us.withColumnRenamed("m", "_a"), U, "left").join(v.withColumnRenamed("m", "_b"), I, "left")
+    raw = F.coalesce(dot(F.get("_a", g), F.get("_b", g)), F.lit(0.0))
     if offset is not None:
-        out = out.join(offset, I, "left").withColumn("_r", F.col("_r") + F.coalesce("off", F.lit(0.0)))
-        out = out.drop("off")
-    return out.withColumn("pred", clamp("_r") if bound else F.col("_r")).drop("_r")
+        out = out.join(offset.withColumnRenamed("off", "_off"), I, "left")
+        raw = raw + F.coalesce(F.get("_off", g), F.lit(0.0))
+    return out.withColumn("pred", clamp(raw) if bound else raw).drop("_a", "_b", "_off")
 
 
 # --- stratified block SGD (Gemulla et al., KDD 2011) --------------------------
@@ -174,75 +214,85 @@ def _init_factors(ids: DataFrame, key: str, k: int, seed: int, salt: int) -> Dat
     return ids.select(F.col(key).alias("id"), vec.alias("vec"))
 
 
-def _sgd_block(ratings, factors, gamma, lam):
-    """Sequential SGD over one block (one task): e = r - p.q;
-    p += g (e q - l p); q += g (e p_new - l q). Only this block's rows and the
-    factor rows of its user and item block are in memory."""
+def _add_levels(rows):
+    """The rows of one block in update order, with the step at which each can be done: one more than the last step that
+    touched its user or its item. Rows of one step share neither, so doing a step at once gives what one by one gives."""
+    rows = rows.sort_values(["_o", "user_id", "item_id"])
+    last_u: dict[int, int] = {}
+    last_i: dict[int, int] = {}
+    level = np.empty(len(rows), np.int32)
+    for n, (u, i) in enumerate(zip(rows["user_id"].tolist(), rows["item_id"].tolist(), strict=True)):
+        level[n] = last_u[u] = last_i[i] = max(last_u.get(u, 0), last_i.get(i, 0)) + 1
+    rows["level"] = level
+    return rows.drop(columns="_o").sort_values("level", kind="stable")
+
+
+def _sgd_block(ratings, factors, gamma: float, lam: float):
+    """SGD over one block: e = r - p.q; p += g (e q - l p); q += g (e p_new - l q), a step of independent ratings at a
+    time. Only this block's rows and the factor rows of its user and item block are in memory."""
     import pandas as pd
 
-    p = {int(r.id): np.array(r.vec, dtype=float) for r in factors.itertuples() if r.kind == "p"}
-    q = {int(r.id): np.array(r.vec, dtype=float) for r in factors.itertuples() if r.kind == "q"}
-    for u, i, s in zip(ratings["user_id"].to_numpy(), ratings["item_id"].to_numpy(), ratings["score"].to_numpy()):
-        pu, qi = p[int(u)], q[int(i)]
-        e = s - pu.dot(qi)
-        pu += gamma * (e * qi - lam * pu)
-        qi += gamma * (e * pu - lam * qi)
-    rows = [("p", k_, v.tolist()) for k_, v in p.items()] + [("q", k_, v.tolist()) for k_, v in q.items()]
-    key = int(factors["key"].iloc[0]) if len(factors) else (int(ratings["key"].iloc[0]) if len(ratings) else 0)
-    return pd.DataFrame({"key": [key] * len(rows), "kind": [r[0] for r in rows], "id": [r[1] for r in rows],
-                         "vec": [r[2] for r in rows]})
-
-
-# Target ratings per SGD block (one task holds one block at a time).
-SGD_ROWS_PER_BLOCK = 2_000_000
-
-
-def sgd_blocks(n_ratings: int, rows_per_block: int = SGD_ROWS_PER_BLOCK) -> int:
-    """Grid size B so that a block holds about N / B^2 <= rows_per_block ratings."""
-    return max(2, int(np.ceil(np.sqrt(n_ratings / rows_per_block))))
-
-
-def sgd_factors(train: DataFrame, rank: int = SGD_RANK, lam: float = SGD_LAMBDA, gamma: float = SGD_GAMMA,
-                epochs: int = SGD_EPOCHS, blocks: int | None = None, seed: int = 42, on_epoch=None):
-    """JOB-14 SGD mode: distributed stratified SGD.
-
-    Users and items are hashed into ``blocks`` blocks each (default: sized so
-    a block holds about ``SGD_ROWS_PER_BLOCK`` ratings). A sub-epoch
-    processes the ``blocks`` blocks (b, (b + s) mod blocks) in parallel - they
-    share no user and no item, so their updates are independent - with
-    ``cogroup().applyInPandas``; an epoch is ``blocks`` sub-epochs. Factors are
-    checkpointed after each epoch (lineage stays flat). ``on_epoch(epoch, P, Q)``
-    may compute the learning curve. Returns (P, Q) as (user_id, p) / (item_id, q)."""
-    if blocks is None:
-        blocks = sgd_blocks(train.count())
-    bk = F.lit(blocks)
-    r = train.select(U, I, "score",
-                     F.pmod(F.xxhash64(F.lit(seed), F.col(U)), bk).cast("int").alias("ub"),
-                     F.pmod(F.xxhash64(F.lit(seed + 1), F.col(I)), bk).cast("int").alias("ib"))
-    # a fixed update order inside each block (reproducible)
-    r = r.withColumn("_o", F.xxhash64(F.lit(seed + 2), U, I)).checkpoint(eager=True)
-    p = _init_factors(r.select(U).distinct(), U, rank, seed, 1).withColumn(
-        "b", F.pmod(F.xxhash64(F.lit(seed), F.col("id")), bk).cast("int"))
-    q = _init_factors(r.select(I).distinct(), I, rank, seed, 2).withColumn(
-        "b", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("id")), bk).cast("int"))
+    if len(factors) == 0 or len(ratings) == 0:
+        return factors
+    ratings = ratings.sort_values("level", kind="stable")
+    vec, kind, ids = np.stack(factors["vec"].to_numpy()).astype(float), factors["kind"].to_numpy(), factors["id"].to_numpy()
+    of_p, of_q = np.flatnonzero(kind == "p"), np.flatnonzero(kind == "q")
+    u = of_p[pd.Index(ids[of_p]).get_indexer(ratings["user_id"])]
+    i = of_q[pd.Index(ids[of_q]).get_indexer(ratings["item_id"])]
+    score, level = ratings["score"].to_numpy(), ratings["level"].to_numpy()
+    cuts = np.concatenate([[0], np.flatnonzero(level[1:] != level[:-1]) + 1, [len(level)]])
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        p, q = vec[u[a:b]], vec[i[a:b]]
+        e = (score[a:b] - np.einsum("nk,nk->n", p, q))[:, None]
+        p = p + gamma * (e * q - lam * p)
+        vec[i[a:b]] = q + gamma * (e * p - lam * q)
+        vec[u[a:b]] = p
+    return factors.assign(vec=list(vec))
+
+
+def sgd_factors(train: DataFrame, blocks: int, rank: int = SGD_RANK, lam: float = SGD_LAMBDA, gamma: float = SGD_GAMMA,
+                epochs: int = SGD_EPOCHS, seed: int = 42, cut_every: int = 8) -> DataFrame:
+    """JOB-14 SGD mode: distributed stratified SGD. Returns rows (epoch, kind, id, vec), the factors after every epoch
+    (``epoch_factors`` reads one), written below the checkpoint folder.
+
+    Users and items are hashed into ``blocks`` blocks each: choose about as many as the cluster has workers. A
+    sub-epoch updates that many blocks (b, (b + s) mod blocks) at a time; they share no user and no item. The grid fixes
+    the update order, so it is a parameter and never follows the data. The ratings are written once, partitioned by
+    sub-epoch, with their step in the update order; each sub-epoch reads its own part. Up to ``cut_every`` sub-epochs
+    form one job: every block's output feeds one reader only, so none is worked out twice."""
+    spark, bk = train.sparkSession, F.lit(blocks)
+    ub = lambda c: F.pmod(F.xxhash64(F.lit(seed), c), bk).cast("int")
+    ib = lambda c: F.pmod(F.xxhash64(F.lit(seed + 1), c), bk).cast("int")
+    r = train.select(U, I, F.col("score").cast("double").alias("score"), ub(F.col(U)).alias("key"),
+                     F.pmod(ib(F.col(I)) - ub(F.col(U)), bk).cast("int").alias("stratum"),
+                     F.xxhash64(F.lit(seed + 2), U, I).alias("_o"))
+    r = r.groupBy("stratum", "key").applyInPandas(
+        _add_levels, "user_id bigint, item_id bigint, score double, key int, stratum int, level int")
+    strata, table = scratch_path(spark, "sgd_ratings"), scratch_path(spark, "sgd_factors")
+    r.write.partitionBy("stratum").parquet(strata)
+    r = spark.read.parquet(strata)
     schema = "key int, kind string, id bigint, vec array<double>"
+    f = _init_factors(train.select(U).distinct(), U, rank, seed, 1).withColumn("kind", F.lit("p")).unionByName(
+        _init_factors(train.select(I).distinct(), I, rank, seed, 2).withColumn("kind", F.lit("q")))
+
+    def run(rows, factors):
+        return _sgd_block(rows, factors, gamma, lam)
     for epoch in range(1, epochs + 1):
         for s in range(blocks):
-            rs = (r.where(F.col("ib") == F.pmod(F.col("ub") + s, bk))
-                  .select(F.col("ub").alias("key"), U, I, "score", "_o"))
-            fs = (p.select(F.col("b").alias("key"), F.lit("p").alias("kind"), "id", "vec")
-                  .unionByName(q.select(F.pmod(F.col("b") - s, bk).cast("int").alias("key"),
-                                        F.lit("q").alias("kind"), "id", "vec")))
-
-            def run(rp, fp):
-                return _sgd_block(rp.sort_values("_o"), fp, gamma, lam)
-            out = rs.groupBy("key").cogroup(fs.groupBy("key")).applyInPandas(run, schema).checkpoint(eager=True)
-            p = out.where(F.col("kind") == "p").select("id", "vec").withColumn(
-                "b", F.pmod(F.xxhash64(F.lit(seed), F.col("id")), bk).cast("int"))
-            q = out.where(F.col("kind") == "q").select("id", "vec").withColumn(
-                "b", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("id")), bk).cast("int"))
-        if on_epoch is not None:
-            on_epoch(epoch, p.select(F.col("id").alias(U), F.col("vec").alias("p")),
-                     q.select(F.col("id").alias(I), F.col("vec").alias("q")))
-    return (p.select(F.col("id").alias(U), F.col("vec").alias("p")),
-            q.select(F.col("id").alias(I), F.col("vec").alias("q")))
+            rows = r.where(F.col("stratum") == s).drop("stratum")
+            at = F.when(F.col("kind") == "p", ub(F.col("id"))).otherwise(F.pmod(ib(F.col("id")) - s, bk)).cast("int")
+            keyed = f.select(at.alias("key"), "kind", "id", "vec")
+            f = rows.groupBy("key").cogroup(keyed.groupBy("key")).applyInPandas(run, schema).drop("key")
+            if (s + 1) % cut_every == 0 and s + 1 < blocks:
+                f = materialize(f, "sgd_part")
+        f.write.parquet(f"{table}/epoch={epoch}")
+        f = spark.read.schema("kind string, id bigint, vec array<double>").parquet(f"{table}/epoch={epoch}")
+    return spark.read.schema("kind string, id bigint, vec array<double>, epoch int").parquet(table)
+
+
+def epoch_factors(factors: DataFrame, epoch: int | None = None):
+    """(user_id, p) and (item_id, q) of one epoch; with None, of all, with the column epoch."""
+    f = factors if epoch is None else factors.where(F.col("epoch") == epoch)
+    by = ["epoch"] if epoch is None else []
+    return (f.where("kind = 'p'").select(*by, F.col("id").alias(U), F.col("vec").alias("p")),
+            f.where("kind = 'q'").select(*by, F.col("id").alias(I), F.col("vec").alias("q")))

@@ -225,20 +225,6 @@ def snk11_like_dislike_tsv(spark, sf_dir):
     return spark.read.schema("pred double, label int").option("sep", "\t").csv(path)
 
 
-@query("snk12_factor_model")
-def snk12_factor_model(spark, sf_dir):
-    """SNK-12: persist a fitted ALS model and reload its item factors."""
-    from pyspark.ml.recommendation import ALSModel
-
-    from cinerank.operators import factor as fa
-    from cinerank.plans.q_factor import _fold1
-    train, _ = _fold1(spark, sf_dir)
-    model = fa.als_model(train, max_iter=10)
-    path = scratch_path(spark, "als_model")
-    model.write().overwrite().save(path)
-    return ALSModel.load(path).itemFactors.select(F.col("id").alias("item_id"), "features")
-
-
 @query("flt1_reader_skips_bad_lines", with_views("ratings")
        + f"select user_id, item_id, score, {_EPOCH} as ts from ratings")
 def flt1_reader_skips_bad_lines(spark, sf_dir):

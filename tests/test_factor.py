@@ -1,23 +1,58 @@
 """Factorisation invariants."""
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from cinerank.operators import factor as fa
 from cinerank.operators.evaluate import error_metrics
 
 
+def _ratings(spark):
+    from cinerank.sources import views
+    return views.ratings(spark, "/root/testdata/sf0.001").select("user_id", "item_id", "score")
+
+
 def test_svd_full_rank_reproduces_input(spark):
     cells = [(u, i, float((u * 3 + i * 5) % 9 + 1) / 2) for u in range(1, 5) for i in range(1, 4)]
     r = spark.createDataFrame(cells, "user_id bigint, item_id bigint, score double")
-    us, v, sig = fa.truncated_svd(r, k=3, iters=4)
+    us, v, sigma = fa.truncated_svd(r, k=3, iters=4)
     p = fa.svd_predict(r, us, v, bound=False).collect()
     assert max(abs(x.pred - x.score) for x in p) < 1e-6
+    m = np.array([c[2] for c in cells]).reshape(4, 3)
+    assert np.allclose(sigma[0], np.linalg.svd(m, compute_uv=False))
+    assert all(abs(sum(c * c for c in x.m[0]) - 1) < 1e-9 for x in fa.unit_rows(us).collect())
+
+
+def test_svd_of_every_fold_is_that_of_its_training_rows(spark):
+    rng = np.random.default_rng(3)
+    cells = [(u, i, float(rng.integers(1, 11)) / 2, int(rng.integers(1, 4))) for u in range(12) for i in range(7)]
+    folds = spark.createDataFrame(cells, "user_id bigint, item_id bigint, score double, fold int")
+    x, off = fa.centred_by_fold(folds, 3)
+    us, v, sigma = fa.truncated_svd(x, k=7, iters=2)
+    got = {(r.fold, r.user_id, r.item_id): r.pred for r in
+           fa.svd_predict(folds, us, v, off, group=F.col("fold") - 1, bound=False).collect()}
+    for f in (1, 2, 3):
+        m = np.zeros((12, 7))
+        mean = {i: np.mean([s for _, j, s, g in cells if j == i and g != f]) for i in range(7)}
+        for u, i, s, g in cells:
+            if g != f:
+                m[u, i] = s - mean[i]
+        assert np.allclose(sigma[f - 1], np.linalg.svd(m, compute_uv=False))
+        for u, i, s, g in cells:
+            if g == f:  # full rank: a test cell of the matrix is 0, so the mean comes back
+                assert abs(got[(f, u, i)] - mean[i]) < 1e-6
+
+
+def test_svd_min_values_leaves_out_thin_rows(spark):
+    r = spark.createDataFrame([(1, 1, 2.0), (1, 2, 3.0), (2, 1, 4.0), (2, 2, 1.0), (3, 1, 5.0)],
+                              "user_id bigint, item_id bigint, score double")
+    us, _, _ = fa.truncated_svd(r, k=2, iters=1, min_values=2)
+    assert sorted(x.user_id for x in us.collect()) == [1, 2]
 
 
 def test_als_train_error_falls_and_beats_mean(spark):
-    from cinerank.sources import views
-    r = views.ratings(spark, "/root/testdata/sf0.001").select("user_id", "item_id", "score")
+    r = _ratings(spark)
     mu = r.agg(F.avg("score")).first()[0]
     base = math.sqrt(r.select(F.avg((F.col("score") - mu) ** 2)).first()[0])
     rm = []
@@ -28,23 +63,31 @@ def test_als_train_error_falls_and_beats_mean(spark):
     assert rm[1] < rm[0] and rm[1] < base
 
 
-def test_block_sgd_train_error_falls(spark):
-    from cinerank.sources import views
-    r = views.ratings(spark, "/root/testdata/sf0.001").select("user_id", "item_id", "score")
-    curve = []
+def test_block_sgd_equals_one_rating_at_a_time(spark):
+    """With one block the update order is that of the hash; with three, sub-epochs do (b, b + s) for s = 0, 1, 2."""
+    rng = np.random.default_rng(5)
+    cells = {(int(rng.integers(0, 9)), int(rng.integers(0, 6))): float(rng.integers(1, 11)) / 2 for _ in range(40)}
+    r = spark.createDataFrame([(u, i, s) for (u, i), s in cells.items()], "user_id bigint, item_id bigint, score double")
+    for blocks in (1, 3):
+        seed, k = 42, 4
+        start = fa._init_factors(r.select("user_id").distinct(), "user_id", k, seed, 1).collect()
+        p = {x.id: np.array(x.vec) for x in start}
+        q = {x.id: np.array(x.vec) for x in fa._init_factors(r.select("item_id").distinct(), "item_id", k, seed, 2).collect()}
+        h = r.select("*", F.expr(f"pmod(xxhash64({seed}, user_id), {blocks})").alias("ub"),
+                     F.expr(f"pmod(xxhash64({seed + 1}, item_id), {blocks})").alias("ib"),
+                     F.xxhash64(F.lit(seed + 2), "user_id", "item_id").alias("o")).collect()
+        for _ in range(2):
+            for x in sorted(h, key=lambda x: ((x.ib - x.ub) % blocks, x.ub, x.o)):
+                e = x.score - p[x.user_id] @ q[x.item_id]
+                p[x.user_id] = p[x.user_id] + 0.01 * (e * q[x.item_id] - 0.1 * p[x.user_id])
+                q[x.item_id] = q[x.item_id] + 0.01 * (e * p[x.user_id] - 0.1 * q[x.item_id])
+        gp, gq = fa.epoch_factors(fa.sgd_factors(r, blocks, rank=k, epochs=2, seed=seed, cut_every=2), 2)
+        assert all(np.allclose(p[x.user_id], x.p) for x in gp.collect()) and gp.count() == len(p)
+        assert all(np.allclose(q[x.item_id], x.q) for x in gq.collect()) and gq.count() == len(q)
 
-    def on_epoch(e, p, q):
-        s = fa.score_cells(r, p, q, bound=False).withColumn("g", F.lit(1))
-        curve.append(error_metrics(s, ("g",)).first().rmse)
-    p, q = fa.sgd_factors(r, epochs=3, blocks=3, on_epoch=on_epoch)
-    assert curve[2] < curve[0]
-    assert p.count() == r.select("user_id").distinct().count()
-    assert q.count() == r.select("item_id").distinct().count()
 
-
-def test_als_renumbers_ids_beyond_int_range(spark):
-    from cinerank.sources import views
-    r = views.ratings(spark, "/root/testdata/sf0.001").select("user_id", "item_id", "score")
+def test_als_keeps_ids_beyond_int_range(spark):
+    r = _ratings(spark)
     big = r.select((F.col("user_id") + F.lit(10 ** 12)).alias("user_id"), "item_id", "score")
     uf, itf = fa.als_factors(fa.als_model(big, max_iter=2))
     assert uf.agg(F.min("user_id")).first()[0] >= 10 ** 12
