@@ -73,35 +73,33 @@ def user_profiles(ratings: DataFrame, profiles: DataFrame, variant: str = "B",
     return s.join(n, part + [U]).select(*part, U, "idx", (F.col("_s") / F.col("_n")).alias("weight"))
 
 
-def user_profiles_by_fold(folds: DataFrame, profiles: DataFrame, n_folds: int = 5,
-                          variant: str = "B") -> DataFrame:
-    """JOB-10 for every fold's train side at once: (fold, user_id, idx, weight).
-
-    The train side of fold f is "all ratings minus fold f", and profile
-    weights are sums / counts, so each (user, feature) is aggregated once over
-    all ratings with per-fold partial sums, and fold f's weight is
-    (total - part f) / (count - part f). This expands every rating through
-    its item's features once instead of once per fold (sums of half-star
-    scores are exact, so the result equals the direct per-fold average)."""
+def user_profiles_by_fold(folds: DataFrame, profiles: DataFrame, n_folds: int = 5) -> DataFrame:
+    """JOB-10 (B) for every fold's train side at once: one row (user_id, idx, w), w[f - 1] = the weight for fold f.
+
+    The train side of fold f is "all ratings minus fold f", so each (user, feature) is aggregated once over all
+    ratings with per-fold partial sums, and fold f's weight is (total - part f) / (count - part f), null where nothing
+    is left (sums of half-star scores are exact, so the result equals the direct per-fold average)."""
     j = folds.select("fold", U, I, "score").join(profiles.select(I, "idx"), I)
+    ids = range(1, n_folds + 1)
     aggs = [F.sum("score").alias("s"), F.count(F.lit(1)).alias("c")]
-    for f in range(1, n_folds + 1):
+    for f in ids:
         aggs += [F.sum(F.when(F.col("fold") == f, F.col("score")).otherwise(0.0)).alias(f"s{f}"),
                  F.sum(F.when(F.col("fold") == f, 1).otherwise(0)).alias(f"c{f}")]
-    t = j.groupBy(U, "idx").agg(*aggs)
-    per_fold = F.explode(F.array(*[F.struct(F.lit(f).alias("fold"), F.col(f"s{f}").alias("sf"),
-                                            F.col(f"c{f}").alias("cf")) for f in range(1, n_folds + 1)]))
-    e = t.select(U, "idx", "s", "c", per_fold.alias("x")).select(
-        F.col("x.fold").alias("fold"), U, "idx", (F.col("s") - F.col("x.sf")).alias("_s"),
-        (F.col("c") - F.col("x.cf")).alias("_c")).where(F.col("_c") > 0)
-    if variant == "B":
-        return e.select("fold", U, "idx", (F.col("_s") / F.col("_c")).alias("weight"))
-    n = folds.groupBy(U).agg(*[(F.count(F.lit(1)) - F.sum(F.when(F.col("fold") == f, 1).otherwise(0)))
-                               .alias(f"n{f}") for f in range(1, n_folds + 1)])
-    nf = n.select(U, F.explode(F.array(*[F.struct(F.lit(f).alias("fold"), F.col(f"n{f}").alias("n"))
-                                          for f in range(1, n_folds + 1)])).alias("x")) \
-        .select(U, F.col("x.fold").alias("fold"), F.col("x.n").alias("_n"))
-    return e.join(nf, ["fold", U]).select("fold", U, "idx", (F.col("_s") / F.col("_n")).alias("weight"))
+    weight = [F.when(F.col("c") > F.col(f"c{f}"), (F.col("s") - F.col(f"s{f}")) / (F.col("c") - F.col(f"c{f}"))) for f in ids]
+    return j.groupBy(U, "idx").agg(*aggs).select(U, "idx", F.array(*weight).alias("w"))
+
+
+def content_scores_by_fold(folds: DataFrame, uprof: DataFrame, iprof: DataFrame, n_folds: int = 5) -> DataFrame:
+    """``content_scores`` of every rating under the profiles of its own fold's train side, from the rows of
+    ``user_profiles_by_fold``: a cell picks its fold's weight, and a user's norms for all folds are one aggregate."""
+    cells = folds.select("fold", U, I, "score")
+    mine = F.get("w", F.col("fold") - 1)
+    dots = (cells.select("fold", U, I).join(iprof.select(I, "idx", F.col("weight").alias("_wi")), I).join(uprof, [U, "idx"])
+            .groupBy("fold", U, I).agg(F.sum(mine * F.col("_wi")).alias("num")))
+    un = uprof.groupBy(U).agg(F.array(*[F.sqrt(F.sum(F.col("w")[k] * F.col("w")[k])) for k in range(n_folds)]).alias("_n"))
+    inn = iprof.groupBy(I).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("i_norm"))
+    out = cells.join(dots, ["fold", U, I], "left").join(un, U, "left").join(inn, I, "left")
+    return _cosine_scores(out.withColumn("u_norm", F.get("_n", F.col("fold") - 1)), ["fold"])
 
 
 def content_scores(test: DataFrame, uprof: DataFrame, iprof: DataFrame,
@@ -116,6 +114,10 @@ def content_scores(test: DataFrame, uprof: DataFrame, iprof: DataFrame,
     un = uprof.groupBy(*part, U).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("u_norm"))
     inn = iprof.groupBy(I).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("i_norm"))
     out = (cells.join(dots, part + [U, I], "left").join(un, part + [U], "left").join(inn, I, "left"))
+    return _cosine_scores(out, part)
+
+
+def _cosine_scores(out: DataFrame, part: list) -> DataFrame:
     den = F.coalesce("u_norm", F.lit(0.0)) * F.coalesce("i_norm", F.lit(0.0))
     cos = F.when(den == 0, F.lit(0.0)).otherwise(F.coalesce("num", F.lit(0.0)) / den)
     return out.select(*part, U, I, "score", cos.alias("pred_raw"), rescale(cos).alias("pred"))

@@ -84,9 +84,13 @@ def blend(sims: DataFrame, content, p: float, kind: str) -> DataFrame:
 
 def predict(train: DataFrame, test: DataFrame, mode: str = "item", kind: str = "pears",
             ks: Sequence[int] = DEFAULT_KS, part: Sequence[str] = ("fold",),
-            content=None, p: float = DEFAULT_P, heavy_degree: int = DEFAULT_HEAVY_DEGREE) -> DataFrame:
+            content=None, p: float = DEFAULT_P, heavy_degree: int = DEFAULT_HEAVY_DEGREE,
+            requested_only: bool = False) -> DataFrame:
     """Neighbourhood predictions for every test cell and every k.
 
+    ``requested_only``: for a handful of test cells. Similarities are worked out for the candidate pairs of these cells
+    alone, not by a join of all co-rated rows; the predictions are the same.
+
     train/test: (part, user_id, item_id, score). Returns
     (part, user_id, item_id, score, k, pred).
 
@@ -99,7 +103,7 @@ def predict(train: DataFrame, test: DataFrame, mode: str = "item", kind: str = "
     part = list(part)
     ks = sorted(set(int(k) for k in ks))
     target, ctx = (I, U) if mode == "item" else (U, I)
-    if not is_builtin(kind):
+    if requested_only or not is_builtin(kind):
         return _predict_registered(train, test, mode, kind, ks, part, content, p)
     mu, um, im = baseline_means(train, part)
     means = (train.select(*part, U, I, "score").join(F.broadcast(mu), part, "left")

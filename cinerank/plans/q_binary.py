@@ -105,6 +105,9 @@ def _knn_sql(distance="cos"):
     if distance == "euc":
         dist = ("cast(sqrt(greatest(coalesce(sa.sq, 0.0) + coalesce(sb.sq, 0.0) - 2 * coalesce(dd.dot, 0.0), 0.0)) "
                 "as decimal(18,9))")
+    elif distance == "share":
+        norms = "(coalesce(sa.sq, 0.0) + coalesce(sb.sq, 0.0))"
+        dist = f"cast(case when {norms} = 0 then 0.0 else ({norms} - 2 * coalesce(dd.dot, 0.0)) / {norms} end as decimal(18,9))"
     else:
         dist = ("cast(case when coalesce(sa.sq, 0.0) = 0 or coalesce(sb.sq, 0.0) = 0 then -1.0 else "
                 "1 - coalesce(dd.dot, 0.0) / sqrt(sa.sq * sb.sq) end as decimal(18,9))")
@@ -166,6 +169,13 @@ def job13_knn_euclidean(spark, sf_dir):
     return rounded(m, ["precision", "recall", "f1"])
 
 
+@query("udf3_custom_distance", _knn_sql("share") + "select fold, tp, fp, tn, fn from conf")
+def udf3_custom_distance(spark, sf_dir):
+    """UDF-3: the classifier with a distance registered by the caller: the squared distance as a share of both norms."""
+    knn.DISTANCES["share"] = (lambda dot, a, b: F.when(a + b == 0, F.lit(0.0)).otherwise((a + b - 2 * dot) / (a + b)), False)
+    return confusion(_knn_preds(spark, sf_dir, "share"), ("fold",))
+
+
 def _ld_variant_sql(leaky: bool, as_written: bool) -> str:
     ctes = list(_LD_CTES)
     if leaky:

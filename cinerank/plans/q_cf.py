@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cinerank.functions.scalar import r6
+from cinerank.functions.scalar import dec, r6
 from cinerank.operators import neighbours as nb
 from cinerank.operators.evaluate import error_metrics, fold_mean, rounded
+from cinerank.operators.similarity import pair_stats, register_similarity
 from cinerank.plans.oracle_views import with_views
 from cinerank.plans.registry import query
 from cinerank.sources import views
@@ -50,6 +51,10 @@ def cf_sql(mode: str, kind: str, only: int | None = None, ks=nb.DEFAULT_KS,
         un = f"(coalesce(sa.n, 0) + coalesce(sb.n, 0) - {co})"
         simx = f"cast(case when {un} = 0 then 0.0 else {co} / {un} end as decimal(18,9))"
         zero = "false"
+    elif kind == "dice":
+        both = "(coalesce(sa.n, 0) + coalesce(sb.n, 0))"
+        simx = f"cast(case when {both} = 0 then 0.0 else 2 * coalesce(d.co, 0) / {both} end as decimal(18,9))"
+        zero = "false"
     else:
         zero = "(coalesce(sa.sq, 0.0) = 0 or coalesce(sb.sq, 0.0) = 0)"
         simx = (f"cast(case when {zero} then -1.0 else coalesce(d.dot, 0.0) / sqrt(sa.sq * sb.sq) end "
@@ -172,6 +177,21 @@ def job3_user_user_jac(spark, sf_dir):
     return cf_metrics(spark, sf_dir, "user", "jac", mean_over_folds=True)
 
 
+def dice(values, pairs, entity, context, part=()):
+    """A similarity that the library lacks, as a user would write it: twice the common raters over both items' raters."""
+    both = F.col("n_a") + F.col("n_b")
+    sim = F.when(both == 0, F.lit(0.0)).otherwise(2 * F.col("co") / both)
+    stats = pair_stats(values, pairs, entity, context, "v", part)
+    return stats.select(*part, "a", "b", dec(sim).alias("sim"), F.lit(False).alias("zero_norm"))
+
+
+@query("udf2_custom_similarity", cf_sql("item", "dice", only=1))
+def udf2_custom_similarity(spark, sf_dir):
+    """UDF-2: item-item prediction of fold 1 with a similarity registered by the caller (Dice)."""
+    register_similarity("dice", dice)
+    return cf_metrics(spark, sf_dir, "item", "dice", only=1)
+
+
 def fold1_predictions(spark, sf_dir, mode="item", kind="pears"):
     """SNK-1 content: fold-1 predictions for the largest k."""
     folds = views.folds(spark, sf_dir)

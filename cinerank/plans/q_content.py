@@ -12,7 +12,7 @@ from cinerank.plans.oracle_views import with_views
 from cinerank.plans.q_cf import cf_metrics, cf_sql
 from cinerank.plans.q_prep import FOLK_VIEWS, build_folksonomy, folk_ctes
 from cinerank.plans.registry import query
-from cinerank.session import staged
+from cinerank.session import materialize, staged
 from cinerank.sources import views
 
 
@@ -119,13 +119,17 @@ def job10_user_profiles_b(spark, sf_dir):
 def _cb_scores(spark, sf_dir, only=None):
     _, iprof, _ = content_tables(spark, sf_dir)
     folds = views.folds(spark, sf_dir)
-    if only is not None:
-        train, test = nb.fold_sides(folds, only=only)
-        up = cb.user_profiles(train, iprof, "B", part=["fold"])
-    else:
-        test = folds.select("fold", "user_id", "item_id", "score")
-        up = cb.user_profiles_by_fold(folds, iprof, 5, "B")
-    return cb.content_scores(test, up, iprof, part=["fold"])
+    cells = folds if only is None else folds.where(F.col("fold") == only)
+    return cb.content_scores_by_fold(cells, cb.user_profiles_by_fold(folds, iprof), iprof)
+
+
+def _cb_preview(spark, sf_dir, n=20):
+    """The first ``n`` fold-1 cells in (user, item) order, scored: profiles are built for their users only."""
+    _, iprof, _ = content_tables(spark, sf_dir)
+    train, test = nb.fold_sides(views.folds(spark, sf_dir), only=1)
+    cells = materialize(test.orderBy("user_id", "item_id").limit(n), "preview_cells")
+    mine = train.join(F.broadcast(cells.select("user_id").distinct()), "user_id", "left_semi")  # n rows at most
+    return cb.content_scores(cells, cb.user_profiles(mine, iprof, "B", part=["fold"]), iprof, part=["fold"])
 
 
 _CB_CTES = [
@@ -176,8 +180,8 @@ def agg16_content_rmse_mean(spark, sf_dir):
          "where fold = 1 order by user_id, item_id limit 20")
 def job12_content_preview(spark, sf_dir):
     """JOB-12 / SRT-3 / SNK-3: first 20 fold-1 scores (raw and rescaled) in (user, item) order."""
-    s = _cb_scores(spark, sf_dir, only=1)
-    return (s.orderBy("user_id", "item_id").limit(20)
+    s = _cb_preview(spark, sf_dir)
+    return (s.orderBy("user_id", "item_id")
             .select("user_id", "item_id", r6("pred_raw").alias("pred_raw"), r6("pred").alias("pred")))
 
 
