@@ -3,17 +3,15 @@
 * ALS (Spark ML) is the default factoriser: its ``regParam`` is scaled by the
   number of ratings of each user/item (ALS-WR), the same per-rating weight
   decay the SGD update applies once per observed rating.
-* Truncated SVD is a subspace iteration over tables of one row per user or item
-  that hold a vector for every fold: each half step is one join, one aggregate
-  and one written table. Only k x k matrices reach the driver.
+* Truncated SVD is a subspace iteration, repeated until it has converged, over
+  tables of one row per user or item that hold a vector for every fold: each
+  half step is one join and one aggregate. Only 3k x 3k matrices reach the driver.
 * Stratified block SGD runs the sequential update in parallel blocks.
 * Scoring joins factor rows to the test cells and sums products (SCL-10).
 """
 
 from __future__ import annotations
 
-import json
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,8 +86,6 @@ def score_cells(cells: DataFrame, user_factors: DataFrame, item_factors: DataFra
 # --- truncated SVD by subspace iteration --------------------------------------
 # A matrix table has a row for each entity: (entity, m), m = an array with a vector of k numbers for every group.
 
-_MATS = "array<array<array<double>>>"
-
 
 def centred_by_fold(folds: DataFrame, n_folds: int = 5) -> tuple[DataFrame, DataFrame]:
     """JOB-19: item-mean-centred training values for every fold at once.
@@ -115,51 +111,116 @@ def _random_start(items: DataFrame, groups: int, k: int, seed: int) -> DataFrame
     return items.select(I, F.array_repeat(u, groups).alias("m"))
 
 
-def _times(values: DataFrame, mat: DataFrame, by: str, out: str, k: int) -> DataFrame:
+def _times(values: DataFrame, mat: DataFrame, by: str, out: str, groups: int, k: int, width: int = 20) -> DataFrame:
     """For every group g: the sum over ``by`` of x[g] * m[g], as a matrix table of ``out``. One join of as many rows as
     there are ratings; the groups part only behind it, and their sums are combined before the shuffle. A value that is
-    null in a group takes no part in it. (k sums an aggregate: k * groups of them make code too long to compile.)"""
+    null in a group takes no part in it. (``width`` sums an aggregate: many more make code too long to compile, so
+    longer vectors are summed in pieces.)"""
+    pieces = -(-k // width)
     rows = values.join(mat, by).select(out, F.posexplode(F.arrays_zip("x", "m")).alias("g", "c"))
-    s = rows.groupBy(out, "g").agg(*[F.sum(F.col("c.x") * F.col("c.m")[j]).alias(f"s{j}") for j in range(k)])
-    v = F.array(*[F.coalesce(f"s{j}", F.lit(0.0)) for j in range(k)])
-    # one row for each group, so the list is as short as the number of groups
-    lists = s.select(out, F.struct("g", v.alias("v")).alias("c")).groupBy(out).agg(F.sort_array(F.collect_list("c")).alias("l"))
-    return lists.select(out, F.col("l.v").alias("m"))
-
-
-def _gram(mat: DataFrame, groups: int, k: int) -> np.ndarray:
-    """groups x k x k inner products of the columns: as many sums as that, whatever the number of rows."""
-    rows = mat.select(F.posexplode("m").alias("g", "v")).select("g", "v", F.posexplode("v").alias("a", "x"))
-    out = np.zeros((groups, k, k))
-    for r in rows.groupBy("g", "a").agg(*[F.sum(F.col("x") * F.col("v")[b]).alias(f"s{b}") for b in range(k)]).collect():
-        out[r["g"], r["a"]] = [r[f"s{b}"] for b in range(k)]  # groups * k rows
-    return (out + out.transpose(0, 2, 1)) / 2
-
-
-def _apply(mat: DataFrame, small: np.ndarray) -> DataFrame:
-    """Every vector times its group's small matrix: a projection, no shuffle."""
-    by_column = F.from_json(F.lit(json.dumps(small.transpose(0, 2, 1).tolist())), _MATS)
-    each = F.zip_with("m", by_column, lambda v, cols: F.transform(cols, lambda c: dot(v, c)))
-    return mat.withColumn("m", each)
-
-
-def _orthonormal(mat: DataFrame, groups: int, k: int) -> DataFrame:
-    """The columns made orthonormal in every group; directions that the matrix lacks become zero."""
-    small = np.zeros((groups, k, k))
-    for g, gram in enumerate(_gram(mat, groups, k)):
-        lam, w = np.linalg.eigh(gram)
-        small[g] = w * np.where(lam > 1e-12 * max(lam.max(), 1e-300), 1 / np.sqrt(np.maximum(lam, 1e-300)), 0.0)
-    return _apply(mat, small)
-
-
-def truncated_svd(values: DataFrame, k: int = 20, iters: int = 3, seed: int = 42, min_values: int = 1):
+    rows = rows.select(out, "g", F.col("c.x").alias("x"),
+                       F.posexplode(F.array(*[F.slice("c.m", p * width + 1, width) for p in range(pieces)])).alias("p", "v"))
+    s = rows.groupBy(out, "g", "p").agg(*[F.sum(F.col("x") * F.get("v", F.lit(j))).alias(f"s{j}") for j in range(min(k, width))])
+    v = F.array(*[F.coalesce(f"s{j}", F.lit(0.0)) for j in range(min(k, width))])
+    # one row for each group and piece, so the list is as short as the number of these
+    lists = s.select(out, F.struct("g", "p", v.alias("v")).alias("c")).groupBy(out).agg(F.sort_array(F.collect_list("c")).alias("l"))
+    of_group = F.transform(F.sequence(F.lit(0), F.lit(groups - 1)),
+                           lambda g: F.slice(F.flatten(F.slice(F.col("l.v"), g * pieces + 1, F.lit(pieces))), 1, k))
+    return lists.select(out, of_group.alias("m"))
+
+
+def _arrays(batch, key: str) -> list[np.ndarray]:
+    """The matrix columns of an Arrow batch, each rows x groups x k."""
+    out = []
+    for name in batch.schema.names:
+        if name != key:
+            rows = batch.column(name).flatten()
+            out.append(rows.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(rows) // batch.num_rows, -1))
+    return out
+
+
+def _by_row(table: DataFrame, key: str, fn, names: tuple[str, ...] = ("m",)) -> DataFrame:
+    """The key and the matrices that ``fn`` makes of the table's matrices (arrays rows x groups x k), in Arrow batches."""
+    def run(batches):
+        import pyarrow as pa
+
+        def lists(x):
+            n, g, k = x.shape
+            inner = pa.ListArray.from_arrays(np.arange(n * g + 1, dtype=np.int32) * k, pa.array(np.ascontiguousarray(x).ravel()))
+            return pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * g, inner)
+        for b in batches:
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([b.column(key), *[lists(x) for x in fn(*_arrays(b, key))]], [key, *names])
+    schema = ", ".join([f"{key} {table.schema[key].dataType.simpleString()}", *[f"{n} array<array<double>>" for n in names]])
+    return table.mapInArrow(run, schema)
+
+
+def _sums(table: DataFrame, key: str, fn, shape: tuple[int, ...]) -> np.ndarray:
+    """The sum over all rows of ``fn`` of the matrices: summed in each partition, then by entry, whatever the number of rows."""
+    def run(batches):
+        import pyarrow as pa
+
+        total = np.zeros(shape)
+        for b in batches:
+            if b.num_rows:
+                total += fn(*_arrays(b, key))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], ["n", "x"])
+    out = np.zeros(int(np.prod(shape)))
+    for r in table.mapInArrow(run, "n bigint, x double").groupBy("n").agg(F.sum("x").alias("x")).collect():
+        out[r["n"]] = r["x"]  # as many rows as ``shape`` has entries
+    return out.reshape(shape)
+
+
+def _inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """groups x k x k inner products of the columns of a and b."""
+    return a.transpose(1, 2, 0) @ b.transpose(1, 0, 2)
+
+
+def _apply(mat: DataFrame, key: str, small: np.ndarray) -> DataFrame:
+    """Every vector times its group's small matrix: row by row, no shuffle."""
+    return _by_row(mat, key, lambda m: [np.einsum("ngk,gkj->ngj", m, small, optimize=True)])
+
+
+def _orthonormal(mat: DataFrame, key: str, groups: int, k: int) -> DataFrame:
+    """The columns made orthonormal in every group; directions that the matrix lacks become zero. Done twice, since once
+    leaves the error of nearly parallel columns."""
+    for _ in range(2):
+        small = np.zeros((groups, k, k))
+        for g, gram in enumerate(_sums(mat, key, lambda m: _inner(m, m), (groups, k, k))):
+            size = np.sqrt(np.maximum(np.diag(gram), 0))
+            scale = np.where(size > 0, 1 / np.where(size > 0, size, 1), 0)
+            lam, w = np.linalg.eigh(scale[:, None] * gram * scale)
+            small[g] = scale[:, None] * w * np.where(lam > 1e-13 * k, 1 / np.sqrt(np.maximum(lam, 1e-300)), 0.0)
+        mat = _apply(mat, key, small)
+    return materialize(mat, "svd_basis")
+
+
+def _filter(theta: np.ndarray, most: int = 8, ratio: float = 1e7) -> tuple[np.ndarray, int]:
+    """Half width of [0, 2e] for each group, and the degree of the Chebyshev polynomial that damps the squared singular
+    values in it and lifts those above. 2e is the smallest Ritz value, so only what the extra columns leave out is
+    damped; the degree stops before the largest value drowns the others."""
+    e = np.maximum(theta[:, -1] / 2, 1e-4 * theta[:, 0])
+    e = np.where(e > 0, e, 1.0)
+    lift = np.arccosh(np.maximum(theta[:, 0] / e - 1, 1 + 1e-9)).max()
+    return e[:, None], int(np.clip(np.arccosh(ratio) / lift, 1, most))
+
+
+def truncated_svd(values: DataFrame, k: int = 20, iters: int = 1, seed: int = 42, min_values: int = 1, tol: float = 1e-4,
+                  max_rounds: int = 100):
     """JOB-18: rank-k SVD of one sparse rating matrix per group, all groups in the same jobs.
 
     values: (user_id, item_id, score), or (user_id, item_id, x array<double>) with a value or null for each group
     (``centred_by_fold``). Rows of users and items with fewer than ``min_values`` ratings are left out. Returns matrix
     tables us = U * Sigma (user_id, m) and v (item_id, m), so that the cell (u, i) of group g is us[g] . v[g], and the
-    singular values of each group. A half step is a join, an aggregate and a written table; the time of each is the
-    same however many went before."""
+    singular values of each group.
+
+    Subspace iteration on 3k columns, cut to k at the end. A round finds the Ritz pairs and ends the work if, in every
+    group, the residual of the first k is at most ``tol`` times the gap between the k-th and the next squared singular
+    value: that bounds the sine of the angle to the true subspace (Davis-Kahan). A gap under 1e-6 of the largest counts as
+    that, since vectors of equal singular values are arbitrary. Otherwise a Chebyshev polynomial of the matrix lifts the
+    columns and the next round begins. At least ``iters`` rounds are done; after ``max_rounds`` it raises, so an
+    unfinished result is never returned. A step (times the matrix and its transpose) is one written table; the time of
+    each is the same however many went before."""
     r = values if "x" in values.columns else values.withColumn("x", F.array("score"))
     r = materialize(r.select(U, I, "x"), "svd_values")
     if min_values > 1:
@@ -168,21 +229,36 @@ def truncated_svd(values: DataFrame, k: int = 20, iters: int = 3, seed: int = 42
         r = materialize(r.select(U, I, "x"), "svd_values")
     one = r.select(F.size("x")).first()
     groups = one[0] if one else 1
-    z = _random_start(r.select(I).distinct(), groups, k, seed)
-    y = _orthonormal(materialize(_times(r, z, I, U, k), "svd_y"), groups, k)
-    for _ in range(iters):
-        z = _orthonormal(materialize(_times(r, y, U, I, k), "svd_z"), groups, k)
-        y = _orthonormal(materialize(_times(r, z, I, U, k), "svd_y"), groups, k)
-    b = materialize(_times(r, y, U, I, k), "svd_b")
-    left, right, sigma = np.zeros((groups, k, k)), np.zeros((groups, k, k)), []
-    for g, gram in enumerate(_gram(b, groups, k)):
-        lam, w = np.linalg.eigh(gram)
-        lam, w = np.clip(lam[::-1], 0, None), w[:, ::-1]
-        s = np.sqrt(lam)
-        left[g] = w * s
-        right[g] = w * np.array([1 / x if x > 1e-12 else 0.0 for x in s])
-        sigma.append(s.tolist())
-    return _apply(y, left), _apply(b, right), sigma
+    items = materialize(r.select(I).distinct(), "svd_items")
+    wide = max(k, min(3 * k, items.count()))
+
+    def step(table, col):  # the table with h = transpose(A) A times its column
+        h = _times(r, _times(r, table.select(I, F.col(col).alias("m")), I, U, groups, wide), U, I, groups, wide)
+        return table.join(h.withColumnRenamed("m", "h"), I)
+    y = _random_start(items, groups, wide, seed)
+    for n in range(1, max_rounds + 1):
+        t = materialize(step(_orthonormal(y, I, groups, wide), "m"), "svd_step").select(I, "m", "h")
+        ritz = _sums(t, I, _inner, (groups, wide, wide))
+        theta, w = np.linalg.eigh((ritz + ritz.transpose(0, 2, 1)) / 2)
+        theta, w = np.clip(theta[:, ::-1], 0, None), w[:, :, ::-1]
+        first, of_first = w[:, :, :k], theta[:, :k]
+        off = np.sqrt(_sums(t, I, lambda m, h, a=first, b=of_first: ((np.einsum("ngk,gkj->ngj", h, a, optimize=True)
+                            - b * np.einsum("ngk,gkj->ngj", m, a, optimize=True)) ** 2).sum((0, 2)), (groups,)))
+        gap = theta[:, k - 1] - (theta[:, k] if wide > k else 0.0)
+        if n >= iters and (off <= tol * np.maximum(gap, 1e-6 * theta[:, 0])).all():
+            v = materialize(_apply(t.select(I, "m"), I, first), "svd_v")
+            return materialize(_times(r, v, I, U, groups, k), "svd_us"), v, np.sqrt(of_first).tolist()
+        e, degree = _filter(theta)
+
+        def begin(m, h, w=w, e=e):
+            a, b = (np.einsum("ngk,gkj->ngj", x, w, optimize=True) for x in (m, h))
+            return a, b / e[:, :, None].transpose(1, 0, 2) - a
+        t = _by_row(t, I, begin, ("p", "m"))
+        for _ in range(degree - 1):
+            t = materialize(step(materialize(t, "svd_pair"), "m"), "svd_step").select(I, "p", "m", "h")
+            t = _by_row(t, I, lambda p, m, h, e=e: (m, 2 * (h / e[:, :, None].transpose(1, 0, 2) - m) - p), ("p", "m"))
+        y = materialize(t.select(I, "m"), "svd_y")
+    raise RuntimeError(f"SVD of rank {k}: not within {tol} after {max_rounds} rounds")
 
 
 def unit_rows(mat: DataFrame) -> DataFrame:

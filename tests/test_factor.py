@@ -44,6 +44,28 @@ def test_svd_of_every_fold_is_that_of_its_training_rows(spark):
                 assert abs(got[(f, u, i)] - mean[i]) < 1e-6
 
 
+def test_svd_below_full_rank_is_the_truncated_one(spark):
+    """Noise: the singular values about the cut lie close together, so a few plain steps don't find the subspace."""
+    rng = np.random.default_rng(11)
+    cells = [(u, i, float(rng.integers(1, 11)) / 2, int(rng.integers(1, 3))) for u in range(90) for i in range(70) if rng.random() < 0.3]
+    folds = spark.createDataFrame(cells, "user_id bigint, item_id bigint, score double, fold int")
+    x, off = fa.centred_by_fold(folds, 2)
+    us, v, sigma = fa.truncated_svd(x, k=5)
+    got = {(r.fold, r.user_id, r.item_id): r.pred for r in
+           fa.svd_predict(folds, us, v, group=F.col("fold") - 1, bound=False).collect()}
+    mean = [{r.item_id: r.off[f] for r in off.collect()} for f in (0, 1)]
+    for f in (1, 2):
+        m = np.zeros((90, 70))
+        for u, i, s, g in cells:
+            if g != f:
+                m[u, i] = s - mean[f - 1][i]
+        a, b, c = np.linalg.svd(m)
+        assert b[4] / b[5] < 1.1
+        assert np.allclose(sigma[f - 1], b[:5], rtol=1e-6)
+        best = a[:, :5] * b[:5] @ c[:5]
+        assert max(abs(best[u, i] - got[(g, u, i)]) for u, i, _, g in cells if g == f) < 1e-3
+
+
 def test_svd_min_values_leaves_out_thin_rows(spark):
     r = spark.createDataFrame([(1, 1, 2.0), (1, 2, 3.0), (2, 1, 4.0), (2, 2, 1.0), (3, 1, 5.0)],
                               "user_id bigint, item_id bigint, score double")
