@@ -70,17 +70,42 @@ _LD_CTES = [
 def agg25_signed_overlap(spark, sf_dir):
     """AGG-25 / SIM-7: per requested user pair, agreements (LL+DD), disagreements
     (LD+DL), union of rated items and the signed similarity (fold 1 train)."""
-    train, test = _ld_sides(spark, sf_dir)
-    te = test.select("user_id", "item_id")
-    tr = train.select(F.col("user_id").alias("nbr"), "item_id")
-    pairs = (te.join(tr, "item_id").where(F.col("nbr") != F.col("user_id"))
-             .select(F.least("user_id", "nbr").alias("a"), F.greatest("user_id", "nbr").alias("b")).distinct())
-    values = train.select("user_id", "item_id", F.col("label").cast("double").alias("v"))
-    st = pair_stats(values, pairs, "user_id", "item_id", "v")
-    sims = knn.signed_similarity(st)
+    return _signed_overlap(spark, sf_dir, only=1).drop("fold")
+
+
+@query("agg25_signed_overlap_folds", with_views("folds", extra=[
+    _BIN,
+    ("train", "select f.fold, r.user_id, r.item_id, r.label from binfolds r "
+              "join (select unnest([1,2,3,4,5]) as fold) f on r.fold <> f.fold"),
+    ("pairs", "select distinct te.fold, least(te.user_id, tr.user_id) as a, greatest(te.user_id, tr.user_id) as b from binfolds te "
+              "join train tr on tr.fold = te.fold and tr.item_id = te.item_id and tr.user_id <> te.user_id"),
+    ("st", "select fold, user_id as e, count(*) as n from train group by 1, 2"),
+    ("dots", "select x.fold, x.user_id as a, y.user_id as b, sum(case when x.label = y.label then 1 else 0 end) as agree, "
+             "sum(case when x.label = y.label then 0 else 1 end) as disagree from train x "
+             "join train y on x.fold = y.fold and x.item_id = y.item_id and x.user_id < y.user_id group by 1, 2, 3"),
+    ("s", "select p.fold, p.a, p.b, coalesce(d.agree, 0) as agree, coalesce(d.disagree, 0) as disagree, "
+          "coalesce(sa.n, 0) + coalesce(sb.n, 0) - coalesce(d.agree + d.disagree, 0) as un from pairs p "
+          "left join st sa on sa.fold = p.fold and sa.e = p.a left join st sb on sb.fold = p.fold and sb.e = p.b "
+          "left join dots d on d.fold = p.fold and d.a = p.a and d.b = p.b")])
+       + "select fold, a, b, cast(agree as bigint) as agree, cast(disagree as bigint) as disagree, cast(un as bigint) as n_union, "
+         "cast(round(cast(case when un = 0 then 0.0 else cast(agree - disagree as double) / un end as decimal(18,9)), 6) as double) + 0.0 as sim from s")
+def agg25_signed_overlap_folds(spark, sf_dir):
+    """AGG-25 / SIM-7: the same for the requested user pairs of every fold."""
+    return _signed_overlap(spark, sf_dir)
+
+
+def _signed_overlap(spark, sf_dir, only=None):
+    train, test = _ld_sides(spark, sf_dir, only)
+    te = test.select("fold", "user_id", "item_id")
+    tr = train.select("fold", F.col("user_id").alias("nbr"), "item_id")
+    pairs = (te.join(tr, ["fold", "item_id"]).where(F.col("nbr") != F.col("user_id"))
+             .select("fold", F.least("user_id", "nbr").alias("a"), F.greatest("user_id", "nbr").alias("b")).distinct())
+    values = train.select("fold", "user_id", "item_id", F.col("label").cast("double").alias("v"))
+    st = pair_stats(values, pairs, "user_id", "item_id", "v", ["fold"])
+    sims = knn.signed_similarity(st, ["fold"])
     un = F.col("n_a") + F.col("n_b") - F.col("co")
-    return (st.join(sims, ["a", "b"])
-            .select("a", "b", ((F.col("co") + F.col("dot")) / 2).cast("bigint").alias("agree"),
+    return (st.join(sims, ["fold", "a", "b"])
+            .select("fold", "a", "b", ((F.col("co") + F.col("dot")) / 2).cast("bigint").alias("agree"),
                     ((F.col("co") - F.col("dot")) / 2).cast("bigint").alias("disagree"),
                     un.alias("n_union"), r6_dec("sim").alias("sim")))
 
