@@ -26,6 +26,7 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
                   "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 #: Elements of running text: in a page's marked article they are its content, however often they recur.
 PROSE = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote".split())
+PARAGRAPH = frozenset("p pre blockquote".split())
 #: An opening tag closes an open element of these kinds.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CHROME_NAME = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|banner|sponsor|sponsored|promo|cookie|cookies|consent|notice|popup|modal|"
@@ -188,33 +189,67 @@ def on_site(site: int, h: int) -> int:
 
 def extract(source: str, templates: frozenset[int] | set[int], site: int = 0) -> str:
     """Main text of one page: subtrees whose ``on_site`` hash is in ``templates`` go, then chrome, then, if the page
-    marks its article or main part, all else. The running text of a marked part (``PROSE``) is never taken for a template,
-    nor is an element around it, so articles that share passages, and pages that copy an article, keep them."""
+    marks its article or main part, all else. The running text of a marked part (``PROSE``) is never taken for a template
+    by itself, nor is an element around it that holds nothing else, so articles that share passages, and pages that copy
+    an article, keep them; a recurring box of lists or other text goes with its headings and paragraphs (``running_text``)."""
     root = parse(source)
     top = main_nodes(root)
     drop = {k for k, h in subtree_hashes(root).items() if on_site(site, h) in templates} if templates else set()
     if drop and top:
-        drop -= running_text(root, top)
+        drop -= running_text(top, drop)
     return block_text(top or [root], bool(top), drop)
 
 
-def running_text(root: Node, top: list[Node]) -> set[int]:
-    """id() of the nodes in ``top``, of the running text inside them, and of all nodes around these."""
-    found, tops = set(), {id(n) for n in top}
-    todo: list[tuple[Node, tuple, bool, bool]] = [(root, (), False, False)]  # node, chain of those around it, in top, in running text
+def running_text(top: list[Node], drop: set[int]) -> set[int]:
+    """id() of the nodes that stay though they recur: those in ``top``, the running text inside them and what this holds,
+    and elements around it that hold nothing else. An element with running text and other text, such as a heading, a list
+    and a paragraph, is a box like any other, and goes whole. If the boxes of ``drop`` leave a part no paragraph, and less
+    other text than they hold, they are the article itself: they are opened, and only the boxes inside them can go."""
+    keep: set[int] = set()
+    for part in top:
+        keep.add(id(part))
+        opened: list[Node] = [part]
+        left, loose = False, 0
+        while opened:
+            boxes: list[tuple[Node, int, int]] = []
+            todo: list[tuple[Node, bool]] = [(k, False) for n in opened for k in n.kids if isinstance(k, Node)]
+            loose += sum(len(k.strip()) for n in opened for k in n.kids if isinstance(k, str))
+            while todo:
+                n, prose = todo.pop()
+                if is_chrome(n, True):
+                    continue
+                prose |= n.tag in PROSE
+                if prose:
+                    keep.add(id(n))
+                elif id(n) in drop:
+                    running, other = _held(n)
+                    if other or not running:
+                        boxes.append((n, running, other))
+                        continue
+                    keep.add(id(n))
+                size = sum(len(k.strip()) for k in n.kids if isinstance(k, str))
+                left |= prose and n.tag in PARAGRAPH and size > 0
+                loose += size
+                todo.extend((k, prose) for k in n.kids if isinstance(k, Node))
+            opened = [n for n, running, _ in boxes if running]
+            if left or loose >= sum(running + other for _, running, other in boxes):
+                break
+            keep.update(id(n) for n in opened)
+    return keep
+
+
+def _held(box: Node) -> tuple[int, int]:
+    """The length of a box's running text, and of its other text without chrome."""
+    found = [0, 0]
+    todo: list[tuple[Node, bool]] = [(box, False)]
     while todo:
-        n, chain, inside, prose = todo.pop()
-        chain = (id(n), chain)
-        begins = not inside and id(n) in tops
-        inside |= begins
-        prose |= inside and n.tag in PROSE
-        if begins or prose:
-            up = chain
-            while up and up[0] not in found:
-                found.add(up[0])
-                up = up[1]
-        todo.extend((k, chain, inside, prose) for k in n.kids if isinstance(k, Node))
-    return found
+        n, prose = todo.pop()
+        if n is not box and is_chrome(n, True):
+            continue
+        prose |= n.tag in PROSE
+        found[not prose] += sum(len(k.strip()) for k in n.kids if isinstance(k, str))
+        todo.extend((k, prose) for k in n.kids if isinstance(k, Node))
+    return found[0], found[1]
 
 
 def host(url):

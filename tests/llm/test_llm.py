@@ -341,6 +341,29 @@ def test_html(spark):
     assert html_extract.html_digest(pages_of(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_html_recurring_boxes_of_headings_and_paragraphs(spark, tag):
+    box = "<div class='x'><h3>Popular</h3><ul><li>One</li><li>Two</li></ul><p>Read more of these every week</p></div>"
+    other = "<div><span>Letter</span><p>Subscribe to our letter</p></div>"
+    own = [f"<{tag}><h1>Title {i}</h1><div><p>Shared passage.</p><p>Own text {i}.</p>{other}</div>{box}</{tag}>" for i in range(8)]
+    copied = [f"<p>{i}</p><{tag}><h1>Title {i}</h1><div class='body'><p>Copied text of some length.</p>{other}</div></{tag}>" for i in range(8)]
+    divs = [f"<{tag}><div>Text without paragraphs, but much longer than the box beside it, as it should be on page {i}, "
+            f"and on all others of its kind, too.</div>{box}</{tag}>" for i in range(8)]
+    for htmls, said in ((own, "Title {0}\n\nShared passage.\n\nOwn text {0}."), (copied, "Title {0}\n\nCopied text of some length."),
+                        (divs, "Text without paragraphs, but much longer than the box beside it, as it should be on page {0}, and on all others of its kind, too.")):
+        texts = [r.text for r in html_extract.html_digest(pages_of(spark, htmls)).orderBy("page_id").collect()]
+        assert texts == [said.format(i) for i in range(8)]
+
+
+def test_html_box_on_a_small_share_of_a_large_host(spark):
+    """Six of 60 pages hold the box: a template only for a caller who asks for a smaller share of the host."""
+    box = "<div><h3>Popular</h3><ul><li>One</li></ul><p>Subscribe to our letter</p></div>"
+    htmls = pages_of(spark, [f"<article><p>Own text {i}.</p>{box if i < 6 else ''}</article>" for i in range(60)])
+    for share, n in ((0.2, 6), (0.05, 0)):
+        got = html_extract.extract_pages(htmls, min_share=share)
+        assert got.where("text like '%Subscribe%'").count() == n and got.where("text like 'Own text%'").count() == 60
+
+
 def test_nearest_e8():
     rng = np.random.default_rng(10)
     near = lattice.minimal_vectors()
