@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cinerank.llm import bpe, html_extract, lattice, line_dedup, mixing, quality, simhash, suffix_dedup, toxicity, warc
+from cinerank.llm import bpe, html_extract, kernel_quality, lattice, line_dedup, mixing, periodic, prefix_trie, quality, simhash, suffix_dedup, toxicity, warc
 from cinerank.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -53,9 +53,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_digest(table(spark, sf_dir, "conversations"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kernel_quality.quality_score_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_simhash_near_dedup, op3_warc, op4_quality_rules, op5_byte_bpe,
         op6_suffix_array_dedup, op7_soft_mixing, op8_html_extraction,
-        op9_embedding_near_dedup, op10_line_dedup)}
-ORACLES: dict[str, str] = {"op3_warc": warc.SQL, "op4_quality_rules": quality.SQL, "op10_line_dedup": line_dedup.SQL}
+        op9_embedding_near_dedup, op10_line_dedup, op11_prefix_trie, op12_quality_classifier, op13_periodic_runs)}
+ORACLES: dict[str, str] = {"op3_warc": warc.SQL, "op4_quality_rules": quality.SQL, "op10_line_dedup": line_dedup.SQL, "op11_prefix_trie": prefix_trie.SQL}
