@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from cinerank.functions.scalar import dec
+from cinerank.operators.block_product import best_neighbours, neighbour_totals
 from cinerank.operators.similarity import candidate_stats, fold_candidates, fold_stats
 from cinerank.session import materialize
 
@@ -63,6 +64,9 @@ DISTANCES = {
 }
 
 
+BUILTINS = dict(DISTANCES)
+
+
 def knn_classify(train: DataFrame, test: DataFrame, k: int = DEFAULT_K, distance: str = "cos",
                  part: Sequence[str] = ("fold",), zero_norm: str = "keep") -> DataFrame:
     """JOB-13: classify test cell (u, i) by majority vote of u's labels on the k
@@ -86,7 +90,8 @@ def knn_classify_folds(labels: DataFrame, k: int = DEFAULT_K, distance: str = "c
     """``knn_classify`` for every fold of ``folds`` at once, over rows (fold, user_id, item_id, label): every row is
     written once and pairs are joined once for all folds (``fold_candidates``)."""
     folds = [int(f) for f in folds]
-    _distance(distance)
+    if _distance(distance) is BUILTINS.get(distance) and zero_norm == "keep":
+        return _knn_blocks(labels, k, distance, folds)
     r = labels.select("fold", U, I, "label", F.col("label").cast("double").alias("v"))
     r = r.join(fold_stats(r, I, folds, "v", "i"), I)
     base = materialize(r.select("fold", U, I, "label", "v", F.col("label").alias("lv"), F.col("in").alias("n"), F.col("iq").alias("q"),
@@ -95,6 +100,26 @@ def knn_classify_folds(labels: DataFrame, k: int = DEFAULT_K, distance: str = "c
     return _vote(j, base.where(F.col("fold").isin(*folds)), k, distance, ["fold"], zero_norm)
 
 
+def _knn_blocks(labels: DataFrame, k: int, distance: str, folds: Sequence[int], **blocks) -> DataFrame:
+    """``knn_classify_folds`` by a block-sparse product: each test row gets its k nearest rows as one short array."""
+    none = F.lit(0.0)
+    rows = materialize(labels.select("fold", U, I, F.col("label").cast("double").alias("v"), none.alias("b"), none.alias("cp")), "knn_rows")
+    top = best_neighbours(rows, I, U, folds, f"{distance}_distance", k, "value", **blocks)
+    likes = F.size(F.filter("top", lambda x: x["d"] == 1))
+    pred = F.when(likes > F.size("top") - likes, 1).otherwise(-1).cast("int")
+    return top.select("fold", F.col("c").alias(U), F.col("e").alias(I), F.col("v").cast("int").alias("label"), pred.alias("pred"))
+
+
+def like_dislike_folds(labels: DataFrame, folds: Sequence[int] = (1, 2, 3, 4, 5), as_written: bool = False, **blocks) -> DataFrame:
+    """``like_dislike_scores`` for every fold of ``folds`` at once, over rows (fold, user_id, item_id, label): the sums over
+    all raters are made where the similarities are, so no candidate leaves its task."""
+    none = F.lit(None).cast("double")
+    rows = materialize(labels.select("fold", U, I, F.col("label").cast("double").alias("v"), none.alias("b"), none.alias("cp")), "ld_rows")
+    t = neighbour_totals(rows, U, I, folds, "signed_as_written" if as_written else "signed", **blocks)
+    pred = F.when(F.col("n") > 0, F.col("total") / F.col("n")).otherwise(F.lit(0.0))
+    return t.select("fold", F.col("e").alias(U), F.col("c").alias(I), F.col("v").cast("int").alias("label"), pred.alias("pred"), "total", "n")
+
+
 def _distance(name: str):
     if name not in DISTANCES:
         raise ValueError(f"unknown distance {name!r}; known: {', '.join(sorted(DISTANCES))}")

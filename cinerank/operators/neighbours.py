@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from cinerank.functions.scalar import clamp, dec
+from cinerank.operators.block_product import best_neighbours
 from cinerank.operators.similarity import (DEFAULT_HEAVY_DEGREE, ZERO_NORM_SIM, candidate_stats, fold_candidates, fold_stats,
                                            is_builtin, similarity)
 from cinerank.session import materialize
@@ -138,6 +139,8 @@ def predict_folds(ratings: DataFrame, mode: str = "item", kind: str = "pears", k
     ratings: (fold, user_id, item_id, score), unique per (user_id, item_id). Every row is written once, with its
     train means and deviation for each fold as arrays, and pairs are joined once for all folds (``fold_candidates``).
     The centred cosine is worked out from plain sums: sum(xy) - mx sum(y) - my sum(x) + co mx my."""
+    if content is None and is_builtin(kind):
+        return _predict_blocks(ratings, mode, kind, sorted({int(k) for k in ks}), [int(f) for f in folds])
     folds = [int(f) for f in folds]
     ks = sorted(set(int(k) for k in ks))
     target, ctx = (I, U) if mode == "item" else (U, I)
@@ -183,6 +186,29 @@ def predict_folds(ratings: DataFrame, mode: str = "item", kind: str = "pears", k
     return _top_k(scored.select("fold", U, I, "nbr", "dev", "sim"), test, mode, ks, ["fold"])
 
 
+def _predict_blocks(ratings: DataFrame, mode: str, kind: str, ks: Sequence[int], folds: Sequence[int], **blocks) -> DataFrame:
+    """``predict_folds`` by a block-sparse product: each test row gets its best neighbours as one short array."""
+    target, ctx = (I, U) if mode == "item" else (U, I)
+    r = ratings.select("fold", U, I, F.col("score").cast("double").alias("v"))
+    mu = [float(x or 0.0) for x in r.agg(*[F.avg(F.when(F.col("fold") != f, F.col("v"))) for f in folds]).first()]
+
+    def own(prefix):
+        """The mean outside the row's own fold; 0.0 if there is none."""
+        mean = [F.when(F.get(f"{prefix}n", F.lit(k)) > 0, F.get(f"{prefix}s", F.lit(k)) / F.get(f"{prefix}n", F.lit(k))) for k in range(len(folds))]
+        return F.coalesce(*[F.when(F.col("fold") == f, m) for f, m in zip(folds, mean, strict=True)], F.lit(0.0))
+
+    m = F.coalesce(*[F.when(F.col("fold") == f, F.lit(x)) for f, x in zip(folds, mu, strict=True)], F.lit(0.0))
+    c = "u" if mode == "item" else "i"
+    rows = r.join(fold_stats(r, U, folds, "v", "u"), U).join(fold_stats(r, I, folds, "v", "i"), I)
+    rows = materialize(rows.select("fold", U, I, "v", (own("u") + own("i") - m).alias("b"), (own(c) - m).alias("cp")), "cf_rows")
+    top = best_neighbours(rows, target, ctx, folds, kind, ks[-1], **blocks).withColumnsRenamed({"e": target, "c": ctx, "v": "score"})
+    den = "-x.o" if mode == "item" else "abs(x.o)"
+    sums = ", ".join(f"""struct({k} as k, aggregate(slice(top, 1, {k}), 0D, (s, x) -> s + -x.o / 1e9D * (x.d - cp)) as num,
+                                    aggregate(slice(top, 1, {k}), 0L, (s, x) -> s + {den}) / 1e9D as den)""" for k in ks)
+    out = top.select("fold", U, I, "score", "b", F.explode(F.expr(f"array({sums})")).alias("p"))
+    return out.select("fold", U, I, "score", "p.k", clamp(F.when(F.col("p.den") != 0, F.col("b") + F.col("p.num") / F.col("p.den")).otherwise(F.col("b"))).alias("pred"))
+
+
 def _rank_and_predict(scored, test, mu, um, im, mode, ks, part):
     return _top_k(scored, with_baseline(test.select(*part, U, I, "score"), mu, um, im, part, "b"), mode, ks, part)
 

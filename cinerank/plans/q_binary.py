@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cinerank.functions.scalar import BINARY_THRESHOLDS, binarise, r6, r6_dec
+from cinerank.functions.scalar import BINARY_THRESHOLDS, binarise, dec, r6, r6_dec
 from cinerank.operators import knn
 from cinerank.operators import neighbours as nb
+from cinerank.operators.block_product import gram_entries
 from cinerank.operators.evaluate import confusion, fold_mean, precision_recall_f1, rounded
 from cinerank.operators.similarity import pair_stats
 from cinerank.plans.oracle_views import with_views
 from cinerank.plans.registry import query
+from cinerank.session import materialize
 from cinerank.sources import views
 
 
@@ -91,7 +93,13 @@ def agg25_signed_overlap(spark, sf_dir):
          "cast(round(cast(case when un = 0 then 0.0 else cast(agree - disagree as double) / un end as decimal(18,9)), 6) as double) + 0.0 as sim from s")
 def agg25_signed_overlap_folds(spark, sf_dir):
     """AGG-25 / SIM-7: the same for the requested user pairs of every fold."""
-    return _signed_overlap(spark, sf_dir)
+    none = F.lit(None).cast("double")
+    rows = binary_folds(spark, sf_dir).select("fold", "user_id", "item_id", F.col("label").cast("double").alias("v"), none.alias("b"), none.alias("cp"))
+    g = gram_entries(materialize(rows, "labels"), "user_id", "item_id", range(1, views.N_FOLDS + 1))
+    union = F.col("n_a") + F.col("n_b") - F.col("co")
+    sim = dec(F.when(union == 0, F.lit(0.0)).otherwise(F.col("dot") / union))
+    return g.select("fold", "a", "b", ((F.col("co") + F.col("dot")) / 2).cast("bigint").alias("agree"), ((F.col("co") - F.col("dot")) / 2).cast("bigint").alias("disagree"),
+                    union.alias("n_union"), r6_dec(sim).alias("sim"))
 
 
 def _signed_overlap(spark, sf_dir, only=None):
@@ -240,3 +248,42 @@ def job8_like_dislike_leaky(spark, sf_dir):
     """JOB-8 in full reference parity: matrix from all ratings incl. the test rows
     (SURVEY D13) and the bracket as written (D14)."""
     return _ld_variant(spark, sf_dir, True, True)
+
+
+def _ld_folds_sql(as_written: bool, leaky: bool = False) -> str:
+    sides = ("select f.fold, r.user_id, r.item_id, r.label from binfolds r join (select unnest([1,2,3,4,5]) as fold) f on "
+             + ("true" if leaky else "r.fold <> f.fold"))
+    dl = " + 2 * (case when te.user_id < tr.user_id then coalesce(d.dl_ab, 0) else coalesce(d.dl_ba, 0) end)" if as_written else ""
+    return with_views("folds", extra=[
+        _BIN, ("train", sides),
+        ("st", "select fold, user_id as e, count(*) as n from train group by 1, 2"),
+        ("dots", "select x.fold, x.user_id as a, y.user_id as b, sum(cast(x.label as double) * y.label) as dot, count(*) as co, "
+                 "sum(case when x.label = -1 and y.label = 1 then 1 else 0 end) as dl_ab, sum(case when y.label = -1 and x.label = 1 then 1 else 0 end) as dl_ba "
+                 "from train x join train y on x.fold = y.fold and x.item_id = y.item_id and x.user_id < y.user_id group by 1, 2, 3"),
+        ("s", "select te.fold, te.user_id, te.item_id, tr.label as lv, coalesce(sa.n, 0) + coalesce(sb.n, 0) - coalesce(d.co, 0) as un, "
+              f"coalesce(d.dot, 0.0){dl} as num from binfolds te join train tr on tr.fold = te.fold and tr.item_id = te.item_id and tr.user_id <> te.user_id "
+              "left join st sa on sa.fold = te.fold and sa.e = te.user_id left join st sb on sb.fold = te.fold and sb.e = tr.user_id "
+              "left join dots d on d.fold = te.fold and d.a = least(te.user_id, tr.user_id) and d.b = greatest(te.user_id, tr.user_id)"),
+        # in whole billionths: the mean is then rounded to six places exactly, halves away from zero
+        ("agg", "select fold, user_id, item_id, count(*) as n, sum(lv * cast(cast(case when un = 0 then 0.0 else num / un end as decimal(18,9)) * 1000000000 as bigint)) as total "
+                "from s group by 1, 2, 3"),
+    ]) + ("select te.fold, te.user_id, te.item_id, te.label, coalesce(sign(agg.total) * ((2 * abs(agg.total) + 1000 * agg.n) // (2000 * agg.n)) / 1000000, 0.0) + 0.0 as pred from binfolds te "
+          "left join agg on agg.fold = te.fold and agg.user_id = te.user_id and agg.item_id = te.item_id")
+
+
+def _ld_folds(spark, sf_dir, as_written):
+    s = knn.like_dislike_folds(binary_folds(spark, sf_dir), range(1, views.N_FOLDS + 1), as_written)
+    pred = F.expr("coalesce(sign(total) * ((2 * abs(total) + 1000 * n) div (2000 * n)) / 1000000, 0D) + 0D")
+    return s.withColumn("total", F.round(F.col("total") * 1e9).cast("long")).select("fold", "user_id", "item_id", "label", pred.alias("pred"))
+
+
+@query("job8_like_dislike_folds", _ld_folds_sql(False))
+def job8_like_dislike_folds(spark, sf_dir):
+    """JOB-8 / SIM-7: signed-similarity score next to the true label, for every rating through the folds without it."""
+    return _ld_folds(spark, sf_dir, False)
+
+
+@query("job8_like_dislike_as_written_folds", _ld_folds_sql(True))
+def job8_like_dislike_as_written_folds(spark, sf_dir):
+    """The same with the reference's bracket as written."""
+    return _ld_folds(spark, sf_dir, True)

@@ -192,6 +192,13 @@ def udf2_custom_similarity(spark, sf_dir):
     return cf_metrics(spark, sf_dir, "item", "dice", only=1)
 
 
+@query("udf2_custom_similarity_folds", cf_sql("item", "dice"))
+def udf2_custom_similarity_folds(spark, sf_dir):
+    """UDF-2: the same for every fold."""
+    register_similarity("dice", dice)
+    return cf_metrics(spark, sf_dir, "item", "dice")
+
+
 def fold1_predictions(spark, sf_dir, mode="item", kind="pears"):
     """SNK-1 content: fold-1 predictions for the largest k."""
     folds = views.folds(spark, sf_dir)
