@@ -72,5 +72,6 @@ def with_views(*names: str, extra: list[tuple[str, str]] | None = None) -> str:
     parts = [f"{n} as ({VIEWS[n][1]})" for n in _order(names)]
     # "tp" (test cells x item features) is materialised so DuckDB joins the
     # user profiles on all three keys instead of fanning out per user first
-    parts += [f"{n} as {'materialized ' if n == 'tp' else ''}({sql})" for n, sql in (extra or [])]
+    # and the steps of a cascade are, so that each is worked out once
+    parts += [f"{n} as {'materialized ' if n == 'tp' or n.startswith('step') else ''}({sql})" for n, sql in (extra or [])]
     return "with " + ",\n".join(parts) + "\n" if parts else ""

@@ -1,16 +1,7 @@
-"""Porter (1980) suffix-stripping stemmer, used as a small per-term helper.
-
-Stemming runs once per *distinct* term of a corpus (an Arrow-batched pandas
-UDF over the term vocabulary), and the stems are joined back, so the Python
-work grows with the vocabulary, not with the token stream.
-"""
+"""Porter (1980) suffix stripping in plain Python: what the SQL expressions are held against."""
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 _VOWELS = set("aeiou")
 
 
@@ -130,8 +121,3 @@ def stem(word: str) -> str:
         w = w[:-1]
     return w
 
-
-@F.pandas_udf(T.StringType())
-def stem_udf(terms: pd.Series) -> pd.Series:
-    """Arrow-batched stemming of a column of terms."""
-    return terms.map(lambda t: None if t is None else stem(t))
