@@ -116,7 +116,7 @@ def common_prefixes(s: Sequence[int], sa: Sequence[int]) -> Sequence[int]:
 
 
 def repeated_starts(windows: list[tuple[bytes, bytes]], core: int, length: int) -> list[list[tuple[int, int]]]:
-    """For distinct windows (left, right) around one core of ``core`` bytes: the ranges of d, ascending and
+    """For windows (left, right) around one core of ``core`` bytes: the ranges of d, ascending and
     inclusive, for which the ``length`` bytes from d bytes before the core on also occur in another window, as far
     from its core.
 
@@ -352,24 +352,28 @@ def _each_start(length: int, width: int):
 
 
 def repeated_ranges(texts: DataFrame, length: int = 400, width: int = 200, block: int = 8192) -> DataFrame:
-    """Rows (t, a, b) of ``texts`` (t: 16-byte key of the content, data binary): every start of a ``length``-byte string
-    that also starts elsewhere in another text or at another place of the same one, as inclusive ranges.
+    """Rows (t, ranges) of ``texts`` (t: 16-byte key of the content, data binary): every start of a ``length``-byte string
+    that also starts elsewhere in another text or at another place of the same one, as inclusive ranges a to b. Copies of
+    a text are one text here.
 
     1. Each text's anchors (about two per ``width`` bytes) are found where it is read; only their hashes are counted.
-    2. Texts meet the anchors whose hash occurs again and cut a window around each. Equal windows become one,
-       combined map-side; all starts of a window that occurs at two places are repeated.
-    3. Different windows around one core meet in one group, a suffix array of which tells the starts that they share.
+    2. Each distinct text meets those of its anchors whose hash occurs at another place and cuts a window around each. Equal
+       windows become one, combined map-side; all starts of a window that occurs at two places are repeated.
+    3. The different windows around one core meet in one group, a suffix array of which tells the starts that they share.
        Groups are independent and small. The windows of a core that has more than ``block`` are dealt out by the bytes
        next to the core, once for the starts that hold the bytes before it and once for the others; where even such a
        group has more than ``block``, a digest of each start is counted instead, which needs no group at all. All
-       three are exact."""
+       three are exact.
+    4. The starts found in a window become disjoint ranges before they meet the places of that window, and are cut to
+       the starts that belong to each place in its row, so nothing is made per start."""
     if not (2 <= width <= min(1000, length)):
         raise ValueError("width must lie between 2 and length, and be 1000 at most")
     found = materialize(texts.select("t", "data").mapInArrow(_anchor_rows(length, width), "h long, t binary, pos long"), "anchors")
     place = F.xxhash64("t", F.shiftright("pos", 20))
     again = found.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo < hi").select("h")
-    hits = found.join(again, "h").groupBy("t").agg(F.collect_list("pos").alias("pos"))
-    windows = texts.join(hits, "t").select("t", "data", "pos").mapInArrow(
+    # a set, not a list: a text's copies have the same anchors, and are combined map-side
+    hits = found.join(again, "h").groupBy("t").agg(F.collect_set("pos").alias("pos"))
+    windows = texts.join(hits.hint("merge"), "t").select("t", "data", "pos").mapInArrow(
         _cut(length, width), "core binary, win binary, t binary, p long, far int, near int, left binary, right binary")
     windows = materialize(windows, "windows")
     spot = F.xxhash64("t", "p")
@@ -395,27 +399,33 @@ def repeated_ranges(texts: DataFrame, length: int = 400, width: int = 200, block
     twice = starts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     many = starts.join(twice, "key").select("win", F.col("d").alias("lo"), F.col("d").alias("hi"))
     whole = kinds.where("s0 < s1").select("win", F.lit(0).alias("lo"), F.lit(width).alias("hi"))
-    spans = whole.unionByName(few).unionByName(many).groupBy("win").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    hit = windows.select("win", "t", "p", "far", "near").join(spans, "win").select("t", "p", "far", "near", F.explode("spans").alias("s"))
-    lo, hi = F.greatest("s.lo", "near"), F.least("s.hi", "far")
-    return hit.where(lo <= hi).select("t", (F.col("p") - hi).alias("a"), (F.col("p") - lo).alias("b"))
+    spans = whole.unionByName(few).unionByName(many).groupBy("win").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")).select("win", _disjoint("spans").alias("spans"))
+    hit = windows.select("win", "t", "p", "far", "near").join(spans, "win")
+    ranges = F.expr("transform(filter(spans, s -> s.lo <= far and s.hi >= near), s -> struct(p - least(s.hi, far) as a, p - greatest(s.lo, near) as b))")
+    return hit.select("t", ranges.alias("ranges")).where(F.size("ranges") > 0)
+
+
+def _disjoint(spans: str):
+    """Inclusive ranges of an array, merged where they meet, in ascending order."""
+    return F.expr(f"""aggregate(array_sort({spans}), cast(array() as array<struct<lo:int,hi:int>>), (acc, s) ->
+        case when size(acc) > 0 and s.lo <= get(acc, size(acc) - 1).hi + 1
+             then concat(slice(acc, 1, size(acc) - 1), array(struct(get(acc, size(acc) - 1).lo as lo, greatest(get(acc, size(acc) - 1).hi, s.hi) as hi)))
+             else concat(acc, array(s)) end)""")
 
 
 def _remove(length: int, keep: list):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             spans, kept = [], []
-            for data, copies, marks in zip(b.column(0), b.column(1), b.column(2), strict=True):
+            for data, copied, marks in zip(b.column(0), b.column(1), b.column(2), strict=True):
                 data = data.as_py()
-                if (copies.as_py() or 0) > 1 and len(data) >= length:
-                    cover = [(0, len(data))]
-                else:
-                    cover = []
-                    for m in sorted((x["a"], x["b"] + length) for x in marks.as_py() or ()):
-                        if cover and m[0] <= cover[-1][1]:
-                            cover[-1] = (cover[-1][0], max(cover[-1][1], m[1]))
-                        else:
-                            cover.append(m)
+                found = [(0, len(data) - length)] if copied.as_py() else [(x["a"], x["b"]) for r in marks.as_py() or () for x in r]
+                cover: list[tuple[int, int]] = []
+                for x, y in sorted(found):
+                    if cover and x <= cover[-1][1]:
+                        cover[-1] = (cover[-1][0], max(cover[-1][1], y + length))
+                    else:
+                        cover.append((x, y + length))
                 spans.append([{"from": x, "to": y} for x, y in cover])
                 edge = [0, *(v for m in cover for v in m), len(data)]
                 kept.append(b"".join(data[edge[i]:edge[i + 1]] for i in range(0, len(edge), 2)))
@@ -434,12 +444,12 @@ def remove_repeats(docs: DataFrame, length: int = 400, width: int = 200, block:
     keep = [f for f in docs.schema.fields if f.name not in (text_col, "data", "spans", "kept")]
     d = docs.withColumn("_data", F.coalesce(F.col(text_col), F.lit("")).cast("binary")).withColumn("_t", F.unhex(F.md5("_data")))
     texts = d.where(F.octet_length("_data") >= length).select(F.col("_t").alias("t"), F.col("_data").alias("data"))
-    marks = repeated_ranges(texts, length, width, block).groupBy("t").agg(F.collect_list(F.struct("a", "b")).alias("_marks"))
-    copies = texts.groupBy("t").agg(F.count("*").alias("_copies")).where("_copies > 1")
+    marks = repeated_ranges(texts, length, width, block).groupBy("t").agg(F.collect_list("ranges").alias("_marks"))
+    copies = texts.groupBy("t").agg(F.count("*").alias("n")).where("n > 1").select("t", F.lit(True).alias("_copied"))
     both = marks.join(copies, "t", "full").withColumnRenamed("t", "_t")
     names = [f.name for f in keep]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + ["data binary", "spans array<struct<from:bigint,to:bigint>>", "kept binary"])
-    return d.join(both, "_t", "left").select("_data", "_copies", "_marks", *[f"`{n}`" for n in names], F.col("_data").alias("data")).mapInArrow(
+    return d.join(both, "_t", "left").select("_data", "_copied", "_marks", *[f"`{n}`" for n in names], F.col("_data").alias("data")).mapInArrow(
         _remove(length, [*names, "data"]), schema)
 
 

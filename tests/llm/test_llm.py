@@ -114,6 +114,35 @@ def test_simhash_null_ids(spark):
     assert simhash.simhash_digest(docs_of(spark, [])).count() == 0
 
 
+def test_keep_one_loses_no_document(spark):
+    rng = random.Random(21)
+    alpha, beta, gamma = words(rng, 60), words(rng, 60), words(rng, 60)
+    ids = [1, 1, 2, None, None, 7, 7, None]
+    texts = [alpha, beta, beta, gamma, gamma, gamma, None, ""]
+    d = docs_of(spark, texts, ids)
+    for parts in (1, 5):
+        kept = sorted((r.doc_id, r.text or "") for r in simhash.keep_one(d.repartition(parts)).collect())
+        assert kept == sorted([(1, alpha), (1, beta), (7, gamma), (7, "")])
+    only_null = simhash.keep_one(docs_of(spark, [gamma, gamma, alpha], [None, None, None])).collect()
+    assert sorted(r.text for r in only_null) == sorted([alpha, gamma])
+    assert simhash.keep_one(d.limit(0)).count() == 0
+
+
+def test_simhash_strips(spark):
+    rng = np.random.default_rng(3)
+    fp = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    fp[100:200] = fp[:100] ^ np.uint64(5)
+    own = rng.random(300) < 0.7
+    near = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 3
+    near &= own[:, None] | own[None, :]
+    label = components_plain(300, lambda i, j: near[i, j])
+    least = {}
+    for i, c in enumerate(label):
+        least.setdefault(c, i)
+    for strip in (1, 7, 256):
+        assert simhash._roots(fp, own, 3, strip).tolist() == [least[c] for c in label]
+
+
 def pages_of(spark, htmls, ids=None):
     ids = list(range(len(htmls))) if ids is None else ids
     return spark.createDataFrame([(i, f"http://h.example/{i} x", h, "t", 1) for i, h in zip(ids, htmls)], "page_id bigint, url string, html string, text string, sha int")
@@ -245,6 +274,21 @@ def test_suffix_dedup_brute(spark, odd_texts, length, width, block):
         assert (len(r.data), sum(x.to - x["from"] for x in r.spans), len(r.spans), bytes(r.kept)) == e, i
 
 
+def test_suffix_dedup_many_copies(spark):
+    rng = random.Random(12)
+    text = words(rng, 700)
+    texts = [text] * 1000 + [text[:500], "y " + text[300:1200], text[:399], words(rng, 300)] + [words(rng, 60) + text[700:1300]] * 3
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(docs_of(spark, texts)).collect()}
+    plain = repeats_plain([text, text, *texts[1000:]], 400)
+    for i, e in zip([0, 999, *range(1000, len(texts))], plain, strict=True):
+        r = got[i]
+        assert (len(r.data), sum(x.to - x["from"] for x in r.spans), len(r.spans), bytes(r.kept)) == e, i
+    t = docs_of(spark, texts).select(F.unhex(F.md5("text")).alias("t"), F.col("text").cast("binary").alias("data"))
+    rows = suffix_dedup.repeated_ranges(t.where(F.octet_length("data") >= 400)).collect()
+    of_copy = [r for r in rows if bytes(r.t).hex() == hashlib.md5(text.encode()).hexdigest()]
+    assert len(of_copy) < 200 and max(len(r.ranges) for r in rows) <= 200  # as for one text, not a thousand
+
+
 def test_suffix_digest_empty(spark):
     assert suffix_dedup.suffix_digest(docs_of(spark, [])).count() == 0
     assert [(r.n_bytes, r.n_spans) for r in suffix_dedup.suffix_digest(docs_of(spark, [None], [None])).collect()] == [(0, 0)]
