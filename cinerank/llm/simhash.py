@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinerank.llm.common import UPPER, components, deal, groups, materialize, packed, spanning, split_buckets
+from cinerank.llm.common import UPPER, components, deal, groups, materialize, packed, split_buckets
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {ord(c): ord(c.lower()) for c in UPPER}
@@ -99,9 +99,7 @@ def fingerprint_links(distinct_fps: DataFrame, max_bits: int = 3, segments: int
             if not own.any():
                 continue
             fp = t.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            near = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= max_bits
-            near &= own[:, None] | own[None, :]
-            root = spanning(near)
+            root = _roots(fp, own, max_bits)
             pick = root != np.arange(len(root))
             if pick.any():
                 yield pa.RecordBatch.from_arrays([pa.array(fp[pick].view(np.int64)), pa.array(fp[root[pick]].view(np.int64))], ["a", "b"])
@@ -110,6 +108,31 @@ def fingerprint_links(distinct_fps: DataFrame, max_bits: int = 3, segments: int
     return deal(split_buckets(rows, "key", "fp", "own", block).select("key", "bi", "bj", "fp", "own"), "key", "bi", "bj").mapInArrow(verify, "a long, b long")
 
 
+def _roots(fp: np.ndarray, own: np.ndarray, max_bits: int, strip: int = 256) -> np.ndarray:
+    """The smallest place reachable from each over links of up to ``max_bits`` bits with an own end; distances are worked
+    out a strip of rows at a time, so a bucket of two blocks takes a few megabytes, not its square."""
+    n = len(fp)
+    label = np.arange(n)
+    while True:
+        new = label.copy()
+        for k in range(0, n, strip):
+            part = slice(k, k + strip)
+            near = np.bitwise_count(fp[part, None] ^ fp) <= max_bits
+            near &= own[part, None] | own
+            new[part] = np.minimum(label[part], np.where(near, label, n).min(axis=1))
+        new = np.minimum(new, new[new])
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _rooted(fps: DataFrame, max_bits: int, segments: int, block: int) -> DataFrame:
+    """Rows (fp, root) for the distinct fingerprints of ``fps``."""
+    nodes = materialize(fps.select("fp").distinct(), "fp_nodes")
+    comp = components(fingerprint_links(nodes, max_bits, segments, block))
+    return nodes.join(comp, nodes.fp == comp.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     max_bits: int = 3, segments: int = 2, block: int = 4096) -> DataFrame:
     """Rows (``id_col``, fp long, component_id) for every row of ``docs``.
@@ -118,22 +141,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     node, so a group of copies costs one row per task and no pairs. Null ids take part but are never the
     smallest; a component of null ids only has a null component_id. Empty texts share fingerprint zero."""
     fps = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    nodes = materialize(fps.groupBy("fp").agg(F.min(id_col).alias("first_id")), "fp_nodes")
-    comp = components(fingerprint_links(nodes, max_bits, segments, block))
-    rooted = nodes.join(comp, nodes.fp == comp.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    first = fps.groupBy("fp").agg(F.min(id_col).alias("first_id"))
+    rooted = first.join(_rooted(fps, max_bits, segments, block), "fp")
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     label = rooted.join(smallest, "root").select("fp", "component_id")
     return fps.join(label, "fp").select(id_col, "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """One row of ``docs`` per component: a row whose id is the component's smallest (one of them, if the id
-    repeats). Rows with a null id are kept. Columns are those of ``docs``."""
-    comp = near_duplicates(docs, id_col, **kw).where(F.col(id_col) == F.col("component_id"))
-    ids = comp.select(F.col(id_col).alias("keep")).distinct()
-    whole = packed(docs, F.col(id_col).alias("id"))
-    kept = whole.join(ids, F.col("id") == F.col("keep")).groupBy("id").agg(F.first("row").alias("row")).select("row")
-    return kept.unionByName(whole.where("id is null").select("row")).select("row.*")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3, segments: int = 2, block: int = 4096) -> DataFrame:
+    """Exactly one row of ``docs`` per component: the one with the smallest id, null ids last, of equal ids the one whose
+    text has the smallest hash; of rows that have the same id and text, the one with the smallest hash of all columns.
+
+    So a document that is nobody's near copy stays, whatever its id, and of several rows with an id each may stay for its
+    own component. Columns are those of ``docs``; they must have types that Spark can hash."""
+    marked = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h")).alias("mark"), F.col(text_col).alias("text"))
+    fps = materialize(fingerprints(marked, "mark", "text", shingle), "fingerprints")
+    # one row per fingerprint, combined map-side, then one per component
+    first = F.min(F.struct(F.col("mark.id").isNull().alias("none"), F.col("mark.id").alias("id"), F.col("mark.h").alias("h")))
+    best = fps.groupBy("fp").agg(first.alias("best")).join(_rooted(fps, max_bits, segments, block), "fp")
+    keep = best.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.id").alias("keep"), F.col("best.h").alias("keep_h"))
+    whole = packed(docs, F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"))
+    kept = whole.join(keep, F.col("id").eqNullSafe(F.col("keep")) & (F.col("h") == F.col("keep_h")))
+    return kept.groupBy("id", "h").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
 
 
 def simhash_digest(docs: DataFrame) -> DataFrame:
