@@ -89,15 +89,24 @@ def user_profiles_by_fold(folds: DataFrame, profiles: DataFrame, n_folds: int =
     return j.groupBy(U, "idx").agg(*aggs).select(U, "idx", F.array(*weight).alias("w"))
 
 
-def content_scores_by_fold(folds: DataFrame, uprof: DataFrame, iprof: DataFrame, n_folds: int = 5) -> DataFrame:
+def profile_norms(uprof: DataFrame, iprof: DataFrame, n_folds: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(user_id, _n array<double> with a norm per fold) and (item_id, i_norm)."""
+    un = uprof.groupBy(U).agg(F.array(*[F.sqrt(F.sum(F.col("w")[k] * F.col("w")[k])) for k in range(n_folds)]).alias("_n"))
+    return un, iprof.groupBy(I).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("i_norm"))
+
+
+def content_scores_by_fold(folds: DataFrame, uprof: DataFrame, iprof: DataFrame, n_folds: int = 5,
+                           norms: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """``content_scores`` of every rating under the profiles of its own fold's train side, from the rows of
-    ``user_profiles_by_fold``: a cell picks its fold's weight, and a user's norms for all folds are one aggregate."""
+    ``user_profiles_by_fold``: a cell picks its fold's weight, and a user's norms for all folds are one aggregate.
+
+    Profiles bucketed by (user_id, idx) and by item_id, and ``norms`` by their id, are read where they lie: only the cells
+    are exchanged."""
     cells = folds.select("fold", U, I, "score")
     mine = F.get("w", F.col("fold") - 1)
     dots = (cells.select("fold", U, I).join(iprof.select(I, "idx", F.col("weight").alias("_wi")), I).join(uprof, [U, "idx"])
             .groupBy("fold", U, I).agg(F.sum(mine * F.col("_wi")).alias("num")))
-    un = uprof.groupBy(U).agg(F.array(*[F.sqrt(F.sum(F.col("w")[k] * F.col("w")[k])) for k in range(n_folds)]).alias("_n"))
-    inn = iprof.groupBy(I).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("i_norm"))
+    un, inn = norms or profile_norms(uprof, iprof, n_folds)
     out = cells.join(dots, ["fold", U, I], "left").join(un, U, "left").join(inn, I, "left")
     return _cosine_scores(out.withColumn("u_norm", F.get("_n", F.col("fold") - 1)), ["fold"])
 

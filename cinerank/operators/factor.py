@@ -12,13 +12,15 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinerank.functions.scalar import clamp, dot
 from cinerank.operators.ranking import global_rank
-from cinerank.session import materialize, scratch_path
+from cinerank.session import discard, materialize, scratch_path
 
 U, I = "user_id", "item_id"
 
@@ -237,7 +239,9 @@ def truncated_svd(values: DataFrame, k: int = 20, iters: int = 1, seed: int = 42
         return table.join(h.withColumnRenamed("m", "h"), I)
     y = _random_start(items, groups, wide, seed)
     for n in range(1, max_rounds + 1):
-        t = materialize(step(_orthonormal(y, I, groups, wide), "m"), "svd_step").select(I, "m", "h")
+        basis = _orthonormal(y, I, groups, wide)
+        t = materialize(step(basis, "m"), "svd_step").select(I, "m", "h")
+        discard(basis, *([y] if n > 1 else []))  # the step holds all that is still needed
         ritz = _sums(t, I, _inner, (groups, wide, wide))
         theta, w = np.linalg.eigh((ritz + ritz.transpose(0, 2, 1)) / 2)
         theta, w = np.clip(theta[:, ::-1], 0, None), w[:, :, ::-1]
@@ -247,17 +251,22 @@ def truncated_svd(values: DataFrame, k: int = 20, iters: int = 1, seed: int = 42
         gap = theta[:, k - 1] - (theta[:, k] if wide > k else 0.0)
         if n >= iters and (off <= tol * np.maximum(gap, 1e-6 * theta[:, 0])).all():
             v = materialize(_apply(t.select(I, "m"), I, first), "svd_v")
-            return materialize(_times(r, v, I, U, groups, k), "svd_us"), v, np.sqrt(of_first).tolist()
+            us = materialize(_times(r, v, I, U, groups, k), "svd_us")
+            discard(t, r)
+            return us, v, np.sqrt(of_first).tolist()
         e, degree = _filter(theta)
 
         def begin(m, h, w=w, e=e):
             a, b = (np.einsum("ngk,gkj->ngj", x, w, optimize=True) for x in (m, h))
             return a, b / e[:, :, None].transpose(1, 0, 2) - a
-        t = _by_row(t, I, begin, ("p", "m"))
+        last, t = t, _by_row(t, I, begin, ("p", "m"))
         for _ in range(degree - 1):
-            t = materialize(step(materialize(t, "svd_pair"), "m"), "svd_step").select(I, "p", "m", "h")
-            t = _by_row(t, I, lambda p, m, h, e=e: (m, 2 * (h / e[:, :, None].transpose(1, 0, 2) - m) - p), ("p", "m"))
+            pair = materialize(t, "svd_pair")
+            t = materialize(step(pair, "m"), "svd_step").select(I, "p", "m", "h")
+            discard(last, pair)
+            last, t = t, _by_row(t, I, lambda p, m, h, e=e: (m, 2 * (h / e[:, :, None].transpose(1, 0, 2) - m) - p), ("p", "m"))
         y = materialize(t.select(I, "m"), "svd_y")
+        discard(last)
     raise RuntimeError(f"SVD of rank {k}: not within {tol} after {max_rounds} rounds")
 
 
@@ -326,44 +335,78 @@ def _sgd_block(ratings, factors, gamma: float, lam: float):
     return factors.assign(vec=list(vec))
 
 
+def sgd_grid(ratings: int, cell: int = 250_000) -> int:
+    """Blocks of users, and of items, so that a cell of the grid has about ``cell`` ratings: a task holds one cell and the
+    factors of its users and items. An epoch has as many sub-epochs as there are blocks, of as many tasks each."""
+    return max(2, math.ceil(math.sqrt(ratings / cell)))
+
+
+def _parts(train: DataFrame, key: str, most: int, blocks: int, seed: int) -> DataFrame:
+    """Rows (``key``, part, parts, block, sid): each id once, or, with more than ``most`` ratings, once for each of as many
+    parts as keep it below that, in blocks by hash. ``sid`` numbers them densely."""
+    parts = train.groupBy(key).agg(F.ceil(F.count("*") / most).cast("int").alias("parts"))
+    parts = parts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    h = F.when(F.col("part") == 0, F.xxhash64(F.lit(seed), key)).otherwise(F.xxhash64(F.lit(seed), key, "part"))
+    return materialize(global_rank(parts.withColumn("block", F.pmod(h, F.lit(blocks)).cast("int")), [key, "part"], "sid", start=0), "sgd_ids")
+
+
 def sgd_factors(train: DataFrame, blocks: int, rank: int = SGD_RANK, lam: float = SGD_LAMBDA, gamma: float = SGD_GAMMA,
-                epochs: int = SGD_EPOCHS, seed: int = 42, cut_every: int = 8) -> DataFrame:
+                epochs: int = SGD_EPOCHS, seed: int = 42, cut_every: int = 8, most: int | None = None) -> DataFrame:
     """JOB-14 SGD mode: distributed stratified SGD. Returns rows (epoch, kind, id, vec), the factors after every epoch
     (``epoch_factors`` reads one), written below the checkpoint folder.
 
-    Users and items are hashed into ``blocks`` blocks each: choose about as many as the cluster has workers. A
-    sub-epoch updates that many blocks (b, (b + s) mod blocks) at a time; they share no user and no item. The grid fixes
-    the update order, so it is a parameter and never follows the data. The ratings are written once, partitioned by
-    sub-epoch, with their step in the update order; each sub-epoch reads its own part. Up to ``cut_every`` sub-epochs
-    form one job: every block's output feeds one reader only, so none is worked out twice."""
-    spark, bk = train.sparkSession, F.lit(blocks)
-    ub = lambda c: F.pmod(F.xxhash64(F.lit(seed), c), bk).cast("int")
-    ib = lambda c: F.pmod(F.xxhash64(F.lit(seed + 1), c), bk).cast("int")
-    r = train.select(U, I, F.col("score").cast("double").alias("score"), ub(F.col(U)).alias("key"),
-                     F.pmod(ib(F.col(I)) - ub(F.col(U)), bk).cast("int").alias("stratum"),
-                     F.xxhash64(F.lit(seed + 2), U, I).alias("_o"))
+    Users and items are hashed into ``blocks`` blocks each (``sgd_grid``). A sub-epoch updates that many blocks
+    (b, (b + s) mod blocks) at a time; they share no user and no item. The grid fixes the update order, so it is a
+    parameter and never follows the cluster. A user or item with more than ``most`` ratings (by default the share of one
+    block in an even grid) is dealt out as several, each with a copy of its factors; after each epoch the copies are
+    replaced by their mean, so no block grows with a hot id. The ratings are written once, partitioned by sub-epoch, with
+    their step in the update order; each sub-epoch reads its own part. Up to ``cut_every`` sub-epochs form one job: every
+    block's output feeds one reader only, so none is worked out twice."""
+    spark = train.sparkSession
+    train = train.select(U, I, F.col("score").cast("double").alias("score"))
+    most = most or max(1, train.count() // blocks)
+    ids = {"p": _parts(train, U, most, blocks, seed), "q": _parts(train, I, most, blocks, seed + 1)}
+    r = train.withColumn("_o", F.xxhash64(F.lit(seed + 2), U, I))
+    for kind, key, other in (("p", U, I), ("q", I, U)):  # which part of a hot id a rating belongs to follows from the other id
+        r = r.join(ids[kind].where("part = 0").select(key, "parts"), key).withColumn(f"_{kind}", F.pmod(F.xxhash64(F.lit(seed + 3), other), "parts").cast("int")).drop("parts")
+    for kind, key in (("p", U), ("q", I)):
+        r = r.join(ids[kind].select(key, F.col("part").alias(f"_{kind}"), F.col("sid").alias(f"{kind}_id"), F.col("block").alias(f"{kind}_block")), [key, f"_{kind}"])
+    r = r.select(F.col("p_id").alias(U), F.col("q_id").alias(I), "score", "_o", F.col("p_block").alias("key"),
+                 F.pmod(F.col("q_block") - F.col("p_block"), F.lit(blocks)).cast("int").alias("stratum"))
     r = r.groupBy("stratum", "key").applyInPandas(
         _add_levels, "user_id bigint, item_id bigint, score double, key int, stratum int, level int")
     strata, table = scratch_path(spark, "sgd_ratings"), scratch_path(spark, "sgd_factors")
     r.write.partitionBy("stratum").parquet(strata)
     r = spark.read.parquet(strata)
-    schema = "key int, kind string, id bigint, vec array<double>"
-    f = _init_factors(train.select(U).distinct(), U, rank, seed, 1).withColumn("kind", F.lit("p")).unionByName(
-        _init_factors(train.select(I).distinct(), I, rank, seed, 2).withColumn("kind", F.lit("q")))
+    row = "kind string, block int, id bigint, vec array<double>"
+    named = materialize(ids["p"].select(F.lit("p").alias("kind"), "sid", F.col(U).alias("id"), "part", "parts", "block").unionByName(
+        ids["q"].select(F.lit("q").alias("kind"), "sid", F.col(I).alias("id"), "part", "parts", "block")), "sgd_names")
+    copies = named.where("parts > 1").select("kind", F.col("sid").alias("id"), F.col("id").alias("whole"))
+    split = not copies.isEmpty()
+    first = [_init_factors(ids[kind].where("part = 0"), key, rank, seed, salt).withColumn("kind", F.lit(kind)) for kind, key, salt in (("p", U, 1), ("q", I, 2))]
+    f = named.join(first[0].unionByName(first[1]), ["kind", "id"]).select("kind", "block", F.col("sid").alias("id"), "vec")
 
     def run(rows, factors):
         return _sgd_block(rows, factors, gamma, lam)
+    mean = F.array(*[F.avg(F.get("vec", F.lit(j))) for j in range(rank)])
     for epoch in range(1, epochs + 1):
         for s in range(blocks):
             rows = r.where(F.col("stratum") == s).drop("stratum")
-            at = F.when(F.col("kind") == "p", ub(F.col("id"))).otherwise(F.pmod(ib(F.col("id")) - s, bk)).cast("int")
-            keyed = f.select(at.alias("key"), "kind", "id", "vec")
-            f = rows.groupBy("key").cogroup(keyed.groupBy("key")).applyInPandas(run, schema).drop("key")
+            at = F.when(F.col("kind") == "p", F.col("block")).otherwise(F.pmod(F.col("block") - s, F.lit(blocks))).cast("int")
+            keyed = f.select(at.alias("key"), "kind", "block", "id", "vec")
+            f = rows.groupBy("key").cogroup(keyed.groupBy("key")).applyInPandas(run, f"key int, {row}").drop("key")
             if (s + 1) % cut_every == 0 and s + 1 < blocks:
                 f = materialize(f, "sgd_part")
-        f.write.parquet(f"{table}/epoch={epoch}")
-        f = spark.read.schema("kind string, id bigint, vec array<double>").parquet(f"{table}/epoch={epoch}")
-    return spark.read.schema("kind string, id bigint, vec array<double>, epoch int").parquet(table)
+        if split:
+            f = materialize(f, "sgd_part")
+            own = materialize(f.join(copies, ["kind", "id"]), "sgd_copies")
+            new = own.drop("vec").join(own.groupBy("kind", "whole").agg(mean.alias("vec")), ["kind", "whole"])
+            f = f.join(own.select("kind", "id"), ["kind", "id"], "left_anti").unionByName(new.drop("whole"))
+        f.select("kind", "block", "id", "vec").write.parquet(f"{table}/epoch={epoch}")
+        f = spark.read.schema(row).parquet(f"{table}/epoch={epoch}")
+    done = spark.read.schema(f"{row}, epoch int").parquet(table).select("epoch", "kind", F.col("id").alias("sid"), "vec")
+    # all copies of an id are equal after an epoch: its first part stands for it
+    return materialize(done.join(named.where("part = 0").select("kind", "sid", "id"), ["kind", "sid"]).select("epoch", "kind", "id", "vec"), "sgd_epochs")
 
 
 def epoch_factors(factors: DataFrame, epoch: int | None = None):

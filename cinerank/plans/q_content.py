@@ -12,7 +12,7 @@ from cinerank.plans.oracle_views import with_views
 from cinerank.plans.q_cf import cf_metrics, cf_sql
 from cinerank.plans.q_prep import FOLK_VIEWS, build_folksonomy, folk_ctes
 from cinerank.plans.registry import query
-from cinerank.session import materialize, staged
+from cinerank.session import bucketed, materialize, staged
 from cinerank.sources import views
 
 
@@ -117,10 +117,18 @@ def job10_user_profiles_b(spark, sf_dir):
 
 
 def _cb_scores(spark, sf_dir, only=None):
-    _, iprof, _ = content_tables(spark, sf_dir)
     folds = views.folds(spark, sf_dir)
     cells = folds if only is None else folds.where(F.col("fold") == only)
-    return cb.content_scores_by_fold(cells, cb.user_profiles_by_fold(folds, iprof), iprof)
+    return cb.content_scores_by_fold(cells, *profile_store(spark, sf_dir))
+
+
+def profile_store(spark, sf_dir):
+    """SNK-8 / SRC-12: user and item profiles and their norms, stored once per session in buckets of the keys they are joined by."""
+    _, iprof, _ = content_tables(spark, sf_dir)
+    items = bucketed(spark, f"item_profiles:{sf_dir}", lambda: iprof, ("item_id",))
+    users = bucketed(spark, f"user_profiles:{sf_dir}", lambda: cb.user_profiles_by_fold(views.folds(spark, sf_dir), items), ("user_id", "idx"))
+    norms = [bucketed(spark, f"norms{k}:{sf_dir}", lambda k=k: cb.profile_norms(users, items)[k], (key,)) for k, key in enumerate(("user_id", "item_id"))]
+    return users, items, views.N_FOLDS, norms
 
 
 def _cb_preview(spark, sf_dir, n=20):

@@ -9,6 +9,7 @@ from cinerank.functions.scalar import r6
 from cinerank.operators import factor as fa
 from cinerank.operators import neighbours as nb
 from cinerank.operators.evaluate import error_metrics, rounded
+from cinerank.operators.factor_model import FactorModel
 from cinerank.plans.oracle_views import with_views
 from cinerank.plans.registry import query
 from cinerank.session import materialize, scratch_path
@@ -142,6 +143,28 @@ def job20_cells_of_given_factors(spark, sf_dir):
     return s.select("user_id", "item_id", F.col("score").alias("stored"), r6("pred").alias("pred"))
 
 
+_GIVEN_ALL = ("all_cells", f"select fold, user_id, item_id, score, least(greatest({_given_pred()}, 1.0), 5.0) as pred from folds")
+
+
+@query("snk12_saved_model_cells", with_views("folds", extra=[_GIVEN_ALL])
+       + "select user_id, item_id, score as stored, round(pred, 6) + 0.0 as pred from all_cells")
+def snk12_saved_model_cells(spark, sf_dir):
+    """SNK-12 / JOB-20: a model of given factors saved and loaded through Spark ML, and every rating scored by the loaded one."""
+    path = scratch_path(spark, "factor_model")
+    FactorModel(*_given_tables(spark, sf_dir)).write().save(path)
+    s = FactorModel.load(path).transform(views.folds(spark, sf_dir).select("user_id", "item_id", "score"))
+    return s.select("user_id", "item_id", F.col("score").alias("stored"), r6("pred").alias("pred"))
+
+
+@query("job17_errors_of_given_factors_folds", with_views("folds", extra=[_GIVEN_ALL])
+       + "select fold, round(sqrt(avg((pred - score) * (pred - score))), 6) as rmse, round(avg(abs(pred - score)), 6) as mae, "
+         "round(sqrt(avg(abs(pred - score))), 6) as sqrt_mae, count(*) as n from all_cells group by fold")
+def job17_errors_of_given_factors_folds(spark, sf_dir):
+    """JOB-17: clamped errors of given factors on the test cells of every fold."""
+    s = fa.score_cells(views.folds(spark, sf_dir).select("fold", "user_id", "item_id", "score"), *_given_tables(spark, sf_dir))
+    return rounded(error_metrics(s, ("fold",)), METRICS)
+
+
 def _entries_sql(key: str, step: int, kind: str) -> str:
     return (f"select '{kind}' as kind, {key} as id, j, (({key} * (j + {step})) % 101) / 64.0 as value "
             f"from (select distinct {key} from ratings) t, (select unnest(range({GIVEN_RANK})) as j) k")
@@ -215,10 +238,11 @@ def job18_full_rank_cells(spark, sf_dir):
 # --- SGD ------------------------------------------------------------------------
 
 def _sgd(spark, sf_dir):
-    """Factors after each of 100 epochs on fold-1 train. The grid follows the cluster, never the data: a block for every
-    four cores, since an epoch has as many sub-epochs as there are blocks."""
-    blocks = max(2, spark.sparkContext.defaultParallelism // 4)
-    return _once(spark, "sgd", sf_dir, lambda: fa.sgd_factors(_fold1(spark, sf_dir)[0], blocks, epochs=fa.SGD_EPOCHS))
+    """Factors after each of 100 epochs on fold-1 train. The grid follows the number of ratings, never the cluster."""
+    def fit():
+        train = _fold1(spark, sf_dir)[0]
+        return fa.sgd_factors(train, fa.sgd_grid(train.count()), epochs=fa.SGD_EPOCHS)
+    return _once(spark, "sgd", sf_dir, fit)
 
 
 @query("job15_sgd_learning_curve")

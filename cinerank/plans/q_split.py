@@ -85,11 +85,8 @@ def win4_user_positions(spark, sf_dir):
     return sp.positions(views.ratings(spark, sf_dir)).select("user_id", "item_id", "pos")
 
 
-@query("job25_per_user_holdout", with_views("ratings", extra=[
-    _POS, ("cand", "select user_id, item_id, row_number() over (order by ts, user_id, item_id) as t "
-                   "from pos where pos between 1 and 10")])
-       + "select p.user_id, p.item_id, case when c.t is not null then 'test' else 'base' end "
-         "as split from pos p left join cand c on c.user_id = p.user_id and c.item_id = p.item_id")
+@query("job25_per_user_holdout", with_views("ratings", extra=[_POS])
+       + "select user_id, item_id, case when pos between 1 and 10 then 'test' else 'base' end as split from pos")
 def job25_per_user_holdout(spark, sf_dir):
     """JOB-25: first 10 ratings of each user are test (ua style)."""
     h = sp.per_user_holdout(views.ratings(spark, sf_dir), 1, 10, 0)

@@ -97,3 +97,28 @@ def materialize(df, name: str = "tmp"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def discard(*tables) -> None:
+    """Delete the files of intermediates that ``materialize`` wrote, once nothing will read them again."""
+    for df in tables:
+        spark = df.sparkSession
+        base = os.path.join(ensure_checkpoint_dir(spark), "tables")
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+            if str(path.getParent().toUri().getPath()) == str(spark._jvm.org.apache.hadoop.fs.Path(base).toUri().getPath()):
+                fs.delete(path, True)
+
+
+def bucketed(spark: SparkSession, key: str, build, by: tuple[str, ...], buckets: int = 16):
+    """Write ``build()`` once per session as a table bucketed and sorted by ``by``, with its files below the checkpoint
+    folder, and return a DataFrame reading it: a join or aggregate on exactly these columns needs no exchange of it."""
+    memo = (spark.sparkContext.applicationId, key)
+    name = _STAGED.get(memo)
+    if name is None:
+        name = f"store_{uuid.uuid4().hex[:12]}"
+        build().repartition(buckets, *by).write.bucketBy(buckets, *by).sortBy(*by).option("path", scratch_path(spark, name)).saveAsTable(name)
+        _STAGED[memo] = name
+    return spark.table(name)

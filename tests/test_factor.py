@@ -114,3 +114,51 @@ def test_als_keeps_ids_beyond_int_range(spark):
     uf, itf = fa.als_factors(fa.als_model(big, max_iter=2))
     assert uf.agg(F.min("user_id")).first()[0] >= 10 ** 12
     assert uf.count() == r.select("user_id").distinct().count()
+
+
+def test_sgd_splits_a_hot_user_and_does_not_follow_the_cores(spark):
+    rng = np.random.default_rng(8)
+    cells = {(0, i): 3.0 for i in range(60)} | {(int(rng.integers(1, 40)), int(rng.integers(0, 60))): float(rng.integers(1, 11)) / 2 for _ in range(150)}
+    rows = [(u, i, s) for (u, i), s in sorted(cells.items())]
+    r = spark.createDataFrame(rows, "user_id bigint, item_id bigint, score double")
+    ids = fa._parts(r, "user_id", 20, 4, 42).collect()
+    assert sorted(x.part for x in ids if x.user_id == 0) == [0, 1, 2] and all(x.parts == 1 for x in ids if x.user_id)
+    got = []
+    for parts in (1, 7):  # another number of tasks, the same grid
+        f = fa.sgd_factors(r.repartition(parts), 4, rank=3, epochs=2, most=20)
+        assert f.groupBy("epoch", "kind", "id").count().where("count > 1").count() == 0
+        got.append({(x.epoch, x.kind, x.id): x.vec for x in f.collect()})
+    assert got[0].keys() == got[1].keys() and all(np.allclose(got[0][k], got[1][k]) for k in got[0])
+    assert fa.sgd_grid(480_000) == fa.sgd_grid(480_000) == 2 and fa.sgd_grid(10 ** 9) == 64
+
+
+def test_saved_factor_model(spark, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from cinerank.operators.factor_model import FactorEstimator, FactorModel
+    r = _ratings(spark)
+    est = FactorEstimator(rank=3, maxIter=2, bounded=False)
+    est.write().save(f"file://{tmp_path}/est")
+    again = FactorEstimator.load(f"file://{tmp_path}/est")
+    assert again.getOrDefault("rank") == 3 and again.getMaxIter() == 2 and again.getOrDefault("bounded") is False
+    model = again.fit(r)
+    model.set(model.fallback, 2.5)
+    model.write().overwrite().save(f"file://{tmp_path}/model")
+    loaded = FactorModel.load(f"file://{tmp_path}/model")
+    cells = r.select("user_id", "item_id").unionByName(spark.createDataFrame([(-5, -6)], "user_id bigint, item_id bigint"))
+    a, b = ({(x.user_id, x.item_id): x.pred for x in m.transform(cells).collect()} for m in (model, loaded))
+    assert a == b and b[-5, -6] == 2.5 and loaded.uid == model.uid
+    fitted = Pipeline(stages=[est]).fit(r)
+    fitted.write().save(f"file://{tmp_path}/pipe")
+    assert PipelineModel.load(f"file://{tmp_path}/pipe").transform(r).count() == r.count()
+
+
+def test_svd_leaves_only_its_result(spark):
+    import os
+
+    from cinerank.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).removeprefix("file:") + "/tables"
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    us, v, _ = fa.truncated_svd(_ratings(spark), k=2)
+    left = {n.rsplit("-", 1)[0] for n in set(os.listdir(base)) - before}
+    assert left <= {"svd_us", "svd_v", "svd_items"} and us.count() and v.count()
