@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,27 +38,34 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domain_col: str = "lang",
                 max_domains: int = 64, seed: int = 31) -> DomainModel | None:
     """Learns word likelihoods per domain from the documents that the labelled table names.
 
-    ``labelled`` has the column doc_id; the domain of a labelled document is its ``domain_col``. At most ``max_rows``
-    labelled documents, by hash order, and the ``vocabulary`` most frequent of their words are used: both bounds keep
-    the model small enough to broadcast. Null domains and ids are ignored. None if nothing is labelled."""
-    pick = (labelled.where("doc_id is not null").select("doc_id").distinct()
-            .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(max_rows))
-    pick = materialize(pick, "mix_labels")
+    ``labelled`` has the column doc_id; the domain of a labelled document is its ``domain_col``. The domains, and how much
+    of the labelled text is theirs, come from all labelled documents; the words from at most ``max_rows`` of them, the same
+    number of each domain by hash order, and the ``vocabulary`` most frequent of those: both bounds keep the model small enough
+    to broadcast, and no domain can be missing from it. Null domains and ids are ignored. None if nothing is labelled; more
+    than ``max_domains`` domains raise."""
+    ids = labelled.where("doc_id is not null").select("doc_id").distinct()
+    held = docs.select("doc_id", F.col(domain_col).cast("string").alias("domain"), F.length("text").alias("size")).where("domain is not null").join(ids, "doc_id")
+    held = materialize(held, "mix_labels")
+    share = sorted((r.domain, float(r.n or 0) + 1.0) for r in held.groupBy("domain").agg(F.sum("size").alias("n")).limit(max_domains + 1).collect())
+    if not share:
+        return None
+    if len(share) > max_domains:
+        raise ValueError(f"more than {max_domains} domains")
+    order = [F.xxhash64(F.lit(seed), "doc_id"), F.col("doc_id")]
+    some = [held.where(F.col("domain") == d).select("doc_id").distinct().orderBy(*order).limit(max(1, max_rows // len(share))) for d, _ in share]
+    pick = materialize(reduce(DataFrame.unionByName, some).distinct(), "mix_picked")
     rows = docs.select("doc_id", F.col(domain_col).cast("string").alias("domain"), F.col("text")).join(F.broadcast(pick), "doc_id")
     rows = rows.where("domain is not null").select("domain", F.explode(letters_of(F.col("text"))).alias("word")).where("word <> ''")
     counts = materialize(rows.groupBy("domain", "word").agg(F.count("*").alias("n")), "mix_counts")
-    total = sorted((r.domain, r.n) for r in counts.groupBy("domain").agg(F.sum("n").alias("n")).limit(max_domains + 1).collect())
-    if not total:
-        return None
-    if len(total) > max_domains:
-        raise ValueError(f"more than {max_domains} domains")
+    found = {r.domain: r.n for r in counts.groupBy("domain").agg(F.sum("n").alias("n")).collect()}
+    total = [(d, found.get(d, 0)) for d, _ in share]
     top = counts.groupBy("word").agg(F.sum("n").alias("all")).orderBy(F.col("all").desc(), "word").limit(vocabulary).select("word")
     known = counts.join(F.broadcast(top), "word").groupBy("word").agg(*[
         F.sum(F.when(F.col("domain") == d, F.col("n")).otherwise(0)).alias(f"n{k}") for k, (d, _) in enumerate(total)])
     smooth = [math.log(n + 0.5 * vocabulary) for _, n in total]
     ll = F.array(*[F.log(F.col(f"n{k}") + 0.5) - F.lit(s) for k, s in enumerate(smooth)])
-    whole = sum(n for _, n in total)
-    return DomainModel([d for d, _ in total], [math.log(n / whole) for _, n in total], [math.log(0.5) - s for s in smooth],
+    whole = sum(n for _, n in share)
+    return DomainModel([d for d, _ in share], [math.log(n / whole) for _, n in share], [math.log(0.5) - s for s in smooth],
                        materialize(known.select("word", ll.alias("ll")), "mix_model"))
 
 
@@ -85,15 +93,15 @@ def posteriors(docs: DataFrame, model: DomainModel, evidence: int = 20) -> DataF
 
 
 def fit_rates(post: DataFrame, targets: list[float], total_tokens: float | None = None, min_rate: float = 0.0,
-              max_steps: int = 40, tolerance: float = 1e-4, cut_every: int = 10) -> DataFrame:
+              max_steps: int = 400, tolerance: float = 1e-4, cut_every: int = 10) -> DataFrame:
     """``post`` plus rate: nonnegative rates whose expected domain token totals come nearest the targets.
 
     Projected gradient on the least squares of the domains' relative errors: the sum over domains of
     (expected total - wanted total)^2 / present total, over rates of at least ``min_rate``, starting from 1. Each step is
     one aggregate to as many sums as there are domains; the rates themselves never leave Spark. The step length is 1 over
     the largest eigenvalue of the domains' Gram matrix, taken from one more aggregate. Every ``cut_every`` steps the
-    rates are written. Stops when no domain's total moves by more than ``tolerance`` of the whole. By default the totals
-    add up to the tokens present."""
+    rates are written. Stops when no domain's total moves by more than ``tolerance`` of the whole; raises if that takes
+    more than ``max_steps`` steps. By default the totals add up to the tokens present."""
     k = range(len(targets))
     weight = F.col("n_words") * F.col("copies")
     sums = post.agg(F.sum(weight), *[F.sum(weight * F.col(f"p{i}")) for i in k],
@@ -115,22 +123,22 @@ def fit_rates(post: DataFrame, targets: list[float], total_tokens: float | None
     for step in range(1, max_steps + 1):
         got = [float(x or 0) for x in state.agg(*[F.sum(weight * F.col("rate") * F.col(f"p{i}")) for i in k]).first()]
         if before and max(abs(a - b) for a, b in zip(got, before, strict=True)) <= tolerance * whole:
-            break
+            return materialize(state, "mix_rates")
         before = got
         pull = [(got[i] - wanted[i]) / safe[i] / top for i in k]
         move = sum((F.col(f"p{i}") * F.lit(pull[i]) for i in k), F.lit(0.0))
         state = state.withColumn("rate", F.greatest(F.lit(float(min_rate)), F.col("rate") - move))
         if step % cut_every == 0:
             state = materialize(state, "mix_rates")
-    return materialize(state, "mix_rates")
+    raise RuntimeError(f"rates still move by more than {tolerance} of all tokens after {max_steps} steps")
 
 
 def mix_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], domain_col: str = "lang", min_rate: float = 0.0,
               keep_all: bool = False, **kw) -> tuple[DataFrame, list[str]]:
     """Rows (k1, k2, n_words, copies, p0.., rate) for each distinct text, and the domains' names.
 
-    Targets of domains that no labelled document has are left out and the others scaled up; domains without a target get
-    0. ``keep_all`` asks for rates of 1 at least: the token total is raised until the domain that is most over its
+    Targets of domains that not one labelled document has are left out and the others scaled up; domains without a target
+    get 0. ``keep_all`` asks for rates of 1 at least: the token total is raised until the domain that is most over its
     target is left as it is. Without any labelled document all rates are 1."""
     model = fit_domains(docs, labelled, domain_col, **kw)
     if model is None or not sum(targets.get(d, 0.0) for d in model.domains):

@@ -65,7 +65,7 @@ def build_dictionary(pages: DataFrame, size: int = 65536, sample_rows: int = 100
     pick = pages.where("page_id is not null and html <> ''").select("page_id").distinct().orderBy(F.xxhash64(F.lit(seed), "page_id"), "page_id").limit(sample_rows)
     pick = materialize(pick, "warc_sample")
     part = F.substring(F.col("html").cast("binary"), 1, sample_bytes).alias("part")
-    some = pages.join(F.broadcast(pick), "page_id").select("page_id", "url", part).limit(sample_rows).collect()
+    some = pages.join(F.broadcast(pick), "page_id").select("page_id", "url", part).orderBy("page_id", F.xxhash64("url", "part")).limit(sample_rows).collect()
     samples = [record("response", str(r.page_id), r.url or "", bytes(r.part), digest(bytes(r.part)), len(r.part), None, "1970-01-01T00:00:00Z")
                for r in sorted(some, key=lambda r: (r.page_id, bytes(r.part)))]
     if len(samples) < 8:
@@ -88,10 +88,12 @@ def open_folder(folder: str):
 
 def write_archives(records: DataFrame, folder: str, dictionary: bytes, archive_bytes: int = 64 << 20, level: int = 6,
                    date: str = "1970-01-01T00:00:00Z") -> DataFrame:
-    """Writes ``records`` (of ``classify``) to ``folder``/*.warc.zst and returns rows (path, n_records).
+    """Writes ``records`` (of ``classify``) to ``folder``/*.warc.zst, and to ``folder``/index the rows (path, n_records) that
+    it returns.
 
     Every task writes the records of its partition, a new archive whenever one exceeds ``archive_bytes`` compressed.
-    A file is written under a name of its own attempt and renamed when complete, so a retried task replaces it whole."""
+    A file has the number of its task's attempt in its name, and the index, which Spark commits, lists the files of the
+    attempts that counted. What a lost or speculative attempt leaves behind is never read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -104,17 +106,18 @@ def write_archives(records: DataFrame, folder: str, dictionary: bytes, archive_b
         me = TaskContext.get()
         out, size, count, done = None, 0, 0, []
 
+        def name() -> str:
+            return f"{me.partitionId():06d}-{me.taskAttemptId()}-{len(done):04d}.warc.zst"
+
         def finish():
             out.close()
-            name = f"{me.partitionId():06d}-{len(done):04d}.warc.zst"
-            fs.move(f"{root}/.{me.taskAttemptId()}", f"{root}/{name}")
-            done.append((f"{folder}/{name}", count))
+            done.append((f"{folder}/{name()}", count))
 
         for b in batches:
             c = b.to_pydict()
             for page, url, payload, n, sha, kind, refers in zip(*c.values(), strict=True):
                 if out is None:
-                    out = fs.open_output_stream(f"{root}/.{me.taskAttemptId()}")
+                    out = fs.open_output_stream(f"{root}/{name()}", compression=None)
                     out.write(dictionary_frame(dictionary))
                     size = count = 0
                 b32 = base64.b32encode(bytes.fromhex(sha)).decode()
@@ -131,7 +134,8 @@ def write_archives(records: DataFrame, folder: str, dictionary: bytes, archive_b
     fs, root = open_folder(folder)
     fs.create_dir(root, recursive=True)  # so that a table without pages has an empty folder to read
     cols = ["page_id", "url", "payload", "payload_bytes", "sha", "record_type", "refers_to"]
-    return materialize(records.select(*cols).mapInArrow(run, "path string, n_records long"), "warc_index")
+    records.select(*cols).mapInArrow(run, "path string, n_records long").write.mode("overwrite").parquet(f"{folder}/index")
+    return records.sparkSession.read.parquet(f"{folder}/index")
 
 
 def raw_records(data: bytes) -> Iterator[tuple[bytes, bytes]]:
@@ -166,16 +170,20 @@ def parse_record(head: bytes, block: bytes) -> dict:
 
 
 def read_archives(spark, folder: str, with_payload: bool = True) -> DataFrame:
-    """Rows (page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload) of all archives in ``folder``.
+    """Rows (page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload) of the archives that the index
+    of ``folder`` lists.
 
     Of a response, length and digest are those of the payload that was read; a payload that differs from its header
     raises. Archives are read one at a time, each of bounded size. An empty folder gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = open_folder(folder)
         for b in batches:
-            for data in b.column(0):
+            for path in b.column(0).to_pylist():
                 rows: list[dict] = []
-                for raw in raw_records(data.as_py()):
+                with fs.open_input_stream(root + "/" + path.rsplit("/", 1)[1], compression=None) as f:
+                    data = f.read()
+                for raw in raw_records(data):
                     r = parse_record(*raw)
                     if r["record_type"] == "response":
                         own = (len(r["payload"]), digest(r["payload"]))
@@ -189,8 +197,8 @@ def read_archives(spark, folder: str, with_payload: bool = True) -> DataFrame:
                         rows = []
                 yield pa.RecordBatch.from_pylist(rows, SCHEMA)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("content")
-    return files.mapInArrow(run, "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary")
+    files = spark.read.parquet(f"{folder}/index").select("path")
+    return files.repartition(max(1, min(files.count(), 10_000)), "path").mapInArrow(run, "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary")
 
 
 SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()),

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -173,6 +174,18 @@ def test_warc_round_trip(spark, tmp_path):
     assert data[:4] == (0x184D2A5D).to_bytes(4, "little") and data[8:8 + len(dictionary)] == dictionary
 
 
+def test_warc_reads_what_the_index_lists(spark, tmp_path):
+    p = pages_of(spark, [f"<p>page {i}</p>" * 5 for i in range(30)]).select("page_id", "url", "html")
+    folder = f"file://{tmp_path}/w"
+    index = warc.write_archives(warc.classify(p), folder, b"")
+    name = index.first().path.rsplit("/", 1)[1]
+    data = (tmp_path / "w" / name).read_bytes()
+    (tmp_path / "w" / ("000000-99999-0000.warc.zst")).write_bytes(data)  # left by an attempt that was lost when it had written a file
+    (tmp_path / "w" / ("000001-99998-0000.warc.zst")).write_bytes(data[:20])  # or half of one
+    back = warc.read_archives(spark, folder)
+    assert sorted(r.page_id for r in back.collect()) == list(range(30))
+
+
 def test_warc_null_ids_and_empty(spark):
     got = warc.classify(pages_of(spark, ["a", "a", "b", "b"], [None, 4, None, None]).select("page_id", "url", "html")).collect()
     assert sorted((r.page_id or -1, r.record_type, r.refers_to or -1) for r in got) == [(-1, "response", -1), (-1, "response", -1), (-1, "revisit", 4), (4, "response", -1)]
@@ -408,6 +421,18 @@ def test_html_box_on_a_small_share_of_a_large_host(spark):
         assert got.where("text like '%Subscribe%'").count() == n and got.where("text like 'Own text%'").count() == 60
 
 
+def test_mixing_keeps_a_rare_domain(spark):
+    rng = random.Random(31)
+    rows = [(i, words(rng, 12), "en" if i else "xx", "s", 1) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    model = mixing.fit_domains(docs, docs.select("doc_id"), max_rows=20)
+    assert model.domains == ["en", "xx"] and abs(sum(math.exp(x) for x in model.prior) - 1) < 1e-9 and math.exp(model.prior[1]) < 0.02
+    post = mixing.posteriors(docs, model)
+    with pytest.raises(RuntimeError):
+        mixing.fit_rates(post, [0.01, 0.99], total_tokens=50_000, max_steps=1)
+    assert mixing.fit_rates(post, [0.5, 0.5], max_steps=400).where("rate < 0").count() == 0
+
+
 def test_nearest_e8():
     rng = np.random.default_rng(10)
     near = lattice.minimal_vectors()
@@ -419,6 +444,19 @@ def test_nearest_e8():
     assert (((x[:, None] - q[:, None] - near[None]) ** 2).sum(axis=2) >= d[:, None] - 1e-9).all()
 
 
+@pytest.mark.parametrize("dim", [16, 32, 64, 768])
+@pytest.mark.parametrize("threshold", [0.9, 0.95])
+def test_lattice_recall_near_the_threshold(dim, threshold):
+    rng = np.random.default_rng(dim)
+    u = lattice.units(rng.normal(size=(2000, dim)))
+    z = rng.normal(size=(2000, dim))
+    z = lattice.units(z - (z * u).sum(axis=1, keepdims=True) * u)
+    c = rng.uniform(threshold, threshold + 0.01, size=(2000, 1))
+    a, b = (lattice.cells(x, 8, 2, 2, lattice.scale_of(dim, threshold, 2), 17) for x in (u, c * u + np.sqrt(1 - c * c) * z))
+    met = ((a[:, :, :1] == b).any(axis=2) | (b[:, :, :1] == a).any(axis=2)).any(axis=1)
+    assert met.mean() >= 0.99
+
+
 def vectors(spark):
     rng = np.random.default_rng(11)
     base = rng.normal(size=(150, 64))
