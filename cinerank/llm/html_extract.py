@@ -15,8 +15,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from cinerank.llm.common import materialize
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTR = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+SPECIAL = re.compile(r"[>\"']")
+ATTR = re.compile(r"([a-zA-Z_:@.-][\w:@.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACES = re.compile(r"\s+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea xmp noembed noframes".split())
@@ -42,22 +43,62 @@ class Node:
         self.tag, self.attrs, self.kids = tag, attrs, []
 
 
+class Tags:
+    """The tags of a text, comments and declarations, in order; each character is looked at a bounded number of times.
+
+    A ">" inside quotes doesn't end a tag, unless a quote is never closed, or no ">" follows: then the tags before that place end at the next ">"."""
+
+    def __init__(self, source: str):
+        self.source, self.last, self.broken = source, source.rfind(">"), -1
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, slash, name, attributes) of the first tag from ``at`` on; the name is empty if it is no element's."""
+        s = self.source
+        at = s.find("<", at)
+        while at >= 0:
+            if s.startswith("<!--", at):
+                end = s.find("-->", at + 4)
+                return at, end + 3 if end >= 0 else len(s), "", "", ""
+            if at > self.last:
+                at = s.find("<!--", at)
+                continue
+            if s[at + 1:at + 2] in ("!", "?"):
+                return at, s.find(">", at) + 1, "", "", ""
+            if (m := NAME.match(s, at + 1)) and (end := self._end(m.end())) >= 0:
+                return at, end + 1, m[1], m[2], s[m.end():end]
+            at = s.find("<", at + 1)
+        return None
+
+    def _end(self, begin: int) -> int:
+        at = begin
+        while at > self.broken:
+            m = SPECIAL.search(self.source, at)
+            if m and m[0] == ">":
+                return m.start()
+            close = self.source.find(m[0], m.end()) if m else -1
+            if close < 0:
+                self.broken = m.start() if m else len(self.source)
+                break
+            at = close + 1
+        return self.source.find(">", begin)
+
+
 def parse(source: str) -> Node:
     """A forgiving element tree: children are nodes or strings. Unclosed elements end with their parent."""
-    root = Node("#root", "")
+    root, tags = Node("#root", ""), Tags(source)
     stack, names, at = [root], {}, 0
     while at < len(source):
-        m = TAG.search(source, at)
+        m = tags.next(at)
         if not m:
             stack[-1].kids.append(source[at:])
             break
-        if m.start() > at:
-            stack[-1].kids.append(source[at:m.start()])
-        at = m.end()
-        if not m[2]:
+        if m[0] > at:
+            stack[-1].kids.append(source[at:m[0]])
+        at = m[1]
+        if not m[3]:
             continue
-        tag = m[2].lower()
-        if m[1]:
+        tag = m[3].lower()
+        if m[2]:
             if names.get(tag):
                 while stack[-1].tag != tag:
                     names[stack.pop().tag] -= 1
@@ -67,12 +108,12 @@ def parse(source: str) -> Node:
             _close(stack, names, {"p"}, {"td", "th", "li", "div", "article", "section", "body"})
         if tag in CLOSES:
             _close(stack, names, CLOSES[tag], {"ul", "ol", "dl", "table", "select"})
-        node = Node(tag, m[3])
+        node = Node(tag, m[4])
         stack[-1].kids.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
             at = end.end() if end else len(source)
-        elif tag not in VOID and not m[3].endswith("/"):
+        elif tag not in VOID and not m[4].endswith("/"):
             stack.append(node)
             names[tag] = names.get(tag, 0) + 1
     return root
@@ -93,16 +134,16 @@ def attributes(node: Node) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTR.finditer(node.attrs)} if node.attrs else {}
 
 
-def is_chrome(node: Node, inside: bool) -> bool:
-    """Menus, notices, adverts, forms, comments and the like by element, role, class or id."""
-    if node.tag in HIDDEN or node.tag in CHROME or (node.tag == "header" and not inside):
+def is_chrome(node: Node, inside: bool, by_name: bool = True) -> bool:
+    """Without ``by_name``: elements that are never text, and hidden ones. With it also menus, notices, adverts, forms, comments and the like by element, role, class or id."""
+    if node.tag in HIDDEN or by_name and (node.tag in CHROME or (node.tag == "header" and not inside)):
         return True
     if not node.attrs or node.tag in ("html", "body", "article", "main") and "comment" not in node.attrs:
         return False
     a = attributes(node)
-    if "hidden" in a or a.get("aria-hidden") == "true" or a.get("role", "").lower() in CHROME_ROLE:
+    if "hidden" in a or a.get("aria-hidden") == "true" or by_name and a.get("role", "").lower() in CHROME_ROLE:
         return True
-    return bool(CHROME_NAME.search(a.get("class", "")) or CHROME_NAME.search(a.get("id", "")))
+    return by_name and bool(CHROME_NAME.search(a.get("class", "")) or CHROME_NAME.search(a.get("id", "")))
 
 
 def main_nodes(root: Node) -> list[Node]:
@@ -118,10 +159,29 @@ def main_nodes(root: Node) -> list[Node]:
             else:
                 todo.extend(k for k in reversed(n.kids) if isinstance(k, Node))
         if found:
-            return found
+            return _without_teasers(found)
     return []
 
 
+def _without_teasers(parts: list[Node], share: float = 0.25) -> list[Node]:
+    """Of several main parts, those that link elsewhere and hold less than ``share`` of the longest one's text are teasers."""
+    if len(parts) < 2:
+        return parts
+    size, linked = [], []
+    for part in parts:
+        n, link, todo = 0, False, [part]
+        while todo:
+            x = todo.pop()
+            if isinstance(x, str):
+                n += len(x.strip())
+            elif x.tag not in HIDDEN:
+                link |= x.tag == "a"
+                todo.extend(x.kids)
+        size.append(n)
+        linked.append(link)
+    return [p for p, n, link in zip(parts, size, linked, strict=True) if not link or n >= share * max(size)]
+
+
 def subtree_hashes(root: Node) -> dict[int, int]:
     """id(node) -> hash of its tag, attributes and content, for the block elements with text. Walks without recursion."""
     out: dict[int, int] = {}
@@ -149,7 +209,7 @@ def subtree_hashes(root: Node) -> dict[int, int]:
     return out
 
 
-def block_text(top: list[Node], inside: bool, drop: set[int]) -> str:
+def block_text(top: list[Node], inside: bool, drop: set[int], by_name: bool = True) -> str:
     """The text blocks below ``top`` in page order; chrome and the nodes in ``drop`` are left out."""
     blocks: list[str] = []
     run: list[str] = []
@@ -169,7 +229,7 @@ def block_text(top: list[Node], inside: bool, drop: set[int]) -> str:
             run.append(n)
         elif n.tag == "br":
             run.append(" ")
-        elif is_chrome(n, inside) or id(n) in drop:
+        elif id(n) in drop or is_chrome(n, inside, by_name):
             if n.tag in BLOCK:
                 flush()
         else:
@@ -187,17 +247,18 @@ def on_site(site: int, h: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def extract(source: str, templates: frozenset[int] | set[int], site: int = 0) -> str:
+def extract(source: str, templates: frozenset[int] | set[int], site: int = 0, by_name: bool = True, main_only: bool = True) -> str:
     """Main text of one page: subtrees whose ``on_site`` hash is in ``templates`` go, then chrome, then, if the page
     marks its article or main part, all else. The running text of a marked part (``PROSE``) is never taken for a template
     by itself, nor is an element around it that holds nothing else, so articles that share passages, and pages that copy
-    an article, keep them; a recurring box of lists or other text goes with its headings and paragraphs (``running_text``)."""
+    an article, keep them; a recurring box of lists or other text goes with its headings and paragraphs (``running_text``). ``by_name`` and
+    ``main_only`` can be switched off to see what the templates do by themselves."""
     root = parse(source)
-    top = main_nodes(root)
+    top = main_nodes(root) if main_only else []
     drop = {k for k, h in subtree_hashes(root).items() if on_site(site, h) in templates} if templates else set()
     if drop and top:
         drop -= running_text(top, drop)
-    return block_text(top or [root], bool(top), drop)
+    return block_text(top or [root], bool(top), drop, by_name)
 
 
 def running_text(top: list[Node], drop: set[int]) -> set[int]:
@@ -267,7 +328,7 @@ def page_hashes(pages: DataFrame) -> DataFrame:
     return pages.select("page", "site", "html").mapInArrow(run, "page long, site long, trees array<long>")
 
 
-def extract_pages(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2, broadcast_trees: int = 100_000) -> DataFrame:
+def extract_pages(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2, broadcast_trees: int = 100_000, by_name: bool = True, main_only: bool = True) -> DataFrame:
     """``pages`` without its html, plus text, for every row. Null html gives "". Extra columns pass through; a column
     named text is replaced.
 
@@ -296,14 +357,14 @@ def extract_pages(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2,
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             trees = frozenset(known.value.tolist())
             for b in batches:
-                text = [extract(h.as_py(), trees, s.as_py()) for h, s in zip(b.column(0), b.column(1), strict=True)]
+                text = [extract(h.as_py(), trees, s.as_py(), by_name, main_only) for h, s in zip(b.column(0), b.column(1), strict=True)]
                 yield pa.RecordBatch.from_arrays([*b.columns[2:], pa.array(text, pa.string())], [*names, "text"])
 
         return keyed.drop("_page").mapInArrow(run, out)
 
     def run_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = [extract(h.as_py(), set(t.as_py() or ()), s.as_py()) for h, s, t in zip(b.column(0), b.column(1), b.column(2), strict=True)]
+            text = [extract(h.as_py(), set(t.as_py() or ()), s.as_py(), by_name, main_only) for h, s, t in zip(b.column(0), b.column(1), b.column(2), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns[3:], pa.array(text, pa.string())], [*names, "text"])
 
     lists = rows.select("page", "tree").join(common, "tree").groupBy("page").agg(F.collect_set("tree").alias("_templates"))

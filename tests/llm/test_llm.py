@@ -433,6 +433,53 @@ def test_mixing_keeps_a_rare_domain(spark):
     assert mixing.fit_rates(post, [0.5, 0.5], max_steps=400).where("rate < 0").count() == 0
 
 
+def test_html_odd_markup_is_linear():
+    import time
+    for odd in ('<a "', "<a '", "<a ", "<!", "<!-- x ", '<a ">" ', "<", '<p x="', "<script ", "</a '"):
+        for tail in ("", ">", "'", '"', "' >"):
+            source = "<p>begin</p>" + odd * (1_000_000 // len(odd)) + tail
+            t = time.process_time()
+            root = html_extract.parse(source)
+            assert root.kids and time.process_time() - t < 3, (odd, tail)
+    assert html_extract.extract('<p>1 < 2 and <b title="a > b">bold</b> <i x=">it</p><p>next</p>', set()).startswith("1 < 2 and bold")
+
+
+def test_html_hidden_and_teasers():
+    page = '<div hidden>secret</div><div HIDDEN="">secret</div><p data-hidden="x">seen</p>'
+    assert html_extract.extract(page, set()) == "seen"
+    teaser = '<article><h2><a href="/b">Another story</a></h2><p>short</p></article>'
+    body = "<article><h1>Title</h1><p>" + "long text " * 40 + "</p></article>"
+    assert "Another" not in html_extract.extract(teaser + body + teaser, set())
+    assert html_extract.extract(teaser + teaser, set()).count("Another story") == 2  # an overview page
+
+
+def test_templates_by_themselves_equal_a_plain_count(spark):
+    """Subtrees counted per host in plain Python give the same removals as the operator, with the name lists switched off."""
+    rng = random.Random(17)
+    rows = []
+    for i in range(60):
+        host = f"http://h{i % 3}.example/p{i}"
+        menu = f'<div class="x{i % 3}"><ul><li>Home {i % 3}</li><li>About</li></ul></div>' if i % 4 else ""
+        rows.append((i, host, f"<body>{menu}<div><p>{words(rng, 20)}</p></div><div><span>foot {i % 3}</span></div></body>"))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    trees, total = {}, Counter()
+    for i, url, source in rows:
+        host = url.split("/")[2]
+        total[host] += 1
+        for h in set(html_extract.subtree_hashes(html_extract.parse(source)).values()):
+            trees.setdefault((host, h), set()).add(i)
+    common = {k for k, v in trees.items() if len(v) >= 5 and len(v) >= 0.2 * total[k[0]]}
+    assert common
+    got = {r.page_id: r.text for r in html_extract.extract_pages(pages, by_name=False).collect()}
+    changed = 0
+    for i, url, source in rows:
+        own = {h for host, h in common if host == url.split("/")[2]}
+        plain = html_extract.extract(source, {html_extract.on_site(0, h) for h in own}, 0, by_name=False)
+        assert got[i] == plain and "About" not in plain and "foot" not in plain
+        changed += plain != html_extract.extract(source, set(), 0, by_name=False)
+    assert changed == 60
+
+
 def test_nearest_e8():
     rng = np.random.default_rng(10)
     near = lattice.minimal_vectors()
