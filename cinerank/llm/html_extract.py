@@ -19,6 +19,7 @@ NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
 SPECIAL = re.compile(r"[>\"']")
 ATTR = re.compile(r"([a-zA-Z_:@.-][\w:@.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACES = re.compile(r"\s+")
+DIGITS = re.compile(r"\d+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea xmp noembed noframes".split())
 HIDDEN = frozenset("head script style title textarea noscript template iframe object svg math canvas audio video select button".split())
@@ -209,6 +210,49 @@ def subtree_hashes(root: Node) -> dict[int, int]:
     return out
 
 
+def menu_shapes(root: Node, min_links: int = 3, min_share: float = 0.5) -> dict[int, int]:
+    """id(node) -> hash of its shape, for the block elements with at least ``min_links`` links that hold ``min_share`` of its text.
+
+    A shape is the element's tag and class, digits masked, and its children's shapes, equal neighbours as one, without any
+    words: a menu whose entries are another page's own still has the shape of its site's other menus."""
+    out: dict[int, int] = {}
+    done: dict[int, tuple[bytes, int, int, int]] = {}  # shape, text, text in links, links
+    todo: list[tuple[Node, bool]] = [(root, False)]
+    while todo:
+        n, ready = todo.pop()
+        if not ready:
+            todo.append((n, True))
+            todo.extend((k, False) for k in n.kids if isinstance(k, Node))
+            continue
+        h = xxhash.xxh64(f"shape {n.tag} {DIGITS.sub('0', attributes(n).get('class', ''))}".encode("utf-8", "surrogatepass"))
+        before, size, linked, links = b"", 0, 0, 0
+        for k in n.kids:
+            if isinstance(k, str):
+                size += len(k.strip())
+                continue
+            shape, a, b, c = done.pop(id(k))
+            size, linked, links = size + a, linked + b, links + c
+            if shape != before:
+                h.update(shape)
+            before = shape
+        if n.tag == "a":
+            linked, links = size, links + 1
+        done[id(n)] = h.digest(), size, linked, links
+        if links >= min_links and linked >= min_share * size and n.tag in BLOCK and n.tag not in ("html", "body"):
+            out[id(n)] = h.intdigest() - (1 << 63)
+    return out
+
+
+def inside_of(top: list[Node]) -> set[int]:
+    """id() of all elements in the parts ``top``, themselves included."""
+    out, todo = set(), list(top)
+    while todo:
+        n = todo.pop()
+        out.add(id(n))
+        todo.extend(k for k in n.kids if isinstance(k, Node))
+    return out
+
+
 def block_text(top: list[Node], inside: bool, drop: set[int], by_name: bool = True) -> str:
     """The text blocks below ``top`` in page order; chrome and the nodes in ``drop`` are left out."""
     blocks: list[str] = []
@@ -258,6 +302,9 @@ def extract(source: str, templates: frozenset[int] | set[int], site: int = 0, by
     drop = {k for k, h in subtree_hashes(root).items() if on_site(site, h) in templates} if templates else set()
     if drop and top:
         drop -= running_text(top, drop)
+    if templates:  # a menu's shape counts outside the main part only: an article may hold a list of links
+        menus = {k for k, h in menu_shapes(root).items() if on_site(site, h) in templates}
+        drop |= menus - inside_of(top) if menus else menus
     return block_text(top or [root], bool(top), drop, by_name)
 
 
@@ -317,12 +364,18 @@ def host(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def hashes_of(source: str, site: int) -> set[int]:
+    """The page's subtrees, by content and, if they are menus, by shape, as hashes of their site."""
+    root = parse(source)
+    return {on_site(site, h) for found in (subtree_hashes(root), menu_shapes(root)) for h in found.values()}
+
+
 def page_hashes(pages: DataFrame) -> DataFrame:
-    """Rows (page, site, trees) from (page, site, html): the distinct subtrees of each page, hashed with their site."""
+    """Rows (page, site, trees) from (page, site, html): the distinct subtrees and menu shapes of each page, hashed with their site."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [sorted({on_site(s.as_py(), h) for h in subtree_hashes(parse(t.as_py())).values()}) for s, t in zip(b.column(1), b.column(2), strict=True)]
+            found = [sorted(hashes_of(t.as_py(), s.as_py())) for s, t in zip(b.column(1), b.column(2), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(found, pa.list_(pa.int64()))], ["page", "site", "trees"])
 
     return pages.select("page", "site", "html").mapInArrow(run, "page long, site long, trees array<long>")

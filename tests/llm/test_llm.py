@@ -433,6 +433,28 @@ def test_mixing_keeps_a_rare_domain(spark):
     assert mixing.fit_rates(post, [0.5, 0.5], max_steps=400).where("rate < 0").count() == 0
 
 
+def test_menus_with_words_of_their_own_are_templates(spark):
+    """The entries of each page's menu are its own; their shape is the site's. A list of links in the article stays."""
+    rng = random.Random(23)
+    rows = []
+    for i in range(40):
+        entry = [f'<li><a href="/{k}-{i}">{words(rng, 2)}</a></li>' for k in range(rng.randrange(3, 9))]
+        links = "".join(f'<li><a href="/r{i}{k}">source {i} {k}</a></li>' for k in range(4))
+        body = f"<p>{words(rng, 40)}</p>"
+        rows.append((i, "http://own.example/x", f'<div class="x{i}"><ul>{"".join(entry)}</ul></div>{body}'))
+        rows.append((100 + i, "http://main.example/x", f'<div class="m"><ul>{"".join(entry)}</ul></div><article>{body}<ul>{links}</ul></article>'))
+    rows.append((200, "http://small.example/x", rows[0][2]))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract_pages(pages, by_name=False).collect()}
+    for i, _, source in rows:
+        text = re.search("<p>(.*)</p>", source)[1]
+        if i < 100:
+            assert got[i] == text
+        elif i < 200:
+            assert got[i].startswith(text) and f"source {i - 100} 3" in got[i]
+    assert got[200] != got[0]  # a site of one page has no templates
+
+
 def test_html_odd_markup_is_linear():
     import time
     for odd in ('<a "', "<a '", "<a ", "<!", "<!-- x ", '<a ">" ', "<", '<p x="', "<script ", "</a '"):
@@ -466,7 +488,7 @@ def test_templates_by_themselves_equal_a_plain_count(spark):
     for i, url, source in rows:
         host = url.split("/")[2]
         total[host] += 1
-        for h in set(html_extract.subtree_hashes(html_extract.parse(source)).values()):
+        for h in html_extract.hashes_of(source, 0):
             trees.setdefault((host, h), set()).add(i)
     common = {k for k, v in trees.items() if len(v) >= 5 and len(v) >= 0.2 * total[k[0]]}
     assert common
@@ -474,7 +496,7 @@ def test_templates_by_themselves_equal_a_plain_count(spark):
     changed = 0
     for i, url, source in rows:
         own = {h for host, h in common if host == url.split("/")[2]}
-        plain = html_extract.extract(source, {html_extract.on_site(0, h) for h in own}, 0, by_name=False)
+        plain = html_extract.extract(source, own, 0, by_name=False)
         assert got[i] == plain and "About" not in plain and "foot" not in plain
         changed += plain != html_extract.extract(source, set(), 0, by_name=False)
     assert changed == 60
