@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cinerank.functions.scalar import r6
 from cinerank.operators import factor as fa
+from cinerank.operators import least_squares as ls
 from cinerank.operators import neighbours as nb
 from cinerank.operators.evaluate import error_metrics, rounded
 from cinerank.operators.factor_model import FactorModel
@@ -78,20 +79,101 @@ def snk12_factor_model(spark, sf_dir):
     return fa.load_factors(spark, _als(spark, sf_dir))[1].select("item_id", F.col("q").alias("features"))
 
 
+# --- resumable least squares, all folds in the same jobs -----------------------
+
+CURVE = (1, 2, 5, 10)
+
+
+def _als_folds(spark, sf_dir):
+    """(rating table, factors after the sweeps of ``CURVE``, train mean of each fold): one fit of 10 sweeps for all folds."""
+    def fit():
+        r = ls.rating_table(views.folds(spark, sf_dir), views.N_FOLDS)
+        total = [F.sum("score").alias("s"), F.count("score").alias("c")]
+        own = {x["fold"]: x for x in r.groupBy("fold").agg(*total).collect()}  # a row for each fold
+        s, c = sum(x["s"] for x in own.values()), sum(x["c"] for x in own.values())
+        mean = [(s - own[f]["s"]) / (c - own[f]["c"]) if f in own else s / c for f in range(1, views.N_FOLDS + 1)]
+        return r, ls.als_sweeps(r, ls.random_start(r, views.N_FOLDS), sweeps=CURVE[-1], keep=CURVE), mean
+    return _once(spark, "als_folds", sf_dir, fit)
+
+
+def _als_test_cells(spark, sf_dir, bound=True):
+    r, kept, mean = _als_folds(spark, sf_dir)
+    return ls.score_test_cells(r.select("fold", "user_id", "item_id", "score"), *kept[CURVE[-1]], mean, bound=bound)
+
+
+@query("job14_als_folds")
+def job14_als_folds(spark, sf_dir):
+    """JOB-14 / JOB-17: least squares (rank 20, lambda 0.1, 10 sweeps) on the train rows of every fold, clamped test metrics."""
+    return rounded(error_metrics(_als_test_cells(spark, sf_dir), ("fold",)), METRICS)
+
+
+@query("job16_als_light_errors_folds")
+def job16_als_light_errors_folds(spark, sf_dir):
+    """JOB-16: the same factors scored without clamping, in every fold."""
+    return rounded(error_metrics(_als_test_cells(spark, sf_dir, bound=False), ("fold",)), METRICS)
+
+
+@query("job20_point_lookup_folds")
+def job20_point_lookup_folds(spark, sf_dir):
+    """JOB-20: stored and predicted value of every rating, by the factors of the fold that has not seen it."""
+    return _als_test_cells(spark, sf_dir).select("fold", "user_id", "item_id", F.col("score").alias("stored"), r6("pred").alias("pred"))
+
+
+@query("job15_als_learning_curve_folds")
+def job15_als_learning_curve_folds(spark, sf_dir):
+    """JOB-15: train and test rmse / mae / sqrt_mae of every fold after 1, 2, 5 and 10 sweeps of one fit."""
+    r, kept, mean = _als_folds(spark, sf_dir)
+    out = None
+    for epoch, factors in kept.items():
+        s = ls.score_all_cells(r.select("fold", "user_id", "item_id", "score"), *factors, views.N_FOLDS, mean)
+        m = error_metrics(s, ("fold", "split")).withColumn("epoch", F.lit(epoch))
+        out = m if out is None else out.unionByName(m)
+    return rounded(out.select("epoch", "fold", "split", *METRICS, "n"), METRICS)
+
+
 @query("job15_als_learning_curve")
 def job15_als_learning_curve(spark, sf_dir):
-    """JOB-15: train and test rmse / mae / sqrt_mae after 1, 2, 5 and 10 sweeps."""
-    train, test = _fold1(spark, sf_dir)
-    mu = train.agg(F.avg("score").alias("mu"))
+    """JOB-15: the points of fold 1, from the same fit."""
+    return job15_als_learning_curve_folds(spark, sf_dir).where("fold = 1").drop("fold")
+
+
+GIVEN_LAMBDA, GIVEN_SWEEPS = 0.1, 2
+
+
+def _sweep_sql() -> str:
+    """Two sweeps at rank 2 from given item vectors, every 2 x 2 system solved by Cramer's rule."""
+    def half(name, fixed, by, key):
+        sums = (f"select t.g, t.{key}, count(*) as n, sum(f.v0 * f.v0) + {GIVEN_LAMBDA} * count(*) as a, sum(f.v0 * f.v1) as b, "
+                f"sum(f.v1 * f.v1) + {GIVEN_LAMBDA} * count(*) as c, sum(t.score * f.v0) as y, sum(t.score * f.v1) as z "
+                f"from step_train t join {fixed} f on f.g = t.g and f.{by} = t.{by} group by 1, 2")
+        return (name, f"select g, {key}, n, (y * c - z * b) / (a * c - b * b) as v0, (a * z - b * y) / (a * c - b * b) as v1 from ({sums}) s")
+    g = f"(select unnest(range(1, {views.N_FOLDS + 1})) as g) k"
+    steps = [("step_train", f"select g, user_id, item_id, score from folds, {g} where fold <> g"),
+             ("step_q0", f"select g, item_id, ((item_id * 5) % 101 + 1) / 64.0 as v0, ((item_id * 6) % 101 + 1) / 64.0 as v1 "
+                         f"from (select distinct item_id from ratings) i, {g}")]
+    for n in range(1, GIVEN_SWEEPS + 1):
+        steps += [half(f"step_p{n}", f"step_q{n - 1}", "item_id", "user_id"), half(f"step_q{n}", f"step_p{n}", "user_id", "item_id")]
+    rows = [f"select g as fold, '{kind}' as kind, {key} as id, n, round(v0, 6) + 0.0 as v0, round(v1, 6) + 0.0 as v1 from step_{kind}{GIVEN_SWEEPS}"
+            for kind, key in (("p", "user_id"), ("q", "item_id"))]
+    return with_views("folds", extra=steps) + " union all ".join(rows)
+
+
+@query("job15_resumed_sweeps", _sweep_sql())
+def job15_resumed_sweeps(spark, sf_dir):
+    """JOB-14 / JOB-15: the factors of every fold after two sweeps at rank 2 from given item vectors, the second sweep
+    a fit of its own that goes on from the tables of the first."""
+    r = ls.rating_table(views.folds(spark, sf_dir), views.N_FOLDS)
+    start = F.transform(F.sequence(F.lit(0), F.lit(1)), lambda j: (F.pmod(F.col("item_id") * (j + 5), F.lit(101)) + 1) / F.lit(64.0))
+    items = r.select("item_id").distinct().select("item_id", F.array_repeat(start, views.N_FOLDS).alias("m"))
+    for _ in range(GIVEN_SWEEPS):
+        users, items = ls.als_sweeps(r, items, sweeps=1, lam=GIVEN_LAMBDA)[1]
     out = None
-    for epoch in (1, 2, 5, 10):  # a handful of model fits, each a distributed job
-        uf, itf = fa.als_factors(fa.als_model(train, max_iter=epoch))
-        for name, cells in (("train", train), ("test", test)):
-            s = fa.score_cells(cells, uf, itf, mu).withColumn("epoch", F.lit(epoch)) \
-                .withColumn("split", F.lit(name))
-            m = error_metrics(s, ("epoch", "split"))
-            out = m if out is None else out.unionByName(m)
-    return rounded(out, METRICS)
+    for table, key, kind in ((users, "user_id", "p"), (items, "item_id", "q")):
+        rows = table.select(F.lit(kind).alias("kind"), F.col(key).alias("id"), F.posexplode(F.arrays_zip("m", "n")).alias("g", "v"))
+        rows = rows.where("v.n > 0").select((F.col("g") + 1).alias("fold"), "kind", "id", F.col("v.n").alias("n"),
+                                            *[r6(F.get("v.m", F.lit(j))).alias(f"v{j}") for j in (0, 1)])
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 # --- given factors: scoring and saving without a fit ---------------------------
