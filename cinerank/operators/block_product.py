@@ -11,6 +11,9 @@ Contexts of up to ``heavy`` rows in a task are paired up with arrays. Larger one
 few contexts at a time; the best neighbours of their rows come from the target's neighbours in descending order, which
 is left as soon as enough of them occur in the context.
 
+Profiles of the entities (features with weights) can be dealt out beside the rows. Their similarity is then worked out in
+the task for the pairs of a strip, from the target's features and the block's list of each, and blended into the measure.
+
 A task holds its rows at about 30 bytes each, and the rows of one entity are held together."""
 
 from __future__ import annotations
@@ -23,10 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cinerank.operators.ranking import global_rank
 from cinerank.operators.similarity import fold_stats
 
 NANO = 1_000_000_000
-STATS_T, STATS_N, TARGET, NEIGHBOUR = 0, 1, 2, 3
+STATS_T, STATS_N, TARGET, NEIGHBOUR, PROFILE_T, PROFILE_N = range(6)
 DEALT = "p int, q int, side tinyint, c long, e long, v double, fold int, b double, cp double, st array<double>"
 
 
@@ -100,12 +104,37 @@ MEASURES: dict[str, tuple[tuple[str, ...], Callable, bool]] = {
     "cos_distance": (("dot",), _cos_distance, False), "euc_distance": (("dot",), _euclid, False)}
 
 
-def deal_blocks(rows: DataFrame, entity: str, context: str, folds: Sequence[int], target_rows: int = 40_000, neighbour_rows: int = 1_500_000) -> tuple[DataFrame, int]:
+@dataclass
+class Profiles:
+    """What entities are described by: rows (``entity``, ``feature``, ``weight``), unique per entity and feature, and how two
+    are compared: "cos", "jac" (of the feature sets) or "dot" (weights of unit length). Called with pairs (a, b) it gives
+    (a, b, csim) for these."""
+    rows: DataFrame
+    entity: str
+    feature: str
+    weight: str
+    kind: str
+    pairs: Callable
+
+    def __call__(self, pairs: DataFrame) -> DataFrame:
+        return self.pairs(pairs)
+
+    def numbered(self) -> DataFrame:
+        """(e, c, v) with features as numbers; others than whole numbers get their rank."""
+        rows = self.rows.select(F.col(self.entity).cast("long").alias("e"), F.col(self.feature).alias("f"), F.col(self.weight).cast("double").alias("v"))
+        if self.rows.schema[self.feature].dataType.typeName() not in ("byte", "short", "integer", "long"):
+            ids = global_rank(rows.select("f").distinct(), ["f"], "id")
+            rows = rows.join(ids, "f").select("e", F.col("id").alias("f"), "v")
+        return rows.select("e", F.col("f").cast("long").alias("c"), "v")
+
+
+def deal_blocks(rows: DataFrame, entity: str, context: str, folds: Sequence[int], target_rows: int = 40_000, neighbour_rows: int = 1_500_000,
+                profiles: Profiles | None = None) -> tuple[DataFrame, int]:
     """The rows of every task, as DEALT, and the number of tasks.
 
     rows: fold, ``entity``, ``context``, v, b, cp; unique per entity and context. The number of blocks depends on the
     number of rows only. A row goes to a block of the other side only if its context occurs there, so it travels at most as
-    often as its context has rows; statistics of an entity go to every block of the other side."""
+    often as its context has rows; statistics and profile of an entity go to every block of the other side."""
     n = rows.count()
     tall, wide = max(1, -(-n // target_rows)), max(1, -(-n // neighbour_rows))
     e = F.col(entity).cast("long")
@@ -127,6 +156,12 @@ def deal_blocks(rows: DataFrame, entity: str, context: str, folds: Sequence[int]
     st_t = st.drop("q").withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(wide - 1)))).select("*", F.lit(STATS_T).alias("side"), *empty)
     st_n = st.drop("p").withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(tall - 1)))).select("*", F.lit(STATS_N).alias("side"), *empty)
     out = st_t.select(cols).unionByName(st_n.select(cols)).unionByName(t.select(cols)).unionByName(o.select(cols))
+    if profiles is not None:
+        described = profiles.numbered().join(st.select("e", "p", "q"), "e").withColumn("st", none)
+        empty = [F.lit(None).cast(k).alias(c) for c, k in (("fold", "int"), ("b", "double"), ("cp", "double"))]
+        for side, other, blocks in ((PROFILE_T, "q", wide), (PROFILE_N, "p", tall)):
+            every = described.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+            out = out.unionByName(every.select("*", F.lit(side).alias("side"), *empty).select(cols))
     out = out.withColumn("side", F.col("side").cast("tinyint"))
     return out.repartitionById(tall * wide, (F.col("p") * wide + F.col("q")).cast("int")).sortWithinPartitions("p", "q", "side"), tall * wide
 
@@ -166,10 +201,10 @@ def _add(keys: np.ndarray, sums: dict, k: np.ndarray, part: dict) -> tuple[np.nd
 class Block:
     """One task's targets and neighbours, with entities numbered in ascending order of their ids."""
 
-    def __init__(self, t: pa.Table, folds: Sequence[int], measure: str, heavy: int):
+    def __init__(self, t: pa.Table, folds: Sequence[int], measure: str, heavy: int, blend: tuple[str, float] | None = None):
         side = t.column("side").to_numpy()
-        at = np.searchsorted(side, np.arange(5))
-        part = [t.slice(int(at[k]), int(at[k + 1] - at[k])).combine_chunks() for k in range(4)]
+        at = np.searchsorted(side, np.arange(7))
+        part = [t.slice(int(at[k]), int(at[k + 1] - at[k])).combine_chunks() for k in range(6)]
         self.folds, self.heavy = np.array(folds, np.int32), heavy
         self.sums, self.rank, self.more = MEASURES[measure]
         (self.t_ids, self.t_stats), (self.n_ids, self.n_stats) = (self._stats(part[k], len(folds)) for k in (STATS_T, STATS_N))
@@ -183,6 +218,14 @@ class Block:
         self.nc, self.nv, self.nf = nc[order], get(NEIGHBOUR, "v")[order], get(NEIGHBOUR, "fold")[order]
         self.ne = np.searchsorted(self.n_ids, get(NEIGHBOUR, "e"))[order]
         self.lo, self.hi = np.searchsorted(self.nc, self.tc, "left"), np.searchsorted(self.nc, self.tc, "right")
+        self.measure, self.blend = measure, blend
+        if blend:
+            e, self.pt_f, self.pt_w = (get(PROFILE_T, c) for c in ("e", "c", "v"))
+            order = np.argsort(e, kind="stable")
+            self.pt_e, self.pt_f, self.pt_w = np.searchsorted(self.t_ids, e)[order], self.pt_f[order], np.nan_to_num(self.pt_w[order])
+            e, f, w = (get(PROFILE_N, c) for c in ("e", "c", "v"))
+            order = np.argsort(f, kind="stable")
+            self.pn_e, self.pn_f, self.pn_w = np.searchsorted(self.n_ids, e)[order], f[order], np.nan_to_num(w[order])
 
     @staticmethod
     def _stats(t: pa.Table, folds: int) -> tuple[np.ndarray, Stats]:
@@ -278,10 +321,51 @@ class Block:
         i, j = np.nonzero(seen)
         return (used[i] - base) * width + j, {m: total[m][:, i, j].T for m in self.sums}
 
-    def values(self, keys: np.ndarray, sums: dict[str, np.ndarray], base: int) -> np.ndarray:
-        """The measure, in billionths, per pair and fold."""
+    def values(self, keys: np.ndarray, sums: dict[str, np.ndarray], base: int, limit: int = 1_000_000) -> np.ndarray:
+        """The measure, in billionths, per pair and fold; with profiles, blended with their similarity unless an entity's
+        norm is zero."""
+        if not len(keys):
+            return np.empty((0, len(self.folds)), np.int64)
         width = max(1, len(self.n_ids))
-        return self.rank(sums, self.t_stats.at(base + keys // width), self.n_stats.at(keys % width)) if len(keys) else np.empty((0, len(self.folds)), np.int64)
+        a, b = self.t_stats.at(base + keys // width), self.n_stats.at(keys % width)
+        own = self.rank(sums, a, b)
+        if not self.blend:
+            return own
+        p = self.blend[1]
+        mixed = nano(p * self.profile_similarity(keys, base, limit)[:, None] + (1.0 - p) * (own / NANO))
+        norm = {"cos": lambda s: s.q, "pears": Stats.centred}.get(self.measure)
+        return mixed if norm is None else np.where((norm(a) > 0) & (norm(b) > 0), mixed, own)
+
+    def profile_similarity(self, keys: np.ndarray, base: int, limit: int) -> np.ndarray:
+        """The similarity of both profiles for every pair, one target after the other: the lists of its features in this
+        block, about ``limit`` entries at a time, are added up by neighbour. Without a common feature it is 0."""
+        kind, width = self.blend[0], len(self.n_ids)
+        sets = kind == "jac"
+        tw, nw = (np.ones_like(w) if sets else w for w in (self.pt_w, self.pn_w))
+        sq_t = np.bincount(self.pt_e, tw * tw, len(self.t_ids))
+        sq_n = np.bincount(self.pn_e, nw * nw, width)
+        first, last = np.searchsorted(self.pn_f, self.pt_f, "left"), np.searchsorted(self.pn_f, self.pt_f, "right")
+        out = np.zeros(len(keys))
+        at = np.flatnonzero(np.diff(keys // width, prepend=-1))
+        for lo, hi in zip(at.tolist(), [*at[1:].tolist(), len(keys)], strict=True):
+            e = base + int(keys[lo]) // width
+            x, z = np.searchsorted(self.pt_e, [e, e + 1])
+            dots = np.zeros(width)
+            while x < z:
+                upto = np.cumsum(last[x:z] - first[x:z])
+                y = x + max(1, int(np.searchsorted(upto, limit, "right")))  # one feature at least; its list is a part of the block
+                size = last[x:y] - first[x:y]
+                place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first[x:y], size)
+                dots += np.bincount(self.pn_e[place], np.repeat(tw[x:y], size) * nw[place], width)
+                x = y
+            n = keys[lo:hi] % width
+            d = dots[n]
+            if kind == "dot":
+                out[lo:hi] = d
+            else:
+                under = sq_t[e] + sq_n[n] - d if sets else np.sqrt(sq_t[e] * sq_n[n])
+                out[lo:hi] = np.divide(d, under, out=np.zeros_like(d), where=(d != 0) & (under != 0))
+        return out
 
     def light_cells(self, a: int, z: int, limit: int, keys: np.ndarray, value: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """Candidates (target row, neighbour row, fold's place, value) of the tested rows in contexts that are not heavy."""
@@ -345,10 +429,10 @@ class Block:
         return total, count
 
 
-def _blocks(folds: Sequence[int], measure: str, heavy: int, limit: int, emit: Callable) -> Callable:
+def _blocks(folds: Sequence[int], measure: str, heavy: int, limit: int, emit: Callable, blend: tuple[str, float] | None = None) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches):
-            block = Block(t, folds, measure, heavy)
+            block = Block(t, folds, measure, heavy, blend)
             for a, z in block.strips(limit):
                 keys, sums = block.product(a, z, limit)
                 yield from emit(block, a, z, keys, sums)
@@ -357,16 +441,19 @@ def _blocks(folds: Sequence[int], measure: str, heavy: int, limit: int, emit: Ca
 
 
 def best_neighbours(rows: DataFrame, entity: str, context: str, folds: Sequence[int], measure: str, k: int, payload: str = "deviation",
-                    heavy: int = 512, limit: int = 1_000_000, **blocks) -> DataFrame:
+                    heavy: int = 512, limit: int = 1_000_000, profiles: Profiles | None = None, p: float = 0.5, **blocks) -> DataFrame:
     """For each row of ``rows`` in a fold of ``folds``: its own columns c, e, fold, v, b, cp and ``top``, the ``k`` best
     neighbours of its entity among the rows of its context outside its fold, best first, ties by ascending id, as
     (o, nbr, d): the order value in billionths (the negative similarity, or the distance), the neighbour's id, and its v
-    ("value") or v less its mean in that fold ("deviation"). The measure is taken over the rows outside the fold."""
+    ("value") or v less its mean in that fold ("deviation"). The measure is taken over the rows outside the fold; with
+    ``profiles`` it counts 1 - p beside p times their similarity (SIM-11; not for a measure where less is better)."""
+    if profiles is not None and not MEASURES[measure][2]:
+        raise ValueError(f"a distance ({measure}) can't be blended with a similarity of profiles")
     folds = sorted(int(f) for f in folds)
     kind = pa.struct([("o", pa.int64()), ("nbr", pa.int64()), ("d", pa.float64())])
 
     def emit(block: Block, a: int, z: int, keys: np.ndarray, sums: dict) -> Iterator[pa.RecordBatch]:
-        x, y, o = block.best(a, z, limit, k, keys, block.values(keys, sums, int(block.te[a])))
+        x, y, o = block.best(a, z, limit, k, keys, block.values(keys, sums, int(block.te[a]), limit))
         d = block.nv[y]
         if payload == "deviation":
             d = d - block.n_stats.mean()[block.ne[y], np.searchsorted(block.folds, block.tf[x])]
@@ -376,8 +463,8 @@ def best_neighbours(rows: DataFrame, entity: str, context: str, folds: Sequence[
         yield pa.RecordBatch.from_arrays([pa.array(v) for v in (block.tc[own], block.t_ids[block.te[own]], block.tf[own], block.tv[own], block.b[own], block.cp[own])] + [top],
                                          ["c", "e", "fold", "v", "b", "cp", "top"])
 
-    dealt, _ = deal_blocks(rows, entity, context, folds, **blocks)
-    found = dealt.mapInArrow(_blocks(folds, measure, heavy, limit, emit), "c long, e long, fold int, v double, b double, cp double, top array<struct<o:bigint,nbr:bigint,d:double>>")
+    dealt, _ = deal_blocks(rows, entity, context, folds, profiles=profiles, **blocks)
+    found = dealt.mapInArrow(_blocks(folds, measure, heavy, limit, emit, (profiles.kind, p) if profiles else None), "c long, e long, fold int, v double, b double, cp double, top array<struct<o:bigint,nbr:bigint,d:double>>")
     # the best of each block of neighbours, at most k, meet by target row
     return found.groupBy("c", "e").agg(*[F.first(x).alias(x) for x in ("fold", "v", "b", "cp")], F.slice(F.array_sort(F.flatten(F.collect_list("top"))), 1, k).alias("top"))
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinerank.functions.scalar import rescale, trimmed_split
+from cinerank.operators.block_product import Profiles
 from cinerank.operators.ranking import global_rank
 from cinerank.operators.similarity import pair_stats
 
@@ -133,7 +134,7 @@ def _cosine_scores(out: DataFrame, part: list) -> DataFrame:
 
 
 def profile_similarity(profiles: DataFrame, row: str, kind: str = "cos"):
-    """SIM-8 / SIM-9 / JOI-10 as a demand-driven function pairs(a, b) -> (a, b, csim).
+    """SIM-8 / SIM-9 / JOI-10: the profiles and, called with pairs (a, b), their (a, b, csim).
 
     Cosine is 0.0 whenever the profile dot product is 0; Jaccard is
     |A and B| / |A or B| over feature sets (0.0 for two empty sets)."""
@@ -148,4 +149,4 @@ def profile_similarity(profiles: DataFrame, row: str, kind: str = "cos"):
             csim = F.when(F.col("dot") == 0, F.lit(0.0)).otherwise(
                 F.col("dot") / F.sqrt(F.col("sq_a") * F.col("sq_b")))
         return st.select("a", "b", csim.alias("csim"))
-    return fn
+    return Profiles(values, row, "idx", "v", kind, fn)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from cinerank.functions.scalar import clamp, dec
-from cinerank.operators.block_product import best_neighbours
+from cinerank.operators.block_product import Profiles, best_neighbours
 from cinerank.operators.similarity import (DEFAULT_HEAVY_DEGREE, ZERO_NORM_SIM, candidate_stats, fold_candidates, fold_stats,
                                            is_builtin, similarity)
 from cinerank.session import materialize
@@ -137,10 +137,11 @@ def predict_folds(ratings: DataFrame, mode: str = "item", kind: str = "pears", k
     """``predict`` for every fold of ``folds`` at once: fold f is tested against all rows outside f.
 
     ratings: (fold, user_id, item_id, score), unique per (user_id, item_id). Every row is written once, with its
-    train means and deviation for each fold as arrays, and pairs are joined once for all folds (``fold_candidates``).
+    train means and deviation for each fold as arrays. Built-in similarities, alone or blended with ``Profiles``, are a block
+    product; with any other function as ``content`` pairs are joined once for all folds (``fold_candidates``).
     The centred cosine is worked out from plain sums: sum(xy) - mx sum(y) - my sum(x) + co mx my."""
-    if content is None and is_builtin(kind):
-        return _predict_blocks(ratings, mode, kind, sorted({int(k) for k in ks}), [int(f) for f in folds])
+    if is_builtin(kind) and (content is None or isinstance(content, Profiles)):
+        return _predict_blocks(ratings, mode, kind, sorted({int(k) for k in ks}), [int(f) for f in folds], profiles=content, p=p)
     folds = [int(f) for f in folds]
     ks = sorted(set(int(k) for k in ks))
     target, ctx = (I, U) if mode == "item" else (U, I)

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cinerank.operators import block_product as bp
+from cinerank.operators import content as cb
 from cinerank.operators import neighbours as nb
+from cinerank.operators import text as tx
 
 FOLDS = (1, 2, 3)
 
@@ -111,6 +113,30 @@ def test_blocks_give_the_same_predictions_as_the_candidate_join(spark):
                 assert new.keys() == old.keys() and sum(abs(new[k] - old[k]) > 1e-6 for k in old) <= 0.01 * len(old)
 
 
+def test_profiles_blend_in_the_blocks_as_by_pairs(spark):
+    """A feature that all have, entities without a profile, and profiles of entities without ratings."""
+    rng = random.Random(3)
+    rows = rows_of(11, 40, 30, 0.25)
+    r = spark.createDataFrame(rows, "fold int, user_id bigint, item_id bigint, score double")
+    for mode, entity in (("item", "item_id"), ("user", "user_id")):
+        named = [(e, f, rng.choice([0.5, 1.0, 2.0])) for e in range(50) if e % 7 for f in ["all", *rng.sample("abcdefghij", 3)]]
+        numbers = spark.createDataFrame([(e, ord(f[0]), w) for e, f, w in named if f != "all"] + [(e, 7, w) for e, f, w in named if f == "all"], f"{entity} bigint, idx int, weight double")
+        by_name = spark.createDataFrame(named, "doc bigint, term string, weight double")
+        dots = bp.Profiles(by_name, "doc", "term", "weight", "dot", lambda pairs, w=by_name: tx.tfidf_similarity(w, pairs))
+        for kind, content in (("cos", dots), ("pears", cb.profile_similarity(numbers, entity, "cos")), ("jac", cb.profile_similarity(numbers, entity, "jac"))):
+            old = {(x.fold, x.user_id, x.item_id, x.k): x.pred for x in nb.predict_folds(r, mode, kind, (1, 3), FOLDS, content.pairs, 0.3).collect()}
+            for blocks in ({}, {"target_rows": 100, "neighbour_rows": 200, "heavy": 6, "limit": 50}):
+                new = {(x.fold, x.user_id, x.item_id, x.k): x.pred for x in nb._predict_blocks(r, mode, kind, (1, 3), FOLDS, profiles=content, p=0.3, **blocks).collect()}
+                assert new.keys() == old.keys() and sum(abs(new[k] - old[k]) > 1e-6 for k in old) <= 0.01 * len(old)
+
+
+def test_distances_do_not_blend(spark):
+    d = frame(spark, [(1, 1, 1, 2.0)])
+    prof = cb.profile_similarity(spark.createDataFrame([(1, 1, 1.0)], "item_id bigint, idx int, weight double"), "item_id")
+    with pytest.raises(ValueError):
+        bp.best_neighbours(d, "item_id", "user_id", FOLDS, "euc_distance", 3, profiles=prof)
+
+
 def test_a_hot_context_makes_far_fewer_rows_than_its_square(spark):
     """One user with 4,000 items, one of every three rows: rows that travel, and neighbours looked at, stay far below 4,000 squared."""
     rng = random.Random(5)
