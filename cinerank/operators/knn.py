@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from cinerank.functions.scalar import dec
-from cinerank.operators.block_product import best_neighbours, neighbour_totals
+from cinerank.operators.block_product import Measure, best_neighbours, neighbour_totals
 from cinerank.operators.similarity import candidate_stats, fold_candidates, fold_stats
 from cinerank.session import materialize
 
@@ -57,7 +57,8 @@ def like_dislike_scores(train: DataFrame, test: DataFrame, part: Sequence[str] =
 
 
 #: UDF-3: distance name -> (function of the columns dot, squared norm, squared norm; whether zero norms are special).
-#: Add an entry to use a distance of your own; an unknown name raises.
+#: Add an entry to use a distance of your own; an unknown name raises. A third part, the same as a ``block_product.Measure``,
+#: lets ``knn_classify_folds`` do without rows of pairs.
 DISTANCES = {
     "cos": (lambda dot, a, b: F.when((a == 0) | (b == 0), F.lit(-1.0)).otherwise(1 - dot / F.sqrt(a * b)), True),
     "euc": (lambda dot, a, b: F.sqrt(F.greatest(a + b - 2 * dot, F.lit(0.0))), False),
@@ -90,8 +91,10 @@ def knn_classify_folds(labels: DataFrame, k: int = DEFAULT_K, distance: str = "c
     """``knn_classify`` for every fold of ``folds`` at once, over rows (fold, user_id, item_id, label): every row is
     written once and pairs are joined once for all folds (``fold_candidates``)."""
     folds = [int(f) for f in folds]
-    if _distance(distance) is BUILTINS.get(distance) and zero_norm == "keep":
-        return _knn_blocks(labels, k, distance, folds)
+    own = _distance(distance)
+    measure = f"{distance}_distance" if own is BUILTINS.get(distance) else own[2] if len(own) > 2 else None
+    if measure is not None and zero_norm == "keep":
+        return _knn_blocks(labels, k, measure, folds)
     r = labels.select("fold", U, I, "label", F.col("label").cast("double").alias("v"))
     r = r.join(fold_stats(r, I, folds, "v", "i"), I)
     base = materialize(r.select("fold", U, I, "label", "v", F.col("label").alias("lv"), F.col("in").alias("n"), F.col("iq").alias("q"),
@@ -100,11 +103,11 @@ def knn_classify_folds(labels: DataFrame, k: int = DEFAULT_K, distance: str = "c
     return _vote(j, base.where(F.col("fold").isin(*folds)), k, distance, ["fold"], zero_norm)
 
 
-def _knn_blocks(labels: DataFrame, k: int, distance: str, folds: Sequence[int], **blocks) -> DataFrame:
+def _knn_blocks(labels: DataFrame, k: int, measure: Measure | str, folds: Sequence[int], **blocks) -> DataFrame:
     """``knn_classify_folds`` by a block-sparse product: each test row gets its k nearest rows as one short array."""
     none = F.lit(0.0)
     rows = materialize(labels.select("fold", U, I, F.col("label").cast("double").alias("v"), none.alias("b"), none.alias("cp")), "knn_rows")
-    top = best_neighbours(rows, I, U, folds, f"{distance}_distance", k, "value", **blocks)
+    top = best_neighbours(rows, I, U, folds, measure, k, "value", **blocks)
     likes = F.size(F.filter("top", lambda x: x["d"] == 1))
     pred = F.when(likes > F.size("top") - likes, 1).otherwise(-1).cast("int")
     return top.select("fold", F.col("c").alias(U), F.col("e").alias(I), F.col("v").cast("int").alias("label"), pred.alias("pred"))
@@ -112,7 +115,8 @@ def _knn_blocks(labels: DataFrame, k: int, distance: str, folds: Sequence[int],
 
 def like_dislike_folds(labels: DataFrame, folds: Sequence[int] = (1, 2, 3, 4, 5), as_written: bool = False, **blocks) -> DataFrame:
     """``like_dislike_scores`` for every fold of ``folds`` at once, over rows (fold, user_id, item_id, label): the sums over
-    all raters are made where the similarities are, so no candidate leaves its task."""
+    all raters are made where the similarities are, so no candidate leaves its task. With ``leaky=True`` all rows are train
+    rows of every fold (D13)."""
     none = F.lit(None).cast("double")
     rows = materialize(labels.select("fold", U, I, F.col("label").cast("double").alias("v"), none.alias("b"), none.alias("cp")), "ld_rows")
     t = neighbour_totals(rows, U, I, folds, "signed_as_written" if as_written else "signed", **blocks)
@@ -128,7 +132,7 @@ def _distance(name: str):
 
 def _vote(j: DataFrame, test: DataFrame, k: int, distance: str, part: list, zero_norm: str) -> DataFrame:
     zero = (F.col("sq_t") == 0) | (F.col("sq_n") == 0)
-    value, has_zero = _distance(distance)
+    value, has_zero = _distance(distance)[:2]
     d = dec(value(F.col("dot"), F.col("sq_t"), F.col("sq_n")))
     zero = zero if has_zero else F.lit(False)
     scored = j.select(*part, U, I, "nbr", "lv", d.alias("dist"), zero.alias("zero"))

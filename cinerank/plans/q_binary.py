@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from cinerank.functions.scalar import BINARY_THRESHOLDS, binarise, dec, r6, r6_dec
 from cinerank.operators import knn
 from cinerank.operators import neighbours as nb
-from cinerank.operators.block_product import gram_entries
+from cinerank.operators.block_product import gram_entries, nano
 from cinerank.operators.evaluate import confusion, fold_mean, precision_recall_f1, rounded
-from cinerank.operators.similarity import pair_stats
 from cinerank.plans.oracle_views import with_views
 from cinerank.plans.registry import query
 from cinerank.session import materialize
@@ -44,10 +44,6 @@ def prj1_threshold_counts(spark, sf_dir):
                                       F.sum(1 - like).cast("bigint").alias("n_dislike"))
 
 
-def _ld_sides(spark, sf_dir, only=1):
-    return nb.fold_sides(binary_folds(spark, sf_dir), only=only, cols=("user_id", "item_id", "label"))
-
-
 _LD_CTES = [
     _BIN,
     ("train", "select user_id, item_id, label from binfolds where fold <> 1"),
@@ -72,7 +68,7 @@ _LD_CTES = [
 def agg25_signed_overlap(spark, sf_dir):
     """AGG-25 / SIM-7: per requested user pair, agreements (LL+DD), disagreements
     (LD+DL), union of rated items and the signed similarity (fold 1 train)."""
-    return _signed_overlap(spark, sf_dir, only=1).drop("fold")
+    return _signed_overlap(spark, sf_dir, (1,)).drop("fold")
 
 
 @query("agg25_signed_overlap_folds", with_views("folds", extra=[
@@ -93,31 +89,19 @@ def agg25_signed_overlap(spark, sf_dir):
          "cast(round(cast(case when un = 0 then 0.0 else cast(agree - disagree as double) / un end as decimal(18,9)), 6) as double) + 0.0 as sim from s")
 def agg25_signed_overlap_folds(spark, sf_dir):
     """AGG-25 / SIM-7: the same for the requested user pairs of every fold."""
+    return _signed_overlap(spark, sf_dir, range(1, views.N_FOLDS + 1))
+
+
+def _signed_overlap(spark, sf_dir, folds):
     none = F.lit(None).cast("double")
     rows = binary_folds(spark, sf_dir).select("fold", "user_id", "item_id", F.col("label").cast("double").alias("v"), none.alias("b"), none.alias("cp"))
-    g = gram_entries(materialize(rows, "labels"), "user_id", "item_id", range(1, views.N_FOLDS + 1))
+    g = gram_entries(materialize(rows, "labels"), "user_id", "item_id", folds)
     union = F.col("n_a") + F.col("n_b") - F.col("co")
     sim = dec(F.when(union == 0, F.lit(0.0)).otherwise(F.col("dot") / union))
     return g.select("fold", "a", "b", ((F.col("co") + F.col("dot")) / 2).cast("bigint").alias("agree"), ((F.col("co") - F.col("dot")) / 2).cast("bigint").alias("disagree"),
                     union.alias("n_union"), r6_dec(sim).alias("sim"))
 
 
-def _signed_overlap(spark, sf_dir, only=None):
-    train, test = _ld_sides(spark, sf_dir, only)
-    te = test.select("fold", "user_id", "item_id")
-    tr = train.select("fold", F.col("user_id").alias("nbr"), "item_id")
-    pairs = (te.join(tr, ["fold", "item_id"]).where(F.col("nbr") != F.col("user_id"))
-             .select("fold", F.least("user_id", "nbr").alias("a"), F.greatest("user_id", "nbr").alias("b")).distinct())
-    values = train.select("fold", "user_id", "item_id", F.col("label").cast("double").alias("v"))
-    st = pair_stats(values, pairs, "user_id", "item_id", "v", ["fold"])
-    sims = knn.signed_similarity(st, ["fold"])
-    un = F.col("n_a") + F.col("n_b") - F.col("co")
-    return (st.join(sims, ["fold", "a", "b"])
-            .select("fold", "a", "b", ((F.col("co") + F.col("dot")) / 2).cast("bigint").alias("agree"),
-                    ((F.col("co") - F.col("dot")) / 2).cast("bigint").alias("disagree"),
-                    un.alias("n_union"), r6_dec("sim").alias("sim")))
-
-
 @query("job8_like_dislike_fold1", with_views("folds", extra=_LD_CTES + [
     ("agg", "select user_id, item_id, avg(lv * sim) as pred from s2 group by 1, 2")])
        + "select te.user_id, te.item_id, te.label, round(coalesce(cast(agg.pred as double), 0.0), 6) + 0.0 as pred "
@@ -125,9 +109,7 @@ def _signed_overlap(spark, sf_dir, only=None):
 def job8_like_dislike_fold1(spark, sf_dir):
     """JOB-8 / SNK-11 content: signed-similarity score next to the true label, fold 1
     (train-only matrix, SURVEY D13; intended bracket, D14)."""
-    train, test = _ld_sides(spark, sf_dir)
-    s = knn.like_dislike_scores(train, test)
-    return s.select("user_id", "item_id", "label", r6("pred").alias("pred"))
+    return _ld_variant(spark, sf_dir, False, False)
 
 
 def _knn_preds(spark, sf_dir, distance="cos"):
@@ -202,10 +184,17 @@ def job13_knn_euclidean(spark, sf_dir):
     return rounded(m, ["precision", "recall", "f1"])
 
 
+def share_of_sums(sums, a, b):
+    """The same distance of a pair's sums, in billionths, for the block product."""
+    both = a.q + b.q
+    return nano(np.divide(both - 2 * sums["dot"], both, out=np.zeros_like(both), where=both != 0))
+
+
 @query("udf3_custom_distance", _knn_sql("share") + "select fold, tp, fp, tn, fn from conf")
 def udf3_custom_distance(spark, sf_dir):
     """UDF-3: the classifier with a distance registered by the caller: the squared distance as a share of both norms."""
-    knn.DISTANCES["share"] = (lambda dot, a, b: F.when(a + b == 0, F.lit(0.0)).otherwise((a + b - 2 * dot) / (a + b)), False)
+    knn.DISTANCES["share"] = (lambda dot, a, b: F.when(a + b == 0, F.lit(0.0)).otherwise((a + b - 2 * dot) / (a + b)), False,
+                              (("dot",), share_of_sums, False))
     return confusion(_knn_preds(spark, sf_dir, "share"), ("fold",))
 
 
@@ -230,11 +219,9 @@ def _ld_variant_sql(leaky: bool, as_written: bool) -> str:
 
 
 def _ld_variant(spark, sf_dir, leaky, as_written):
-    train, test = _ld_sides(spark, sf_dir)
-    if leaky:
-        train = binary_folds(spark, sf_dir).select(F.lit(1).alias("fold"), "user_id", "item_id", "label")
-    s = knn.like_dislike_scores(train, test, as_written=as_written)
-    return s.select("user_id", "item_id", "label", r6("pred").alias("pred"))
+    s = knn.like_dislike_folds(binary_folds(spark, sf_dir), (1,), as_written, leaky=leaky)
+    mean = F.when(F.col("n") > 0, F.round(F.col("total") * 1e9) / (F.col("n") * 1e9)).otherwise(F.lit(0.0))  # one division of whole numbers
+    return s.select("user_id", "item_id", "label", r6(mean).alias("pred"))
 
 
 @query("job8_like_dislike_as_written", _ld_variant_sql(False, True))
