@@ -58,7 +58,7 @@ def test_blocks_of_neighbours_meet_in_the_targets_task(spark):
 
 def test_rows_without_a_key_or_fold_are_on_no_side(spark):
     r = ratings(spark, users=12, items=10)
-    odd = spark.createDataFrame([(1, None, 3, 2.0), (2, 4, None, 5.0), (None, 5, 3, 1.0)], r.schema)
+    odd = spark.createDataFrame([(2, 4, None, 5.0), (None, 5, 3, 1.0), (None, None, 3, 1.0)], r.schema)
     want = {tuple(x) for x in bp.gram_entries(block_rows(r), "item_id", "user_id", FOLDS).collect()}
     assert {tuple(x) for x in bp.gram_entries(block_rows(r.unionByName(odd)), "item_id", "user_id", FOLDS).collect()} == want
 
@@ -95,3 +95,28 @@ def test_registered_measures_need_no_pairs(spark):
         assert a == b
     finally:
         del knn.DISTANCES["plain"], knn.DISTANCES["sums"]
+
+
+def test_a_handful_of_cells_filters_the_rows_first(spark):
+    r = ratings(spark)
+    train, cells = r.where("fold <> 1").withColumn("fold", F.lit(1)), r.where("fold = 1").orderBy("user_id", "item_id").limit(4)
+    cells = spark.createDataFrame(cells.collect() + [(1, 999, 2, 3.0), (1, 3, 999, 3.0)], r.schema)
+    for mode in ("item", "user"):
+        for kind in ("pears", "jac"):
+            def preds(d):
+                return {(x.user_id, x.item_id, x.k): x.pred for x in d.collect()}
+            want = preds(nb._predict_registered(train, cells, mode, kind, [2, 5], ["fold"], None, 0.5))
+            got = preds(nb.predict(train, cells, mode, kind, (2, 5), requested_only=True))
+            assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+@pytest.mark.parametrize("blocks", [{}, {"target_rows": 100, "neighbour_rows": 40, "heavy": 6, "limit": 60}])
+def test_rows_without_a_score_count_but_add_nothing(spark, blocks):
+    r = ratings(spark).withColumn("score", F.when((F.col("user_id") + F.col("item_id")) % 7 != 0, F.col("score")))
+    train, test = r.where("fold <> 1").withColumn("fold", F.lit(1)), r.where("fold = 1")
+    for kind in ("pears", "cos", "jac"):
+        def preds(d):
+            return {(x.user_id, x.item_id, x.k): (x.score, x.pred) for x in d.collect()}
+        want = preds(nb.predict(train, test, "item", kind, (3,)))
+        got = preds(nb._predict_blocks(r, "item", kind, (3,), (1,), **blocks))
+        assert got.keys() == want.keys() and all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-6 for k in want)
