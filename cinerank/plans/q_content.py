@@ -123,10 +123,12 @@ def _cb_scores(spark, sf_dir, only=None):
 def profile_store(spark, sf_dir):
     """SNK-8 / SRC-12: user and item profiles and their norms, stored once per session in buckets of the keys they are joined by."""
     _, iprof, _ = content_tables(spark, sf_dir)
-    items = bucketed(spark, f"item_profiles:{sf_dir}", lambda: iprof, ("item_id",))
-    users = bucketed(spark, f"user_profiles:{sf_dir}", lambda: cb.user_profiles_by_fold(views.folds(spark, sf_dir), items), ("user_id", "idx"))
-    norms = [bucketed(spark, f"norms{k}:{sf_dir}", lambda k=k: cb.profile_norms(users, items)[k], (key,)) for k, key in enumerate(("user_id", "item_id"))]
-    return users, items, views.N_FOLDS, norms
+    n = max(16, -(-views.folds(spark, sf_dir).count() // 250_000))  # as many buckets as the ratings need
+    items = bucketed(spark, f"item_profiles:{sf_dir}", lambda: iprof, ("item_id",), n)
+    users = bucketed(spark, f"user_profiles:{sf_dir}", lambda: cb.user_profiles_by_fold(views.folds(spark, sf_dir), items, views.N_FOLDS, n),
+                     ("user_id",), n, dealt=True)
+    norms = [bucketed(spark, f"norms{k}:{sf_dir}", lambda k=k: cb.profile_norms(users, items)[k], (key,), n) for k, key in enumerate(("user_id", "item_id"))]
+    return users, items, views.N_FOLDS, norms, n
 
 
 def _cb_preview(spark, sf_dir, n=20):
