@@ -129,6 +129,22 @@ def test_keep_one_loses_no_document(spark):
     assert simhash.keep_one(d.limit(0)).count() == 0
 
 
+def test_probes_are_never_broadcast(spark):
+    """33 probes a segment come of each fingerprint; by the size of the table of fingerprints they would look small enough."""
+    from cinerank.session import materialize
+
+    fps = materialize(spark.range(3000).select(F.xxhash64("id").alias("fp")), "fps")
+    links = simhash.fingerprint_links(fps)
+    links.collect()
+    plan = links._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = lambda line: len(re.match(r"[\s:+-]*", line)[0])
+    for k, line in enumerate(plan):
+        if "BroadcastExchange" in line:
+            below = [x for x in plan[k + 1:]]
+            end = next((j for j, x in enumerate(below) if depth(x) <= depth(line)), len(below))
+            assert not any("MapInArrow" in x for x in below[:end])
+
+
 def test_simhash_strips(spark):
     rng = np.random.default_rng(3)
     fp = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
