@@ -39,13 +39,23 @@ def test_squeezed_records_hold_the_same_and_one_fold_needs_its_train_rows_only(s
     def columns(dealt, squeezed):
         out = []
         for x in dealt.where(F.col("side") == bp.NEIGHBOUR).collect():
-            c = bp._unpacked(x.side, x.n, bp._loose(bytes(x.cols)) if squeezed else bytes(x.cols))
+            c = (bp._loose if squeezed else bp._unpacked)(x.side, x.n, bytes(x.cols))
             out += [(x.p, x.q, *row) for row in zip(*[v.tolist() for v in c.values()], strict=True)]
         return out
     a, b = columns(plain, False), columns(small, True)
     assert {y[:1] + y[2:] for y in b} == {y[:1] + y[2:] for y in a if y[5] != 1} and len(b) < len(a)
 
 
+@pytest.mark.parametrize("values", [[0.5, np.nan, -1.0, 4.0], list(np.random.default_rng(4).random(70_000))])
+def test_squeezed_columns_come_back(values):
+    n = len(values)
+    rng = np.random.default_rng(1)
+    for side in (bp.PROFILE_N, bp.NEIGHBOUR, bp.STATS_T):
+        cols = {"c": np.sort(rng.integers(-9, 2**60, n)), "e": rng.integers(-2**62, 2**62, n), "v": np.array(values), "fold": np.full(n, -1, np.int32), "st": rng.random((n, 8))}
+        back = bp._loose(side, n, bp._squeezed(side, cols))
+        assert list(back) == list(bp.FIELDS[side]) and all(np.array_equal(x, cols[k], equal_nan=k == "v") for k, x in back.items())
+
+
 def test_measures_are_worked_out_a_slice_at_a_time(monkeypatch):
     monkeypatch.setattr(bp, "SLICE", 7)
     sizes = []
