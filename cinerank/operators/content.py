@@ -70,6 +70,20 @@ def user_profiles(ratings: DataFrame, profiles: DataFrame, variant: str = "B",
       divided by the number of items the user rated;
     B (AGG-21): mean score over the rated items having the feature."""
     part = list(part)
+    keys = [*part, U]
+    whole = ("tinyint", "smallint", "int", "bigint")
+    if profiles.schema["idx"].dataType.simpleString() not in whole or ratings.schema["score"].dataType.simpleString() not in (*whole, "float", "double"):
+        return _user_profiles_by_join(ratings, profiles, variant, part)
+    # a row without a key, and features without a number, are few or none
+    odd = F.lit(False)
+    for c in keys:
+        odd = odd | F.col(c).isNull()
+    out = _user_profiles_packed(ratings.where(~odd), profiles.where(F.col("idx").isNotNull()), variant, keys)
+    out = out.unionByName(_user_profiles_by_join(ratings.where(~odd), profiles.where(F.col("idx").isNull()), variant, part))
+    return out.unionByName(_user_profiles_by_join(ratings.where(odd), profiles, variant, part))
+
+
+def _user_profiles_by_join(ratings: DataFrame, profiles: DataFrame, variant: str, part: list) -> DataFrame:
     j = ratings.select(*part, U, I, "score").join(profiles.select(I, "idx"), I)
     if variant == "B":
         return j.groupBy(*part, U, "idx").agg(F.avg("score").alias("weight"))
@@ -78,6 +92,53 @@ def user_profiles(ratings: DataFrame, profiles: DataFrame, variant: str = "B",
     return s.join(n, part + [U]).select(*part, U, "idx", (F.col("_s") / F.col("_n")).alias("weight"))
 
 
+def _user_profiles_packed(ratings: DataFrame, profiles: DataFrame, variant: str, keys: list) -> DataFrame:
+    """A rating goes to its user with its item's packed features, not with a row for each. Ratings of one user come one after
+    the other, and only the sums of its features are kept, however many ratings it has."""
+    items = packed_items(profiles.where(F.col(I).isNotNull()).select(I, "idx", F.lit(1.0).alias("weight")))
+    rows = ratings.select(*keys, I, F.col("score").cast("double").alias("score")).join(items, I, "left").select(*keys, "score", "features")
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys)
+
+    def summed(batches):
+        import pyarrow as pa
+
+        types, last = None, None  # last: (key, ratings, features, sums) of the user whose ratings may go on
+
+        def made(held):
+            of = np.repeat(np.arange(len(held)), [len(x[2]) for x in held])
+            s = np.concatenate([x[3] for x in held])
+            n = np.array([x[1] for x in held])[of] if variant == "A" else s[:, 1]
+            weight = np.divide(s[:, 0], n, out=np.zeros(len(of)), where=n > 0)
+            columns = [pa.array([x[0][k] for x in held], t).take(pa.array(of)) for k, t in enumerate(types)]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate([x[2] for x in held])), pa.array(weight, mask=s[:, 1] == 0)], [*keys, "idx", "weight"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            types = [batch.schema.field(c).type for c in keys]
+            who = list(zip(*[batch.column(c).to_pylist() for c in keys], strict=True))
+            score = batch.column("score")
+            n, idx, _ = _unpack(batch.column("features").to_pylist())
+            each = np.stack([score.fill_null(0.0).to_numpy(), score.is_valid().to_numpy(zero_copy_only=False)], axis=1)
+            ends, done = np.concatenate([[0], np.cumsum(n)]), []
+            first = [0, *[r for r in range(1, len(who)) if who[r] != who[r - 1]], len(who)]
+            for a, b in zip(first[:-1], first[1:], strict=True):
+                new = (who[a], b - a, *_sums_by_feature(idx[ends[a]:ends[b]], np.repeat(each[a:b], n[a:b], axis=0)))
+                if last is not None and last[0] == new[0]:
+                    last = (new[0], last[1] + new[1], *_sums_by_feature(np.concatenate([last[2], new[2]]), np.concatenate([last[3], new[3]])))
+                    continue
+                if last is not None:
+                    done.append(last)
+                last = new
+            if done:
+                yield made(done)
+        if last is not None:
+            yield made([last])
+    kinds = ", ".join(f"`{c}` {ratings.schema[c].dataType.simpleString()}" for c in keys)
+    out = rows.mapInArrow(summed, f"{kinds}, idx bigint, weight double")
+    return out.withColumn("idx", F.col("idx").cast(profiles.schema["idx"].dataType))
+
+
 def _pack(idx: np.ndarray, weight: np.ndarray) -> bytes:
     """The features of an item, in the order of their index, as compressed steps of the index and weights."""
     return zlib.compress(np.diff(idx, prepend=0).astype("<i8").tobytes() + weight.astype("<f8").tobytes(), 9)
