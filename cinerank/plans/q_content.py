@@ -120,10 +120,15 @@ def _cb_scores(spark, sf_dir, only=None):
     return cb.content_scores_by_fold(cells, *profile_store(spark, sf_dir))
 
 
+def profile_buckets(ratings: int) -> int:
+    """As many buckets as the ratings need: a task sorts and reads the profiles of about 60,000, some 60 kB for a user of 40."""
+    return max(16, -(-ratings // 60_000))
+
+
 def profile_store(spark, sf_dir):
     """SNK-8 / SRC-12: user and item profiles and their norms, stored once per session in buckets of the keys they are joined by."""
     _, iprof, _ = content_tables(spark, sf_dir)
-    n = max(16, -(-views.folds(spark, sf_dir).count() // 250_000))  # as many buckets as the ratings need
+    n = profile_buckets(views.folds(spark, sf_dir).count())
     items = bucketed(spark, f"item_profiles:{sf_dir}", lambda: iprof, ("item_id",), n)
     users = bucketed(spark, f"user_profiles:{sf_dir}", lambda: cb.user_profiles_by_fold(views.folds(spark, sf_dir), items, views.N_FOLDS, n),
                      ("user_id",), n, dealt=True)

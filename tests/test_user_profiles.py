@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cinerank.operators import content as cb
+from cinerank.plans import q_content
 
 
 @pytest.mark.parametrize("variant", ["A", "B"])
@@ -38,3 +39,11 @@ def test_no_row_for_a_rating_and_a_feature(spark):
     prof = spark.range(1500).select((F.col("id") % 50).alias("item_id"), F.col("id").alias("idx"), F.lit(1.0).alias("weight"))
     plan = cb._user_profiles_packed(ratings, prof, "A", ["user_id"])._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [user_id" not in plan and "MapInArrow" in plan
+
+
+def test_a_bucket_of_profiles_fits_a_task():
+    """A user of 40 ratings has about 930 features at sf0.1, each with an index and five weights."""
+    for ratings in (600_000, 36_000_000, 216_000_000):
+        users = ratings / q_content.profile_buckets(ratings) / 40
+        assert users * 930 * 6 * 8 < 100e6
+    assert q_content.profile_buckets(0) == 16
